@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from wardgraph.llm import near_dup
+from wardgraph.llm import ann, chat, decontam, lang_id, materialise, near_dup, packing, quality, secrets, url_rules
 
-QUERIES = {"op9_near_dedup": near_dup.op9_near_dedup}
-ORACLES = {"op9_near_dedup": near_dup.OP9_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        lang_id.op1_language_id,
+        decontam.op2_decontaminate,
+        url_rules.op3_url_filter,
+        secrets.op4_secrets,
+        packing.op5_pack,
+        materialise.op6_training_order,
+        chat.op7_chat_format,
+        ann.op8_nearest,
+        near_dup.op9_near_dedup,
+        quality.op10_quality,
+    )
+}
+ORACLES = {"op2_decontaminate": decontam.OP2_SQL, "op7_chat_format": chat.OP7_SQL, "op8_nearest": ann.OP8_SQL, "op9_near_dedup": near_dup.OP9_SQL}
