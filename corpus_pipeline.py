@@ -1,10 +1,66 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences, stage by stage; each stage reads what the one before it wrote."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardgraph.llm.common import written
+from wardgraph.llm.decontam import contamination
+from wardgraph.llm.lang_id import UNDETERMINED, LanguageModel, identify
+from wardgraph.llm.near_dup import near_duplicates
+from wardgraph.llm.packing import packed_pieces
+from wardgraph.llm.secrets import SecretModel, redacted, secret_spans
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told go on, with the predicted one as lang. Those without a letter go, and those
+    whose best language is hardly likelier than the others."""
+    columns = docs.columns
+    found = identify(docs, LanguageModel.fit(docs))
+    kept = found.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= 0.4))
+    return kept.withColumn("lang", F.col("__lang")).select(*columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, 0.8) the document of the smallest doc_id stays. Documents
+    without words are in no group; of rows that share a doc_id one stays."""
+    found = near_duplicates(docs, shingle=5)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = found.where(F.size("items") > 0).select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti").select(*docs.columns)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; each secret in a text becomes a mark, and n_chars follows."""
+    columns = docs.columns
+    found = secret_spans(docs, SecretModel.fit(docs))
+    found = found.withColumn("text", F.when(F.size("__spans") > 0, redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text")))
+    if "n_chars" in columns:
+        found = found.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(*columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    return packed_pieces(docs)
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("secret_scan", secret_scan), ("packing", packing)]
+
+#: Learned models and a tokenizer take part: tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents; what each returns is written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return docs
