@@ -1,37 +1,13 @@
-"""What the operators of this subpackage share: tables in the shared folder, and small bounded samples."""
+"""What the operators of this subpackage share: bounded samples and held-out rows."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardgraph.sources.tables import new_path, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a new one of our own if it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="wardgraph-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet; it goes when the session ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage is cut, and a lost executor costs nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["held_out", "new_path", "sample_by_hash", "shared_dir", "written"]
 
 
 def sample_by_hash(df: DataFrame, key: str, k: int) -> DataFrame:

@@ -2,16 +2,19 @@
 
 Two collections of half-keys, A and B, are made of `rows` minhashes each. Table (i, j) is keyed by A_i and B_j, so
 2 * halves * rows minhashes give halves ** 2 tables of 2 * rows minhashes; a pair of similarity s shares a table with
-probability (1 - (1 - s ** rows) ** halves) ** 2, which is 0.9996 at 0.8 with the defaults and more above it.
-
-Texts with the same shingle set are one class from the start. Within a table's bucket, classes are first compared with
-one centre; only buckets whose members are still in different components go on, with more centres in each round and at
-last pair by pair, so that no two members of a bucket in different components stay uncompared. A candidate pair is
-confirmed on the full shingle sets (64-bit hashes of shingles).
+probability (1 - (1 - s ** rows) ** halves) ** 2, which is 0.9993 at 0.8 with the defaults and more above it. Half-keys
+that no two classes share are dropped before tables are formed.
+
+Texts with the same shingle set are one class from the start. Each class is tied to the smallest class of each of its
+buckets; what hangs together so is a cluster of candidates, in which every pair is decided on the full shingle sets
+(64-bit hashes of shingles). A large cluster is cut into blocks of bounded size, by size of the sets and by hash, and
+those pairs of blocks meet in a task that can hold a link. A task counts all intersections of its block by matrix
+products and returns a spanning tree of the links it finds, so no list of pairs is ever formed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +25,9 @@ from pyspark.sql import functions as F
 
 from wardgraph.llm.common import written
 
-FEATURES = "doc_id long, n_shingles long, k1 long, k2 long, a array<long>, b array<long>, sig binary"
-#: Candidate pairs that agree in fewer of 128 minhashes are left out before the exact check: at similarity 0.8 the
-#: mean is 102 and the standard deviation 4.5, so this is over five deviations below.
-LEAST_AGREE = 78 / 128
+FEATURES = "doc_id long, n_shingles long, k1 long, k2 long, a array<long>, b array<long>"
+#: Bounds of a block: shingles and classes. A class of more shingles is a block of its own.
+BLOCK_SHINGLES, BLOCK_CLASSES = 1_000_000, 1_000
 
 
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
@@ -57,11 +59,11 @@ def _features(k: int, halves: int, rows: int, seed: int):
         mult, add = (rng.integers(0, 2**32, n, dtype=np.uint64).astype(np.uint32) for _ in range(2))
         mult |= np.uint32(1)
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for text in batch.column(1).to_pylist():
                 s = shingle_hashes(text, k)
                 if not len(s):
-                    for col, v in zip(out, (0, None, None, None, None, None), strict=True):
+                    for col, v in zip(out, (0, None, None, None, None), strict=True):
                         col.append(v)
                     continue
                 low = minhashes(s, mult, add)
@@ -71,10 +73,10 @@ def _features(k: int, halves: int, rows: int, seed: int):
                 for j in range(1, rows):
                     mix = (mix ^ (mix >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + g[:, j]
                 mix = mix.view(np.int64).tolist()
-                for col, v in zip(out, (len(s), int(key[0]), int(key[1]), mix[:halves], mix[halves:], (low & 255).astype(np.uint8).tobytes()), strict=True):
+                for col, v in zip(out, (len(s), int(key[0]), int(key[1]), mix[:halves], mix[halves:]), strict=True):
                     col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=["doc_id", "n_shingles", "k1", "k2", "a", "b", "sig"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=["doc_id", "n_shingles", "k1", "k2", "a", "b"])
 
     return run
 
@@ -84,30 +86,74 @@ def _sets(k: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(t, k).tobytes() for t in part.column(1).to_pylist()], pa.binary())], names=["node", "s"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(t, k).tobytes() for t in part.column(1).to_pylist()], pa.binary()), part.column(2)], names=["node", "s", "blocks"])
 
     return run
 
 
-def _agree(least: float):
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs: shingles of few sets are counted by pair, others by matrix products."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    flat = np.concatenate(sets)
+    by = np.argsort(flat, kind="stable")
+    flat, owner = flat[by], owner[by]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    df = np.diff(np.append(first, len(flat)))
+    both = np.zeros(n * n, np.int64)
+    for d in range(2, 9):
+        at = first[df == d]
+        if len(at):
+            some = owner[at[:, None] + np.arange(d)]
+            i, j = np.triu_indices(d, 1)
+            both += np.bincount((some[:, i] * n + some[:, j]).ravel(), minlength=n * n)
+    both = both.reshape(n, n)
+    both += both.T
+    many = np.flatnonzero(df > 8)
+    for at in range(0, len(many), 2048):
+        some = many[at : at + 2048]
+        x = np.zeros((n, len(some)), np.float32)
+        size = df[some]
+        x[owner[np.repeat(first[some], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)], np.repeat(np.arange(len(some)), size)] = 1
+        both += (x @ x.T).astype(np.int64)
+    return both
+
+
+def spanning_links(nodes: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """(smallest node of a component, node) for the components over links within a block."""
+    if len(nodes) < 2:
+        return []
+    both, size = intersections(sets), np.array([len(s) for s in sets])
+    link = den * both >= num * (size[:, None] + size[None, :] - both)
+    out, left = [], np.ones(len(nodes), bool)
+    for i in np.argsort(nodes, kind="stable"):
+        if left[i]:
+            seen = front = np.arange(len(nodes)) == i
+            while front.any():
+                front = link[front].any(axis=0) & ~seen
+                seen = seen | front
+            left &= ~seen
+            out += [(int(nodes[i]), int(v)) for v in nodes[seen] if v != nodes[i]]
+    return out
+
+
+def _block_links(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array((a == b).mean(axis=1) >= least))
-
-    return run
-
-
-def _confirm(num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        """Rows (block, node, s) by block, each block whole in this task."""
+        key, nodes, sets, out = None, [], [], []
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["src", "dst"])
+
+        for b in batches:
+            for k, node, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if k != key:
+                    out += spanning_links(np.array(nodes), sets, num, den)
+                    key, nodes, sets = k, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(s.as_py(), np.uint64))
+        out += spanning_links(np.array(nodes), sets, num, den)
+        yield batch()
 
     return run
 
@@ -128,7 +174,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         label = now.select("node", "comp")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100, halves: int = 16, rows: int = 4, seed: int = 11, small_ids: int = 500_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100, halves: int = 20, rows: int = 5, seed: int = 11, small_ids: int = 500_000) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id: the smallest doc_id reachable over links of at least
     num / den Jaccard similarity. One row for each row of docs.
 
@@ -151,7 +197,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, num: int = 80, den: int =
 def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle: int, num: int, den: int, small_ids: int) -> DataFrame:
     """(node, comp) of the classes that are linked; a class's node is its smallest doc_id."""
     reps = classes.where("node is not null").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select(F.col("node").alias("doc_id"), "k.k1", "k.k2")
-    reps = feats.where("n_shingles > 0").join(reps, ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n_shingles", "a", "b", "sig")
+    reps = feats.where("n_shingles > 0").join(reps, ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n_shingles", "a", "b")
 
     # half-keys that at least two classes share; then the tables of those
     def half(side: str) -> DataFrame:
@@ -163,53 +209,38 @@ def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle:
     keys = F.flatten(F.transform("a", lambda a: F.transform("b", lambda b: F.xxhash64(a, b))))
     member = written(live.where("size(a) > 0 and size(b) > 0").select("node", F.explode(keys).alias("key")), "tables")
     centres = member.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1").select("key", "centre")
-    member = written(member.join(centres, "key").select("key", "node", "centre"), "buckets")
-
-    nodes = member.select("node").distinct()
-    info = written(reps.join(nodes, "node", "left_semi").select("node", "n_shingles", "sig"), "signatures")
-    few = nodes.count() <= small_ids
-    ids = F.broadcast(info.select("node")) if few else info.select("node")
-    texts = docs.withColumnRenamed("doc_id", "node").join(ids, "node").select("node", "text")
-    sets = written(texts.mapInArrow(_sets(shingle), "node long, s binary").where("length(s) > 0").groupBy("node").agg(F.min("s").alias("s")), "sets")
-
-    def check(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(x, y) -> all of them, and those that are links."""
-        pairs = written(pairs, "pairs")
-        x = info.select(F.col("node").alias("x"), F.col("n_shingles").alias("nx"), F.col("sig").alias("sx"))
-        y = info.select(F.col("node").alias("y"), F.col("n_shingles").alias("ny"), F.col("sig").alias("sy"))
-        like = pairs.join(x, "x").join(y, "y").where(F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num).select("x", "y", "sx", "sy")
-        like = like.mapInArrow(_agree(LEAST_AGREE), "x long, y long")
-        full = like.join(sets.select(F.col("node").alias("x"), F.col("s").alias("sx")), "x").join(sets.select(F.col("node").alias("y"), F.col("s").alias("sy")), "y")
-        return pairs, written(full.select("x", "y", "sx", "sy").mapInArrow(_confirm(num, den), "x long, y long"), "links")
-
-    # first each class with the centre that it meets in most tables
-    best = member.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("n")).groupBy("node").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("centre"))
-    done, links = check(best.select(F.col("centre").alias("x"), F.col("node").alias("y")))
-    live, pivots = member.select("key", "node"), 1
-    budget = 4 * member.count()
-    while True:
-        comp = connected_components(links.select(F.col("x").alias("src"), F.col("y").alias("dst")))
-        now = written(live.join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")), "live")
-        open_ = now.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2")).where("k > 1")
-        open_ = written(open_, "open")
-        rest = open_.agg(F.sum((F.col("n") * F.col("n") - F.col("n2")) / 2)).first()[0] or 0
-        if not rest:
-            return comp
-        now = now.join(open_.select("key"), "key")
-        if rest <= budget:
-            one, other = now, now.select("key", F.col("node").alias("other"), F.col("comp").alias("comp2"))
-        else:
-            # the lowest of so many slices of each bucket
-            top = now.groupBy("key", F.pmod(F.xxhash64("node", F.lit(pivots)), F.lit(pivots)).alias("slice")).agg(F.min("node").alias("other")).select("key", "other")
-            one, other = now, written(top, "pivots").join(now.select("key", F.col("node").alias("other"), F.col("comp").alias("comp2")), ["key", "other"])
-            live = now.select("key", "node").join(top.withColumnRenamed("other", "node"), ["key", "node"], "left_anti")
-            pivots *= 4
-        met = one.join(other, "key").where("comp <> comp2")
-        new = met.select(F.least("node", "other").alias("x"), F.greatest("node", "other").alias("y")).distinct().join(done, ["x", "y"], "left_anti")
-        more, found = check(new)
-        links, done = written(links.union(found), "links"), written(done.union(more), "done")
-        if rest <= budget:
-            return connected_components(links.select(F.col("x").alias("src"), F.col("y").alias("dst")))
+    ties = member.join(centres, "key").where("node <> centre").select(F.col("centre").alias("src"), F.col("node").alias("dst")).distinct()
+    cluster = connected_components(ties).withColumnRenamed("comp", "cluster")
+    cluster = written(cluster.join(reps.select("node", "n_shingles"), "node"), "clusters")
+
+    # blocks: a small cluster is one; in a larger one, sets of a link are of one size class or of neighbouring ones
+    limit = lambda n, m: F.greatest(F.ceil(m / BLOCK_SHINGLES), F.ceil(n / BLOCK_CLASSES)).cast("int")
+    sized = cluster.withColumn("class", F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(den / num)).cast("int"))
+    whole = cluster.groupBy("cluster").agg(limit(F.count("*"), F.sum("n_shingles")).alias("blocks"))
+    part = sized.groupBy("cluster", "class").agg(limit(F.count("*"), F.sum("n_shingles")).alias("own"))
+    part = part.join(whole.where("blocks > 1").select("cluster"), "cluster")
+    up = part.select("cluster", (F.col("class") - 1).alias("class"), F.col("own").alias("above"))
+    down = part.select("cluster", (F.col("class") + 1).alias("class"), F.col("own").alias("below"))
+    part = part.join(up, ["cluster", "class"], "left").join(down, ["cluster", "class"], "left")
+    slot = F.pmod(F.xxhash64("node"), F.col("own")).cast("int")
+    key = lambda c, i, d, j: F.concat_ws(":", F.col("cluster"), c, i, d, j)
+    c, seq = F.col("class"), lambda n: F.sequence(F.lit(0), n - 1)
+    mine = F.transform(seq(F.col("own")), lambda j: key(c, F.least(slot, j), c, F.greatest(slot, j)))
+    none = F.array().cast("array<string>")
+    to_up = F.when(F.col("above").isNotNull(), F.transform(seq(F.coalesce("above", F.lit(1))), lambda j: key(c, slot, c + 1, j))).otherwise(none)
+    to_down = F.when(F.col("below").isNotNull(), F.transform(seq(F.coalesce("below", F.lit(1))), lambda j: key(c - 1, j, c, slot))).otherwise(none)
+    keys = F.when(F.col("own").isNull(), F.array(F.col("cluster").cast("string"))).otherwise(F.concat(mine, to_up, to_down))
+    placed = sized.join(part, ["cluster", "class"], "left").select("node", keys.alias("blocks"))
+
+    # the texts of candidates alone; up to small_ids of them their ids are broadcast
+    placed = written(placed, "placed")
+    if placed.count() <= small_ids:
+        placed = F.broadcast(placed)
+    texts = docs.withColumnRenamed("doc_id", "node").join(placed, "node").select("node", "text", "blocks").dropDuplicates(["node"])
+    sets = texts.mapInArrow(_sets(shingle), "node long, s binary, blocks array<string>").where("length(s) > 0")
+    blocks = sets.select(F.explode("blocks").alias("block"), "node", "s").repartition("block").sortWithinPartitions("block")
+    links = written(blocks.mapInArrow(_block_links(num, den), "src long, dst long").distinct(), "links")
+    return connected_components(links)
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
