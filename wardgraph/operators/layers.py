@@ -44,7 +44,7 @@ _WORDS = {"and", "or", "not", "xor"}
 
 def score_expression(text: str, names: set[str]) -> Column:
     """A user's expression over layer variables as a column: + - * /, comparisons (1 or 0), and, or, xor, not, and
-    c ? a : b. Anything else raises ValueError, so no other SQL comes through. A missing score makes the result null."""
+    c ? a : b. Anything else raises ValueError, so no other SQL comes through. A missing score makes null what it decides."""
     tokens, at = [], 0
     text = text.strip()
     while at < len(text):

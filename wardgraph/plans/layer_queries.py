@@ -23,7 +23,7 @@ def combine_layers(b: Bridge):
     return layers.combine(slices(b), "a + b * 0.5", missing=0.0)
 
 
-@query(BOTH + "select technique_id, tactic, case when a > b or a is null or b is null then null else 1 end as x, cast(case when a is null or b is null then null when (a > 20 and b >= 50) then 25 when not (a < 10) then (a + b) / 2 else -a end as double) as score from f".replace("case when a > b or a is null or b is null then null else 1 end as x, ", ""))
+@query(BOTH + "select technique_id, tactic, cast(case when (a > 20 and b >= 50) is null then null when a > 20 and b >= 50 then 25 when a is null then null when a >= 10 then (a + b) / 2 else -a end as double) as score from f")
 def score_expression(b: Bridge):
     return layers.combine(slices(b), "(a > 20 and b >= 50) ? 25 : (not (a < 10) ? (a + b) / 2 : -a)")
 
