@@ -209,7 +209,10 @@ def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle:
     keys = F.flatten(F.transform("a", lambda a: F.transform("b", lambda b: F.xxhash64(a, b))))
     member = written(live.where("size(a) > 0 and size(b) > 0").select("node", F.explode(keys).alias("key")), "tables")
     centres = member.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1").select("key", "centre")
-    ties = member.join(centres, "key").where("node <> centre").select(F.col("centre").alias("src"), F.col("node").alias("dst")).distinct()
+    # a class hangs on its smallest centre, and so do its other centres (at most halves ** 2): that many classes name the
+    # same centres makes no more ties
+    met = member.join(centres, "key").where("node <> centre").groupBy("node").agg(F.array_sort(F.collect_set("centre")).alias("c"))
+    ties = met.select(F.col("c")[0].alias("src"), F.explode(F.concat(F.array("node"), F.slice("c", 2, F.size("c")))).alias("dst")).distinct()
     cluster = connected_components(ties).withColumnRenamed("comp", "cluster")
     cluster = written(cluster.join(reps.select("node", "n_shingles"), "node"), "clusters")
 
