@@ -114,6 +114,8 @@ def layer_json(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
     one = raw.select(F.when(F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v")).alias("vs")).select(F.explode("vs").alias("v"))
     get = lambda path, kind: F.try_variant_get("v", path, kind)
+    # a text that could be read as a truth value is of a wrong type all the same
+    flag = lambda v, path: F.when(F.schema_of_variant(F.try_variant_get(v, path, "variant")) == "BOOLEAN", F.try_variant_get(v, path, "boolean"))
     full = get("$.viewFullTable", "boolean")
     view = F.coalesce(get("$.viewMode", "int"), F.when(full, 0).when(~full, 1))
     layout = F.coalesce(get("$.layout.layout", "string"), F.when(view == 1, "side").when(view == 2, "mini"), F.lit("side"))
@@ -125,8 +127,8 @@ def layer_json(spark: SparkSession, path: str) -> DataFrame:
             F.try_variant_get(t, "$.score", "double").alias("score"),
             F.coalesce(F.try_variant_get(t, "$.color", "string"), F.lit("")).alias("color"),
             F.coalesce(F.try_variant_get(t, "$.comment", "string"), F.lit("")).alias("comment"),
-            F.coalesce(F.try_variant_get(t, "$.enabled", "boolean"), F.lit(True)).alias("enabled"),
-            F.coalesce(F.try_variant_get(t, "$.showSubtechniques", "boolean"), F.lit(False)).alias("show_subtechniques"),
+            F.coalesce(flag(t, "$.enabled"), F.lit(True)).alias("enabled"),
+            F.coalesce(flag(t, "$.showSubtechniques"), F.lit(False)).alias("show_subtechniques"),
         ),
     )
     return one.select(
@@ -137,7 +139,7 @@ def layer_json(spark: SparkSession, path: str) -> DataFrame:
         get("$.filters.platforms", "array<string>").alias("platforms"),
         F.coalesce(get("$.sorting", "int"), F.lit(0)).alias("sorting"),
         layout.alias("layout"),
-        F.coalesce(get("$.hideDisabled", "boolean"), F.lit(False)).alias("hide_disabled"),
+        F.coalesce(flag("v", "$.hideDisabled"), F.lit(False)).alias("hide_disabled"),
         F.coalesce(cells, F.array()).alias("techniques"),
     )
 
