@@ -1,18 +1,18 @@
 """Training-order materialisation.
 
 Token ids are cut into sequences of one length. A keyed Feistel network over the next even power of two, walked along
-its cycle until it falls below the number of sequences, sends each sequence's number to a global slot. A range partition
-by slot then holds whole shards, each a file of fixed-stride records, so that slot s lies in shard s // per_shard at byte
-(s % per_shard) * stride, and reading in training order, from any step on, is sequential.
-
-The documents are encoded twice: once to count the sequences of each input partition, once to send them to their slots.
-That costs CPU but no copy of the ids outside the shuffle and the shards.
+its cycle until it falls below the size of its domain, sends each sequence's number to a global place. The number comes
+from the input partition's share of the domain, an upper bound that the texts' bytes give without encoding them, so the
+documents are encoded once; places that no sequence takes are closed up: a sequence's slot is its rank by place. A range
+of places is one shard, a file of fixed-stride records, so reading in training order, from any slot on, is sequential:
+the index of the shards tells each one's first slot.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,14 +20,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardgraph.llm.common import new_path, written
 from wardgraph.llm.tokens import BYTE_BPE, ByteBpe, loaded
 
 LENGTH, END = 2048, 50256
-_MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 @dataclass(frozen=True)
@@ -72,46 +71,37 @@ def _stream(batches: Iterator[pa.RecordBatch], tokenizer: str, length: int) -> I
         yield bytes(rest)
 
 
-def _count(tokenizer: str, length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = sum(len(s) for s in _stream(batches, tokenizer, length)) // 2
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([tokens], pa.int64())], names=["part", "tokens"])
-
-    return run
-
-
-def _place(tokenizer: str, length: int, first: object, order: Permutation):
+def _place(tokenizer: str, length: int, share: object, order: Permutation):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        at, tokens = first.value.get(part, (0, 0))
+        at, end = share.value.get(part, (0, 0))
         some: list[bytes] = []
-        seen = 0
 
         def batch():
             nonlocal some, at
-            slots = order(np.arange(at, at + len(some)))
+            if at + len(some) > end:
+                raise ValueError(f"partition {part} holds more than before: the input must be read alike twice; write it to a table first")
+            places = order(np.arange(at, at + len(some)))
             at += len(some)
             data, some = some, []
-            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array([len(d) // 2 for d in data], pa.int32()), pa.array([zlib.compress(d, 1) for d in data], pa.binary())], names=["slot", "tokens", "data"])
+            return pa.RecordBatch.from_arrays([pa.array(places), pa.array([len(d) // 2 for d in data], pa.int32()), pa.array([zlib.compress(d, 1) for d in data], pa.binary())], names=["place", "tokens", "data"])
 
         for s in _stream(batches, tokenizer, length):
             some.append(s)
-            seen += len(s) // 2
             if len(some) == 512:
                 yield batch()
-        if seen != tokens:
-            raise ValueError(f"partition {part} gave {tokens} tokens, then {seen}: the input must be read alike twice; write it to a table first")
         yield batch()
 
     return run
 
 
-def _write(path: str, length: int, per_shard: int):
+def _write(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows by slot, a shard's all in this task -> shard files, under a name of this attempt until complete."""
+        """Rows (shard, place, tokens, data) in order, a shard's all in this task -> shard files, each under a name of
+        this attempt until complete."""
         fs, root = pafs.FileSystem.from_uri(path)
         fs.create_dir(root, recursive=True)
-        stride, out, shard, own = 2 * length, None, -1, f".{os.getpid()}-{TaskContext.get().taskAttemptId()}"
+        stride, out, shard, at, own = 2 * length, None, -1, 0, f".{os.getpid()}-{TaskContext.get().taskAttemptId()}"
         name = lambda n: f"{root}/shard-{n:08d}.bin"
 
         def close():
@@ -120,55 +110,68 @@ def _write(path: str, length: int, per_shard: int):
                 fs.move(f"{name(shard)}{own}", name(shard))
 
         for batch in batches:
-            rows = [[], [], [], [], []]
-            for slot, tokens, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if slot // per_shard != shard:
+            rows = [[], [], [], []]
+            for n, tokens, data in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                if n != shard:
                     close()
-                    shard = slot // per_shard
+                    shard, at = n, 0
                     out = fs.open_output_stream(f"{name(shard)}{own}")
                 data = zlib.decompress(data)
                 out.write(data + np.full(length - tokens, END, "<u2").tobytes())
-                for col, v in zip(rows, (slot, shard, slot % per_shard * stride, tokens, zlib.crc32(data)), strict=True):
+                for col, v in zip(rows, (shard, at, tokens, zlib.crc32(data)), strict=True):
                     col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["slot", "shard", "byte_offset", "tokens", "ids_crc32"])
+                at += stride
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["shard", "byte_offset", "tokens", "ids_crc32"])
         close()
 
     return run
 
 
-def write_training_order(docs: DataFrame, path: str, key: int = 1, length: int = LENGTH, per_shard: int = 1024, tokenizer: str = BYTE_BPE) -> DataFrame:
+def shard_index(manifest: DataFrame) -> DataFrame:
+    """(shard, ...) one row a sequence -> shard, first slot, sequences. Sums run over blocks of shards, then in them."""
+    size = manifest.groupBy("shard").agg(F.count("*").alias("n")).withColumn("block", F.floor(F.col("shard") / 1024))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    block = size.groupBy("block").agg(F.sum("n").alias("m")).withColumn("base", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    own = F.sum("n").over(Window.partitionBy("block").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    return size.join(block.select("block", "base"), "block").select("shard", (F.col("base") + F.coalesce(own, F.lit(0))).alias("first"), "n")
+
+
+def write_training_order(docs: DataFrame, path: str, key: int = 1, length: int = LENGTH, per_shard: int = 2048, tokenizer: str = BYTE_BPE) -> DataFrame:
     """docs (text) -> shards of little-endian 16-bit ids below path (a folder that all executors see), and a table: slot,
     shard, byte_offset, tokens (of the record; END fills it up), ids_crc32 (without the fill). One row a sequence.
 
     A null or empty text is END alone. Sequences run on across the documents of an input partition; only its last one is
-    filled up. docs must be a table or a plain read, since it is read twice; a difference raises an error. Shard files
-    appear complete under their names, and a repeated task writes the same bytes again. An empty table writes none.
+    filled up. docs must be a table or a plain read, since its sizes are read first. A shard holds the sequences of
+    per_shard places, most often about half as many. Shard files appear complete under their names, and a repeated task
+    writes the same bytes again. An empty table writes none.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("text").cast("string").alias("text"))
-    parts = docs.mapInArrow(_count(tokenizer, length), "part int, tokens long").collect()  # a row for each input partition
-    first, n = {}, 0
-    for r in sorted(parts, key=lambda r: r.part):
-        first[r.part] = (n, r.tokens)
-        n += -(-r.tokens // length)
-    order, placed = Permutation(n, key), spark.sparkContext.broadcast(first)
-    rows = docs.mapInArrow(_place(tokenizer, length, placed, order), "slot long, tokens int, data binary")
+    sizes = docs.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("most")).collect()
+    share, n = {}, 0
+    for r in sorted(sizes, key=lambda r: r.part):  # a row for each input partition; a token has a byte at least
+        share[r.part] = (n, n + r.most // length + 1)
+        n = share[r.part][1]
+    order, placed = Permutation(n, key), spark.sparkContext.broadcast(share)
+    rows = docs.mapInArrow(_place(tokenizer, length, placed, order), "place long, tokens int, data binary")
     shards = max(1, -(-n // per_shard))
-    tasks = max(1, min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 64)))
-    # whole shards stay together: the key is the shard, and slots are sorted within
-    rows = rows.repartition(tasks, F.floor(F.col("slot") / per_shard)) if tasks > 1 else rows.repartition(1)
-    rows = rows.sortWithinPartitions("slot")
-    return written(rows.mapInArrow(_write(path, length, per_shard), "slot long, shard long, byte_offset long, tokens int, ids_crc32 long"), "manifest")
+    tasks = max(1, min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 16)))
+    rows = rows.select(F.floor(F.col("place") / per_shard).alias("shard"), "place", "tokens", "data")
+    rows = rows.repartition(tasks, "shard").sortWithinPartitions("shard", "place")
+    manifest = written(rows.mapInArrow(_write(path, length), "shard long, byte_offset long, tokens int, ids_crc32 long"), "manifest")
+    slot = (F.col("first") + F.col("byte_offset") / (2 * length)).cast("long")
+    return manifest.join(shard_index(manifest), "shard").select(slot.alias("slot"), "shard", "byte_offset", "tokens", "ids_crc32")
 
 
-def read_training_order(path: str, slot: int, n: int, length: int = LENGTH, per_shard: int = 1024) -> np.ndarray:
-    """Records slot..slot+n-1, by offset."""
+def read_training_order(index: list[tuple[int, int]], path: str, slot: int, n: int, length: int = LENGTH) -> np.ndarray:
+    """Records slot .. slot + n - 1. index: (first slot, shard) of the shards, sorted."""
     fs, root = pafs.FileSystem.from_uri(path)
-    out = []
+    firsts, out = [f for f, _ in index], []
     for s in range(slot, slot + n):
-        with fs.open_input_file(f"{root}/shard-{s // per_shard:08d}.bin") as f:
-            out.append(np.frombuffer(f.read_at(2 * length, s % per_shard * 2 * length), "<u2"))
+        first, shard = index[bisect_right(firsts, s) - 1]
+        with fs.open_input_file(f"{root}/shard-{shard:08d}.bin") as f:
+            out.append(np.frombuffer(f.read_at(2 * length, (s - first) * 2 * length), "<u2"))
     return np.stack(out)
 
 
