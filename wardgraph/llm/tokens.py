@@ -25,6 +25,20 @@ _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_LEVEL = {b: b for b in _SHOWN} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
 
 
+class Cache(dict):
+    """What `make` gives for a key, of which up to `most` keys of under 64 characters are kept."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most = make, most
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.make(key)
+        if len(self) < self.most and len(key) < 64:
+            self[key] = out
+        return out
+
+
 class WordBpe:
     """Ids of a `tokenizers` file whose pre-tokenizer drops white space, as little-endian bytes of `kind`."""
 
@@ -33,9 +47,8 @@ class WordBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        self.kind, self.most_words, self.most_pieces = np.dtype(kind), most_words, most_pieces
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.kind = np.dtype(kind)
+        self.words, self.pieces = Cache(self._word, most_words), Cache(self._piece, most_pieces)
         # the pre-tokenizer's own rule, which the file states
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
 
@@ -43,37 +56,22 @@ class WordBpe:
         return np.array(ids, self.kind).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        out = self.pieces.get(piece)
-        if out is None:
-            mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
-            out = self._packed([t.id for t in self.model.tokenize(mapped)])
-            if len(self.pieces) < self.most_pieces:
-                self.pieces[piece] = out
-        return out
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        return self._packed([t.id for t in self.model.tokenize(mapped)])
 
     def _word(self, word: str) -> bytes:
-        out = self.words.get(word)
-        if out is None:
-            if "<|" in word or len(word) > 400:
-                out = self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-            else:
-                plain = word.isascii() or unicodedata.is_normalized("NFC", word) and not _CASED.search(word)
-                low = word.lower() if plain else self.normalizer.normalize_str(word)
-                out = b"".join(map(self._piece, self.split(low)))
-            if len(self.words) < self.most_words and len(word) < 64:
-                self.words[word] = out
-        return out
+        if "<|" in word or len(word) > 400:
+            return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        plain = word.isascii() or unicodedata.is_normalized("NFC", word) and not _CASED.search(word)
+        low = word.lower() if plain else self.normalizer.normalize_str(word)
+        return b"".join(map(self.pieces.__getitem__, self.split(low)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if _ODD.search(text):
             return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words = text.split()
-        try:
-            return b"".join([self.words[w] for w in words])
-        except KeyError:
-            return b"".join(map(self._word, words))
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 class ByteBpe:
@@ -85,20 +83,14 @@ class ByteBpe:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.kind, self.most_pieces = np.dtype(kind), most_pieces
-        self.pieces: dict[str, bytes] = {}
+        self.split, self.kind = regex.compile(public_tokenizers.PATTERN).findall, np.dtype(kind)
+        self.pieces = Cache(self._piece, most_pieces)
 
     def _piece(self, piece: str) -> bytes:
-        out = self.pieces.get(piece)
-        if out is None:
-            out = np.array(self.encoding.encode_ordinary(piece), self.kind).tobytes()
-            if len(self.pieces) < self.most_pieces and len(piece) < 64:
-                self.pieces[piece] = out
-        return out
+        return np.array(self.encoding.encode_ordinary(piece), self.kind).tobytes()
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self._piece, self.split(text))) if text else b""
+        return b"".join(map(self.pieces.__getitem__, self.split(text))) if text else b""
 
 
 _LOADED: dict = {}
