@@ -68,20 +68,25 @@ def best_fit_decreasing(counts: dict[int, int], window: int) -> list[tuple[int,
         left, rank = counts[length], 0
         while left:
             capacity = tree.tightest(length)
-            if capacity is None:  # new windows, each of which then is the tightest for the next pieces of this length
-                fit = window // length
-                n = max(1, left // fit)
+            if capacity is None:
+                n = -(-left // (window // length))
                 put(window, opened, n)
                 opened += n
                 continue
             at, n = free[capacity].pop()
-            take = min(n, left)
-            runs.append((length, rank, take, at, window - capacity))
             if not free[capacity]:
                 tree.set(capacity, False)
-            put(capacity, at + take, n - take)
-            put(capacity - length, at, take)
-            left, rank = left - take, rank + take
+            # the window just used is the tightest for the next piece, as long as one fits: fill them one by one
+            fit = capacity // length
+            full, some = min(n, left // fit), fit
+            if not full:
+                full, some = 1, left
+            for i in range(some):
+                runs.append((length, rank, full, at, window - capacity + i * length))
+                rank += full
+            left -= full * some
+            put(capacity, at + full, n - full)
+            put(capacity - some * length, at, full)
     return runs
 
 
@@ -121,7 +126,7 @@ def packed_pieces(docs: DataFrame, window: int = WINDOW, tokenizer: str = WORD_B
     before = sizes.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)))
     counts = {r.length: r.n for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # `window` rows at most
     runs = np.array(best_fit_decreasing(counts, window), np.int64).reshape(-1, 5)
-    placed = spark.sparkContext.broadcast((runs[:, 0] * (1 << 44) + runs[:, 1], runs[:, 1], runs[:, 3], runs[:, 4]))  # sorted by length below
+    placed = spark.sparkContext.broadcast((runs[:, 0] * (1 << 44) + runs[:, 1], runs[:, 1], runs[:, 3], runs[:, 4]))
     ranked = pieces.withColumn("r", F.row_number().over(Window.partitionBy("length", "salt").orderBy(*order)) - 1)
     ranked = ranked.join(before.select("length", "salt", "before"), ["length", "salt"]).withColumn("rank", F.col("r") + F.coalesce("before", F.lit(0)))
 

@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and character Markov models for what they leave.
 
 The patterns' own hits are the labelled samples: what they capture trains the model of random strings, all other runs
-of visible ASCII train the model of ordinary text and identifiers. Both are first-order character models whose counts
+of visible ASCII train the model of ordinary text and identifiers, but those still to be judged. Both are first-order character models whose counts
 are taken over all documents. A long run of key-like characters outside the pattern hits is a secret when the
 log-likelihood ratio of the two models says so.
 """
@@ -44,6 +44,11 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
+def _candidates(text: str) -> list[tuple[int, int]]:
+    """Long key-like runs with a letter and a digit."""
+    return [m.span() for m in _RUN.finditer(text) if any(map(str.isdigit, m.group())) and any(map(str.isalpha, m.group()))]
+
+
 def _codes(text: str) -> np.ndarray:
     return _CODE[np.frombuffer(text.encode("ascii") if text.isascii() else re.sub(r"[^\x00-\x7f]", " ", text).encode("ascii"), np.uint8)]
 
@@ -60,6 +65,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 c = code[value:end].astype(np.int32)
                 n[0] += np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
                 code[start:end] = _END
+            for start, end in _candidates(text):  # what is to be judged trains neither model
+                code[start:end] = _END
             for at in range(0, len(code), 1 << 20):
                 c = code[at : at + (1 << 20) + 1].astype(np.int32)
                 n[1] += np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
@@ -87,7 +94,9 @@ class SecretModel:
             n[r.label, r.pair] = r.n
         n = n.reshape(2, _N, _N)[:, :94, :94]
         uniform = _KEY[:94] / _KEY.sum()
-        smooth = (n + 0.1) / (n + 0.1).sum(axis=2, keepdims=True)
+        # after a character that is rare in its model, that model's characters as such
+        single = (n.sum(axis=1) + 0.1) / (n.sum(axis=1) + 0.1).sum(axis=1, keepdims=True)
+        smooth = (n + 5 * single[:, None, :]) / (n.sum(axis=2, keepdims=True) + 5)
         secret = 0.5 * smooth[0] + 0.5 * uniform[None, :]  # other key alphabets than the sampled ones stay likely
         return cls(np.log(secret + 1e-9) - np.log(smooth[1]), **limits)
 
@@ -97,13 +106,12 @@ class SecretModel:
             return []
         base = base_spans(text)
         found = [(s, k, e) for s, k, e, _ in base]
-        for m in _RUN.finditer(text):
-            run = m.group()
-            if any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and not any(s < m.end() and e > m.start() for s, _, e, _ in base):
-                c = _codes(run)
+        for start, end in _candidates(text):
+            if not any(s < end and e > start for s, _, e, _ in base):
+                c = _codes(text[start:end])
                 llr = float(self.ratio[c[:-1], c[1:]].sum())
-                if llr >= self.least and llr >= self.least_mean * len(run):
-                    found.append((m.start(), len(KINDS), m.end()))
+                if llr >= self.least and llr >= self.least_mean * (end - start):
+                    found.append((start, len(KINDS), end))
         return sorted(found)
 
 
