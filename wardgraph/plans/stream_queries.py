@@ -15,9 +15,9 @@ from wardgraph.sources.tables import new_path
 from wardgraph.streaming import streams
 
 
-def landed(b: Bridge, parts: int = 4):
-    """The events as files that land one after another in order of time, as a stream of one file a micro-batch."""
-    path, rows = new_path(b.spark, "events"), b.table("events")
+def landed(b: Bridge, parts: int = 4, rows=None):
+    """The events, or such rows, as files that land one after another in order of time, as a stream of one file a micro-batch."""
+    path, rows = new_path(b.spark, "events"), b.table("events") if rows is None else rows
     cuts = rows.select(F.unix_micros("ts").alias("us")).approxQuantile("us", [i / parts for i in range(1, parts)], 0.001)
     us = F.unix_micros("ts")
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
@@ -77,10 +77,8 @@ def stateful_alerts(b: Bridge):
 @query("select event_id, user_id, event_type from events")
 def dedupe_stream(b: Bridge):
     """Every third event is delivered twice."""
-    twice = new_path(b.spark, "twice")
-    rows = b.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
-    rows.union(rows.where("event_id % 3 = 0")).repartitionByRange(4, "ts").write.parquet(twice)
-    stream = b.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(twice)
+    rows = b.table("events")
+    stream = landed(b, rows=rows.union(rows.where("event_id % 3 = 0")))
     return collected(b, streams.dedupe(stream, ["event_id"]).select("event_id", "user_id", "event_type"), "deduped")
 
 
