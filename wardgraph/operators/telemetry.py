@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardgraph.sources.tables import written
+
 # fixed values: default histogram buckets, quantiles, alert steps by severity
 BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0, float("inf"))
 QUANTILES = (0.5, 0.9, 0.95, 0.99)
@@ -118,11 +120,10 @@ def trailing_rate(rows: DataFrame, key: str, us: str, seconds: int, limit: int)
 
 
 def batches(rows: DataFrame, order: list[str], size: int, groups: int = 64) -> DataFrame:
-    """Fixed-size batches in order. Rows are counted by ranges of the order first, so no task numbers all of them."""
-    from pyspark.sql import types as T
-
-    out = T.StructType([*rows.schema.fields, T.StructField("rn", T.LongType())])
-    # zipWithIndex counts each range-sorted partition once and adds the offsets: no single partition holds everything
-    ranged = rows.repartitionByRange(groups, *order).sortWithinPartitions(*order)
-    numbered = rows.sparkSession.createDataFrame(ranged.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), out)
-    return numbered.withColumn("batch", F.floor(F.col("rn") / size)).drop("rn")
+    """Fixed-size batches in order: rows are numbered within ranges of the order, and the ranges' sizes are summed up,
+    so no task numbers all of them."""
+    ranged = written(rows.repartitionByRange(groups, *order).withColumn("range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("n"))  # a row a range
+    before = sizes.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rn = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    return ranged.withColumn("rn", rn).join(before, "range").withColumn("batch", F.floor((F.col("before") + F.col("rn")) / size)).drop("range", "rn", "before")
