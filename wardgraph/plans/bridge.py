@@ -40,8 +40,14 @@ class Bridge:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}  # a read looks into the files: once a table
 
     def table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self._table(name)
+        return self._read[name]
+
+    def _table(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df.withColumns({c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"}) if "timestamp_ntz" in dict(df.dtypes).values() else df
 
