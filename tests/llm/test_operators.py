@@ -340,8 +340,10 @@ def test_near_duplicates_are_brute_force(spark, monkeypatch):
     want = brute_components(rows)
     df = spark.createDataFrame([(i, t, "", "") for i, t in rows], DOCS)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(df).collect()} == want
-    monkeypatch.setattr(near_dup, "BLOCK_CLASSES", 7)  # many blocks and size classes, and ids that are not broadcast
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(df, small_ids=0).collect()} == want
+    for size, shared in ((7, 2), (3, 0)):  # many blocks and size classes, both rounds, and keys that are not broadcast
+        monkeypatch.setattr(near_dup, "BLOCK_CLASSES", size)
+        monkeypatch.setattr(near_dup, "SHARED_CLASSES", shared)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(df, small_keys=0).collect()} == want
 
 
 def test_near_duplicates_odd(spark):

@@ -6,10 +6,12 @@ probability (1 - (1 - s ** rows) ** halves) ** 2, which is 0.9993 at 0.8 with th
 that no two classes share are dropped before tables are formed.
 
 Texts with the same shingle set are one class from the start. Each class is tied to the smallest class of each of its
-buckets; what hangs together so is a cluster of candidates, in which every pair is decided on the full shingle sets
-(64-bit hashes of shingles). A large cluster is cut into blocks of bounded size, by size of the sets and by hash, and
-those pairs of blocks meet in a task that can hold a link. A task counts all intersections of its block by matrix
-products and returns a spanning tree of the links it finds, so no list of pairs is ever formed.
+buckets; what hangs together so is a cluster of candidates, in which links are confirmed on the full shingle sets
+(64-bit hashes of shingles). A task counts all intersections of a block of bounded size by matrix products and returns
+a spanning tree of the links it finds, so no list of pairs is ever formed. A cluster larger than a block is cut by hash
+into blocks that share a few classes, which ties together most of what is linked in time linear in its size. If it is
+in several parts then, those outside the largest part meet each other and the largest part in pairs of blocks, by size
+of the sets and by hash, where they can hold a link; pairs inside a part need no second look.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from wardgraph.llm.common import written
 FEATURES = "doc_id long, n_shingles long, k1 long, k2 long, a array<long>, b array<long>"
 #: Bounds of a block: shingles and classes. A class of more shingles is a block of its own.
 BLOCK_SHINGLES, BLOCK_CLASSES = 1_000_000, 1_000
+#: So many classes of a large cluster, about, are in each of its blocks.
+SHARED_CLASSES = 16
 
 
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
@@ -174,27 +178,27 @@ def connected_components(edges: DataFrame) -> DataFrame:
         label = now.select("node", "comp")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100, halves: int = 20, rows: int = 5, seed: int = 11, small_ids: int = 500_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100, halves: int = 20, rows: int = 5, seed: int = 11, small_keys: int = 500_000) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id: the smallest doc_id reachable over links of at least
     num / den Jaccard similarity. One row for each row of docs.
 
     A text that is null, empty or white space has no shingles and is its own component. doc_id is meant to be
     unique; equal rows get equal results, and different texts whose classes have the same smallest doc_id are united.
     Rows without doc_id take part in no link but that of equal sets: they get the component of such a document, else
-    null. small_ids: up to so many ids of candidates are broadcast to pick their texts; beyond, texts
-    and ids meet in a shuffle.
+    null. small_keys: up to so many block keys of candidates are broadcast to pick their texts;
+    beyond, texts and keys meet in a shuffle.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     feats = written(docs.mapInArrow(_features(shingle, halves, rows, seed), FEATURES), "features")
     classes = feats.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
-    comps = _components(docs, feats, classes, shingle, num, den, small_ids)
+    comps = _components(docs, feats, classes, shingle, num, den, small_keys)
     of = classes.join(comps, "node", "left").select("k1", "k2", F.coalesce("comp", "node").alias("component"))
     full = feats.where("n_shingles > 0").select("doc_id", "n_shingles", "k1", "k2").join(of, ["k1", "k2"], "left")
     full = full.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     return full.union(feats.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
-def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle: int, num: int, den: int, small_ids: int) -> DataFrame:
+def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle: int, num: int, den: int, small_keys: int) -> DataFrame:
     """(node, comp) of the classes that are linked; a class's node is its smallest doc_id."""
     reps = classes.where("node is not null").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select(F.col("node").alias("doc_id"), "k.k1", "k.k2")
     reps = feats.where("n_shingles > 0").join(reps, ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n_shingles", "a", "b")
@@ -216,34 +220,58 @@ def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle:
     cluster = connected_components(ties).withColumnRenamed("comp", "cluster")
     cluster = written(cluster.join(reps.select("node", "n_shingles"), "node"), "clusters")
 
-    # blocks: a small cluster is one; in a larger one, sets of a link are of one size class or of neighbouring ones
-    limit = lambda n, m: F.greatest(F.ceil(m / BLOCK_SHINGLES), F.ceil(n / BLOCK_CLASSES)).cast("int")
-    sized = cluster.withColumn("class", F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(den / num)).cast("int"))
-    whole = cluster.groupBy("cluster").agg(limit(F.count("*"), F.sum("n_shingles")).alias("blocks"))
-    part = sized.groupBy("cluster", "class").agg(limit(F.count("*"), F.sum("n_shingles")).alias("own"))
-    part = part.join(whole.where("blocks > 1").select("cluster"), "cluster")
-    up = part.select("cluster", (F.col("class") - 1).alias("class"), F.col("own").alias("above"))
-    down = part.select("cluster", (F.col("class") + 1).alias("class"), F.col("own").alias("below"))
-    part = part.join(up, ["cluster", "class"], "left").join(down, ["cluster", "class"], "left")
-    slot = F.pmod(F.xxhash64("node"), F.col("own")).cast("int")
-    key = lambda c, i, d, j: F.concat_ws(":", F.col("cluster"), c, i, d, j)
-    c, seq = F.col("class"), lambda n: F.sequence(F.lit(0), n - 1)
-    mine = F.transform(seq(F.col("own")), lambda j: key(c, F.least(slot, j), c, F.greatest(slot, j)))
-    none = F.array().cast("array<string>")
-    to_up = F.when(F.col("above").isNotNull(), F.transform(seq(F.coalesce("above", F.lit(1))), lambda j: key(c, slot, c + 1, j))).otherwise(none)
-    to_down = F.when(F.col("below").isNotNull(), F.transform(seq(F.coalesce("below", F.lit(1))), lambda j: key(c - 1, j, c, slot))).otherwise(none)
-    keys = F.when(F.col("own").isNull(), F.array(F.col("cluster").cast("string"))).otherwise(F.concat(mine, to_up, to_down))
-    placed = sized.join(part, ["cluster", "class"], "left").select("node", keys.alias("blocks"))
-
-    # the texts of candidates alone; up to small_ids of them their ids are broadcast
-    placed = written(placed, "placed")
-    if placed.count() <= small_ids:
-        placed = F.broadcast(placed)
-    texts = docs.withColumnRenamed("doc_id", "node").join(placed, "node").select("node", "text", "blocks").dropDuplicates(["node"])
+    # first round: a small cluster is one block; a larger one is cut by hash, with some of its classes in every block
+    own = F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).cast("int")
+    cuts = cluster.groupBy("cluster").agg(own.alias("own"), F.count("*").alias("n"))
+    key = lambda *of: F.concat_ws(":", F.col("cluster"), *of)
+    everywhere = (F.pmod(F.xxhash64(F.lit("everywhere"), "node"), F.col("n")) < SHARED_CLASSES) & (F.col("own") > 1)
+    blocks = F.when(everywhere, F.transform(_up_to("own"), lambda j: key(j))).otherwise(F.array(key(_slot("own"))))
+    placed = written(cluster.join(cuts, "cluster").select("node", "cluster", "n_shingles", "own", blocks.alias("blocks")), "placed")
+    links = _decided(docs, placed, shingle, num, den, small_keys)
+    comps = connected_components(links)
+    large = placed.where("own > 1").select("node", "cluster", "n_shingles")
+    if large.isEmpty():
+        return comps
+
+    # second round: of clusters in several parts, the classes outside the largest part meet each other and that part
+    parts = large.join(comps, "node", "left").select("node", "cluster", "n_shingles", F.coalesce("comp", "node").alias("comp"))
+    sizes = parts.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
+    split = sizes.groupBy("cluster").agg(F.max(F.struct("n", "comp"))["comp"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+    # sets of a link are of one size class or of neighbouring ones
+    size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(den / num)).cast("int")
+    rest = parts.join(split, "cluster").select("node", "cluster", "n_shingles", size_class.alias("class"), (F.col("comp") == F.col("largest")).alias("main"))
+    rest = written(rest, "parts")
+    if rest.isEmpty():
+        return comps
+    cells = rest.groupBy("cluster", "class", "main").agg(own.alias("own"))
+    other = cells.select("cluster", F.col("class").alias("c"), F.col("main").alias("m"), F.col("own").alias("k"))
+    near = cells.withColumn("c", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1))).join(other, ["cluster", "c"]).where("not (main and m)")
+    near = near.groupBy("cluster", "class", "main", "own").agg(F.collect_list(F.struct("c", "m", "k")).alias("near"))  # six at most
+    side = lambda c, m, slot: F.concat_ws("/", c, m.cast("string"), slot)
+    mine = side(F.col("class"), F.col("main"), _slot("own"))
+    meet = lambda theirs: key(F.least(mine, theirs), F.greatest(mine, theirs))
+    blocks = F.flatten(F.transform("near", lambda x: F.transform(_up_to(x["k"]), lambda j: meet(side(x["c"], x["m"], j)))))
+    again = written(rest.join(near, ["cluster", "class", "main"]).select("node", blocks.alias("blocks")), "placed")
+    return connected_components(links.union(_decided(docs, again, shingle, num, den, small_keys)))
+
+
+def _slot(n: str):
+    return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+
+
+def _up_to(n):
+    return F.sequence(F.lit(0), (F.col(n) if isinstance(n, str) else n) - 1)
+
+
+def _decided(docs: DataFrame, placed: DataFrame, shingle: int, num: int, den: int, small_keys: int) -> DataFrame:
+    """placed: node, blocks -> (src, dst), links that span what hangs together in each block. Texts of placed nodes
+    alone are read again; with up to small_keys block keys in all, placed is broadcast."""
+    if (placed.agg(F.sum(F.size("blocks"))).first()[0] or 0) <= small_keys:
+        placed = F.broadcast(placed.select("node", "blocks"))
+    texts = docs.withColumnRenamed("doc_id", "node").join(placed.select("node", "blocks"), "node").select("node", "text", "blocks").dropDuplicates(["node"])
     sets = texts.mapInArrow(_sets(shingle), "node long, s binary, blocks array<string>").where("length(s) > 0")
     blocks = sets.select(F.explode("blocks").alias("block"), "node", "s").repartition("block").sortWithinPartitions("block")
-    links = written(blocks.mapInArrow(_block_links(num, den), "src long, dst long").distinct(), "links")
-    return connected_components(links)
+    return written(blocks.mapInArrow(_block_links(num, den), "src long, dst long").distinct(), "links")
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
