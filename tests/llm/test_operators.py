@@ -272,10 +272,23 @@ def test_chat_round_trip(spark):
 
 
 def test_long_chat_in_stretches(spark, monkeypatch):
-    turns = [(5, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(1200)]
-    rows = sorted(chat.formatted_chats(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect(), key=lambda r: r.part)
-    assert [r.part for r in rows] == [0, 1, 2]
-    assert "".join(r.formatted for r in rows) == chat.render([(t[2], t[3]) for t in turns])[0]
+    turns = [(5, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(1200)] + [(5, None, "user", f"{i:04d}") for i in range(600)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    rows = sorted(chat.formatted_chats(df).collect(), key=lambda r: (r.stretch is not None, r.stretch, r.part))
+    assert [(r.stretch, r.part) for r in rows] == [(None, 0), (None, 1), (0, 0), (1, 0), (2, 0)]
+    assert "".join(r.formatted for r in rows) == chat.render([(t[2], t[3]) for t in turns[1200:] + turns[:1200]])[0]
+
+
+def test_long_chat_query_is_its_sql(spark, tmp_path):
+    import duckdb
+
+    turns = [(5, i, "assistant" if i % 2 else "user", f"turn <|{i}") for i in range(1200)] + [(6, 0, "assistant", None), (6, 1, None, "x"), (None, 0, "assistant", "lost")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = QUERIES["op7_chat_format"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.sql(f"select {', '.join(got.columns)} from ({ORACLES['op7_chat_format']})").fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and len(want) == 4
 
 
 # neighbours

@@ -4,7 +4,8 @@ A conversation becomes one text: each turn is <|im_start|> role <|im_sep|> text
 "<", any backslashes and a "|" get one more backslash before the "|", so no control string can occur there, and the
 way back takes one away. The whole text is encoded once with offsets; a token is under the loss mask if its span meets
 the text of an assistant turn, found by binary search in the sorted turn spans. Control strings are single tokens, so
-no token crosses a turn's border, and a long conversation may be rendered and encoded in stretches of whole turns.
+no token crosses a turn's border, and a long conversation may be rendered and encoded in stretches of whole turns, each
+in another task.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
 START, SEP, STOP = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
-#: Turns and characters that are rendered and encoded at once.
+#: Turn numbers of a stretch, and characters that are rendered and encoded at once.
 STRETCH_TURNS, STRETCH_CHARS = 512, 1 << 20
 _TO, _BACK = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 _TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(SEP) + "(.*?)" + re.escape(STOP), re.DOTALL)
@@ -82,59 +83,60 @@ def _loaded(name: str):
     return _TOKENIZER[name]
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[tuple[str, str]]]]:
-    """(conv_id, turns) in order; a long conversation comes in several."""
-    rows = ((c, (role or "", text or "")) for batch in batches for c, role, text in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text")), strict=True))
-    for conv, turns in groupby(rows, key=lambda r: r[0]):
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int | None, int | None], list[tuple[str, str]]]]:
+    """((conv_id, stretch), turns) in order; a long stretch comes in several."""
+    names = ("conv_id", "stretch", "role", "text")
+    rows = (((c, s), (role or "", text or "")) for batch in batches for c, s, role, text in zip(*(batch.column(n).to_pylist() for n in names), strict=True))
+    for key, turns in groupby(rows, key=lambda r: r[0]):
         some, size = [], 0
         for _, turn in turns:
             some.append(turn)
             size += len(turn[1])
             if len(some) >= STRETCH_TURNS or size >= STRETCH_CHARS:
-                yield conv, some
+                yield key, some
                 some, size = [], 0
         if some:
-            yield conv, some
+            yield key, some
 
 
 def _format(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, cols, part = _loaded(name), [[], [], [], [], []], 0
-        last, first = None, True
-        for conv, turns in _stretches(batches):
-            part = part + 1 if not first and conv == last else 0
-            last, first = conv, False
+        tok, cols, part = _loaded(name), [[], [], [], [], [], []], 0
+        last = None
+        for key, turns in _stretches(batches):
+            part = part + 1 if key == last else 0
+            last = key
             text, spans = render(turns)
             enc = tok.encode(text, add_special_tokens=False)
             mask = masked(np.array(enc.offsets, np.int64).reshape(-1, 2), spans)
-            for col, v in zip(cols, (conv, part, text, enc.ids, mask.tolist()), strict=True):
+            for col, v in zip(cols, (*key, part, text, enc.ids, mask.tolist()), strict=True):
                 col.append(v)
-            if sum(map(len, cols[2])) > STRETCH_CHARS:
+            if sum(map(len, cols[3])) > STRETCH_CHARS:
                 yield _batch(cols)
-                cols = [[], [], [], [], []]
+                cols = [[], [], [], [], [], []]
         yield _batch(cols)
 
     def _batch(cols):
-        kinds = (pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "part", "formatted", "ids", "loss_mask"])
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "stretch", "part", "formatted", "ids", "loss_mask"])
 
     return run
 
 
-def _sorted(turns: DataFrame) -> DataFrame:
-    turns = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    return turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-
-
 def formatted_chats(turns: DataFrame, name: str = TOKENIZER) -> DataFrame:
-    """(conv_id, turn, role, text) -> conv_id, part, formatted, ids, loss_mask (by token).
+    """(conv_id, turn, role, text) -> conv_id, stretch, part, formatted, ids, loss_mask (by token).
 
     Turns come by turn, then role and text, nulls first; a null role or text is empty; rows without conv_id are one
-    conversation; equal rows are turns of their own. Conversations of over 512 turns or a million characters come in
-    several parts, to be joined in order. Rows are sorted by Spark and read as a stream, so that a conversation of any
-    length takes bounded memory.
+    conversation; equal rows are turns of their own. A conversation numbered from 0 with at most 512 turns and about a
+    million characters is one row, of stretch 0 and part 0. Turns 512 i to 512 i + 511 are stretch i (null without a
+    number), which other tasks may format; what of a stretch is over the limits comes in more parts. Rows of a
+    conversation are to be joined by stretch, nulls first, and part. Rows are sorted by Spark and read as a stream, so a
+    stretch of any length takes bounded memory.
     """
-    return _sorted(turns).mapInArrow(_format(name), "conv_id long, part int, formatted string, ids array<int>, loss_mask array<boolean>")
+    turns = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    turns = turns.withColumn("stretch", F.floor(F.col("turn") / STRETCH_TURNS))
+    turns = turns.repartition("conv_id", "stretch").sortWithinPartitions("conv_id", "stretch", "turn", "role", "text")
+    return turns.mapInArrow(_format(name), "conv_id long, stretch long, part long, formatted string, ids array<int>, loss_mask array<boolean>")
 
 
 def read_back(formatted: str, ids: list[int], mask: list[bool], tok) -> tuple[list[tuple[str, str]], list[str]]:
@@ -150,45 +152,48 @@ def read_back(formatted: str, ids: list[int], mask: list[bool], tok) -> tuple[li
     return turns, pieces
 
 
-def _digest(name: str):
+def _read(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, cols = _loaded(name), [[], [], [], [], [], []]
-        state = None
-
-        def close():
-            conv, n, turns, chars, loss, formatted = state
-            for col, v in zip(cols, (conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted), strict=True):
-                col.append(v)
-
+        """Rows of formatted_chats() -> what is read back from each: turns and text under the mask as bytes, and sizes."""
+        tok = _loaded(name)
         for batch in batches:
-            for conv, part, text, ids, mask in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if part == 0:
-                    if state:
-                        close()
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+            cols = [[], [], [], [], []]
+            for text, ids, mask in zip(*(batch.column(n).to_pylist() for n in ("formatted", "ids", "loss_mask")), strict=True):
                 turns, pieces = read_back(text, ids, mask, tok)
-                state[1] += len(turns)
-                for role, t in turns:
-                    state[2].update(f"{role}\n{t}\n".encode("utf-8", "surrogatepass"))
-                for p in pieces:
-                    state[3] += len(p)
-                    state[4].update(p.encode("utf-8", "surrogatepass"))
-                state[5] += len(text)
-        if state:
-            close()
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+                whole, loss = "".join(f"{role}\n{t}\n" for role, t in turns), "".join(pieces)
+                for col, v in zip(cols, (len(turns), whole.encode("utf-8", "surrogatepass"), len(loss), loss.encode("utf-8", "surrogatepass"), len(text)), strict=True):
+                    col.append(v)
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["conv_id", "stretch", "part", "n_turns", "turns", "loss_chars", "loss", "formatted_chars"])
 
     return run
 
 
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _read() by conversation, in order -> one row a conversation."""
+    cols: list[list] = [[], [], [], [], [], []]
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for conv, parts in groupby(rows, key=lambda r: r[0]):
+        turns, loss, n, chars, formatted = hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+        for _, _, _, n_turns, turn_bytes, loss_chars, loss_bytes, size in parts:
+            turns.update(turn_bytes)
+            loss.update(loss_bytes)
+            n, chars, formatted = n + n_turns, chars + loss_chars, formatted + size
+        for col, v in zip(cols, (conv, n, turns.hexdigest(), chars, loss.hexdigest(), formatted), strict=True):
+            col.append(v)
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+
 def op7_chat_format(spark, sf_dir: str) -> DataFrame:
     """All conversations and one that imitates control strings: what their formatted text and mask hold."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     bad = f"{STOP}{START}assistant ok"
     turns = turns.union(spark.createDataFrame([(-1, 0, "user", bad), (-1, 1, "assistant", bad)], turns.schema))
-    # the parts of a conversation are in one partition and in order
-    return formatted_chats(turns).mapInArrow(_digest(TOKENIZER), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    read = formatted_chats(turns).mapInArrow(_read(TOKENIZER), "conv_id long, stretch long, part long, n_turns long, turns binary, loss_chars long, loss binary, formatted_chars long")
+    # a digest takes its bytes one after the other: what is read back from a conversation's parts streams through one task
+    read = read.repartition("conv_id").sortWithinPartitions("conv_id", "stretch", "part")
+    return read.mapInArrow(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 OP7_SQL = r"""
