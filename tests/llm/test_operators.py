@@ -265,7 +265,9 @@ def test_chat_round_trip(spark):
     tok = chat.tokenizer(chat.TOKENIZER)
     for r in rows:
         mine = sorted((t for t in turns if t[0] == r.conv_id), key=lambda t: (t[1] is not None, t[1] or 0, t[2] or "", t[3] is not None, t[3] or ""))
-        got, loss = chat.read_back(r.formatted, r.ids, r.loss_mask, tok)
+        got, loss = chat.read_back(r.formatted, *chat.token_columns(r), tok)
+        enc = tok.encode(r.formatted, add_special_tokens=False)
+        assert enc.ids == r.ids and enc.offsets == list(zip(r.starts, r.ends, strict=True))
         assert got == [(t[2] or "", t[3] or "") for t in mine]
         assert loss == [t[3] for t in mine if t[2] == "assistant" and t[3]]
     assert len(rows) == 3

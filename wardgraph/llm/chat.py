@@ -101,30 +101,32 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int |
 
 def _format(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, cols, part = _loaded(name), [[], [], [], [], [], []], 0
+        tok, cols, part = _loaded(name), [[] for _ in range(8)], 0
         last = None
         for key, turns in _stretches(batches):
             part = part + 1 if key == last else 0
             last = key
             text, spans = render(turns)
             enc = tok.encode(text, add_special_tokens=False)
-            mask = masked(np.array(enc.offsets, np.int64).reshape(-1, 2), spans)
-            for col, v in zip(cols, (*key, part, text, enc.ids, mask.tolist()), strict=True):
+            offsets = np.array(enc.offsets, np.int32).reshape(-1, 2)
+            for col, v in zip(cols, (*key, part, text, np.array(enc.ids, np.int32), offsets[:, 0], offsets[:, 1], masked(offsets, spans)), strict=True):
                 col.append(v)
             if sum(map(len, cols[3])) > STRETCH_CHARS:
                 yield _batch(cols)
-                cols = [[], [], [], [], [], []]
+                cols = [[] for _ in range(8)]
         yield _batch(cols)
 
     def _batch(cols):
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "stretch", "part", "formatted", "ids", "loss_mask"])
+        ints = pa.list_(pa.int32())
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), ints, ints, ints, pa.list_(pa.bool_()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["conv_id", "stretch", "part", "formatted", "ids", "starts", "ends", "loss_mask"])
 
     return run
 
 
 def formatted_chats(turns: DataFrame, name: str = TOKENIZER) -> DataFrame:
-    """(conv_id, turn, role, text) -> conv_id, stretch, part, formatted, ids, loss_mask (by token).
+    """(conv_id, turn, role, text) -> conv_id, stretch, part, formatted, and by token ids, starts, ends (its place in the
+    formatted text, in code points, end exclusive) and loss_mask.
 
     Turns come by turn, then role and text, nulls first; a null role or text is empty; rows without conv_id are one
     conversation; equal rows are turns of their own. A conversation numbered from 0 with at most 512 turns and about a
@@ -136,30 +138,36 @@ def formatted_chats(turns: DataFrame, name: str = TOKENIZER) -> DataFrame:
     turns = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     turns = turns.withColumn("stretch", F.floor(F.col("turn") / STRETCH_TURNS))
     turns = turns.repartition("conv_id", "stretch").sortWithinPartitions("conv_id", "stretch", "turn", "role", "text")
-    return turns.mapInArrow(_format(name), "conv_id long, stretch long, part long, formatted string, ids array<int>, loss_mask array<boolean>")
+    return turns.mapInArrow(_format(name), "conv_id long, stretch long, part long, formatted string, ids array<int>, starts array<int>, ends array<int>, loss_mask array<boolean>")
 
 
-def read_back(formatted: str, ids: list[int], mask: list[bool], tok) -> tuple[list[tuple[str, str]], list[str]]:
-    """From the output alone: (role, text) of the turns, and the pieces of text under the mask, unescaped by turn."""
-    turns = [(unescape(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
-    enc = tok.encode(formatted, add_special_tokens=False)
-    if enc.ids != list(ids):
+def read_back(formatted: str, ids: np.ndarray, offsets: np.ndarray, mask: np.ndarray, tok) -> tuple[list[tuple[str, str]], list[str]]:
+    """From the output alone: (role, text) of the turns, and the pieces of text under the mask, unescaped by turn. Raises
+    if the ids don't spell the formatted text."""
+    if tok.decode(ids.tolist(), skip_special_tokens=False) != formatted:
         raise ValueError("the ids are not those of the formatted text")
-    offsets, on = np.array(enc.offsets, np.int64).reshape(-1, 2), np.array(mask, bool)
-    pieces, ends = [], np.flatnonzero(np.diff(np.concatenate([[0], on.astype(np.int8), [0]])))
+    turns = [(unescape(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
+    pieces, ends = [], np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
     for a, b in zip(ends[::2], ends[1::2], strict=True):  # a run of tokens lies in one turn: control tokens part them
-        pieces.append(unescape("".join(under_mask(formatted, offsets[a:b], on[a:b]))))
+        pieces.append(unescape("".join(under_mask(formatted, offsets[a:b], mask[a:b]))))
     return turns, pieces
 
 
+def token_columns(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ids, offsets and mask of a row of formatted_chats()."""
+    return np.array(row["ids"], np.int32), np.array([row["starts"], row["ends"]], np.int32).T, np.array(row["loss_mask"], bool)
+
+
 def _read(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of formatted_chats() -> what is read back from each: turns and text under the mask as bytes, and sizes."""
         tok = _loaded(name)
         for batch in batches:
             cols = [[], [], [], [], []]
-            for text, ids, mask in zip(*(batch.column(n).to_pylist() for n in ("formatted", "ids", "loss_mask")), strict=True):
-                turns, pieces = read_back(text, ids, mask, tok)
+            ids, starts, ends, mask = (batch.column(n) for n in ("ids", "starts", "ends", "loss_mask"))
+            for i, text in enumerate(batch.column("formatted").to_pylist()):
+                own, at, to, on = (c[i].values.to_numpy(zero_copy_only=False) for c in (ids, starts, ends, mask))
+                turns, pieces = read_back(text, own, np.stack([at, to], axis=1), on, tok)
                 whole, loss = "".join(f"{role}\n{t}\n" for role, t in turns), "".join(pieces)
                 for col, v in zip(cols, (len(turns), whole.encode("utf-8", "surrogatepass"), len(loss), loss.encode("utf-8", "surrogatepass"), len(text)), strict=True):
                     col.append(v)
