@@ -91,6 +91,16 @@ def test_contamination_is_brute_force(spark, block):
     assert have == want
 
 
+@pytest.mark.parametrize("block", [64 << 20, 2000])
+def test_clean_documents_are_those_without_hits(spark, block):
+    docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs = docs.union(docs.limit(3)).union(docs.limit(1).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.lit(None).cast("long")))
+    items = items.where("item_id % 2 = 0") if block == 2000 else items
+    want = [r.doc_id for r in decontam.contamination(docs, items).collect() if not r["items"]]
+    got = decontam.clean_documents(docs, items, block)
+    assert got.columns == docs.columns and sorted((r.doc_id for r in got.collect()), key=str) == sorted(want, key=str) and 0 < len(want) < docs.count()
+
+
 def test_winnowing_guarantee():
     rnd = np.random.default_rng(1)
     shared = rnd.integers(0, 5, 10)

@@ -109,12 +109,16 @@ class Index:
 _INDEX: dict = {}
 
 
+def _index(block) -> Index:
+    if block.value["id"] not in _INDEX:
+        _INDEX.clear()
+        _INDEX[block.value["id"]] = Index(block.value["items"])
+    return _INDEX[block.value["id"]]
+
+
 def _match(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if block.value["id"] not in _INDEX:
-            _INDEX.clear()
-            _INDEX[block.value["id"]] = Index(block.value["items"])
-        index = _INDEX[block.value["id"]]
+        index = _index(block)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             out = [index.find(t) for t in batch.column(1).to_pylist()]
@@ -124,14 +128,17 @@ def _match(block):
     return run
 
 
-def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = 64 << 20) -> DataFrame:
-    """(doc_id, text), (item_id, text) -> doc_id, n_words, spans (of words, ends exclusive), items (sorted as strings).
+def _clean(block):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text"))
+            yield batch.filter(pa.array([not _index(block).find(t)[2] for t in text.to_pylist()], pa.bool_()))
 
-    One row for each row of docs. Null and empty texts have no words; an item without words occurs nowhere; an item
-    without id counts as ''; repeated items count once. Without items nothing is hit.
-    """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return run
+
+
+def _blocks(items: DataFrame, block_bytes: int) -> list:
+    """The items in broadcasts of about block_bytes of text, one at least."""
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     size = items.agg(F.sum(F.length(F.col("text").cast("binary")) + 16)).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
@@ -139,14 +146,35 @@ def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = 64 << 20
     def block(i: int):
         mine = items if n == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
         rows = sorted((r.item, r.text) for r in mine.collect())
-        return spark.sparkContext.broadcast({"id": hash((i, n, tuple(rows))), "items": rows})
+        return items.sparkSession.sparkContext.broadcast({"id": hash((i, n, tuple(rows))), "items": rows})
+
+    return [block(i) for i in range(n)]
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, block_bytes: int = 64 << 20) -> DataFrame:
+    """The rows of docs, with their columns, whose text holds no window of an item. Each row is judged by its own text; one
+    block of items after the other filters what is left, so nothing is shuffled. Null and empty texts stay."""
+    if dict(docs.dtypes)["text"] != "string":
+        docs = docs.withColumn("text", F.col("text").cast("string"))
+    for block in _blocks(items, block_bytes):
+        docs = docs.mapInArrow(_clean(block), docs.schema)
+    return docs
+
+
+def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = 64 << 20) -> DataFrame:
+    """(doc_id, text), (item_id, text) -> doc_id, n_words, spans (of words, ends exclusive), items (sorted as strings).
 
+    One row for each row of docs. Null and empty texts have no words; an item without words occurs nowhere; an item
+    without id counts as ''; repeated items count once. Without items nothing is hit.
+    """
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    blocks = _blocks(items, block_bytes)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    if n == 1:
-        return docs.mapInArrow(_match(block(0)), f"doc_id {id_type}, n_words long, spans {SPANS}, items array<string>")
+    if len(blocks) == 1:
+        return docs.mapInArrow(_match(blocks[0]), f"doc_id {id_type}, n_words long, spans {SPANS}, items array<string>")
     # more blocks: hits meet by doc_id and text, so that equal rows stay apart from others and keep their number
     keyed = docs.withColumn("row", F.sha2(F.coalesce("text", F.lit("")), 256)).select("doc_id", "text", "row")
-    parts = [written(keyed.mapInArrow(_match(block(i)), f"doc_id {id_type}, row string, n_words long, spans {SPANS}, items array<string>").where("size(items) > 0" if i else "true"), f"hits{i}") for i in range(n)]
+    parts = [written(keyed.mapInArrow(_match(block), f"doc_id {id_type}, row string, n_words long, spans {SPANS}, items array<string>").where("size(items) > 0" if i else "true"), f"hits{i}") for i, block in enumerate(blocks)]
     base, more = parts[0], parts[1]
     for p in parts[2:]:
         more = more.union(p)
