@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardgraph.llm.common import written
-from wardgraph.llm.decontam import contamination
+from wardgraph.llm.decontam import clean_documents
 from wardgraph.llm.lang_id import UNDETERMINED, LanguageModel, identify
 from wardgraph.llm.near_dup import near_duplicates
 from wardgraph.llm.packing import packed_pieces
@@ -24,17 +24,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, 0.8) the document of the smallest doc_id stays. Documents
-    without words are in no group; of rows that share a doc_id one stays."""
-    found = near_duplicates(docs, shingle=5)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    without words are in no group; of rows that share a doc_id one stays. A document without doc_id comes after all
+    others, under a number of its text."""
+    own = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
+    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), own))
+    found = near_duplicates(keyed.select(F.col("__id").alias("doc_id"), "text"), shingle=5)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
+    return keyed.join(kept, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.where(F.size("items") > 0).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti").select(*docs.columns)
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
