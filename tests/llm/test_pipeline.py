@@ -46,3 +46,12 @@ def test_stages_keep_columns_and_empty_tables(spark):
 
 def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontaminate", "secret_scan", "packing"]
+
+
+def test_near_dedup_of_documents_without_id(spark):
+    long = "one two three four five six seven eight nine ten"
+    rows = [(2, long), (None, long), (None, "other words here"), (None, "other words here"), (None, "more of other words"), (None, None), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, __x string")
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(2, long), (None, "other words here"), (None, "more of other words"), (None, None), (3, "")], key=str)
