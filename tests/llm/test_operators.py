@@ -192,6 +192,14 @@ def test_cached_ids_are_the_tokenizers_own():
             assert np.frombuffer(byte.encode(t), "<u2").tolist() == byte.encoding.encode_ordinary(t)
 
 
+def test_control_bytes_keep_their_ids():
+    word = tokens.WordBpe(tokens.public_tokenizers.path(tokens.WORD_BPE))
+    for c in map(chr, range(0x80)):
+        for t in (c, f"a{c}b", f"x{c}[0m", f"{c}{c} word{c}", f"é{c}ß"):
+            want = word.tokenizer.encode(t, add_special_tokens=False).ids
+            assert np.frombuffer(word.encode(t), "<u4").tolist() == want, (t, want)
+
+
 def test_histogram_packing_is_best_fit_decreasing():
     rnd = random.Random(4)
     for _ in range(20):
