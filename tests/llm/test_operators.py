@@ -180,6 +180,24 @@ def test_secret_spans(spark):
     assert secrets.secret_spans(empty(spark), secrets.SecretModel.fit(empty(spark))).count() == 0
 
 
+def test_runs_of_any_length_and_parts_of_runs_are_judged(spark):
+    short, letters, left, right = "k3J9s0Lq1mZ", "qZxWvKjPqRtYbNmLhG", "xQ7pL0vB9zR2tY5wE8kM", "Qw8Rt5Yk2Pz7Lx3Vb6N"
+    text = f"see {short} and {letters} then {left}{'0a' * 15}{right} plainwordplainwordplainword"
+    rows = [(i, f"ordinary identifiers like some_name{i % 7} and otherNames in plain sentences, then see plain words", "en", "") for i in range(50)]
+    model = secrets.SecretModel.fit(docs_of(spark, rows + [(98, "f3" * 20, "en", "")]))
+    found = {r.doc_id: [(s.kind, r.text[s.start : s.end]) for s in r["__spans"]] for r in secrets.secret_spans(docs_of(spark, [*rows, (99, text, "en", "")]), model).collect()}
+    assert found[99] == [("markov", short), ("markov", letters), ("markov", left), ("hex", "0a" * 15), ("markov", right)]
+    assert not any(v for k, v in found.items() if k != 99)
+    # sums of long texts are made in stretches
+    rnd = np.random.default_rng(3)
+    code = np.concatenate([secrets._codes("".join(map(chr, rnd.integers(0x20, 0x7F, 1 << 20)))), np.full(1 << 20, ord("q") - 0x21, np.uint8), secrets._codes(" aZ9 x")])
+    model = secrets.SecretModel(rnd.normal(0.5, 1, (94, 94)), least=3.0, least_mean=0.7)
+    key = secrets._KEY[code].astype(np.int8)
+    edges = np.flatnonzero(np.diff(key, prepend=0, append=0))
+    sums = [(s, e, model.ratio[code[s : e - 1], code[s + 1 : e]].sum()) for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+    assert list(model._runs(code)) == [(s, e) for s, e, x in sums if x >= 3.0 and x >= 0.7 * (e - s)]
+
+
 # tokens and packing
 
 

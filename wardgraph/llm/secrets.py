@@ -1,9 +1,9 @@
 """Secret scans: fixed patterns, and character Markov models for what they leave.
 
 The patterns' own hits are the labelled samples: what they capture trains the model of random strings, all other runs
-of visible ASCII train the model of ordinary text and identifiers, but those still to be judged. Both are first-order character models whose counts
-are taken over all documents. A long run of key-like characters outside the pattern hits is a secret when the
-log-likelihood ratio of the two models says so.
+of visible ASCII train the model of ordinary text and identifiers, but those that look like keys. Both are first-order character models whose counts
+are taken over all documents. A run of key-like characters outside the pattern hits, of whatever length, is a secret
+when the log-likelihood ratio of the two models says so.
 """
 
 from __future__ import annotations
@@ -44,8 +44,8 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(found)
 
 
-def _candidates(text: str) -> list[tuple[int, int]]:
-    """Long key-like runs with a letter and a digit."""
+def _likely(text: str) -> list[tuple[int, int]]:
+    """Long key-like runs with a letter and a digit: too often secrets to be samples of ordinary text."""
     return [m.span() for m in _RUN.finditer(text) if any(map(str.isdigit, m.group())) and any(map(str.isalpha, m.group()))]
 
 
@@ -65,7 +65,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 c = code[value:end].astype(np.int32)
                 n[0] += np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
                 code[start:end] = _END
-            for start, end in _candidates(text):  # what is to be judged trains neither model
+            for start, end in _likely(text):  # these train neither model
                 code[start:end] = _END
             for at in range(0, len(code), 1 << 20):
                 c = code[at : at + (1 << 20) + 1].astype(np.int32)
@@ -78,12 +78,17 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @dataclass
 class SecretModel:
     """ratio[a, b]: log-likelihood of b after a as random against ordinary. A run is a secret from `least` in total and
-    `least_mean` a character, if it has a letter and a digit."""
+    `least_mean` a character."""
 
     ratio: np.ndarray
     least: float = 20.0
     least_mean: float = 1.0
 
+    def __post_init__(self):
+        self.pairs = np.zeros((_N, _N))  # 0 for pairs that are not within a run
+        self.pairs[:94, :94] = np.where(_KEY[:94, None] & _KEY[None, :94], self.ratio, 0)
+        self.pairs = self.pairs.ravel()
+
     @classmethod
     def fit(cls, docs: DataFrame, **limits: float) -> SecretModel:
         """Counts over all texts; what comes to the driver has at most 2 * 95 * 95 rows. Without a sample of either kind
@@ -100,18 +105,30 @@ class SecretModel:
         secret = 0.5 * smooth[0] + 0.5 * uniform[None, :]  # other key alphabets than the sampled ones stay likely
         return cls(np.log(secret + 1e-9) - np.log(smooth[1]), **limits)
 
+    def _runs(self, code: np.ndarray) -> Iterator[tuple[int, int]]:
+        """The key-like runs that are secrets."""
+        edges = np.flatnonzero(np.diff(_KEY[code], prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        llr = np.zeros(len(starts))
+        for at in range(0, len(code) - 1, 1 << 20):
+            c = code[at : at + (1 << 20) + 1].astype(np.int32)
+            v = self.pairs[c[:-1] * _N + c[1:]]
+            first, last = max(np.searchsorted(starts, at, "right") - 1, 0), np.searchsorted(starts, at + len(v))
+            if first < last:  # a run may have begun before
+                llr[first:last] += np.add.reduceat(v, np.maximum(starts[first:last] - at, 0))
+        hit = (llr >= self.least) & (llr >= self.least_mean * (ends - starts))
+        return zip(starts[hit].tolist(), ends[hit].tolist(), strict=True)
+
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(start, number of the kind, end), the models' kind being the last; sorted."""
         if not text:
             return []
         base = base_spans(text)
         found = [(s, k, e) for s, k, e, _ in base]
-        for start, end in _candidates(text):
-            if not any(s < end and e > start for s, _, e, _ in base):
-                c = _codes(text[start:end])
-                llr = float(self.ratio[c[:-1], c[1:]].sum())
-                if llr >= self.least and llr >= self.least_mean * (end - start):
-                    found.append((start, len(KINDS), end))
+        code = _codes(text)
+        for start, _, end, _ in base:  # of a run that they touch, the parts outside are judged
+            code[start:end] = _END
+        found += [(start, len(KINDS), end) for start, end in self._runs(code)]
         return sorted(found)
 
 
