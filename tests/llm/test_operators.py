@@ -152,6 +152,13 @@ def test_mined_rules_match_by_subset(spark):
     assert url_rules.UrlRules.fit(spark.createDataFrame([], "host string, path string, label string")).judge("a", "b") == ("allow", None, None)
 
 
+def test_words_of_every_folder_are_mined(spark):
+    pages = [("a.org", f"/x/y/{i}/casino/offer", "block") for i in range(40)] + [("a.org", f"/x/y/{i}/garden/offer", "allow") for i in range(60)]
+    model = url_rules.UrlRules.fit(spark.createDataFrame(pages, "host string, path string, label string"))
+    assert model.judge("b.org", "/p/q/r/casino/s")[:2] == ("block", "path:casino")
+    assert model.judge("b.org", "/p/q/r/garden/s")[:2] == ("allow", "path:garden")
+
+
 def test_url_query(spark):
     pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     rows = QUERIES["op3_url_filter"](spark, SF).collect()
