@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wardgraph.functions import ids, status
 from wardgraph.operators import chain, graph, layers, rules, telemetry
+from wardgraph.plans import registry
 from wardgraph.sources import scans, sinks
 from wardgraph.streaming import streams
 
@@ -184,3 +185,14 @@ def test_failed_batches_are_skipped(spark):
         return pdf
 
     assert map_batches(spark.range(10, numPartitions=1), f, "id long", size=5).count() == 5
+
+
+def test_heat_scale_ends_at_the_tables_maximum(spark, tmp_path):
+    for n, values in enumerate(([5.0, 400.0, 800.0, None], [0.25, 0.5])):
+        spark.createDataFrame(list(enumerate(values)), "event_id long, value double").write.parquet(f"{tmp_path}/{n}/events.parquet")
+        most = max([v for v in values if v is not None] + [1.0])
+        for r in registry.QUERIES["heat_bucket"](spark, f"{tmp_path}/{n}").collect():
+            v = values[r.event_id]
+            assert r.percent == (None if v is None else int(100 * v / most + 0.5))
+            assert v != 800.0 or r.hue == 20.0
+            assert v != 400.0 or r.hue == 40.0

@@ -156,9 +156,10 @@ select event_id, case when t <= 0.25 then 60 + -5 * ((t - 0.25 * 0) / 0.25) when
 
 @query(HEAT)
 def heat_bucket(b: Bridge):
-    most = F.lit(491.0)
+    events, most = b.table("events"), F.col("most")
+    scale = events.agg(F.greatest(F.max("value"), F.lit(1.0)).alias("most"))
     hue, _, _ = status.heat_hsl(F.col("value"), most)
-    return b.table("events").select("event_id", hue.alias("hue"), status.js_round(100 * F.col("value") / most).alias("percent"))
+    return events.crossJoin(F.broadcast(scale)).select("event_id", hue.alias("hue"), status.js_round(100 * F.col("value") / most).alias("percent"))
 
 
 @query("""with t as (select event_id, greatest(least((value - 0.0) / 100.0, 1.0), 0.0) * 2 as t from events),
