@@ -5,32 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgraph.llm.common import written
+from wardgraph.llm.common import own_columns, written
 from wardgraph.llm.decontam import clean_documents
-from wardgraph.llm.lang_id import UNDETERMINED, LanguageModel, identify
-from wardgraph.llm.near_dup import near_duplicates
+from wardgraph.llm.lang_id import UNDETERMINED, LanguageModel, added_names, identify
+from wardgraph.llm.near_dup import deduplicated
 from wardgraph.llm.packing import packed_pieces
-from wardgraph.llm.secrets import SecretModel, redacted, secret_spans
+from wardgraph.llm.secrets import SecretModel, redacted_documents, span_name
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told go on, with the predicted one as lang. Those without a letter go, and those
-    whose best language is hardly likelier than the others."""
-    columns = docs.columns
+    whose best language is hardly likelier than the others. Columns of any name pass through."""
+    lang, score = added_names(docs)
     found = identify(docs, LanguageModel.fit(docs))
-    kept = found.where((F.col("__lang") != UNDETERMINED) & (F.col("__score") >= 0.4))
-    return kept.withColumn("lang", F.col("__lang")).select(*columns)
+    kept = found.where((F.col(lang) != UNDETERMINED) & (F.col(score) >= 0.4))
+    return kept.withColumn("lang", F.col(lang)).select(*own_columns(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, 0.8) the document of the smallest doc_id stays. Documents
-    without words are in no group; of rows that share a doc_id one stays. A document without doc_id comes after all
-    others, under a number of its text."""
-    own = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 61))
-    keyed = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), own))
-    found = near_duplicates(keyed.select(F.col("__id").alias("doc_id"), "text"), shingle=5)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id"))
-    return keyed.join(kept, "__id", "left_semi").dropDuplicates(["__id"]).select(*docs.columns)
+    """Of each group of near copies (five-word shingles, 0.8, as near-duplicate stages take where no contract says
+    otherwise) the document of the smallest doc_id stays, a document without doc_id coming after all others. Documents
+    without words are in no group. Rows that share a doc_id are told apart by their texts; equal ones are one document."""
+    return deduplicated(docs, shingle=5)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +35,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; each secret in a text becomes a mark, and n_chars follows."""
-    columns = docs.columns
-    found = secret_spans(docs, SecretModel.fit(docs))
-    found = found.withColumn("text", F.when(F.size("__spans") > 0, redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found.select(*columns)
+    """All documents stay; each secret in a text becomes a mark, and n_chars follows. Columns of any name pass through."""
+    n = span_name(docs)[1]
+    found = redacted_documents(docs, SecretModel.fit(docs))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.col(n) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(*own_columns(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

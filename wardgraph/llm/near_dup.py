@@ -5,7 +5,7 @@ Two collections of half-keys, A and B, are made of `rows` minhashes each. Table
 probability (1 - (1 - s ** rows) ** halves) ** 2, which is 0.9993 at 0.8 with the defaults and more above it. Half-keys
 that no two classes share are dropped before tables are formed.
 
-Texts with the same shingle set are one class from the start. Each class is tied to the smallest class of each of its
+Texts with the same shingle set are one class from the start, whose node is a number of its own. Each class is tied to the smallest class of each of its
 buckets; what hangs together so is a cluster of candidates, in which links are confirmed on the full shingle sets
 (64-bit hashes of shingles). A task counts all intersections of a block of bounded size by matrix products and returns
 a spanning tree of the links it finds, so no list of pairs is ever formed. A cluster larger than a block is cut by hash
@@ -25,9 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgraph.llm.common import written
+from wardgraph.llm.common import free_names, own_columns, text_key, with_string_text, written
 
-FEATURES = "doc_id long, n_shingles long, k1 long, k2 long, a array<long>, b array<long>"
+FEATURES = "n_shingles long, k1 long, k2 long, a array<long>, b array<long>"
 #: Bounds of a block: shingles and classes. A class of more shingles is a block of its own.
 BLOCK_SHINGLES, BLOCK_CLASSES = 1_000_000, 1_000
 #: So many classes of a large cluster, about, are in each of its blocks.
@@ -48,6 +48,12 @@ def shingle_hashes(text: str | None, k: int) -> np.ndarray:
     return np.unique(g ^ (g >> np.uint64(32)))
 
 
+def set_key(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a shingle set, as two signed numbers."""
+    a, b = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)
+    return int(a), int(b)
+
+
 def minhashes(shingles: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.ndarray:
     """One minimum for each (odd multiplier, addend); long sets go through in blocks."""
     x, low = (shingles >> np.uint64(32)).astype(np.uint32), np.full(len(mult), 0xFFFFFFFF, np.uint32)
@@ -71,16 +77,16 @@ def _features(k: int, halves: int, rows: int, seed: int):
                         col.append(v)
                     continue
                 low = minhashes(s, mult, add)
-                key = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+                key = set_key(s)
                 g = low.reshape(2 * halves, rows).astype(np.uint64)
                 mix = g[:, 0].copy()
                 for j in range(1, rows):
                     mix = (mix ^ (mix >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + g[:, j]
                 mix = mix.view(np.int64).tolist()
-                for col, v in zip(out, (len(s), int(key[0]), int(key[1]), mix[:halves], mix[halves:]), strict=True):
+                for col, v in zip(out, (len(s), *key, mix[:halves], mix[halves:]), strict=True):
                     col.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=["doc_id", "n_shingles", "k1", "k2", "a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(out, kinds, strict=True))], names=["row", "n_shingles", "k1", "k2", "a", "b"])
 
     return run
 
@@ -90,7 +96,11 @@ def _sets(k: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingle_hashes(t, k).tobytes() for t in part.column(1).to_pylist()], pa.binary()), part.column(2)], names=["node", "s", "blocks"])
+                node, text, k1, k2, blocks = part.columns
+                sets = [shingle_hashes(t, k) for t in text.to_pylist()]
+                if any(set_key(s) != key for s, key in zip(sets, zip(k1.to_pylist(), k2.to_pylist(), strict=True), strict=True)):
+                    raise ValueError("a text differs from the one first read: the input must be read alike twice; write it to a table first")
+                yield pa.RecordBatch.from_arrays([node, pa.array([s.tobytes() for s in sets], pa.binary()), blocks], names=["node", "s", "blocks"])
 
     return run
 
@@ -178,30 +188,60 @@ def connected_components(edges: DataFrame) -> DataFrame:
         label = now.select("node", "comp")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100, halves: int = 20, rows: int = 5, seed: int = 11, small_keys: int = 500_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """(doc_id, text) -> doc_id, n_shingles, component_id: the smallest doc_id reachable over links of at least
-    num / den Jaccard similarity. One row for each row of docs.
+    num / den Jaccard similarity. One row for each row of docs; doc_id keeps its type. how: see `classified`.
 
-    A text that is null, empty or white space has no shingles and is its own component. doc_id is meant to be
-    unique; equal rows get equal results, and different texts whose classes have the same smallest doc_id are united.
-    Rows without doc_id take part in no link but that of equal sets: they get the component of such a document, else
-    null. small_keys: up to so many block keys of candidates are broadcast to pick their texts;
-    beyond, texts and keys meet in a shuffle.
+    A text that is null, empty or white space has no shingles and is its own component. Rows that share a doc_id are
+    judged by their own texts, so different texts stay apart. Rows without doc_id take part in all links; a component
+    whose rows all have none has none.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    feats = written(docs.mapInArrow(_features(shingle, halves, rows, seed), FEATURES), "features")
-    classes = feats.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
-    comps = _components(docs, feats, classes, shingle, num, den, small_keys)
-    of = classes.join(comps, "node", "left").select("k1", "k2", F.coalesce("comp", "node").alias("component"))
-    full = feats.where("n_shingles > 0").select("doc_id", "n_shingles", "k1", "k2").join(of, ["k1", "k2"], "left")
-    full = full.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    return full.union(feats.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-
-
-def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle: int, num: int, den: int, small_keys: int) -> DataFrame:
-    """(node, comp) of the classes that are linked; a class's node is its smallest doc_id."""
-    reps = classes.where("node is not null").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select(F.col("node").alias("doc_id"), "k.k1", "k.k2")
-    reps = feats.where("n_shingles > 0").join(reps, ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n_shingles", "a", "b")
+    feats, of = classified(docs, **how)
+    # both sides are tables: AQE splits the rows of a class with very many copies
+    full = feats.where("n_shingles > 0").select("row", "n_shingles", "k1", "k2").join(of.select("k1", "k2", "top"), ["k1", "k2"])
+    full = full.select("row.doc_id", "n_shingles", F.col("top.doc_id").alias("component_id"))
+    return full.union(feats.where("n_shingles = 0").select("row.doc_id", "n_shingles", F.col("row.doc_id").alias("component_id")))
+
+
+def deduplicated(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs, with their columns, of which one of each component stays: that of the smallest doc_id (rows
+    without one come last; of equal ids, the text of the smallest hash). Texts without words are in no component and
+    stay. Rows of the same doc_id and text are one document, of which one row stays."""
+    docs = with_string_text(docs)
+    feats, of = classified(docs, **how)
+    name, i, t = free_names(docs, "__text", "__i", "__t")
+    kept = of.select("top").distinct().select(F.col("top.doc_id").alias(i), F.col("top.text").alias(t))
+    kept = kept.union(feats.where("n_shingles = 0").select("row.doc_id", "row.text").distinct())
+    # rows of one document are put together before they are shuffled
+    rows = docs.withColumn(name, text_key()).dropDuplicates(["doc_id", name])
+    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(name) == F.col(t)), "left_semi").select(*own_columns(docs))
+
+
+def classified(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100, halves: int = 20, rows: int = 5, seed: int = 11, small_keys: int = 500_000) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) -> the features of all rows, and the classes: k1, k2 (of the shingle set) and top, the first
+    document of the class's component, as doc_id and text key.
+
+    small_keys: up to so many block keys of candidates are broadcast to pick their texts; beyond, texts and keys meet in
+    a shuffle.
+    """
+    docs = with_string_text(docs).select("doc_id", "text", text_key().alias("key"))
+    row = F.struct(F.isnull("doc_id").alias("none"), "doc_id", F.col("key").alias("text"))
+    keyed = docs.select(row.alias("row"), "text")
+    feats = written(keyed.mapInArrow(_features(shingle, halves, rows, seed), f"row {keyed.schema['row'].dataType.simpleString()}, {FEATURES}"), "features")
+    # one row a shingle set; its number is any that no other has, fixed by being written
+    classes = feats.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("row").alias("top"), F.first("n_shingles").alias("n_shingles"), F.first("a").alias("a"), F.first("b").alias("b"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    comps = _components(docs, classes, shingle, num, den, small_keys)
+    linked = comps.join(classes.select("node", "k1", "k2", "top"), "node")
+    tops = written(linked.groupBy("comp").agg(F.min("top").alias("of")), "tops")
+    linked = written(linked.select("k1", "k2", "comp"), "linked").join(tops, "comp").select("k1", "k2", "of")
+    of = classes.select("k1", "k2", "top").join(linked, ["k1", "k2"], "left").select("k1", "k2", F.coalesce("of", "top").alias("top"))
+    return feats, written(of, "of")
+
+
+def _components(docs: DataFrame, classes: DataFrame, shingle: int, num: int, den: int, small_keys: int) -> DataFrame:
+    """(node, comp) of the classes that are linked."""
+    reps = classes.select("node", "n_shingles", "a", "b")
 
     # half-keys that at least two classes share; then the tables of those
     def half(side: str) -> DataFrame:
@@ -212,34 +252,37 @@ def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle:
     live = halved.join(shared, "h").groupBy("node").agg(*(F.collect_list(F.when(F.col("side") == s, F.col("h"))).alias(s) for s in "ab"))
     keys = F.flatten(F.transform("a", lambda a: F.transform("b", lambda b: F.xxhash64(a, b))))
     member = written(live.where("size(a) > 0 and size(b) > 0").select("node", F.explode(keys).alias("key")), "tables")
-    centres = member.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1").select("key", "centre")
+    # a table, so that AQE can split the classes of a key that very many share
+    centres = written(member.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1").select("key", "centre"), "centres")
     # a class hangs on its smallest centre, and so do its other centres (at most halves ** 2): that many classes name the
     # same centres makes no more ties
     met = member.join(centres, "key").where("node <> centre").groupBy("node").agg(F.array_sort(F.collect_set("centre")).alias("c"))
     ties = met.select(F.col("c")[0].alias("src"), F.explode(F.concat(F.array("node"), F.slice("c", 2, F.size("c")))).alias("dst")).distinct()
     cluster = connected_components(ties).withColumnRenamed("comp", "cluster")
-    cluster = written(cluster.join(reps.select("node", "n_shingles"), "node"), "clusters")
+    tops = classes.select("node", "n_shingles", "k1", "k2", "top")
+    cluster = written(cluster.join(tops, "node"), "clusters")
 
     # first round: a small cluster is one block; a larger one is cut by hash, with some of its classes in every block
     own = F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES)).cast("int")
-    cuts = cluster.groupBy("cluster").agg(own.alias("own"), F.count("*").alias("n"))
+    cuts = written(cluster.groupBy("cluster").agg(own.alias("own"), F.count("*").alias("n")), "cuts")
     key = lambda *of: F.concat_ws(":", F.col("cluster"), *of)
     everywhere = (F.pmod(F.xxhash64(F.lit("everywhere"), "node"), F.col("n")) < SHARED_CLASSES) & (F.col("own") > 1)
     blocks = F.when(everywhere, F.transform(_up_to("own"), lambda j: key(j))).otherwise(F.array(key(_slot("own"))))
-    placed = written(cluster.join(cuts, "cluster").select("node", "cluster", "n_shingles", "own", blocks.alias("blocks")), "placed")
+    placed = written(cluster.join(cuts, "cluster").select("node", "cluster", "n_shingles", "k1", "k2", "top", "own", blocks.alias("blocks")), "placed")
     links = _decided(docs, placed, shingle, num, den, small_keys)
     comps = connected_components(links)
-    large = placed.where("own > 1").select("node", "cluster", "n_shingles")
+    of = ["node", "cluster", "n_shingles", "k1", "k2", "top"]
+    large = placed.where("own > 1").select(*of)
     if large.isEmpty():
         return comps
 
     # second round: of clusters in several parts, the classes outside the largest part meet each other and that part
-    parts = large.join(comps, "node", "left").select("node", "cluster", "n_shingles", F.coalesce("comp", "node").alias("comp"))
+    parts = written(large.join(comps, "node", "left").select(*of, F.coalesce("comp", "node").alias("comp")), "parts")
     sizes = parts.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
-    split = sizes.groupBy("cluster").agg(F.max(F.struct("n", "comp"))["comp"].alias("largest"), F.count("*").alias("parts")).where("parts > 1")
+    split = written(sizes.groupBy("cluster").agg(F.max(F.struct("n", "comp"))["comp"].alias("largest"), F.count("*").alias("parts")).where("parts > 1"), "split")
     # sets of a link are of one size class or of neighbouring ones
     size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(den / num)).cast("int")
-    rest = parts.join(split, "cluster").select("node", "cluster", "n_shingles", size_class.alias("class"), (F.col("comp") == F.col("largest")).alias("main"))
+    rest = parts.join(split, "cluster").select(*of, size_class.alias("class"), (F.col("comp") == F.col("largest")).alias("main"))
     rest = written(rest, "parts")
     if rest.isEmpty():
         return comps
@@ -251,7 +294,7 @@ def _components(docs: DataFrame, feats: DataFrame, classes: DataFrame, shingle:
     mine = side(F.col("class"), F.col("main"), _slot("own"))
     meet = lambda theirs: key(F.least(mine, theirs), F.greatest(mine, theirs))
     blocks = F.flatten(F.transform("near", lambda x: F.transform(_up_to(x["k"]), lambda j: meet(side(x["c"], x["m"], j)))))
-    again = written(rest.join(near, ["cluster", "class", "main"]).select("node", blocks.alias("blocks")), "placed")
+    again = written(rest.join(written(near, "near"), ["cluster", "class", "main"]).select("node", "k1", "k2", "top", blocks.alias("blocks")), "placed")
     return connected_components(links.union(_decided(docs, again, shingle, num, den, small_keys)))
 
 
@@ -264,12 +307,13 @@ def _up_to(n):
 
 
 def _decided(docs: DataFrame, placed: DataFrame, shingle: int, num: int, den: int, small_keys: int) -> DataFrame:
-    """placed: node, blocks -> (src, dst), links that span what hangs together in each block. Texts of placed nodes
-    alone are read again; with up to small_keys block keys in all, placed is broadcast."""
-    if (placed.agg(F.sum(F.size("blocks"))).first()[0] or 0) <= small_keys:
-        placed = F.broadcast(placed.select("node", "blocks"))
-    texts = docs.withColumnRenamed("doc_id", "node").join(placed.select("node", "blocks"), "node").select("node", "text", "blocks").dropDuplicates(["node"])
-    sets = texts.mapInArrow(_sets(shingle), "node long, s binary, blocks array<string>").where("length(s) > 0")
+    """placed: node, its set's key, its document, blocks -> (src, dst), links that span what hangs together in each
+    block. Texts of placed nodes alone are read again; with up to small_keys block keys in all, placed is broadcast."""
+    few = (placed.agg(F.sum(F.size("blocks"))).first()[0] or 0) <= small_keys
+    placed = placed.select("node", "k1", "k2", F.col("top.doc_id").alias("i"), F.col("top.text").alias("t"), "blocks")
+    found = docs.join(F.broadcast(placed) if few else placed, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("t")))
+    texts = found.select("node", "text", "k1", "k2", "blocks").dropDuplicates(["node"])
+    sets = texts.mapInArrow(_sets(shingle), "node long, s binary, blocks array<string>")
     blocks = sets.select(F.explode("blocks").alias("block"), "node", "s").repartition("block").sortWithinPartitions("block")
     return written(blocks.mapInArrow(_block_links(num, den), "src long, dst long").distinct(), "links")
 

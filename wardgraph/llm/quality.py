@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from wardgraph.llm.common import held_out, sample_by_hash
+from wardgraph.llm.common import free_names, held_out, sample_by_hash, text_key, with_string_text
 
 #: Classes of UTF-8 bytes: white space, line end, lower case, upper case, digit, full stop or comma, other marks, above ASCII.
 _CLASSES = 8
@@ -55,6 +55,23 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t) for t in batch.column(1).to_pylist()], pa.list_(pa.float32()))], names=["kind", "x"])
 
 
+def risk(pos: np.ndarray, unl: np.ndarray, w: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the non-negative unbiased risk before the latter is cut at zero: prior * R+(positives), and
+    R-(unlabelled) - prior * R-(positives)."""
+    zp, zu = pos @ w, unl @ w
+    return prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+
+
+def slope(pos: np.ndarray, unl: np.ndarray, w: np.ndarray, prior: float) -> np.ndarray:
+    """The risk's gradient; where the negative part is below zero, which is overfitting, the step back out of it."""
+    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    zp, zu = pos @ w, unl @ w
+    negative = unl.T @ sig(zu) / len(unl) - prior * (pos.T @ sig(zp)) / len(pos)
+    if risk(pos, unl, w, prior)[1] < 0:
+        return -negative
+    return negative - prior * (pos.T @ sig(-zp)) / len(pos)
+
+
 @dataclass
 class QualityModel:
     mean: np.ndarray
@@ -65,14 +82,19 @@ class QualityModel:
     @classmethod
     def fit(cls, docs: DataFrame, labels: DataFrame, most: int = 4000, steps: int = 600, rate: float = 0.05, decay: float = 1e-3) -> QualityModel:
         """docs: doc_id, text; labels: doc_id, y (1 good, 0 not). Positives are at most `most` documents with y = 1, the
-        unlabelled at most 2 * most of docs whatever their labels, by the lowest hashes of doc_id. The prior is the share
-        of y = 1 in all labels, smoothed; without positives every score is the prior."""
+        unlabelled at most 2 * most of docs whatever their labels, by the lowest hashes of doc_id and text; equal rows
+        count once, so no more than 3 * most rows come to the driver. The prior is the share of y = 1 in all labels,
+        smoothed; without positives every score is the prior."""
         labels = labels.where("y is not null and doc_id is not null").select("doc_id", "y").distinct()
         got = labels.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0)).alias("p")).first()
         prior = (got.p + 1) / (got.n + 2)
-        ids = docs.select("doc_id").where("doc_id is not null").distinct()
-        chosen = sample_by_hash(labels.where("y = 1").select("doc_id").distinct(), "doc_id", most).select("doc_id", F.lit(1).alias("kind")).union(sample_by_hash(ids, "doc_id", 2 * most).select("doc_id", F.lit(0).alias("kind")))
-        rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("kind", "text").mapInArrow(_features, "kind int, x array<float>").collect()
+        docs = with_string_text(docs).where("doc_id is not null").select("doc_id", "text", text_key().alias("key"))
+        ids = docs.select("doc_id", "key").distinct()
+        good = labels.where("y = 1").select("doc_id").distinct()
+        pick = lambda df, k, kind: sample_by_hash(df, ["doc_id", "key"], k).select("doc_id", "key", F.lit(kind).alias("kind"))
+        chosen = pick(ids.join(good, "doc_id", "left_semi"), most, 1).union(pick(ids, 2 * most, 0))
+        rows = docs.join(F.broadcast(chosen), ["doc_id", "key"]).dropDuplicates(["doc_id", "key", "kind"])
+        rows = rows.select("kind", "text").mapInArrow(_features, "kind int, x array<float>").collect()
         size = len(features(None))
         x, kind = np.array([r.x for r in rows], np.float64).reshape(-1, size), np.array([r.kind for r in rows])
         if not (kind == 1).any() or not (kind == 0).any():
@@ -84,14 +106,8 @@ class QualityModel:
         pos, unl = x[kind == 1], x[kind == 0]
         w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
         w[-1] = np.log(prior / (1 - prior))
-        sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         for t in range(1, steps + 1):
-            zp, zu = pos @ w, unl @ w
-            negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            slope_p, slope_n = -(pos.T @ sig(-zp)) / len(pos), unl.T @ sig(zu) / len(unl) - prior * (pos.T @ sig(zp)) / len(pos)
-            # a negative part below zero is overfitting: step back out of it
-            g = prior * slope_p + slope_n if negative >= 0 else -slope_n
-            g = g + decay * np.append(w[:-1], 0)
+            g = slope(pos, unl, w, prior) + decay * np.append(w[:-1], 0)
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         return cls(mean, scale, w, prior)
@@ -105,22 +121,26 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -40, 40)))
 
 
-def _score(model):
+def _score(model, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = model.value.score(batch.column(batch.schema.get_field_index("text")).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "__quality"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
     return run
 
 
+def added_name(docs: DataFrame) -> str:
+    """Name of the column that quality_scores() adds: __quality, with more underscores if docs has such a column."""
+    return free_names(docs, "__quality")[0]
+
+
 def quality_scores(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """docs with its columns, and __quality (0 to 1) of column text, from the text alone. A null or empty text is scored
-    as one whose features are all zero."""
-    if dict(docs.dtypes)["text"] != "string":
-        docs = docs.withColumn("text", F.col("text").cast("string"))
-    bc = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.mapInArrow(_score(bc), StructType([*docs.schema.fields]).add("__quality", "double"))
+    """docs with its columns, and __quality (see added_name; 0 to 1) of column text, from the text alone. A null or empty
+    text is scored as one whose features are all zero."""
+    docs = with_string_text(docs)
+    bc, name = docs.sparkSession.sparkContext.broadcast(model), added_name(docs)
+    return docs.mapInArrow(_score(bc, name), StructType([*docs.schema.fields]).add(name, "double"))
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
