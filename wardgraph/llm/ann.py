@@ -18,13 +18,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TILE = 4096
+from wardgraph.llm.common import written
+
+#: Vectors of a tile, and queries that are multiplied with it at once: bounds what a task holds, whatever the block.
+TILE, QUERIES = 2048, 1024
+#: Pairs whose distances are computed at once.
+PAIRS = 1 << 15
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of doubles -> int8 codes, scale and the norm of what rounding loses, each a little on the safe side."""
     scale = np.abs(x).max(axis=1) / 127
-    code = np.rint(x / scale[:, None]).astype(np.int8)
+    with np.errstate(all="ignore"):
+        code = np.where(scale[:, None] > 0, np.rint(x / scale[:, None]), 0).clip(-127, 127).astype(np.int8)
     rest = x - scale[:, None] * code
     biggest = np.abs(rest).max(axis=1)  # scaled before squaring: no overflow or underflow
     safe = np.where(biggest > 0, biggest, 1)
@@ -32,12 +38,21 @@ def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Euclidean, in double precision, dimension by dimension; of rows of x to q, or to rows of q."""
+    """Euclidean, in double precision, dimension by dimension; of rows of x to q, or to rows of q. Where squares leave the
+    range of doubles, differences are scaled first."""
     total = np.zeros(len(x))
-    for j in range(x.shape[1]):
-        d = x[:, j] - q[..., j]
-        total += d * d
-    return np.sqrt(total)
+    with np.errstate(over="ignore"):
+        for j in range(x.shape[1]):
+            d = x[:, j] - q[..., j]
+            total += d * d
+        out = np.sqrt(total)
+        odd = np.flatnonzero(~(total < 1e300) | (total < 1e-280))
+        if len(odd):
+            d = np.abs(x[odd] / 2 - (q[odd] if q.ndim > 1 else q) / 2)
+            top = d.max(axis=1)
+            safe = np.where(top > 0, top, 1)
+            out[odd] = top * np.sqrt(((d / safe[:, None]) ** 2).sum(axis=1)) * 2
+    return out
 
 
 class Nearest:
@@ -46,36 +61,53 @@ class Nearest:
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
         self.ids, self.q, self.k = ids, queries, k
         self.code, self.scale, self.err = quantised(queries)
-        kind = np.float32 if queries.shape[1] * 127 * 127 < 1 << 24 else np.float64
-        self.codes = self.code.astype(kind)
+        self.kind = np.float32 if queries.shape[1] * 127 * 127 < 1 << 24 else np.float64
         self.norm2 = (self.code.astype(np.float64) ** 2).sum(axis=1)
         self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]  # (-distance, -id): the worst first
         self.worst = np.full(len(ids), np.inf)
 
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
         code, scale, err = quantised(x)
-        dot = (self.codes @ code.astype(self.codes.dtype).T).astype(np.float64)
-        norm2 = (code.astype(np.float64) ** 2).sum(axis=1)
-        near = (self.scale**2 * self.norm2)[:, None] + (scale**2 * norm2)[None, :] - 2 * self.scale[:, None] * scale[None, :] * dot
-        size = np.sqrt((self.scale**2 * self.norm2)[:, None] + (scale**2 * norm2)[None, :])
-        near = np.sqrt(np.maximum(near, 0))
-        slack = self.err[:, None] + err[None, :] + 1e-7 * size
-        low = np.maximum(near - slack, 0)
+        norm2, tile = (code.astype(np.float64) ** 2).sum(axis=1), code.astype(self.kind).T
         # of a tile of distinct ids alone, the k + 1 least upper bounds: its own row may be among them
         alone = len(ids) > self.k + 1 and len(np.unique(ids)) == len(ids)
-        for i in range(len(self.ids)):
-            bound = min(self.worst[i], np.partition(near[i] + slack[i], self.k)[self.k]) if alone else self.worst[i]
-            at = np.flatnonzero(low[i] <= bound * (1 + 1e-9))
-            at = at[ids[at] != self.ids[i]]
-            if len(at):
-                self._take(i, ids[at], distances(x[at], self.q[i]))
-
-    def _take(self, i: int, ids: np.ndarray, dist: np.ndarray) -> None:
-        ok = dist <= self.worst[i]
-        by = np.lexsort((ids[ok], dist[ok]))
+        for at in range(0, len(self.ids), QUERIES):
+            some = slice(at, at + QUERIES)
+            with np.errstate(all="ignore"):
+                # in units of the larger scale of each pair: no overflow, and what underflows is far below the slack
+                unit = np.maximum(self.scale[some, None], scale[None, :])
+                unit[unit == 0] = 1
+                a, b = self.scale[some, None] / unit, scale[None, :] / unit
+                a2, b2 = a * a * self.norm2[some, None], b * b * norm2[None, :]
+                near = a2 + b2 - 2 * a * b * (self.code[some].astype(self.kind) @ tile)
+                slack = self.err[some, None] + err[None, :] + 1e-7 * unit * np.sqrt(a2 + b2)
+                near = unit * np.sqrt(np.maximum(near, 0))
+                bound = self.worst[some]
+                if alone:
+                    bound = np.fmin(bound, np.partition(near + slack, self.k, axis=1)[:, self.k])
+                # what is no number stays
+                query, at_x = np.nonzero(~(near - slack > bound[:, None] * (1 + 1e-9)))
+            query += at
+            other = ids[at_x] != self.ids[query]
+            self._take(query[other], at_x[other], ids, x)
+
+    def _take(self, query: np.ndarray, at: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
+        """Candidates, by query: their distances, and the nearest into the heaps."""
+        for first in range(0, len(query), PAIRS):
+            q, i = query[first : first + PAIRS], at[first : first + PAIRS]
+            dist = distances(x[i], self.q[q])
+            ok = dist <= self.worst[q]
+            q, v, dist = q[ok], ids[i][ok], dist[ok]
+            by = np.lexsort((v, dist, q))
+            q, v, dist = q[by], v[by], dist[by]
+            starts = np.flatnonzero(np.diff(q, prepend=-1))
+            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(q)], strict=True):
+                self._push(int(q[s]), dist[s:e].tolist(), v[s:e].tolist())
+
+    def _push(self, i: int, dist: list[float], ids: list[int]) -> None:
         heap = self.heaps[i]
         have = {-v: -d for d, v in heap}
-        for d, v in zip(dist[ok][by].tolist(), ids[ok][by].tolist(), strict=True):
+        for d, v in zip(dist, ids, strict=True):
             if len(heap) == self.k and (-d, -v) <= heap[0]:
                 break  # sorted: none of the rest is nearer
             if v in have:
@@ -118,7 +150,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block_bytes: in
 
     Vectors that are null, zero, empty or hold a null or non-finite component take no part, nor rows without vec_id;
     vectors of another number of components than the query's are no candidates. A repeated vec_id counts once, at its
-    nearest vector; of a repeated query id the smallest vector asks. Queries are taken in blocks of about block_bytes,
+    nearest vector; of a repeated query id the smallest vector asks. Any finite components will do: distances neither
+    overflow before their own value does nor vanish. Queries are taken in blocks of about block_bytes,
     each of which reads the vectors once.
     """
     spark = vectors.sparkSession
@@ -132,13 +165,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block_bytes: in
     size = queries.agg(F.sum(8 * F.size("v") + 16)).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     parts = []
-    for i in range(n):
+    for i in range(n):  # one block at a time is at the driver and in the tasks
         rows = (queries if n == 1 else queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == i)).collect()
         by: dict[int, list] = {}
         for r in sorted(rows, key=lambda r: r.vec_id):
             by.setdefault(len(r.v), []).append(r)
         block = spark.sparkContext.broadcast({s: (np.array([r.vec_id for r in some], np.int64), np.array([r.v for r in some], np.float64)) for s, some in by.items()})
-        parts.append(vectors.mapInArrow(_search(block, k), "query_id long, vec_id long, score double"))
+        found = vectors.mapInArrow(_search(block, k), "query_id long, vec_id long, score double")
+        if n > 1:
+            found = written(found, "nearest")
+            block.destroy()
+        parts.append(found)
     found = parts[0]
     for p in parts[1:]:
         found = found.union(p)
