@@ -6,14 +6,15 @@ of k + w - 1 words around it that occur in an item word for word. Two texts that
 fingerprint inside that span, so no such window is missed. Items shorter than a window give no such guarantee: they
 are looked up whole, by the hashes of all document spans of their length.
 
-The items' index is broadcast in blocks whose size is checked (block_bytes of item text). With one block the documents
-are read once and nothing is shuffled; with more, once a block, and only hits are gathered.
+The items' index is broadcast in blocks whose size is checked (block_bytes of item text; a longer item is cut into parts
+that share k + w - 2 words). It is made of sorted hashes of windows in arrays, and what they find is compared word for
+word. With one block the documents are read once and nothing is shuffled; with more, once a block, one block being held
+at a time.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -22,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgraph.llm.common import written
+from wardgraph.llm.common import with_string_text, written
 
 K, W = 5, 6
+#: Item text of a block.
+BLOCK_BYTES = 8 << 20
 _KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 #: UTF-8 bytes: A-Z become a-z, and what is not of [^\x00-\x2F\x3A-\x60\x7B-\x7F] becomes a space.
 _BYTES = bytes(b if b in _KEPT else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -52,50 +55,110 @@ def winnow(hashes: np.ndarray, w: int) -> np.ndarray:
     return np.unique(len(hashes) - 1 - (np.arange(n) + low))
 
 
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    return gram_hashes(rows.T, rows.shape[1])[0] if len(rows) else np.empty(0, np.uint64)
+
+
+class Grams:
+    """The distinct sequences of `size` word ids that items hold, with the items that hold each."""
+
+    def __init__(self, size: int, flat: np.ndarray, starts: np.ndarray, owner: np.ndarray):
+        """flat: ids of all items in a row; starts: where sequences begin in it; owner: the item of each."""
+        self.size, self.flat = size, flat
+        h = np.empty(len(starts), np.uint64)
+        for at in range(0, len(starts), 1 << 16):
+            h[at : at + (1 << 16)] = row_hashes(self._at(starts[at : at + (1 << 16)]))
+        by = np.lexsort((owner, h))
+        h, starts, owner = h[by], starts[by], owner[by]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+        group = np.cumsum(np.bincount(first, minlength=len(h))) - 1
+        # sequences whose hash is that of another one, which is to be expected of none, are kept as they are
+        self.odd: dict[bytes, set[int]] = {}
+        same = np.ones(len(h), bool)
+        for at in range(0, len(h), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            same[part] = (self._at(starts[part]) == self._at(starts[first[group[part]]])).all(axis=1)
+        for i in np.flatnonzero(~same).tolist():
+            self.odd.setdefault(self._at(starts[i : i + 1]).tobytes(), set()).add(int(owner[i]))
+        self.hashes, self.start = h[first], starts[first]
+        # the items of each sequence, once each
+        keep = same & np.concatenate([[True], (group[1:] != group[:-1]) | (owner[1:] != owner[:-1])]) if len(h) else same
+        self.owner, self.ends = owner[keep].astype(np.int32), np.cumsum(np.bincount(group[keep], minlength=len(first)))
+
+    def _at(self, starts: np.ndarray) -> np.ndarray:
+        return self.flat[starts[:, None] + np.arange(self.size)]
+
+    def find(self, ids: np.ndarray, starts: np.ndarray, hashes: np.ndarray | None = None) -> tuple[np.ndarray, set[int]]:
+        """Those of the starts in ids where a sequence stands, and the items that hold these."""
+        rows = None
+        if hashes is None:
+            rows = ids[starts[:, None] + np.arange(self.size)]
+            hashes = row_hashes(rows)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == hashes)
+        if not len(hit):
+            return starts[:0], set()
+        at, starts = at[hit], starts[hit]
+        rows = ids[starts[:, None] + np.arange(self.size)] if rows is None else rows[hit]
+        ok = (rows == self._at(self.start[at])).all(axis=1)
+        items: set[int] = set()
+        for i in np.unique(at[ok]).tolist():
+            items.update(self.owner[self.ends[i - 1] if i else 0 : self.ends[i]].tolist())
+        if self.odd:
+            for i in np.flatnonzero(~ok).tolist():
+                own = self.odd.get(rows[i].tobytes())
+                if own:
+                    ok[i] = True
+                    items |= own
+        return starts[ok], items
+
+
 class Index:
-    """Fingerprints and windows of one block of items."""
+    """Fingerprints and windows of one block of items: some 30 bytes a word of item text, and its distinct words."""
 
     def __init__(self, items: list[tuple[str, str]], k: int = K, w: int = W):
         self.k, self.w, self.span = k, w, k + w - 1
-        self.vocab: dict[bytes, int] = {}
-        self.windows: dict[bytes, set[str]] = defaultdict(set)
-        self.short: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
-        kept = []
-        for item, text in items:
-            ids = np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in words(text)], np.int32)
+        self.names = sorted({item for item, _ in items})
+        number, self.vocab = {name: i for i, name in enumerate(self.names)}, {}
+        texts = [(number[item], np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in words(text)], np.int32)) for item, text in items]
+        flat = np.concatenate([np.empty(0, np.int32), *(ids for _, ids in texts)])
+        begin = np.cumsum([0, *(len(ids) for _, ids in texts)])
+        starts: dict[int, list] = {}
+        kept = [np.empty(0, np.uint64)]
+        for (item, ids), at in zip(texts, begin.tolist(), strict=False):
+            if len(ids):
+                size = min(self.span, len(ids))
+                some = np.arange(at, at + len(ids) - size + 1)
+                starts.setdefault(size, []).append((some, np.full(len(some), item)))
             if len(ids) >= self.span:
-                for s in range(len(ids) - self.span + 1):
-                    self.windows[ids[s : s + self.span].tobytes()].add(item)
                 h = gram_hashes(ids, k)
                 kept.append(h[winnow(h, w)])
-            elif len(ids):
-                self.short[len(ids)][ids.tobytes()].add(item)
-        self.prints = np.unique(np.concatenate(kept)) if kept else np.empty(0, np.uint64)
-        self.short_prints = {n: np.unique([gram_hashes(np.frombuffer(b, np.int32), n)[0] for b in of]) for n, of in self.short.items()}
+        self.prints = np.unique(np.concatenate(kept))
+        self.grams = {size: Grams(size, flat, *(np.concatenate(c) for c in zip(*some, strict=True))) for size, some in starts.items()}
 
     def find(self, text: str | None) -> tuple[int, list[dict], list[str]]:
-        """Number of words, hit spans of words (merged, ends exclusive), items."""
+        """Number of words, hit spans of words (merged, ends exclusive), items (sorted)."""
         ws = words(text)
         n, get = len(ws), self.vocab.get
         ids = np.fromiter(map(get, ws, repeat(0)), np.int32, n)
-        items: set[str] = set()
+        items: set[int] = set()
         found: list[tuple[np.ndarray, int]] = []
-
-        def take(starts: np.ndarray, size: int, of: dict[bytes, set[str]]) -> None:
-            hits = [s for s in starts.tolist() if (at := of.get(ids[s : s + size].tobytes())) and (items.update(at) or True)]
-            if hits:
-                found.append((np.array(hits), size))
-
-        if n >= self.span and len(self.prints):
-            h = gram_hashes(ids, self.k)
-            at = winnow(h, self.w)
-            at = at[np.isin(h[at], self.prints)]
-            if len(at):
-                starts = np.unique(np.clip(at[:, None] - np.arange(self.w), 0, n - self.span))
-                take(starts, self.span, self.windows)
-        for size, prints in self.short_prints.items():
-            if n >= size:
-                take(np.flatnonzero(np.isin(gram_hashes(ids, size), prints)), size, self.short[size])
+        for size, grams in self.grams.items():
+            if n < size:
+                continue
+            if size == self.span:
+                h = gram_hashes(ids, self.k)
+                at = winnow(h, self.w)
+                prints = self.prints
+                at = at[prints[np.minimum(np.searchsorted(prints, h[at]), len(prints) - 1)] == h[at]]
+                if not len(at):
+                    continue
+                starts, own = grams.find(ids, np.unique(np.clip(at[:, None] - np.arange(self.w), 0, n - size)))
+            else:
+                starts, own = grams.find(ids, np.arange(n - size + 1), gram_hashes(ids, size))
+            if len(starts):
+                found.append((starts, size))
+                items |= own
         if not found:
             return n, [], []
         edge = np.zeros(n + 1, np.int32)
@@ -103,7 +166,7 @@ class Index:
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + size, -1)
         hit = np.diff(np.concatenate([[0], (np.cumsum(edge) > 0).astype(np.int8)]))
-        return n, [{"start": int(a), "end": int(b)} for a, b in zip(np.flatnonzero(hit == 1), np.flatnonzero(hit == -1), strict=True)], sorted(items)
+        return n, [{"start": int(a), "end": int(b)} for a, b in zip(np.flatnonzero(hit == 1), np.flatnonzero(hit == -1), strict=True)], [self.names[i] for i in sorted(items)]
 
 
 _INDEX: dict = {}
@@ -137,9 +200,29 @@ def _clean(block):
     return run
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> list:
-    """The items in broadcasts of about block_bytes of text, one at least."""
+def _parts(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Items of over `most` bytes in parts of about that size, each of which begins with the last words of the one before
+        that a window may need."""
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if len(text) * 4 <= most:
+                    parts = [text]
+                else:
+                    ws = words(text)
+                    step = max(K + W, most // max(1, sum(map(len, ws)) // max(1, len(ws)) + 1))
+                    parts = [b" ".join(ws[max(0, at - K - W + 2) : at + step]).decode("utf-8", "surrogatepass") for at in range(0, len(ws), step)]
+                for at in range(0, len(parts), 16):
+                    some = parts[at : at + 16]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(some), pa.string()), pa.array(some, pa.string())], names=["item", "text"])
+
+    return run
+
+
+def _blocks(items: DataFrame, block_bytes: int) -> tuple[int, Iterator]:
+    """How many broadcasts of about block_bytes of text the items make, one at least; and these, made when asked for."""
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
+    items = items.mapInArrow(_parts(block_bytes), "item string, text string")
     size = items.agg(F.sum(F.length(F.col("text").cast("binary")) + 16)).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
 
@@ -148,33 +231,39 @@ def _blocks(items: DataFrame, block_bytes: int) -> list:
         rows = sorted((r.item, r.text) for r in mine.collect())
         return items.sparkSession.sparkContext.broadcast({"id": hash((i, n, tuple(rows))), "items": rows})
 
-    return [block(i) for i in range(n)]
+    return n, map(block, range(n))
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, block_bytes: int = 64 << 20) -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, with their columns, whose text holds no window of an item. Each row is judged by its own text; one
     block of items after the other filters what is left, so nothing is shuffled. Null and empty texts stay."""
-    if dict(docs.dtypes)["text"] != "string":
-        docs = docs.withColumn("text", F.col("text").cast("string"))
-    for block in _blocks(items, block_bytes):
+    docs = with_string_text(docs)
+    n, blocks = _blocks(items, block_bytes)
+    for block in blocks:
         docs = docs.mapInArrow(_clean(block), docs.schema)
+        if n > 1:
+            docs = written(docs, "clean")
+            block.destroy()
     return docs
 
 
-def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = 64 << 20) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, text), (item_id, text) -> doc_id, n_words, spans (of words, ends exclusive), items (sorted as strings).
 
     One row for each row of docs. Null and empty texts have no words; an item without words occurs nowhere; an item
     without id counts as ''; repeated items count once. Without items nothing is hit.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    blocks = _blocks(items, block_bytes)
+    n, blocks = _blocks(items, block_bytes)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    if len(blocks) == 1:
-        return docs.mapInArrow(_match(blocks[0]), f"doc_id {id_type}, n_words long, spans {SPANS}, items array<string>")
+    if n == 1:
+        return docs.mapInArrow(_match(next(blocks)), f"doc_id {id_type}, n_words long, spans {SPANS}, items array<string>")
     # more blocks: hits meet by doc_id and text, so that equal rows stay apart from others and keep their number
-    keyed = docs.withColumn("row", F.sha2(F.coalesce("text", F.lit("")), 256)).select("doc_id", "text", "row")
-    parts = [written(keyed.mapInArrow(_match(block), f"doc_id {id_type}, row string, n_words long, spans {SPANS}, items array<string>").where("size(items) > 0" if i else "true"), f"hits{i}") for i, block in enumerate(blocks)]
+    keyed, parts = docs.withColumn("row", F.sha2(F.coalesce("text", F.lit("")), 256)).select("doc_id", "text", "row"), []
+    for i, block in enumerate(blocks):
+        found = keyed.mapInArrow(_match(block), f"doc_id {id_type}, row string, n_words long, spans {SPANS}, items array<string>")
+        parts.append(written(found.where("size(items) > 0" if i else "true"), f"hits{i}"))
+        block.destroy()
     base, more = parts[0], parts[1]
     for p in parts[2:]:
         more = more.union(p)

@@ -6,11 +6,14 @@ from the input partition's share of the domain, an upper bound that the texts' b
 documents are encoded once; places that no sequence takes are closed up: a sequence's slot is its rank by place. A range
 of places is one shard, a file of fixed-stride records, so reading in training order, from any slot on, is sequential:
 the index of the shards tells each one's first slot.
+
+Spark's own writer puts a shard's bytes into a file of their own and commits it whole, so any file system that Spark
+knows will do, and a task that is repeated leaves nothing twice. What the table of sequences says is read back from the
+files.
 """
 
 from __future__ import annotations
 
-import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -18,15 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardgraph.llm.common import new_path, written
 from wardgraph.llm.tokens import BYTE_BPE, ByteBpe, loaded
 
 LENGTH, END = 2048, 50256
+FILL = np.full(LENGTH, END, "<u2").tobytes()
 
 
 @dataclass(frozen=True)
@@ -95,39 +98,45 @@ def _place(tokenizer: str, length: int, share: object, order: Permutation):
     return run
 
 
-def _write(path: str, length: int):
+def stride(length: int) -> int:
+    """Bytes of a record: the number of its tokens, big-endian, and `length` little-endian ids, all of 16 bits."""
+    return 2 * length + 2
+
+
+def _shards(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (shard, place, tokens, data) in order, a shard's all in this task -> shard files, each under a name of
-        this attempt until complete."""
-        fs, root = pafs.FileSystem.from_uri(path)
-        fs.create_dir(root, recursive=True)
-        stride, out, shard, at, own = 2 * length, None, -1, 0, f".{os.getpid()}-{TaskContext.get().taskAttemptId()}"
-        name = lambda n: f"{root}/shard-{n:08d}.bin"
-
-        def close():
-            if out:
-                out.close()
-                fs.move(f"{name(shard)}{own}", name(shard))
+        """Rows (shard, place, tokens, data) in order, a shard's all in this task -> a row a shard, its records joined."""
+        last, parts = None, []
+
+        def shard():
+            return pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([b"".join(parts)], pa.binary())], names=["shard", "records"])
 
         for batch in batches:
-            rows = [[], [], [], []]
             for n, tokens, data in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
-                if n != shard:
-                    close()
-                    shard, at = n, 0
-                    out = fs.open_output_stream(f"{name(shard)}{own}")
-                data = zlib.decompress(data)
-                out.write(data + np.full(length - tokens, END, "<u2").tobytes())
-                for col, v in zip(rows, (shard, at, tokens, zlib.crc32(data)), strict=True):
-                    col.append(v)
-                at += stride
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds, strict=True)], names=["shard", "byte_offset", "tokens", "ids_crc32"])
-        close()
+                if n != last and parts:
+                    yield shard()
+                    parts = []
+                last = n
+                parts += tokens.to_bytes(2, "big"), zlib.decompress(data), FILL[: 2 * (length - tokens)] if length - tokens <= LENGTH else np.full(length - tokens, END, "<u2").tobytes()
+        if parts:
+            yield shard()
 
     return run
 
 
+def manifest(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
+    """What the shard files below path hold: shard, byte_offset, tokens, ids_crc32, one row a record."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
+    size = stride(length)
+    record = lambda at: F.substring("content", at, size)
+    tokens = lambda r: F.conv(F.hex(F.substring(r, 1, 2)), 16, 10).cast("int")
+    starts = F.sequence(F.lit(1), F.length("content") - size + 1, F.lit(size))
+    # the closing mark of a file is shorter than a record
+    records = F.transform(F.when(F.length("content") >= size, starts), lambda at: F.struct((at - 1).cast("long").alias("byte_offset"), tokens(record(at)).alias("tokens"), F.crc32(F.substring(record(at), F.lit(3), tokens(record(at)) * 2)).alias("ids_crc32")))
+    rows = files.select(F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("long").alias("shard"), records.alias("r"))
+    return rows.select("shard", F.explode("r").alias("r")).select("shard", "r.*")
+
+
 def shard_index(manifest: DataFrame) -> DataFrame:
     """(shard, ...) one row a sequence -> shard, first slot, sequences. Sums run over blocks of shards, then in them."""
     size = manifest.groupBy("shard").agg(F.count("*").alias("n")).withColumn("block", F.floor(F.col("shard") / 1024))
@@ -138,13 +147,13 @@ def shard_index(manifest: DataFrame) -> DataFrame:
 
 
 def write_training_order(docs: DataFrame, path: str, key: int = 1, length: int = LENGTH, per_shard: int = 2048, tokenizer: str = BYTE_BPE) -> DataFrame:
-    """docs (text) -> shards of little-endian 16-bit ids below path (a folder that all executors see), and a table: slot,
-    shard, byte_offset, tokens (of the record; END fills it up), ids_crc32 (without the fill). One row a sequence.
+    """docs (text) -> shards of fixed-stride records below path, a folder of their own that is replaced, on any file system
+    of Spark's; and a table: slot, shard, byte_offset, tokens (of the record; END fills it up), ids_crc32 (without the
+    fill). One row a sequence.
 
     A null or empty text is END alone. Sequences run on across the documents of an input partition; only its last one is
     filled up. docs must be a table or a plain read, since its sizes are read first. A shard holds the sequences of
-    per_shard places, most often about half as many. Shard files appear complete under their names, and a repeated task
-    writes the same bytes again. An empty table writes none.
+    per_shard places, most often about half as many, and is one row of that size in its task. An empty table writes none.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("text").cast("string").alias("text"))
@@ -159,20 +168,36 @@ def write_training_order(docs: DataFrame, path: str, key: int = 1, length: int =
     tasks = max(1, min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards // 16)))
     rows = rows.select(F.floor(F.col("place") / per_shard).alias("shard"), "place", "tokens", "data")
     rows = rows.repartition(tasks, "shard").sortWithinPartitions("shard", "place")
-    manifest = written(rows.mapInArrow(_write(path, length), "shard long, byte_offset long, tokens int, ids_crc32 long"), "manifest")
-    slot = (F.col("first") + F.col("byte_offset") / (2 * length)).cast("long")
-    return manifest.join(shard_index(manifest), "shard").select(slot.alias("slot"), "shard", "byte_offset", "tokens", "ids_crc32")
+    whole = rows.mapInArrow(_shards(length), "shard long, records binary")
+    # a text writer takes the bytes as they are, and closes the file with END
+    whole.select("shard", F.col("records").cast("string").alias("records")).write.mode("overwrite").option("encoding", "UTF-16LE").option("lineSep", chr(END)).partitionBy("shard").text(path)
+    found = written(manifest(spark, path, length), "manifest")
+    slot = (F.col("first") + F.col("byte_offset") / stride(length)).cast("long")
+    return found.join(shard_index(found), "shard").select(slot.alias("slot"), "shard", "byte_offset", "tokens", "ids_crc32")
 
 
 def read_training_order(index: list[tuple[int, int]], path: str, slot: int, n: int, length: int = LENGTH) -> np.ndarray:
-    """Records slot .. slot + n - 1. index: (first slot, shard) of the shards, sorted."""
-    fs, root = pafs.FileSystem.from_uri(path)
-    firsts, out = [f for f, _ in index], []
-    for s in range(slot, slot + n):
-        first, shard = index[bisect_right(firsts, s) - 1]
-        with fs.open_input_file(f"{root}/shard-{shard:08d}.bin") as f:
-            out.append(np.frombuffer(f.read_at(2 * length, (s - first) * 2 * length), "<u2"))
-    return np.stack(out)
+    """The ids of records slot .. slot + n - 1, shard by shard, by Spark's file systems. index: (first slot, shard) of the
+    shards, sorted."""
+    spark = SparkSession.active()
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    firsts, out, size = [f for f, _ in index], [], stride(length)
+    while n > 0:
+        i = bisect_right(firsts, slot) - 1
+        first, shard = index[i]
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/shard={shard}")
+        fs = folder.getFileSystem(conf)
+        file = next(f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+        some = min(n, file.getLen() // size - (slot - first))
+        if some <= 0:
+            raise IndexError(f"there is no slot {slot}")
+        stream = fs.open(file.getPath())
+        stream.seek((slot - first) * size)
+        data = jvm.org.apache.commons.io.IOUtils.toByteArray(stream, some * size)
+        stream.close()
+        out.append(np.frombuffer(data, "<u2").reshape(some, length + 1)[:, 1:])
+        slot, n = slot + some, n - some
+    return np.concatenate(out) if out else np.empty((0, length), "<u2")
 
 
 def op6_training_order(spark, sf_dir: str) -> DataFrame:

@@ -79,20 +79,16 @@ class WordBpe:
 class ByteBpe:
     """Ids of a `tiktoken` vocabulary, as little-endian bytes of `kind`."""
 
-    def __init__(self, path: str, kind: str = "<u2", most_pieces: int = 500_000):
+    def __init__(self, path: str, kind: str = "<u2"):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.split, self.kind = regex.compile(public_tokenizers.PATTERN).findall, np.dtype(kind)
-        self.pieces = Cache(self._piece, most_pieces)
-
-    def _piece(self, piece: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(piece), self.kind).tobytes()
+        self.kind = np.dtype(kind)
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split(text))) if text else b""
+        return np.array(self.encoding.encode_ordinary(text), self.kind).tobytes() if text else b""
 
 
 _LOADED: dict = {}
