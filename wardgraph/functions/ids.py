@@ -37,7 +37,7 @@ def normalise_weakness_id(c: Column) -> Column:
 def weakness_ids(descriptions: Column, lang: str = "en", pattern: str = "CWE-([0-9]+)") -> Column:
     """Sorted distinct ids that the pattern's group finds in the descriptions of a language."""
     found = F.transform(F.filter(descriptions, lambda d: d["lang"] == lang), lambda d: F.regexp_extract_all(d["value"], F.lit(pattern), F.lit(1)))
-    return F.array_sort(F.array_distinct(F.flatten(found)))
+    return F.sort_array(F.array_distinct(F.flatten(found)))
 
 
 def taxonomy_ids(text: Column, valid: bool = True) -> Column:
@@ -69,7 +69,7 @@ def tactic_slug(c: Column, mode: str = "first") -> Column:
 
 def label_key(labels: Column) -> Column:
     """k=v of a label map by key, joined with a bar."""
-    return F.array_join(F.transform(F.array_sort(F.map_entries(labels)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    return F.array_join(F.transform(F.sort_array(F.map_entries(labels)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
 
 
 def drop_empty_values(m: Column) -> Column:

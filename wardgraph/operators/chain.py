@@ -5,6 +5,9 @@ Facts are (cve_id, cwe_id) rows; the other tables are dimensions. Ids of weaknes
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,19 +26,18 @@ def expand_parents(facts: DataFrame, parents: DataFrame) -> DataFrame:
     return facts.select("cve_id", "cwe_id").union(up).distinct()
 
 
-def ancestors(parents: DataFrame, most: int = 100) -> DataFrame:
+def ancestors(parents: DataFrame) -> DataFrame:
     """(cwe_id, parent_id) -> (cwe_id, ancestor_id, depth), each ancestor at its least depth. Cycles end by themselves.
     A level is a job over the hierarchy, which is a dimension; facts join the closure once."""
     pairs = parents.select("cwe_id", "parent_id").distinct()
     found = front = written(pairs.select("cwe_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth")), "level")
-    for depth in range(2, most + 1):
+    for depth in count(2):
         step = front.select("cwe_id", F.col("ancestor_id").alias("mid")).join(pairs.withColumnRenamed("cwe_id", "mid"), "mid")
         step = step.select("cwe_id", F.col("parent_id").alias("ancestor_id"), F.lit(depth).alias("depth")).distinct()
         front = written(step.join(found, ["cwe_id", "ancestor_id"], "left_anti").select("cwe_id", "ancestor_id", "depth"), "level")
         if front.isEmpty():
-            break
+            return found
         found = found.union(front)
-    return found
 
 
 def weakness_patterns(facts: DataFrame, cwe_capec: DataFrame) -> DataFrame:
@@ -54,29 +56,39 @@ def technique_countermeasures(techniques: DataFrame, defend: DataFrame) -> DataF
 
 def weakness_categories(ids: DataFrame, facts: DataFrame, category_map: DataFrame) -> DataFrame:
     """cve_id, categories (sorted, distinct) of the direct weaknesses; an empty list where there are none."""
-    found = facts.join(category_map.distinct(), "cwe_id").groupBy("cve_id").agg(F.array_sort(F.collect_set("category_id")).alias("categories"))
+    found = facts.join(category_map.distinct(), "cwe_id").groupBy("cve_id").agg(F.sort_array(F.collect_set("category_id")).alias("categories"))
     return ids.select("cve_id").join(found, "cve_id", "left").select("cve_id", F.coalesce("categories", F.array().cast("array<string>")).alias("categories"))
 
 
 LISTS = ("cwe", "capec", "techniques", "defend", "owasp")
 
 
-def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame) -> DataFrame:
+#: Ids in the lists of all weaknesses up to which these are broadcast.
+BROADCAST_IDS = 2_000_000
+
+
+def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     """One row per vulnerability with five sorted distinct lists; vulnerabilities without weaknesses keep empty ones.
 
-    The hops below a weakness are joined on the dimensions alone and end in one row of distinct lists per weakness, so
-    the facts are joined and shuffled once and no path is ever multiplied out per vulnerability.
+    The hops below a weakness are joined on the dimensions alone and end in one row of distinct lists per weakness.
+    Where these have at most `most` ids in all they are broadcast: facts are dealt by vulnerability first, as bare ids, and
+    meet the lists there, so no list is shuffled. Beyond that, Catalyst joins and groups as it sees fit.
     """
     key = F.concat(F.lit("T"), F.col("technique_id"))
     hops = cwe_capec.join(techniques, "capec_id", "left").join(defend.withColumnRenamed("technique_id", "key"), key == F.col("key"), "left")
     below = hops.groupBy("cwe_id").agg(F.collect_set("capec_id").alias("capec"), F.collect_set("technique_id").alias("techniques"), F.collect_set("d3f_id").alias("defend"))
-    own = facts.join(category_map.groupBy("cwe_id").agg(F.collect_set("category_id").alias("owasp")), "cwe_id", "left").select("cve_id", "cwe_id", "owasp")
-    up = facts.join(parents, "cwe_id").select("cve_id", F.col("parent_id").alias("cwe_id"), F.lit(None).cast("array<string>").alias("owasp"))
-    full = own.union(up).join(below, "cwe_id", "left")
+    named = category_map.groupBy("cwe_id").agg(F.collect_set("category_id").alias("owasp"))
+    lists = written(below.join(named, "cwe_id", "full_outer"), "lists")
+    size = lists.agg(F.sum(reduce(lambda a, b: a + b, (F.coalesce(F.size(c), F.lit(0)) for c in LISTS[1:])))).first()[0] or 0
+    up = facts.join(parents, "cwe_id").select("cve_id", F.col("parent_id").alias("cwe_id"), F.lit(False).alias("direct"))
+    rows = facts.select("cve_id", "cwe_id", F.lit(True).alias("direct")).union(up).unionByName(ids.select("cve_id"), allowMissingColumns=True)
+    if size <= most:
+        rows, lists = rows.repartition("cve_id"), F.broadcast(lists)
+    # categories are those of direct weaknesses
+    full = rows.join(lists, "cwe_id", "left").withColumn("owasp", F.when(F.col("direct"), F.col("owasp")))
     # a vulnerability has few weaknesses: its lists are put together in one group
-    rows = full.unionByName(ids.select("cve_id"), allowMissingColumns=True)
-    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    return rows.groupBy("cve_id").agg(F.array_sort(F.collect_set("cwe_id")).alias("cwe"), *(flat(c) for c in LISTS[1:]))
+    flat = lambda c: F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    return full.groupBy("cve_id").agg(F.sort_array(F.collect_set("cwe_id")).alias("cwe"), *(flat(c) for c in LISTS[1:]))
 
 
 def lookup_request(store: DataFrame, wanted: DataFrame) -> DataFrame:

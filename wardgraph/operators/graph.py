@@ -15,14 +15,15 @@ def edges(stored: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend
     """(source, target, value): how many path steps of all vulnerabilities run over each edge.
 
     stored: (cve_id, cwe_id), parents included; categories: (cve_id, category_id). From weaknesses on, weights are
-    carried from hop to hop instead of repeated rows.
+    carried from hop to hop instead of repeated rows. The facts are grouped once, into a table, and so is each hop, which
+    is as large as the knowledge tables: no kind of edge computes the one above it again.
     """
     node = lambda p, c: F.concat(F.lit(p), F.col(c))
-    one = stored.groupBy("cve_id", "cwe_id").agg(F.count("*").alias("value"))
+    one = written(stored.groupBy("cve_id", "cwe_id").agg(F.count("*").alias("value")), "facts")
     cwe = one.groupBy("cwe_id").agg(F.sum("value").alias("w"))
-    two = cwe.join(cwe_capec, "cwe_id").groupBy("cwe_id", "capec_id").agg(F.sum("w").alias("value"))
+    two = written(cwe.join(cwe_capec, "cwe_id").groupBy("cwe_id", "capec_id").agg(F.sum("w").alias("value")), "hop")
     capec = two.groupBy("capec_id").agg(F.sum("value").alias("w"))
-    three = capec.join(techniques, "capec_id").groupBy("capec_id", "technique_id").agg(F.sum("w").alias("value"))
+    three = written(capec.join(techniques, "capec_id").groupBy("capec_id", "technique_id").agg(F.sum("w").alias("value")), "hop")
     tech = three.groupBy(node("T", "technique_id").alias("technique_id")).agg(F.sum("value").alias("w"))
     four = tech.join(defend, "technique_id").groupBy("technique_id", "d3f_id").agg(F.sum("w").alias("value"))
     five = categories.groupBy("cve_id", "category_id").agg(F.count("*").alias("value"))
@@ -72,8 +73,8 @@ def trace_back(e: DataFrame, selected: DataFrame, prefixes: tuple[str | None, ..
 def neighbours(e: DataFrame) -> DataFrame:
     """Per node its sources and targets, sorted; a hub's list is as long as its degree, as asked."""
     e = written(e, "edges")
-    into = e.groupBy(F.col("target").alias("node")).agg(F.array_sort(F.collect_list("source")).alias("sources"))
-    out = e.groupBy(F.col("source").alias("node")).agg(F.array_sort(F.collect_list("target")).alias("targets"))
+    into = e.groupBy(F.col("target").alias("node")).agg(F.sort_array(F.collect_list("source")).alias("sources"))
+    out = e.groupBy(F.col("source").alias("node")).agg(F.sort_array(F.collect_list("target")).alias("targets"))
     none = F.array().cast("array<string>")
     return into.join(out, "node", "full_outer").select("node", F.coalesce("sources", none).alias("sources"), F.coalesce("targets", none).alias("targets"))
 
