@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,11 +27,25 @@ def error_summary(errors: DataFrame) -> DataFrame:
     return sets.agg(F.count("*").alias("n"), F.grouping_id().cast("int").alias("level"))
 
 
+def numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with their number from 1 among those of their keys, in order. Rows are dealt to ranges of keys and order and
+    numbered there; the counts of the ranges before are added, so a key of any size is numbered by many tasks. The order
+    should tell the rows of a key apart."""
+    at, group, first, before = (f"__{name}_{x}" for x in ("at", "range", "first", "before"))
+    ranged = rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn(at, F.monotonically_increasing_id())
+    ranged = written(ranged.withColumn(group, F.shiftright(at, 33)), "ranges")
+    heads = ranged.groupBy(*keys, group).agg(F.min(at).alias(first), F.count("*").alias("n"))  # a row a key and range that holds it
+    earlier = Window.partitionBy(*keys).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.withColumn(before, F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    theirs = heads.select(*(F.col(k).alias(f"__{name}_{i}") for i, k in enumerate([*keys, group])), first, before)
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__{name}_{i}")) for i, k in enumerate([*keys, group])))
+    return ranged.join(theirs, on).select(*rows.columns, (F.col(before) + F.col(at) - F.col(first) + 1).alias(name))
+
+
 def alerts(errors: DataFrame) -> DataFrame:
     """Each n-th error of a (category, severity) by time, n by severity."""
     step = F.coalesce(F.create_map(*(F.lit(x) for kv in ALERT_STEPS.items() for x in kv))[F.col("severity")], F.lit(100))
-    rn = F.row_number().over(Window.partitionBy("category", "severity").orderBy("ts", "event_id"))
-    return errors.withColumn("nth", rn).where(F.col("nth") % step == 0)
+    return numbered(errors, ["category", "severity"], ["ts", "event_id"], "nth").where(F.col("nth") % step == 0)
 
 
 def request_stats(requests: DataFrame, active: DataFrame | None = None) -> DataFrame:
@@ -73,11 +88,14 @@ def histogram(samples: DataFrame, buckets: Sequence[float] = BUCKETS) -> DataFra
 
 def quantiles(samples: DataFrame, q: Sequence[float] = QUANTILES) -> DataFrame:
     """Per key count, sum, mean and the order statistics at int(q n - 1), not below the first."""
-    w = Window.partitionBy("label_key")
-    ranked = samples.select("label_key", "value", F.row_number().over(w.orderBy("value")).alias("rn"), F.count("*").over(w).alias("n"))
-    at = lambda x: F.greatest(F.expr(f"cast({x}D * n - 1 as int)"), F.lit(0)) + 1
+    # equal values in any order
+    ranked = numbered(samples.select("label_key", "value", F.monotonically_increasing_id().alias("tie")), ["label_key"], ["value", "tie"], "rn")
+    totals = ranked.groupBy("label_key").agg(F.count("*").alias("n"), exact_sum("value").alias("total"))
+    at = lambda x: F.greatest(F.expr(f"cast({x}D * n - 1 as long)"), F.lit(0)) + 1
     picks = [F.max(F.when(F.col("rn") == at(x), F.col("value"))).alias(f"q{str(x)[2:]}") for x in q]
-    return ranked.groupBy("label_key").agg(F.max("n").alias("n"), exact_sum("value").alias("total"), (exact_sum("value") / F.max("n")).alias("mean"), *picks)
+    mine = totals.select(F.col("label_key").alias("key"), "n", "total")
+    out = ranked.join(mine, F.col("label_key").eqNullSafe(F.col("key"))).groupBy("label_key", "n", "total").agg(*picks)
+    return out.select("label_key", "n", "total", (F.col("total") / F.col("n")).alias("mean"), *(f"q{str(x)[2:]}" for x in q))
 
 
 def profile(samples: DataFrame) -> DataFrame:
@@ -111,19 +129,21 @@ def failure_runs(rows: DataFrame, key: str, threshold: int) -> DataFrame:
 
 def trailing_rate(rows: DataFrame, key: str, us: str, seconds: int, limit: int) -> DataFrame:
     """Calls in (t - w, t] of each call's key, whether the others among them already reach the limit, and the
-    microseconds until the oldest of them leaves the window (0 if below the limit). All calls count, admitted or not."""
+    microseconds until the oldest of them leaves the window (0 if below the limit). All calls count, admitted or not.
+
+    A key's calls are counted in stretches of w, each of which also gets the calls of the stretch before; so no task
+    has more of a key than it makes in twice that time. Calls without a time are among themselves."""
     width = seconds * 1_000_000
-    w = Window.partitionBy(key).orderBy(us).rangeBetween(-(width - 1), 0)
-    out = rows.withColumn("calls", F.count("*").over(w)).withColumn("oldest", F.min(us).over(w))
+    at = F.floor(F.col(us) / F.lit(width)).cast("long")
+    mine = lambda n, own: F.struct(n.alias("stretch"), F.lit(own).alias("own"))
+    in_ = F.when(at.isNull(), F.array(mine(at, True))).otherwise(F.array(mine(at, True), mine(at + 1, False)))
+    w = Window.partitionBy(key, "__in.stretch").orderBy(us).rangeBetween(-(width - 1), 0)
+    out = rows.withColumn("__in", F.explode(in_)).withColumn("calls", F.count("*").over(w)).withColumn("oldest", F.min(us).over(w)).where("__in.own")
     full = F.col("calls") - 1 >= limit
-    return out.withColumn("limited", full).withColumn("wait_us", F.when(full, F.col("oldest") + width - F.col(us)).otherwise(0).cast("long")).drop("oldest")
+    wait = F.when(full, F.col("oldest") + width - F.col(us)).otherwise(0).cast("long")
+    return out.select(*rows.columns, "calls", full.alias("limited"), wait.alias("wait_us"))
 
 
-def batches(rows: DataFrame, order: list[str], size: int, groups: int = 64) -> DataFrame:
-    """Fixed-size batches in order: rows are numbered within ranges of the order, and the ranges' sizes are summed up,
-    so no task numbers all of them."""
-    ranged = written(rows.repartitionByRange(groups, *order).withColumn("range", F.spark_partition_id()), "ranges")
-    sizes = ranged.groupBy("range").agg(F.count("*").alias("n"))  # a row a range
-    before = sizes.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rn = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
-    return ranged.withColumn("rn", rn).join(before, "range").withColumn("batch", F.floor((F.col("before") + F.col("rn")) / size)).drop("range", "rn", "before")
+def batches(rows: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Fixed-size batches in order."""
+    return numbered(rows, [], order, "__n").select(*rows.columns, F.floor((F.col("__n") - 1) / size).alias("batch"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardgraph.functions.ids import year_of_id
+
 LIST = "array<string>"
 VULN_PAGE = "vulnerabilities array<struct<cve:struct<id:string,descriptions:array<struct<lang:string,value:string>>,published:timestamp>>>"
 VULN_MAP = f"map<string,struct<CWE:{LIST},CAPEC:{LIST},TECHNIQUES:{LIST},DEFEND:{LIST},OWASP:{LIST}>>"
@@ -18,13 +21,37 @@ ERROR_LINE = "timestamp string, level string, message string, error_record struc
 SHEETS = {"enterprise": (9, 1, 2), "mobile": (10, 1, 2), "ics": (9, 1, 2)}
 
 
-def vuln_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of landed API pages; empty pages give none."""
-    return spark.read.schema(VULN_PAGE).json(path, multiLine=True).select(F.explode("vulnerabilities").alias("v")).select("v.cve.*")
+def vuln_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row per record of landed API pages, a page a file or, as `lines`, a page a line; empty pages give none."""
+    return spark.read.schema(VULN_PAGE).json(path, multiLine=not lines).select(F.explode("vulnerabilities").alias("v")).select("v.cve.*")
+
+
+def vuln_pages_stream(spark: SparkSession, path: str, files: int = 1, lines: bool = False) -> DataFrame:
+    return spark.readStream.schema(VULN_PAGE).option("multiLine", not lines).option("maxFilesPerTrigger", files).json(path).select(F.explode("vulnerabilities").alias("v")).select("v.cve.*")
 
 
-def vuln_pages_stream(spark: SparkSession, path: str, files: int = 1) -> DataFrame:
-    return spark.readStream.schema(VULN_PAGE).option("multiLine", True).option("maxFilesPerTrigger", files).json(path).select(F.explode("vulnerabilities").alias("v")).select("v.cve.*")
+def year_partition(spark: SparkSession, path: str, wanted: DataFrame, year: str = "year") -> tuple[DataFrame, DataFrame]:
+    """Rows of a table partitioned by year, of the years that a list of wanted ids (cve_id) names: other years are not read.
+    And those years that the table lacks, which are logged."""
+    table = spark.read.parquet(path)
+    years = wanted.select(year_of_id(F.col("cve_id")).alias(year)).where(F.col(year).isNotNull()).distinct()
+    missing = years.join(table.select(year).distinct(), year, "left_anti")
+    for r in missing.collect():  # as many as years are wanted
+        logging.getLogger(__name__).warning("no records of year %s", r[0])
+    return table.join(F.broadcast(years), year, "left_semi"), missing  # a row a year
+
+
+def table_status(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """name, exists, entries, modified (of its newest file) of each table."""
+    parts = []
+    for name, path in paths.items():
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            rows = spark.read.parquet(path).select(F.col("_metadata.file_modification_time").alias("m"))
+            parts.append(rows.agg(F.lit(name).alias("name"), F.lit(True).alias("exists"), F.count("*").alias("entries"), F.max("m").alias("modified")))
+        else:
+            parts.append(spark.range(1).select(F.lit(name).alias("name"), F.lit(False).alias("exists"), F.lit(0).cast("long").alias("entries"), F.lit(None).cast("timestamp").alias("modified")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def page_range(rows: DataFrame, order: list[str], start: int, size: int) -> DataFrame:
@@ -84,17 +111,17 @@ def countermeasures(lines: DataFrame, value: str = "value", seq: str = "seq") ->
     return last.select("technique_id", F.explode("ids.id").alias("d3f_id"))
 
 
-def object_table(spark: SparkSession, path: str, value_schema: str, key: str = "id") -> DataFrame:
-    """A whole-file JSON object by id -> rows."""
-    raw = spark.read.text(path, wholetext=True)
+def object_table(spark: SparkSession, path: str, value_schema: str, key: str = "id", lines: bool = False) -> DataFrame:
+    """JSON objects by id, each a whole file or, as `lines`, a line -> rows."""
+    raw = spark.read.text(path, wholetext=not lines)
     return raw.select(F.explode(F.from_json("value", f"map<string,{value_schema}>")).alias(key, "r")).select(key, "r.*")
 
 
-def category_map(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Categories and the (cwe_id, category_id) mapping, which keeps repeats; without a mapping it is made of the
+def category_map(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Documents, each a whole file or, as `lines`, a line -> categories and the (cwe_id, category_id) mapping, which keeps repeats; without a mapping it is made of the
     categories' own lists."""
     schema = "categories map<string,struct<name:string,description:string,cwe_ids:array<string>>>, cwe_mapping map<string,array<string>>"
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", schema).alias("j"))
+    raw = spark.read.text(path, wholetext=not lines).select(F.from_json("value", schema).alias("j"))
     cats = raw.select(F.explode("j.categories").alias("category_id", "c"))
     given = raw.select(F.explode("j.cwe_mapping").alias("cwe_id", "cats")).select("cwe_id", F.explode("cats").alias("category_id"))
     made = raw.where("j.cwe_mapping is null").select(F.explode("j.categories").alias("category_id", "c")).select(F.explode("c.cwe_ids").alias("cwe_id"), "category_id")
@@ -108,10 +135,15 @@ def first_available(parts: list[DataFrame], key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min_by(F.struct(*rest), "priority").alias("r")).select(key, "r.*")
 
 
-def layer_json(spark: SparkSession, path: str) -> DataFrame:
-    """Layers of a file that holds one or a list, any version: fields of a wrong type take their defaults, old names
-    become those of version 4.5. One row a layer, with its cells as an array."""
-    raw = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+def layer_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Layers of files or, as `lines`, of lines that hold one or a list."""
+    return layers_of(spark.read.text(path, wholetext=not lines))
+
+
+def layers_of(texts: DataFrame) -> DataFrame:
+    """(value) -> the layers of each text, which holds one or a list, any version: fields of a wrong type take their defaults,
+    old names become those of version 4.5, stages are dropped. One row a layer, with its cells as an array."""
+    raw = texts.select(F.try_parse_json("value").alias("v"))
     one = raw.select(F.when(F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v")).alias("vs")).select(F.explode("vs").alias("v"))
     get = lambda path, kind: F.try_variant_get("v", path, kind)
     # a text that could be read as a truth value is of a wrong type all the same
@@ -149,16 +181,17 @@ def error_log(lines: DataFrame) -> DataFrame:
     return lines.select(F.from_json("value", ERROR_LINE).alias("j")).where("j.error_record is not null").select("j.error_record.*", "j.exception")
 
 
-def countermeasure_tree(spark: SparkSession, path: str, depth: int = 12) -> DataFrame:
-    """The countermeasure matrix -> (column, parent, node, is_leaf, d3f_id). A node with children is a group even if it
-    has an id; one with neither is dropped. Nodes are named by label, else name, else the end of @id."""
-    raw = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+def countermeasure_tree(spark: SparkSession, path: str, depth: int | None = None, lines: bool = False) -> DataFrame:
+    """Countermeasure matrices, each a whole file or, as `lines`, a line -> (column, parent, node, is_leaf, d3f_id). A node
+    with children is a group even if it has an id; one with neither is dropped. Nodes are named by label, else name, else
+    the end of @id. depth: levels that the tree is known to have at most; else a job for each finds the last."""
+    raw = spark.read.text(path, wholetext=not lines).select(F.try_parse_json("value").alias("v"))
     arr = lambda c, p: F.try_variant_get(c, p, "array<variant>")
     txt = lambda c, p: F.try_variant_get(c, p, "string")
     label = lambda c: F.coalesce(txt(c, "$['rdfs:label']"), txt(c, "$.name"), F.element_at(F.split(txt(c, "$['@id']"), ":"), -1))
     level = raw.select(F.explode(F.coalesce(arr(F.col("v"), "$"), arr(F.col("v"), "$.tactics"), arr(F.col("v"), "$.columns"))).alias("v")).select(label(F.col("v")).alias("column"), label(F.col("v")).alias("parent"), F.explode(arr(F.col("v"), "$.children")).alias("v"))
-    parts = []
-    for _ in range(depth):
+    parts: list[DataFrame] = []
+    while len(parts) < depth if depth else not parts or not level.isEmpty():
         kids = F.coalesce(F.size(arr(F.col("v"), "$.children")), F.lit(0))
         parts.append(level.select("column", "parent", label(F.col("v")).alias("node"), (kids <= 0).alias("is_leaf"), F.when(kids <= 0, txt(F.col("v"), "$['d3f:d3fend-id']")).alias("d3f_id")))
         level = level.select("column", label(F.col("v")).alias("parent"), F.explode(arr(F.col("v"), "$.children")).alias("v"))

@@ -19,9 +19,9 @@ def write_jsonl(vulns: DataFrame, path: str) -> None:
     jsonl_lines(vulns).write.mode("overwrite").text(path)
 
 
-def upsert_by_year(new: DataFrame, path: str, key: str = "cve_id", year: str = "year") -> None:
+def upsert_by_year(new: DataFrame, path: str, key: str = "cve_id", year: str = "year", rows_per_file: int = 1_000_000) -> None:
     """Into a Parquet table partitioned by year: keys of `new` are replaced, other rows stay. Only the years that `new`
-    has are read and rewritten."""
+    has are read and rewritten, so a key's year must follow from the key. Tasks and files a year follow from its rows."""
     spark = new.sparkSession
     new = written(new, "upsert")
     years = [r[0] for r in new.select(year).distinct().collect()]  # as many as there are years
@@ -29,7 +29,24 @@ def upsert_by_year(new: DataFrame, path: str, key: str = "cve_id", year: str = "
     if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
         old = spark.read.parquet(path).where(F.col(year).isin(years)).select(*new.columns)
         new = written(old.join(new.select(key), key, "left_anti").select(*new.columns).unionByName(new), "merged")
-    new.repartition(year, F.pmod(F.xxhash64(key), F.lit(8))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+    parts = new.groupBy(F.col(year).alias("__year")).agg(F.ceil(F.count("*") / rows_per_file).alias("__parts"))
+    dealt = new.join(F.broadcast(parts), F.col(year).eqNullSafe(F.col("__year")))  # a row a year
+    dealt = dealt.withColumn("__part", F.pmod(F.xxhash64(key), F.col("__parts"))).repartition(year, "__part")
+    dealt.select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+
+
+def write_knowledge(table: DataFrame, path: str) -> None:
+    """A knowledge table, as the engine reads it."""
+    table.write.mode("overwrite").parquet(path)
+
+
+def keyed_lines(table: DataFrame, key: str) -> DataFrame:
+    """One line {id: {...}} per row: the keyed JSON export, without a task or a row that holds all of it."""
+    return table.select(F.to_json(F.create_map(F.col(key).cast("string"), F.struct(*(c for c in table.columns if c != key)))).alias("value"))
+
+
+def write_keyed_json(table: DataFrame, path: str, key: str) -> None:
+    keyed_lines(table, key).write.mode("overwrite").text(path)
 
 
 def prometheus_lines(counters: DataFrame, histograms: DataFrame, summaries: DataFrame) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a new folder of our own if it is unset, as in tests."""
+    """spark.checkpoint.dir, or in local mode, as in tests, a new folder of our own if it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="wardgraph-"))
         found = spark.sparkContext.getCheckpointDir()
     return found

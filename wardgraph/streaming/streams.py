@@ -18,9 +18,10 @@ from wardgraph.sources.sinks import upsert_by_year
 LATE = "10 minutes"
 
 
-def events_stream(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
-    """Parquet files as they land, ts as a timestamp."""
-    df = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def events_stream(spark: SparkSession, path: str, schema, files: int | None = None) -> DataFrame:
+    """Parquet files as they land, ts as a timestamp; at most `files` a micro-batch, or all that are new."""
+    reader = spark.readStream.schema(schema)
+    df = (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -58,22 +59,21 @@ def sessions(events: DataFrame, key: str, gap: str = "30 minutes", late: str = L
 
 
 def _alert(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Counts a key's errors on from the state; a row for each n-th."""
+    """Counts a key's errors on from the state; a row for each n-th. What a key has in a micro-batch, two numbers a row, is
+    put in order as a whole."""
     count = state.get[0] if state.exists else 0
     step = ALERT_STEPS.get(key[1], 100)
-    for rows in batches:
-        rows = rows.sort_values(["ts", "event_id"])
-        nth = range(count + 1, count + len(rows) + 1)
-        count += len(rows)
-        hit = rows.assign(category=key[0], severity=key[1], nth=list(nth))
-        yield hit[hit.nth % step == 0][["event_id", "category", "severity", "nth"]]
-    state.update((count,))
+    rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "event_id"])
+    nth = range(count + 1, count + len(rows) + 1)
+    state.update((count + len(rows),))
+    hit = rows.assign(category=key[0], severity=key[1], nth=list(nth))
+    yield hit[hit.nth % step == 0][["event_id", "category", "severity", "nth"]]
 
 
 def alert_stream(errors: DataFrame) -> DataFrame:
-    """Each n-th error of a (category, severity) as it arrives. A micro-batch is in order of ts within a key only as far
-    as Arrow batches are, so files are to be landed by time."""
-    return errors.groupBy("category", "severity").applyInPandasWithState(_alert, "event_id long, category string, severity string, nth long", "count long", "append", GroupStateTimeout.NoTimeout)
+    """Each n-th error of a (category, severity) as it arrives: in order of ts within a micro-batch, and of arrival from one to
+    the next. How much a micro-batch holds, and a key at most, is set by the source's maxFilesPerTrigger."""
+    return errors.select("category", "severity", "ts", "event_id").groupBy("category", "severity").applyInPandasWithState(_alert, "event_id long, category string, severity string, nth long", "count long", "append", GroupStateTimeout.NoTimeout)
 
 
 def dedupe(df: DataFrame, keys: list[str], late: str = LATE) -> DataFrame:
@@ -82,11 +82,13 @@ def dedupe(df: DataFrame, keys: list[str], late: str = LATE) -> DataFrame:
 
 
 def open_requests(starts: DataFrame, ends: DataFrame, within: str = "1 hour", late: str = LATE) -> DataFrame:
-    """Starts without an end within some time: a left outer join of two streams; of two batches, an anti-join."""
+    """Starts without an end. Of two batches an anti-join; of two streams a left outer join, which must let a start go some
+    time: one that has no end `within` that time of it comes out as open."""
     s = starts.withColumnRenamed("ts", "start_ts")
     e = ends.select(F.col("request_id").alias("end_id"), F.col("ts").alias("end_ts"))
-    if starts.isStreaming:
-        s, e = s.withWatermark("start_ts", late), e.withWatermark("end_ts", late)
+    if not starts.isStreaming:
+        return s.join(e, F.col("request_id") == F.col("end_id"), "left_anti")
+    s, e = s.withWatermark("start_ts", late), e.withWatermark("end_ts", late)
     on = (F.col("request_id") == F.col("end_id")) & (F.col("end_ts") >= F.col("start_ts")) & (F.col("end_ts") <= F.col("start_ts") + F.expr(f"interval {within}"))
     return s.join(e, on, "left_outer").where("end_id is null").drop("end_id", "end_ts")
 
