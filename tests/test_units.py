@@ -196,3 +196,76 @@ def test_heat_scale_ends_at_the_tables_maximum(spark, tmp_path):
             assert r.percent == (None if v is None else int(100 * v / most + 0.5))
             assert v != 800.0 or r.hue == 20.0
             assert v != 400.0 or r.hue == 40.0
+
+
+def test_numbered_is_row_number(spark):
+    rows = spark.createDataFrame([("a" if i % 3 else None, i % 7, i) for i in range(500)], "k string, v int, i long")
+    got = telemetry.numbered(rows.repartition(6), ["k"], ["v", "i"], "n").collect()
+    want = {}
+    for k in ("a", None):
+        for n, r in enumerate(sorted((r for r in got if r.k == k), key=lambda r: (r.v, r.i)), 1):
+            want[r.i] = n
+    assert len(got) == 500 and all(r.n == want[r.i] for r in got)
+    assert telemetry.numbered(rows.limit(0), ["k"], ["v", "i"], "n").count() == 0
+
+
+def test_trailing_rate_over_stretches(spark):
+    rnd = random.Random(4)
+    times = [rnd.randrange(-20_000_000, 60_000_000) for _ in range(300)] + [0, 10_000_000, 10_000_000, None]
+    rows = spark.createDataFrame([("k", t, i) for i, t in enumerate(times)], "k string, us long, i long")
+    for r in telemetry.trailing_rate(rows, "k", "us", 10, 5).collect():
+        inside = [t for t in times if t is not None and r.us is not None and r.us - 10_000_000 < t <= r.us] or [None]
+        assert r.calls == len(inside) and r.limited == (r.calls > 5), r
+        assert r.wait_us == (min(inside) + 10_000_000 - r.us if r.limited else 0)
+
+
+def test_missing_years_are_told(spark, tmp_path, caplog):
+    spark.createDataFrame([("CVE-2001-0001", 2001), ("CVE-2002-0001", 2002)], "cve_id string, year int").write.partitionBy("year").parquet(f"{tmp_path}/t")
+    wanted = spark.createDataFrame([("CVE-2002-0009",), ("CVE-2007-0001",), ("junk",)], "cve_id string")
+    with caplog.at_level("WARNING"):
+        rows, missing = scans.year_partition(spark, f"{tmp_path}/t", wanted)
+    assert [r.cve_id for r in rows.collect()] == ["CVE-2002-0001"] and [r.year for r in missing.collect()] == [2007] and "2007" in caplog.text
+
+
+def test_trees_of_any_depth(spark, tmp_path):
+    node = {"name": "leaf", "d3f:d3fend-id": "D3-X"}
+    for i in range(15):
+        node = {"name": f"n{i}", "children": [node]}
+    (tmp_path / "t.json").write_text(json.dumps([node]))
+    rows = scans.countermeasure_tree(spark, str(tmp_path)).collect()
+    assert len(rows) == 15 and [r.d3f_id for r in rows if r.is_leaf] == ["D3-X"]
+
+
+def test_layer_document(spark):
+    cells = spark.createDataFrame([("T2", "b", 1), ("T1", "a", 5)], "technique_id string, tactic string, score int")
+    doc = json.loads(layers.layer_json(cells, "enterprise-defend", 5).first().layer)
+    assert [t["techniqueID"] for t in doc["techniques"]] == ["T1", "T2"] and doc["layout"]["aggregateFunction"] == "average" and doc["layout"]["showName"] is True
+    assert doc["legendItems"] == doc["metadata"] == doc["links"] == [] and doc["selectTechniquesAcrossTactics"] is True and doc["domain"] == "enterprise-attack"
+
+
+def test_layers_of_one_domain_alone_are_combined(spark):
+    cells = spark.createDataFrame([("T1", "a", 5, "x")], "technique_id string, tactic string, score int, comment string")
+    with pytest.raises(ValueError, match="domains"):
+        layers.combine({"a": cells, "b": cells}, "a + b", of={"a": ("ics", "17"), "b": ("enterprise", "17")})
+    replaced = spark.createDataFrame([("T1", "T9"), ("T1", "T8")], "from_id string, to_id string")
+    new = spark.createDataFrame([("T9", "a"), ("T8", "b"), ("T1", "a")], "technique_id string, tactic string")
+    assert sorted(map(tuple, layers.upgrade_copies(cells, new, ["score", "comment"], replaced).collect())) == [("T1", "a", 5, "x"), ("T9", "a", 5, "x")]
+
+
+def test_stream_alerts_are_in_order_of_time(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"2024-01-01 00:{59 - i:02d}:00", "c", "high") for i in range(40)], "event_id long, ts string, category string, severity string").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows.repartition(5).write.parquet(f"{tmp_path}/in")
+    stream = streams.alert_stream(streams.events_stream(spark, f"{tmp_path}/in", rows.schema))
+    streams.run_to_end(stream, f"{tmp_path}/cp", path=f"{tmp_path}/out")
+    got = sorted((r.nth, r.event_id) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(n, 40 - n) for n in range(5, 41, 5)]
+
+
+def test_a_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from wardgraph.sources import tables
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://somewhere:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))

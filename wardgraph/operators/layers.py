@@ -16,8 +16,11 @@ PLATFORMS = {
 }
 # fixed values: order of the countermeasure matrix's columns
 COLUMNS = ("Model", "Harden", "Detect", "Isolate", "Deceive", "Evict", "Restore")
-#: Gradient of a new layer.
+# fixed values: gradient, versions, layout and selection of a new layer, as the format's reader wants them
 COLOURS = ("#ffe766ff", "#ff9558", "#ff6666ff")
+VERSIONS = {"attack": "17", "navigator": "5.1.0", "layer": "4.5"}
+LAYOUT = {"layout": "side", "aggregateFunction": "average", "showID": False, "showName": True, "showAggregateScores": False, "countUnscored": False, "expandedSubtechniques": "none"}
+SELECTION = {"showTacticRowBackground": False, "tacticRowBackground": "#dddddd", "selectTechniquesAcrossTactics": True, "selectSubtechniquesWithParent": False, "selectVisibleTechniques": False}
 CELL = ["technique_id", "tactic"]
 
 
@@ -108,14 +111,30 @@ def score_expression(text: str, names: set[str]) -> Column:
     return out
 
 
-def combine(layers: dict[str, DataFrame], expression: str, missing: float | None = None) -> DataFrame:
+def combine(layers: dict[str, DataFrame], expression: str, missing: float | None = None, inherit: dict[str, str] | None = None, of: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Layers by variable name (technique_id, tactic, score) -> one layer whose score is the expression's value; cells
-    are those of any layer. missing: what an unscored or absent cell counts as."""
-    named = [df.select(*CELL, F.col("score").cast("double").alias(n)) for n, df in layers.items()]
+    are those of any layer. missing: what an unscored or absent cell counts as. inherit: columns of annotations and the
+    layer that each is taken from, null in cells that this one lacks. of: domain and version of each layer, which must
+    be the same."""
+    if of and len({of[n] for n in layers}) > 1:
+        raise ValueError(f"layers of different domains or versions: {of}")
+    inherit = inherit or {}
+    named = [df.select(*CELL, F.col("score").cast("double").alias(n), *(c for c, source in inherit.items() if source == n)) for n, df in layers.items()]
     full = reduce(lambda a, b: a.join(b, CELL, "full_outer"), named)
     if missing is not None:
         full = full.fillna(missing, list(layers))
-    return full.select(*CELL, score_expression(expression, set(layers)).alias("score"))
+    return full.select(*CELL, score_expression(expression, set(layers)).alias("score"), *inherit)
+
+
+def upgrade_copies(old: DataFrame, new: DataFrame, annotations: list[str], replaced: DataFrame | None = None) -> DataFrame:
+    """Cells of the new version with the annotations of the old version's cell of the same technique and tactic. replaced:
+    from_id, to_id of techniques that took another's place and get its annotations too, where they have none of their own."""
+    own = old.select(*CELL, *annotations, F.lit(0).alias("rank"))
+    if replaced is not None:
+        moved = old.join(replaced.select(F.col("from_id").alias("technique_id"), "to_id"), "technique_id")
+        own = own.union(moved.select(F.col("to_id").alias("technique_id"), "tactic", *annotations, F.lit(1).alias("rank")))
+        own = own.groupBy(*CELL).agg(F.min_by(F.struct(*annotations), "rank").alias("a")).select(*CELL, "a.*")
+    return new.select(*CELL).join(own.select(*CELL, *annotations), CELL)
 
 
 def upgrade_diff(old: DataFrame, new: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
@@ -168,21 +187,26 @@ def layer_json(cells: DataFrame, layer_type: str, most: int, name: str = "layer"
     """One layer document of version 4.5 as text. Its cells are one list, as the format wants: a layer is as large as
     the technique matrix, not as the vulnerability data."""
     domain = domain_of(layer_type)
-    cell = F.struct(F.col("technique_id").alias("techniqueID"), F.col("tactic"), F.col("score"), F.lit("").alias("color"), F.lit("").alias("comment"), F.lit(True).alias("enabled"), F.array().cast("array<string>").alias("metadata"), F.array().cast("array<string>").alias("links"), F.lit(False).alias("showSubtechniques"))
-    out = cells.agg(F.array_sort(F.collect_list(cell)).alias("techniques"))
+    none = F.array().cast("array<string>")
+    cell = F.struct(F.col("technique_id").alias("techniqueID"), F.col("tactic"), F.col("score"), F.lit("").alias("color"), F.lit("").alias("comment"), F.lit(True).alias("enabled"), none.alias("metadata"), none.alias("links"), F.lit(False).alias("showSubtechniques"))
+    out = cells.agg(F.sort_array(F.collect_list(cell)).alias("techniques"))
     lits = lambda xs: F.array(*map(F.lit, xs))
+    fixed = lambda values: [F.lit(v).alias(k) for k, v in values.items()]
     return out.select(
         F.to_json(
             F.struct(
                 F.lit(name).alias("name"),
-                F.struct(F.lit("17").alias("attack"), F.lit("5.1.0").alias("navigator"), F.lit("4.5").alias("layer")).alias("versions"),
+                F.struct(*fixed(VERSIONS)).alias("versions"),
                 F.lit(f"{domain}-attack").alias("domain"),
                 F.lit("").alias("description"),
                 F.struct(lits(PLATFORMS[domain]).alias("platforms")).alias("filters"),
                 F.lit(3).alias("sorting"),
+                F.struct(*fixed(LAYOUT)).alias("layout"),
                 F.lit(False).alias("hideDisabled"),
                 F.col("techniques"),
                 F.struct(lits(COLOURS).alias("colors"), F.lit(0).alias("minValue"), F.lit(most).alias("maxValue")).alias("gradient"),
+                *(none.alias(x) for x in ("legendItems", "metadata", "links")),
+                *fixed(SELECTION),
             )
         ).alias("layer")
     )

@@ -44,7 +44,7 @@ def correlate(b: Bridge):
 
 @query("select cve_id, string_agg(cwe_id, ',' order by cwe_id) as cwe from b_vuln_cwe group by cve_id")
 def sorted_id_lists(b: Bridge):
-    return b.vuln_cwe.groupBy("cve_id").agg(ids.joined(F.array_sort(F.collect_set("cwe_id"))).alias("cwe"))
+    return b.vuln_cwe.groupBy("cve_id").agg(ids.joined(F.sort_array(F.collect_set("cwe_id"))).alias("cwe"))
 
 
 @query("select cve_id, cwe_id from x_cwe")
@@ -229,7 +229,7 @@ def parse_taxonomy(b: Bridge):
 
 @query("select capec_id, array_to_string(list_sort(list_distinct(regexp_extract_all(techniques, 'ATTACK:ENTRY ID:([^:]*)', 1))), ',') as techniques from b_capec")
 def parse_taxonomy_distinct(b: Bridge):
-    return b.capec.select("capec_id", ids.joined(F.array_sort(F.array_distinct(ids.taxonomy_ids(F.col("taxonomy"), valid=False)))).alias("techniques"))
+    return b.capec.select("capec_id", ids.joined(F.sort_array(F.array_distinct(ids.taxonomy_ids(F.col("taxonomy"), valid=False)))).alias("techniques"))
 
 
 NODES = "(select 'CVE-' || c_custkey as node from customer union all select 'CWE-' || p_partkey from part union all select 'CAPEC-' || s_suppkey from supplier union all select 'T' || o_orderkey from orders union all select 'D3F-' || c_mktsegment from customer union all select 'OWASP-' || p_type from part union all select p_name from part)"

@@ -9,6 +9,7 @@ from wardgraph.operators import chain, graph, telemetry
 from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.chain_queries import category_map, techniques
 from wardgraph.plans.registry import query
+from wardgraph.sources import scans
 from wardgraph.sources.tables import written
 
 # every path step as a row, counted afterwards: the brute-force form of the weights
@@ -27,8 +28,9 @@ rolled as (select node, cast(sum(score) as bigint) as score from (select node, s
 
 
 def all_edges(b: Bridge):
-    stored = chain.expand_parents(b.vuln_cwe, b.cwe_parent)
-    cats = b.vuln_cwe.join(category_map(b).distinct(), "cwe_id").select("cve_id", "category_id").distinct()
+    facts = written(b.vuln_cwe, "vuln-cwe")
+    stored = chain.expand_parents(facts, b.cwe_parent)
+    cats = facts.join(category_map(b).distinct(), "cwe_id").select("cve_id", "category_id").distinct()
     return graph.edges(stored, b.cwe_capec, techniques(b), b.defend, cats)
 
 
@@ -42,11 +44,20 @@ def edge_multiset(b: Bridge):
 
 
 @query(EDGES + "select source, target, value from edges where target not like 'OWASP-%'")
-def union_edges(b: Bridge):
+def chain_edges(b: Bridge):
     """The four kinds of the chain itself."""
     return all_edges(b).where(~F.col("target").startswith("OWASP-"))
 
 
+@query(EDGES + """, u as (select 'weakness' as kind, source, target from edges where target like 'CWE-%' union all select 'pattern', source, target from edges where target like 'CAPEC-%' union all select 'technique', source, target from edges where target like 'T%'
+union all select 'countermeasure', source, target from edges where target like 'D3F-%' union all select 'category', source, target from edges where target like 'OWASP-%') select kind, source, target from u""")
+def union_edges(b: Bridge):
+    """All five kinds, under their names."""
+    kind = F.col("target")
+    named = F.when(kind.startswith("CWE-"), "weakness").when(kind.startswith("CAPEC-"), "pattern").when(kind.startswith("T"), "technique").when(kind.startswith("D3F-"), "countermeasure").otherwise("category")
+    return all_edges(b).select(named.alias("kind"), "source", "target")
+
+
 @query(EDGES + "select target as node, cast(sum(value) as bigint) as hits from edges where starts_with(target, 'D3F-') group by target")
 def countermeasure_hits(b: Bridge):
     return all_edges(b).where(F.col("target").startswith("D3F-")).groupBy(F.col("target").alias("node")).agg(F.sum("value").alias("hits"))
@@ -150,7 +161,7 @@ def cves_by_year(b: Bridge):
     return b.vuln.groupBy(F.col("yr").alias("year")).agg(F.count("*").alias("n"))
 
 
-HEAT = """with m as (select event_id, value, 491.0::double as most from events), t as (select event_id, value, most, least(value / most, 1.0) as t from m)
+HEAT = """with m as (select event_id, value, (select greatest(max(value), 1.0) from events) as most from events), t as (select event_id, value, most, least(value / most, 1.0) as t from m)
 select event_id, case when t <= 0.25 then 60 + -5 * ((t - 0.25 * 0) / 0.25) when t <= 0.5 then 55 + -15 * ((t - 0.25 * 1) / 0.25) when t <= 0.75 then 40 + -10 * ((t - 0.25 * 2) / 0.25) else 30 + -10 * ((t - 0.25 * 3) / 0.25) end as hue, cast(floor(100 * value / most + 0.5) as bigint) as percent from t"""
 
 
@@ -179,6 +190,13 @@ def table_status(b: Bridge):
     return out
 
 
+@query("select 'orders' as name, true as exists, count(*) as entries, true as dated from orders union all select 'part', true, count(*), true from part union all select 'events', true, count(*), true from events union all select 'absent', false, 0, false")
+def table_status_files(b: Bridge):
+    """Tables as files: whether they are there, their rows, and whether they tell when they were written."""
+    found = scans.table_status(b.spark, {t: f"{b.sf_dir}/{t}.parquet" for t in ("orders", "part", "events", "absent")})
+    return found.select("name", "exists", "entries", F.col("modified").isNotNull().alias("dated"))
+
+
 @query("select e.category, cast(sum(e.duration) as double) as total from (select category, cast(duration as decimal(24,4)) as duration from b_error) e group by e.category", name="cost_by_category")
 def cost_by_category(b: Bridge):
     return b.error.groupBy("category").agg(telemetry.exact_sum("duration").alias("total"))

@@ -38,6 +38,23 @@ def layer_upgrade_diff(b: Bridge):
     return layers.upgrade_diff(old, new, part.where("p_partkey % 2 = 0").select(key.alias("from_id")))
 
 
+@query(SLICES.rstrip() + """, f as (select coalesce(a.technique_id, b.technique_id) as technique_id, coalesce(a.tactic, b.tactic) as tactic, a.score as a, b.score as b, a.technique_id is not null as in_a, b.technique_id is not null as in_b from a full join b on a.technique_id = b.technique_id and a.tactic = b.tactic)
+select f.technique_id, f.tactic, f.a - f.b as score, case when in_b then x.name end as comment, case when in_a then x.enabled end as enabled from f join x_layer x on f.technique_id = x.technique_id""")
+def combine_layers_inherited(b: Bridge):
+    """Two layers of one domain and version: comments are those of one, states those of the other."""
+    both = {n: df.withColumnRenamed("name", "comment") for n, df in slices(b).items()}
+    return layers.combine(both, "a - b", inherit={"comment": "b", "enabled": "a"}, of={"a": ("enterprise", "17"), "b": ("enterprise", "17")})
+
+
+@query("""with o as (select technique_id, tactic, score, name from x_layer where p_partkey % 5 <> 0), n as (select technique_id, case when p_partkey % 4 = 0 then 'moved' else tactic end as tactic from x_layer where p_partkey % 7 <> 0)
+select n.technique_id, n.tactic, o.score, o.name from n join o on n.technique_id = o.technique_id and n.tactic = o.tactic""")
+def layer_upgrade_copies(b: Bridge):
+    """Annotations of techniques whose tactics are those of the old version."""
+    cells = b.layer
+    new = cells.where("p_partkey % 7 <> 0").select("technique_id", F.when(F.col("p_partkey") % 4 == 0, "moved").otherwise(F.col("tactic")).alias("tactic"))
+    return layers.upgrade_copies(cells.where("p_partkey % 5 <> 0"), new, ["score", "name"])
+
+
 @query("""with c as (select technique_id, case when p_partkey % 2 = 0 then tactic end as tactic, score, p_partkey from x_layer), t as (select 'T' || p_partkey as technique_id, 'one' as tactic from part union all select 'T' || p_partkey, 'two' from part where p_partkey % 3 = 0)
 select technique_id, tactic, score from c where tactic is not null union all select c.technique_id, t.tactic, c.score from c join t on c.technique_id = t.technique_id where c.tactic is null""")
 def expand_tacticless(b: Bridge):

@@ -9,7 +9,6 @@ from wardgraph.operators import chain
 from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.chain_queries import CORRELATE, correlated, joined_lists, techniques
 from wardgraph.plans.registry import query
-from wardgraph.plans.telemetry_queries import DEC
 from wardgraph.operators import telemetry
 from wardgraph.sources import scans, sinks
 from wardgraph.sources.tables import new_path
@@ -27,7 +26,7 @@ def land_pages(b: Bridge, path: str, order: str | None = None) -> None:
 def scan_vuln_pages(b: Bridge):
     path = new_path(b.spark, "pages")
     land_pages(b, path)
-    back = b.spark.read.schema(scans.VULN_PAGE).json(path).select(F.explode("vulnerabilities.cve").alias("v")).select("v.*")
+    back = scans.vuln_pages(b.spark, path, lines=True)
     return back.select(F.col("id").alias("cve_id"), ids.joined(ids.weakness_ids(F.col("descriptions"))).alias("cwe"))
 
 
@@ -98,29 +97,32 @@ def scan_countermeasures(b: Bridge):
 
 @query("select cast(p_partkey as varchar) as id, p_name as name, p_size as size from part")
 def scan_json_object_table(b: Bridge):
-    """Objects by id, one file a block of parts."""
+    """Objects by id, one line a block of parts."""
     path = new_path(b.spark, "objects")
     entry = F.struct(F.col("p_partkey").cast("string"), F.struct(F.col("p_name").alias("name"), F.col("p_size").alias("size")))
     b.table("part").groupBy(F.floor(F.col("p_partkey") / 1000).alias("block")).agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")).repartition("block").select("value").write.option("lineSep", "\n").text(path)
-    raw = b.spark.read.text(path)
-    return raw.select(F.explode(F.from_json("value", "map<string,struct<name:string,size:int>>")).alias("id", "r")).select("id", "r.name", "r.size")
+    return scans.object_table(b.spark, path, "struct<name:string,size:int>", lines=True)
 
 
 @query("select cwe_id, owasp_id as category_id from b_cwe")
 def scan_category_map(b: Bridge):
+    """Documents of the categories of a block of weaknesses each."""
     path = new_path(b.spark, "categories")
-    rows = b.cwe.groupBy("owasp_id").agg(F.collect_list("cwe_id").alias("cwe_ids"))
-    one = rows.agg(F.map_from_entries(F.collect_list(F.struct("owasp_id", F.struct(F.col("owasp_id").alias("name"), F.lit("").alias("description"), "cwe_ids")))).alias("categories"))
-    one.write.json(path)
-    return scans.category_map(b.spark, path)[1]
+    block = F.floor(F.col("cwe_id").cast("long") / 1000).alias("block")
+    rows = b.cwe.groupBy(block, "owasp_id").agg(F.collect_list("cwe_id").alias("cwe_ids"))
+    each = rows.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("owasp_id", F.struct(F.col("owasp_id").alias("name"), F.lit("").alias("description"), "cwe_ids")))).alias("categories"))
+    each.select("categories").write.json(path)
+    return scans.category_map(b.spark, path, lines=True)[1]
 
 
 @query("select cve_id, yr from b_vuln where yr in (1996, 1998)")
 def scan_year_partition(b: Bridge):
-    """Only the years of the request are read."""
+    """Only the years that the requested ids name are read; of one of them there are no records."""
     path = new_path(b.spark, "years")
-    b.vuln.select("cve_id", "yr").repartition("yr").write.partitionBy("yr").parquet(path)
-    return b.spark.read.parquet(path).where(F.col("yr").isin(1996, 1998, 2050)).select("cve_id", "yr")
+    b.vuln.select("cve_id", "yr").repartition("yr", F.pmod(F.xxhash64("cve_id"), F.lit(8))).write.partitionBy("yr").parquet(path)
+    some = b.vuln.where("yr in (1996, 1998)").select("cve_id")
+    wanted = some.union(some.limit(1).select(F.lit("CVE-2050-0000001")))
+    return scans.year_partition(b.spark, path, wanted, "yr")[0].select("cve_id", "yr")
 
 
 @query("select p_partkey, case when p_partkey % 3 = 0 then p_brand else p_name end as name from part where p_partkey % 3 = 0 or p_partkey % 2 = 0")
@@ -132,15 +134,31 @@ def scan_first_available(b: Bridge):
 
 @query("select technique_id, tactic, cast(score as double) as score, enabled from x_layer")
 def scan_layer_json(b: Bridge):
-    """Layers by tactic, one file holding a list of an old version's layers."""
+    """Layers of an old version, a line holding the list of those of a block of parts, one a tactic."""
     path = new_path(b.spark, "layers")
     cell = F.struct(F.col("technique_id").alias("techniqueID"), "tactic", "score", "enabled", F.lit(5).alias("comment"))
-    layer = b.layer.groupBy("tactic").agg(F.collect_list(cell).alias("techniques")).select(F.struct(F.lit("old").alias("name"), F.lit("3.0").alias("version"), F.lit("mitre-enterprise").alias("domain"), F.lit(2).alias("viewMode"), "techniques").alias("l"))
-    layer.agg(F.to_json(F.collect_list("l")).alias("value")).coalesce(1).write.text(path)
-    back = scans.layer_json(b.spark, path).where("domain = 'enterprise-attack' and layout = 'mini' and layer_version = '3.0'")
+    block = F.floor(F.col("p_partkey") / 1000).alias("block")
+    layer = b.layer.groupBy(block, "tactic").agg(F.collect_list(cell).alias("techniques")).select("block", F.struct(F.lit("old").alias("name"), F.lit("3.0").alias("version"), F.lit("mitre-enterprise").alias("domain"), F.lit(2).alias("viewMode"), "techniques").alias("l"))
+    layer.groupBy("block").agg(F.to_json(F.collect_list("l")).alias("value")).select("value").write.text(path)
+    back = scans.layer_json(b.spark, path, lines=True).where("domain = 'enterprise-attack' and layout = 'mini' and layer_version = '3.0'")
     return back.select(F.explode("techniques").alias("t")).select("t.technique_id", "t.tactic", "t.score", "t.enabled")
 
 
+@query("""select 'c' || c_custkey as name, case c_custkey % 4 when 0 then '3.0' when 1 then '2.1' when 2 then '4.5' else '1.0' end as layer_version,
+case c_custkey % 4 when 1 then 'mobile-attack' when 3 then null else 'enterprise-attack' end as domain, case c_custkey % 4 when 0 then 'mini' when 2 then 'flat' else 'side' end as layout, c_custkey % 4 = 2 as hide_disabled, c_custkey % 9 as sorting from customer""")
+def select_layer_fields(b: Bridge):
+    """Layers of four versions, brought to the fields of the newest."""
+    k, name = F.col("c_custkey"), F.concat(F.lit('{"name":"c'), F.col("c_custkey"), F.lit('","sorting":'), F.col("c_custkey") % 9)
+    rest = (
+        F.when(k % 4 == 0, ',"version":"3.0","domain":"mitre-enterprise","viewMode":2,"stages":["act"]}')
+        .when(k % 4 == 1, ',"version":"2.1","domain":"mitre-mobile","viewFullTable":false}')
+        .when(k % 4 == 2, ',"versions":{"layer":"4.5"},"domain":"enterprise-attack","layout":{"layout":"flat"},"hideDisabled":true}')
+        .otherwise(',"version":"1.0","viewFullTable":true,"hideDisabled":"true"}')
+    )
+    fields = scans.layers_of(b.table("customer").select(F.concat(name, rest).alias("value")))
+    return fields.select("name", "layer_version", "domain", "layout", "hide_disabled", F.col("sorting").cast("long").alias("sorting"))
+
+
 @query("select 'e' || event_id as error_id, category, severity from b_error where event_id % 3 <> 0")
 def scan_error_log(b: Bridge):
     rec = F.when(F.col("event_id") % 3 != 0, F.struct(F.concat(F.lit("e"), "event_id").alias("error_id"), "category", "severity"))
@@ -150,15 +168,17 @@ def scan_error_log(b: Bridge):
 
 @query("select r_name as \"column\", n_name as parent, s_name as node, true as is_leaf, 'D3-' || s_suppkey as d3f_id from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey where s_suppkey % 9 <> 0 union all select distinct r_name, r_name, n_name, false, null from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
 def land_d3fend_matrix(b: Bridge):
-    """Regions are columns, nations groups, suppliers leaves; some leaves have no id and drop."""
+    """Regions are columns, nations groups, suppliers leaves; some leaves have no id and drop. A line is the matrix of a
+    block of suppliers, so a group may come in several."""
     path = new_path(b.spark, "matrix")
     leaf = F.struct(F.col("s_name").alias("rdfs:label"), F.when(F.col("s_suppkey") % 9 != 0, F.concat(F.lit("D3-"), "s_suppkey")).alias("d3f:d3fend-id"))
     rows = b.table("supplier").join(b.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(b.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    groups = rows.groupBy("r_name", "n_name").agg(F.collect_list(leaf).alias("children"))
+    groups = rows.groupBy(F.floor(F.col("s_suppkey") / 1000).alias("block"), "r_name", "n_name").agg(F.collect_list(leaf).alias("children"))
     group = F.struct(F.col("n_name").alias("name"), F.lit("D3-X").alias("d3f:d3fend-id"), "children")
-    cols = groups.groupBy("r_name").agg(F.collect_list(group).alias("children"))
-    cols.agg(F.to_json(F.collect_list(F.struct(F.concat(F.lit("d3f:"), "r_name").alias("@id"), "children"))).alias("value")).coalesce(1).write.text(path)
-    return scans.countermeasure_tree(b.spark, path, depth=3)
+    cols = groups.groupBy("block", "r_name").agg(F.collect_list(group).alias("children"))
+    lines = cols.groupBy("block").agg(F.to_json(F.collect_list(F.struct(F.concat(F.lit("d3f:"), "r_name").alias("@id"), "children"))).alias("value"))
+    lines.select("value").write.text(path)
+    return scans.countermeasure_tree(b.spark, path, lines=True).distinct()
 
 
 # sinks
@@ -177,31 +197,38 @@ def upsert_by_year(b: Bridge):
 
 @query("select cwe_id, name from b_cwe")
 def sink_knowledge_table(b: Bridge):
-    path = new_path(b.spark, "knowledge")
-    b.cwe.select("cwe_id", "name").write.parquet(path)
-    return b.spark.read.parquet(path)
+    """The table as Parquet, and from it the keyed JSON export, which is read back."""
+    path, lines = new_path(b.spark, "knowledge"), new_path(b.spark, "knowledge-json")
+    sinks.write_knowledge(b.cwe.select("cwe_id", "name"), path)
+    sinks.write_keyed_json(b.spark.read.parquet(path), lines, "cwe_id")
+    return scans.object_table(b.spark, lines, "struct<name:string>", "cwe_id", lines=True)
 
 
-PROM = f"""with c as (select event_type as k, {DEC.format('value')} as total, count(*) as n from events group by event_type),
+PROM = """with c as (select event_type as k, cast(cast(sum(cast(value as decimal(24,4))) as decimal(38,4)) as varchar) as total, count(*) as n from events group by event_type),
+q as (select event_type as k, value, row_number() over (partition by event_type order by value) as rn, count(*) over (partition by event_type) as n from events),
+m as (select k, cast(cast(max(case when rn = greatest(cast(trunc(0.5::double * n - 1) as bigint), 0) + 1 then value end) as decimal(24,4)) as varchar) as v from q group by k),
 lines as (select '# HELP events_total Events' as line union all select '# TYPE events_total counter' union all select 'events_total' || chr(123) || 'type="' || k || '"' || chr(125) || ' ' || n from c
 union all select '# HELP latency Latency' union all select '# TYPE latency histogram' union all select 'latency_count' || chr(123) || 'type="' || k || '"' || chr(125) || ' ' || n from c
+union all select 'latency_sum' || chr(123) || 'type="' || k || '"' || chr(125) || ' ' || total from c
 union all select 'latency_bucket' || chr(123) || 'type="' || event_type || '",le="' || l || '"' || chr(125) || ' ' || count(*) filter (value <= b) from events cross join (values ('10.0', 10.0), ('100.0', 100.0), ('+Inf', 1e308)) v(l, b) group by event_type, l, b
-union all select '# HELP size Size' union all select '# TYPE size summary' union all select 'size_count' || chr(123) || 'type="' || k || '"' || chr(125) || ' ' || n from c)
+union all select '# HELP size Size' union all select '# TYPE size summary' union all select 'size_count' || chr(123) || 'type="' || k || '"' || chr(125) || ' ' || n from c
+union all select 'size_sum' || chr(123) || 'type="' || k || '"' || chr(125) || ' ' || total from c
+union all select 'size' || chr(123) || 'type="' || k || '",quantile="0.5"' || chr(125) || ' ' || v from m)
 select line from lines"""
 
 
 @query(PROM)
 def sink_metrics_text(b: Bridge):
-    """Exposition text of a counter, a histogram and a summary; the lines of sums and quantiles, whose numbers each
-    engine prints in its own way, are compared by the tests."""
+    """Exposition text of a counter, a histogram and a summary; sums and quantiles are printed with four decimals."""
     rows = b.table("events").select(F.col("event_type").alias("label_key"), "value")
     label = F.concat(F.lit('type="'), F.col("label_key"), F.lit('"'))
+    fixed = lambda c, kind: F.col(c).cast(kind).alias(c if c == "total" else "value")
     counters = rows.groupBy("label_key").agg(F.count("*").alias("value")).select(F.lit("events_total").alias("name"), F.lit("Events").alias("help"), F.lit("counter").alias("kind"), label.alias("labels"), "value")
-    hist = telemetry.histogram(rows, (10.0, 100.0, float("inf"))).select(F.lit("latency").alias("name"), F.lit("Latency").alias("help"), label.alias("labels"), "le", "cumulative", "n", "total")
-    quant = telemetry.quantiles(rows, (0.5,)).select(F.lit("size").alias("name"), F.lit("Size").alias("help"), label.alias("labels"), F.lit("0.5").alias("quantile"), F.col("q5").alias("value"), "n", "total")
+    hist = telemetry.histogram(rows, (10.0, 100.0, float("inf"))).select(F.lit("latency").alias("name"), F.lit("Latency").alias("help"), label.alias("labels"), "le", "cumulative", "n", fixed("total", "decimal(38,4)"))
+    quant = telemetry.quantiles(rows, (0.5,)).select(F.lit("size").alias("name"), F.lit("Size").alias("help"), label.alias("labels"), F.lit("0.5").alias("quantile"), fixed("q5", "decimal(24,4)"), "n", fixed("total", "decimal(38,4)"))
     path = new_path(b.spark, "metrics")
     sinks.prometheus_lines(counters, hist, quant).orderBy("name", "line_no").select("line").write.text(path)
-    return b.spark.read.text(path).select(F.col("value").alias("line")).where("line not like '%_sum{%' and line not like '%quantile=%'")
+    return b.spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @query("select t.capec_id, t.technique_id from x_capec_tech t")

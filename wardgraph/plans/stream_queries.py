@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wardgraph.functions import ids
 from wardgraph.operators import chain, extension, telemetry
 from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.chain_queries import category_map, joined_lists, techniques
@@ -15,22 +16,24 @@ from wardgraph.sources.tables import new_path
 from wardgraph.streaming import streams
 
 
-def landed(b: Bridge, parts: int = 4, rows=None):
-    """The events, or such rows, as files that land one after another in order of time, as a stream of one file a micro-batch."""
-    path, rows = new_path(b.spark, "events"), b.table("events") if rows is None else rows
-    cuts = rows.select(F.unix_micros("ts").alias("us")).approxQuantile("us", [i / parts for i in range(1, parts)], 0.001)
+def replayed(b: Bridge, rows, build, name: str, parts: int = 4):
+    """Rows land as ranges of time, one after another, each as files that many tasks write, rows without a time first. After
+    each the stream that `build` makes of the folder goes on from its checkpoint, in one micro-batch. At last a row lands
+    that is two days later and null but for its time, so that the watermark passes all others. Returns what the sink has."""
+    spark = b.spark
+    path, checkpoint, out = (new_path(spark, f"{name}-{x}") for x in ("landed", "checkpoint", "sink"))
     us = F.unix_micros("ts")
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        some = rows.where((us >= low) if low is not None else F.lit(True)).where((us < high) if high is not None else F.lit(True))
-        some.sort("ts").coalesce(1).write.mode("append").parquet(path)
-    return streams.events_stream(b.spark, path, b.spark.read.parquet(path).schema)
-
-
-def collected(b: Bridge, stream, name: str):
-    """The stream's rows, by a Parquet sink with a checkpoint."""
-    out = new_path(b.spark, name)
-    streams.run_to_end(stream, new_path(b.spark, f"{name}-checkpoint"), path=out)
-    return b.spark.read.schema(stream.schema).parquet(out)
+    cuts = rows.select(us.alias("us")).approxQuantile("us", [i / parts for i in range(1, parts)], 0.001)
+    last = rows.agg((F.max("ts") + F.expr("interval 2 days")).alias("ts"))
+    beat = last.select(*(F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields)).where("ts is not null")
+    for low, high in [*zip([None, *cuts], [*cuts, None], strict=True), (None, None)]:
+        after = (us >= low) if low is not None else F.lit(True)
+        before = ((us < high) if high is not None else F.lit(True)) | (us.isNull() if low is None else F.lit(False))
+        some = beat if low is high is None and cuts else rows.where(F.coalesce(after, F.lit(False)) & F.coalesce(before, F.lit(True)))
+        some.repartitionByRange("ts").write.mode("append").parquet(path)
+        stream = build(streams.events_stream(spark, path, rows.schema))
+        streams.run_to_end(stream, checkpoint, path=out)
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 @query("select cve_id, yr as year from b_vuln")
@@ -38,7 +41,7 @@ def ingest_incremental(b: Bridge):
     """Landed pages into the year-partitioned table, several micro-batches."""
     pages, table = new_path(b.spark, "pages"), new_path(b.spark, "vulns")
     land_pages(b, pages)
-    stream = b.spark.readStream.schema(scans.VULN_PAGE).option("maxFilesPerTrigger", 8).json(pages).select(F.explode("vulnerabilities.cve").alias("v")).select(F.col("v.id").alias("cve_id"), F.year("v.published").alias("year"), F.col("v.published").alias("published"))
+    stream = scans.vuln_pages_stream(b.spark, pages, files=8, lines=True).select(F.col("id").alias("cve_id"), ids.year_of_id(F.col("id")).alias("year"), "published")
     streams.ingest(stream, new_path(b.spark, "ingest-checkpoint"), table)
     return b.spark.read.parquet(table).select("cve_id", "year")
 
@@ -51,35 +54,38 @@ def freshness_gate(b: Bridge):
 
 @query("select start, event_type, n, total from (select time_bucket(interval '5 minutes', cast(ts as timestamp)) as start, event_type, count(*) as n, cast(sum(cast(value as decimal(24,4))) as double) as total from events group by 1, 2)")
 def windowed_counters(b: Bridge):
-    """Windows of a stream come out once the watermark passes them; the last ones are added from a batch over the rows
-    whose window the watermark has not closed."""
-    stream = streams.windowed(landed(b), ["event_type"])
-    closed = collected(b, stream, "windows")
-    rest = streams.windowed(b.table("events"), ["event_type"])
-    open_ = rest.join(closed.select("start", "event_type"), ["start", "event_type"], "left_anti").select(*closed.columns)
-    return closed.union(open_)
+    """Windows of a stream, which come out once the watermark passes them."""
+    return replayed(b, b.table("events"), lambda e: streams.windowed(e, ["event_type"]), "windows")
+
+
+@query("""with e as (select event_type, value, time_bucket(interval '30 minutes', cast(ts as timestamp)) as s from events), w as (select event_type, value, s as start from e union all select event_type, value, s - interval '30 minutes' from e)
+select start, event_type, count(*) as n, cast(sum(cast(value as decimal(24,4))) as double) as total from w group by 1, 2""")
+def sliding_counters(b: Bridge):
+    """Windows of an hour that begin each half hour."""
+    return replayed(b, b.table("events"), lambda e: streams.windowed(e, ["event_type"], "1 hour", "30 minutes"), "sliding")
 
 
 @query("""with g as (select user_id, ts, case when ts - lag(ts) over w < interval '30 minutes' then 0 else 1 end as new from (select user_id, cast(ts as timestamp) as ts from events) window w as (partition by user_id order by ts)),
 s as (select user_id, ts, sum(new) over (partition by user_id order by ts) as s from g) select user_id, min(ts) as start, max(ts) + interval '30 minutes' as "end", count(*) as n from s group by user_id, s""")
 def session_counters(b: Bridge):
-    return streams.sessions(b.table("events"), "user_id")
+    """Sessions of a stream, which come out once the watermark passes their end."""
+    return replayed(b, b.table("events"), lambda e: streams.sessions(e, "user_id"), "sessions")
 
 
 @query(ALERTS)
 def stateful_alerts(b: Bridge):
-    e = landed(b).withColumn("component", F.col("user_id").cast("string"))
     v = F.col("value")
     severity = F.when(v >= 200, "critical").when(v >= 100, "high").when(v >= 30, "medium").otherwise("low")
-    return collected(b, streams.alert_stream(e.select("event_id", "ts", F.col("event_type").alias("category"), severity.alias("severity"))), "alerts")
+    build = lambda e: streams.alert_stream(e.where("event_id is not null").select("event_id", "ts", F.col("event_type").alias("category"), severity.alias("severity")))
+    return replayed(b, b.table("events"), build, "alerts")
 
 
 @query("select event_id, user_id, event_type from events")
 def dedupe_stream(b: Bridge):
     """Every third event is delivered twice."""
     rows = b.table("events")
-    stream = landed(b, rows=rows.union(rows.where("event_id % 3 = 0")))
-    return collected(b, streams.dedupe(stream, ["event_id"]).select("event_id", "user_id", "event_type"), "deduped")
+    twice = rows.union(rows.where("event_id % 3 = 0"))
+    return replayed(b, twice, lambda e: streams.dedupe(e.where("event_id is not null"), ["event_id"]).select("event_id", "user_id", "event_type"), "deduped")
 
 
 @query(LISTS_SQL)
@@ -102,9 +108,14 @@ def stream_enrich(b: Bridge):
 
 @query("select cast(event_id as varchar) as request_id from events where event_type = 'error'")
 def active_requests(b: Bridge):
-    """Each event starts a request, and all but errors end it: starts without an end."""
-    rows = b.table("events").select(F.col("event_id").cast("string").alias("request_id"), "ts", "event_type")
-    return streams.open_requests(rows.select("request_id", "ts"), rows.where("event_type <> 'error'").select("request_id", "ts")).select("request_id")
+    """Each event starts a request, and all but errors end it: starts without an end, of two streams."""
+
+    def build(e):
+        rows = e.select(F.col("event_id").cast("string").alias("request_id"), "ts", "event_type")
+        ends = rows.where("event_type is null or event_type <> 'error'")  # the last row moves both watermarks
+        return streams.open_requests(rows.select("request_id", "ts"), ends.select("request_id", "ts")).where("request_id is not null").select("request_id")
+
+    return replayed(b, b.table("events"), build, "requests")
 
 
 @query("select event_id, value * 2 as doubled from events")

@@ -8,6 +8,7 @@ from wardgraph.functions import status
 from wardgraph.operators import telemetry as t
 from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.registry import query
+from wardgraph.streaming.streams import open_requests
 
 DEC = "cast(sum(cast({} as decimal(24,4))) as double)"
 
@@ -30,6 +31,15 @@ def request_stats(b: Bridge):
     return t.request_stats(b.error)
 
 
+@query(f"select count(*) filter (event_id % 4 = 0) as active, count(*) filter (event_id % 4 <> 0) as completed, count(*) as total, round(count(*) filter (success and event_id % 4 <> 0) * 100.0 / count(*) filter (event_id % 4 <> 0), 2) as success_rate, round(cast(sum(cast(duration as decimal(24,4))) filter (event_id % 4 <> 0) as double) / count(*) filter (event_id % 4 <> 0), 3) as avg_duration from b_error")
+def request_stats_active(b: Bridge):
+    """A fourth of the requests have no end yet."""
+    requests = b.error.withColumn("request_id", F.col("event_id").cast("string"))
+    done = requests.where("event_id % 4 <> 0")
+    active = open_requests(requests.select("request_id", "ts"), done.select("request_id", "ts"))
+    return t.request_stats(done, active)
+
+
 @query(f"select count(*) as operations, {DEC.format('value')} as total_duration, cast(sum(user_id) as bigint) as total_items, round(avg(case when value > 0 then user_id / value else 0 end), 6) as mean_rate from events")
 def perf_summary(b: Bridge):
     rows = b.table("events").select(F.col("value").alias("duration"), F.col("user_id").alias("items"))
@@ -66,6 +76,7 @@ def histogram(b: Bridge):
     return t.histogram(samples(b))
 
 
+# fixed values: bounds of a histogram for durations in seconds
 OWN = (0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0)
 
 
@@ -157,7 +168,7 @@ def cache_ratio(b: Bridge):
 
 @query("select count(distinct user_id) as metrics, count(distinct event_type) as kinds, string_agg(distinct event_type, ',' order by event_type) as kind_list from events")
 def metrics_overview(b: Bridge):
-    return b.table("events").agg(F.count_distinct("user_id").alias("metrics"), F.count_distinct("event_type").alias("kinds"), F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("kind_list"))
+    return b.table("events").agg(F.count_distinct("user_id").alias("metrics"), F.count_distinct("event_type").alias("kinds"), F.array_join(F.sort_array(F.collect_set("event_type")), ",").alias("kind_list"))
 
 
 @query("select component, count(*) filter (success) as ok, count(*) filter (not success) as failed, case when count(*) filter (not success) = 0 then 'success' else 'partial' end as status from b_error group by component")
@@ -224,10 +235,6 @@ def batch_assign(b: Bridge):
 
 @query("select r_name as framework, cast(c_custkey as varchar) as technique_id from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey")
 def union_frameworks(b: Bridge):
-    cust = b.table("customer").join(b.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    names = b.table("region")
-    parts = [cust.where(F.col("n_regionkey") == k).join(names.where(F.col("r_regionkey") == k), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("framework"), F.col("c_custkey").cast("string").alias("technique_id")) for k in range(5)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    nation = b.table("nation").join(b.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    cust = b.table("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return cust.select(F.col("r_name").alias("framework"), F.col("c_custkey").cast("string").alias("technique_id"))
