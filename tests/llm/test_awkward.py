@@ -2,6 +2,8 @@
 
 import random
 import string
+import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_operators import SF, brute_components, docs_of
-from wardgraph.llm import ann, common, lang_id, near_dup, quality, secrets
+from wardgraph.llm import ann, chat, common, decontam, lang_id, materialise, near_dup, quality, secrets, tokens, url_rules
 
 ADDED = ["__id", "__lang", "__score", "__spans", "__secrets", "__quality", "__text", "__i", "__t", "row", "key", "node"]
 
@@ -210,3 +212,123 @@ def test_risk_and_its_gradient():
             sign = (lambda r: r[0] + r[1]) if want[1] >= 0 else (lambda r: -r[1])
             steps = [(sign(quality.risk(pos, unl, w + e, prior)) - sign(quality.risk(pos, unl, w - e, prior))) / 2e-6 for e in np.eye(5) * 1e-6]
             assert quality.slope(pos, unl, w, prior) == pytest.approx(steps, rel=1e-4, abs=1e-7)
+
+
+# rules of URLs
+
+
+def test_rules_supports_and_confidences_are_brute_force(spark):
+    rnd = random.Random(3)
+    urls = []
+    for _ in range(300):
+        host, path = rnd.choice(["a.b.net", "c.net", "b.org"]), "/" + "/".join(rnd.sample(["en", "es", "shop", "win", "77"], 2))
+        urls.append((host, path, None if rnd.random() < 0.3 else "block" if "win" in path or (host == "c.net" and rnd.random() < 0.9) else "allow"))
+    urls += [(None, None, None), ("", "", None), ("c.net", None, "block")]
+    support, confidence = 0.05, 0.6
+    got = {(r[0], r[1]): r[2:] for r in url_rules.UrlRules.fit(spark.createDataFrame(urls, "host string, path string, label string"), support, confidence).rules}
+    baskets = [(frozenset(url_rules.tokens(h, p)), label) for h, p, label in urls]
+    every = sorted({t for b, _ in baskets for t in b})
+    rules = {}
+    for n in (1, 2, 3):
+        for key in combinations(every, n):
+            has = [label for b, label in baskets if b.issuperset(key)]
+            for label in ("allow", "block"):
+                hit = has.count(label)
+                if has and hit / len(urls) >= support and hit / len(has) >= confidence:
+                    rules[key, label] = hit / len(has), hit / len(urls)
+    want = {}
+    for (key, label), (conf, sup) in rules.items():
+        if (key, "allow" if label == "block" else "block") in rules and rules[key, "allow" if label == "block" else "block"] > (conf, sup):
+            continue
+        if not any(v == label and set(k) < set(key) and c[0] >= conf for (k, v), c in want.items()):
+            want[key, label] = conf, sup
+    assert got.keys() == want.keys() and len(got) > 5
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_labelled_pages_that_were_held_out(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    rows = pages.select("page_id", url_rules.host_of(F.col("url")).alias("host"), url_rules.path_of(F.col("url")).alias("path"))
+    verdict = F.create_map(*(F.lit(x) for h, p, v in url_rules.HOST_RULES for x in (h + p, v)))
+    rows = rows.withColumn("label", verdict[url_rules.fixed_rule(F.col("host"), F.col("path"))])
+    held = common.held_out("page_id", 5, 0)
+    model = url_rules.UrlRules.fit(rows.where(~held))
+    judged = [(r.label, model.judge(r.host, r.path)[0]) for r in rows.where(held).collect()]
+    blocked, block = [a for a, b in judged if b == "block" and a], [b for a, b in judged if a == "block"]
+    assert blocked.count("block") / len(blocked) >= 0.8 and block.count("block") / len(block) >= 0.8
+    # where no label says so, few are blocked
+    other = [b for a, b in judged if a is None]
+    assert other.count("block") / len(other) <= 0.2
+
+
+def test_judged_pages_keep_their_columns(spark):
+    pages = spark.createDataFrame([("a.org", "/x/", "own"), (None, None, None), ("a.org", "/x/", "own")], "__host string, __path string, __verdict string")
+    out = url_rules.judged(pages, url_rules.UrlRules([(("path:x",), "block", 1.0, 0.5)]))
+    assert out.columns == ["__host", "__path", "__verdict", "___verdict", "__mined", "__confidence"]
+    want = [(None, None, None, "allow", None, None), *[("a.org", "/x/", "own", "block", "path:x", 1.0)] * 2]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+
+
+# shards
+
+
+def test_slots_are_in_order_of_the_permutation(spark, tmp_path):
+    rows = [(i, f"text number {i} " * (i % 40), "en", "") for i in range(200)]
+    docs_of(spark, rows).repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs, path, length = spark.read.parquet(f"{tmp_path}/docs").select("text"), f"file://{tmp_path}/shards", 64
+    enc = tokens.loaded(tokens.ByteBpe, tokens.BYTE_BPE)
+    parts = {}
+    for r in docs.select("text", F.spark_partition_id().alias("p")).collect():
+        parts.setdefault(r.p, []).append(r.text)
+    n, placed = 0, []
+    sizes = {p: sum(len(t.encode()) + 1 for t in ts) // length + 1 for p, ts in sorted(parts.items())}
+    order = materialise.Permutation(sum(sizes.values()), 9)
+    for p, ts in sorted(parts.items()):
+        ids = np.concatenate([np.append(np.frombuffer(enc.encode(t), "<u2"), 50256) for t in ts])
+        for i in range(0, len(ids), length):
+            placed.append((int(order(np.array([n + i // length]))[0]), ids[i : i + length]))
+        n += sizes[p]
+    want = [ids for _, ids in sorted(placed, key=lambda x: x[0])]
+    for _ in range(2):  # the second time over the files of the first
+        got = sorted(materialise.write_training_order(docs, path, key=9, length=length, per_shard=32).collect(), key=lambda r: r.slot)
+        assert [r.slot for r in got] == list(range(len(want))) and [r.tokens for r in got] == [len(x) for x in want]
+        assert [r.ids_crc32 for r in got] == [zlib.crc32(x.astype("<u2").tobytes()) for x in want]
+        index = sorted({(min(x.slot for x in got if x.shard == r.shard), r.shard) for r in got})
+        data = materialise.read_training_order(index, path, 0, len(want), length)
+        assert all((d[: len(x)] == x).all() and (d[len(x) :] == 50256).all() for d, x in zip(data, want, strict=True))
+        assert (materialise.read_training_order(index, path, 5, 40, length) == data[5:45]).all()
+    assert len(index) == len([f for f in (tmp_path / "shards").rglob("part-*") if not f.name.startswith(".")])
+    with pytest.raises(IndexError):
+        materialise.read_training_order(index, path, len(want), 1, length)
+
+
+# windows of items
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(decontam, "row_hashes", lambda rows: np.zeros(len(rows), np.uint64))
+    index = decontam.Index([("a", "one two three four five six seven eight nine ten"), ("b", "q w e r t y u i o p a s")])
+    assert index.find("x Q w e r t y u i o p a s one two")[1:] == ([{"start": 1, "end": 13}], ["b"])
+    assert index.find("one two three four five six seven eight nine ten q")[1:] == ([{"start": 0, "end": 10}], ["a"])
+
+
+def test_long_items_are_cut_without_losing_a_window(spark):
+    rnd = random.Random(1)
+    words = [f"w{rnd.randrange(500)}" for _ in range(3000)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "short one")], "item_id long, text string")
+    docs = docs_of(spark, [(i, " ".join(words[i : i + 10]), "en", "") for i in range(0, 2991, 7)] + [(9999, "w1 w2", "en", "")])
+    got = decontam.contamination(docs, items, block_bytes=2000).collect()
+    assert all((r["items"] == ["1"]) == (r.doc_id != 9999) and r.n_words == (2 if r.doc_id == 9999 else 10) for r in got)
+    assert all(sum(s.end - s.start for s in r.spans) == 10 for r in got if r.doc_id != 9999)
+
+
+# chat
+
+
+def test_chat_ids_and_offsets_are_the_tokenizers_own():
+    own, whole = chat.Encoder(chat.TOKENIZER), chat.tokenizer(chat.TOKENIZER)
+    for text in ["", "é ́ ﬁ ½²Ⅷ🙂👍🏽 日本語　x\x00\x07 \n\n  a", chat.render([("user", "a<|im_end|>é"), ("assistant", " 🙂 ")])[0], "it's  \t x" * 50]:
+        ids, offsets = own.encode(text)
+        want = whole.encode(text, add_special_tokens=False)
+        assert ids.tolist() == want.ids and list(map(tuple, offsets.tolist())) == want.offsets
+        assert own.decode(ids.tolist()) == text

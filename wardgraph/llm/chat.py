@@ -11,6 +11,7 @@ in another task.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from itertools import groupby
@@ -21,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardgraph.llm.tokens import BYTE_LEVEL
+
 TOKENIZER = "byte_bpe_50k.json"
 START, SEP, STOP = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Turn numbers of a stretch, and characters that are rendered and encoded at once.
@@ -30,11 +33,11 @@ _TURN = re.compile(re.escape(START) + "(.*?)" + re.escape(SEP) + "(.*?)" + re.es
 
 
 def escape(text: str) -> str:
-    return _TO.sub(lambda m: "<\\" + m[1] + "|", text)
+    return _TO.sub(lambda m: "<\\" + m[1] + "|", text) if "<" in text else text
 
 
 def unescape(text: str) -> str:
-    return _BACK.sub(lambda m: "<" + m[1] + "|", text)
+    return _BACK.sub(lambda m: "<" + m[1] + "|", text) if "<" in text else text
 
 
 def render(turns: list[tuple[str, str]]) -> tuple[str, np.ndarray]:
@@ -74,13 +77,49 @@ def under_mask(formatted: str, offsets: np.ndarray, mask: np.ndarray) -> Iterato
             done = end
 
 
-_TOKENIZER: dict = {}
+class Encoder:
+    """The same ids and offsets as tokenizer(name) gives, by ranks: for byte-level vocabularies whose ids follow the merges.
+    A token's place follows from the bytes of those before it; one that holds part of a character's bytes covers it."""
+
+    def __init__(self, name: str):
+        import tiktoken
+
+        with open(name if "/" in name else public_tokenizers.path(name), encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, merges = model["vocab"], ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        made = [vocab[m] for m in merges]
+        if made != sorted(made):
+            raise ValueError(f"the ids of {name} don't follow its merges")
+        back = {chr(c): b for b, c in BYTE_LEVEL.items()}
+        ranks = {bytes(map(back.__getitem__, token)): vocab[token] for token in (*back, *merges)}
+        whole = tokenizer(name)
+        special = {s: whole.token_to_id(s) for s in (START, SEP, STOP)}
+        self.encoding = tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.sizes = np.zeros(max(special.values()) + 1, np.int32)
+        for token, i in (*ranks.items(), *((s.encode(), i) for s, i in special.items())):
+            self.sizes[i] = len(token)
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, and start and end of each in code points."""
+        ids = np.array(self.encoding.encode(text, allowed_special="all"), np.int32)
+        ends = np.cumsum(self.sizes[ids], dtype=np.int32)
+        starts = ends - self.sizes[ids]
+        if len(ids) and not text.isascii():
+            at = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80, dtype=np.int32)  # characters begun up to each byte
+            starts, ends = at[starts] - 1, at[ends - 1]
+        return ids, np.stack([starts, ends], axis=1)
+
+    def decode(self, ids: list[int], skip_special_tokens: bool = False) -> str:
+        return self.encoding.decode_bytes(ids).decode()
+
+
+_LOADED: dict = {}
 
 
-def _loaded(name: str):
-    if name not in _TOKENIZER:
-        _TOKENIZER[name] = tokenizer(name)
-    return _TOKENIZER[name]
+def _loaded(name: str) -> Encoder:
+    if name not in _LOADED:
+        _LOADED[name] = Encoder(name)
+    return _LOADED[name]
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int | None, int | None], list[tuple[str, str]]]]:
@@ -107,9 +146,8 @@ def _format(name: str):
             part = part + 1 if key == last else 0
             last = key
             text, spans = render(turns)
-            enc = tok.encode(text, add_special_tokens=False)
-            offsets = np.array(enc.offsets, np.int32).reshape(-1, 2)
-            for col, v in zip(cols, (*key, part, text, np.array(enc.ids, np.int32), offsets[:, 0], offsets[:, 1], masked(offsets, spans)), strict=True):
+            ids, offsets = tok.encode(text)
+            for col, v in zip(cols, (*key, part, text, ids, offsets[:, 0], offsets[:, 1], masked(offsets, spans)), strict=True):
                 col.append(v)
             if sum(map(len, cols[3])) > STRETCH_CHARS:
                 yield _batch(cols)

@@ -24,7 +24,7 @@ _CASED = re.compile("[\u0130\u03a3]")
 _REMAPPED = re.compile("[^\x21-\x7e]")
 #: Byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for U+0100 and on, in order.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_LEVEL = {b: b for b in _SHOWN} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
+BYTE_LEVEL = {b: b for b in _SHOWN} | {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
 
 
 class Cache(dict):
@@ -58,7 +58,7 @@ class WordBpe:
         return np.array(ids, self.kind).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(_BYTE_LEVEL) if _REMAPPED.search(piece) else piece
+        mapped = piece.encode().decode("latin-1").translate(BYTE_LEVEL) if _REMAPPED.search(piece) else piece
         return self._packed([t.id for t in self.model.tokenize(mapped)])
 
     def _word(self, word: str) -> bytes:
