@@ -9,7 +9,6 @@ the samples of a fifth of the documents, scored by models of the other four.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -107,20 +106,19 @@ def _sample_ratios(model):
     return run
 
 
-def chosen_limits(n: np.ndarray, false_rate: float) -> tuple[float, float] | None:
-    """Samples by label, steps of total and of mean -> the least total and mean that find most secrets among those that
-    hit at most false_rate of the ordinary runs, the total being no less than the log of how many ordinary runs there are
-    a secret; of equals the strictest. None if there are no secrets, or too few ordinary runs for one false hit."""
+def chosen_limits(n: np.ndarray, false_rate: float, least: int, least_mean: float) -> tuple[float, float, float] | None:
+    """Samples by label, steps of total and of mean -> the limits, at least those given, that find most secrets among those
+    that hit at most false_rate of the ordinary runs, of equals the lowest; and the share of secrets that they find. None
+    if there are no secrets, or too few ordinary runs for one false hit."""
     secrets, ordinary = (int(x.sum()) for x in n)
     if not secrets or ordinary * false_rate < 1:
         return None
     above = n[:, ::-1, ::-1].cumsum(axis=1).cumsum(axis=2)[:, ::-1, ::-1]  # samples of at least each total and mean
-    low = max(1, math.ceil(math.log(max(1, ordinary / secrets))))
-    fit = [(int(above[0, t, m]), m, t) for m in range(1, 9) for t in range(low, _TOTALS) if above[1, t, m] <= ordinary * false_rate]
+    fit = [(-int(above[0, t, m]), t, m) for t in range(least, _TOTALS) for m in range(int(4 * least_mean), 13) if above[1, t, m] <= ordinary * false_rate]
     if not fit:
         return None
-    _, m, t = max(fit)
-    return float(t), m / 4
+    found, t, m = min(fit)
+    return float(t), m / 4, -found / secrets
 
 
 @dataclass
@@ -131,6 +129,7 @@ class SecretModel:
     ratio: np.ndarray
     least: float = 20.0
     least_mean: float = 1.0
+    recall: float | None = None  # share of the held-out secrets that the limits find, if they were chosen on samples
 
     def __post_init__(self):
         self.pairs = np.zeros((_N, _N))  # 0 for pairs that are not within a run
@@ -138,11 +137,11 @@ class SecretModel:
         self.pairs = self.pairs.ravel()
 
     @classmethod
-    def fit(cls, docs: DataFrame, false_rate: float = 1e-5) -> SecretModel:
+    def fit(cls, docs: DataFrame, false_rate: float = 1e-6) -> SecretModel:
         """Counts over all texts; what comes to the driver has at most 4 * 95 * 95 rows, and as many as there are steps of
-        ratios. The limits are chosen on samples of held-out texts (by crc32 of the text) with at most false_rate false
-        hits a run; where there are no secrets or under 1 / false_rate ordinary runs among those, the defaults hold.
-        Without a sample of either kind its model is uniform."""
+        ratios. The limits are raised from the defaults as far as samples of held-out texts (by crc32 of the text) ask for,
+        so that at most false_rate of the ordinary runs are hit; where there are no secrets or under 1 / false_rate ordinary
+        runs among those, the defaults hold. Without a sample of either kind its model is uniform."""
         docs = with_string_text(docs)
         held = F.coalesce(F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(5)) == 0, F.lit(False))
         rows = docs.select("text", held.alias("held")).mapInArrow(_counts, "held int, label int, pair int, n long").groupBy("held", "label", "pair").agg(F.sum("n").alias("n")).collect()
@@ -157,9 +156,9 @@ class SecretModel:
             seen = np.zeros((2, _TOTALS + 1, _MEANS + 1), np.int64)
             for r in steps:
                 seen[r.label, r.total, r.mean] = r.n
-            limits = chosen_limits(seen, false_rate)
+            limits = chosen_limits(seen, false_rate, int(cls.least), cls.least_mean)
             if limits:
-                model.least, model.least_mean = limits
+                model.least, model.least_mean, model.recall = limits
         return model
 
     @staticmethod
