@@ -124,17 +124,25 @@ def _shards(length: int):
     return run
 
 
+def _records(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (shard, content), a file each -> a row a record. The closing mark of a file is shorter than a record."""
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data = memoryview(content.as_buffer())
+                at = range(0, len(data) - size + 1, size)
+                tokens = [int.from_bytes(data[s : s + 2], "big") for s in at]
+                crc = [zlib.crc32(data[s + 2 : s + 2 + 2 * n]) for s, n in zip(at, tokens, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(at), pa.int64()), pa.array(at, pa.int64()), pa.array(tokens, pa.int32()), pa.array(crc, pa.int64())], names=["shard", "byte_offset", "tokens", "ids_crc32"])
+
+    return run
+
+
 def manifest(spark: SparkSession, path: str, length: int = LENGTH) -> DataFrame:
     """What the shard files below path hold: shard, byte_offset, tokens, ids_crc32, one row a record."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
-    size = stride(length)
-    record = lambda at: F.substring("content", at, size)
-    tokens = lambda r: F.conv(F.hex(F.substring(r, 1, 2)), 16, 10).cast("int")
-    starts = F.sequence(F.lit(1), F.length("content") - size + 1, F.lit(size))
-    # the closing mark of a file is shorter than a record
-    records = F.transform(F.when(F.length("content") >= size, starts), lambda at: F.struct((at - 1).cast("long").alias("byte_offset"), tokens(record(at)).alias("tokens"), F.crc32(F.substring(record(at), F.lit(3), tokens(record(at)) * 2)).alias("ids_crc32")))
-    rows = files.select(F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("long").alias("shard"), records.alias("r"))
-    return rows.select("shard", F.explode("r").alias("r")).select("shard", "r.*")
+    files = files.select(F.regexp_extract("path", r"/shard=(\d+)/", 1).cast("long").alias("shard"), "content")
+    return files.mapInArrow(_records(stride(length)), "shard long, byte_offset long, tokens int, ids_crc32 long")
 
 
 def shard_index(manifest: DataFrame) -> DataFrame:
