@@ -80,6 +80,7 @@ def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: D
     named = category_map.groupBy("cwe_id").agg(F.collect_set("category_id").alias("owasp"))
     lists = written(below.join(named, "cwe_id", "full_outer"), "lists")
     size = lists.agg(F.sum(reduce(lambda a, b: a + b, (F.coalesce(F.size(c), F.lit(0)) for c in LISTS[1:])))).first()[0] or 0
+    facts = written(facts.select("cve_id", "cwe_id"), "facts")
     up = facts.join(parents, "cwe_id").select("cve_id", F.col("parent_id").alias("cwe_id"), F.lit(False).alias("direct"))
     rows = facts.select("cve_id", "cwe_id", F.lit(True).alias("direct")).union(up).unionByName(ids.select("cve_id"), allowMissingColumns=True)
     if size <= most:
