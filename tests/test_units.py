@@ -269,3 +269,18 @@ def test_a_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
     context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://somewhere:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         tables.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))
+
+
+def test_scratch_tables_go_at_its_end(spark):
+    from wardgraph.sources.tables import scratch, written
+
+    with scratch(spark):
+        with scratch(spark):
+            gone, inner = written(spark.range(3), "gone"), written(spark.range(4), "inner", keep=True)
+            assert gone.count() == 3
+        assert inner.count() == 4
+        kept = written(spark.range(5), "kept", keep=True)
+    assert kept.count() == 5
+    for df in (gone, inner):
+        with pytest.raises(Exception, match="(?i)not.?exist|FILE_NOT"):
+            df.collect()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,16 +21,41 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Paths written inside each scratch() that is open.
+_OPEN: list[list[str]] = []
+
+
+def _at(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing uses yet; it goes when the session ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    at, fs = _at(spark, path)
+    fs.deleteOnExit(at)
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage is cut, and a lost executor costs nothing."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written inside go at its end, but those that are to be kept."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            at, fs = _at(spark, path)
+            fs.delete(at, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """df as a table in the shared folder: its lineage is cut, and a lost executor costs nothing. keep: beyond the scratch()
+    it is written in."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    inside = _OPEN[:-1] if keep else _OPEN
+    if inside:
+        inside[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
