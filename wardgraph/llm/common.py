@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardgraph.sources.tables import new_path, shared_dir, written
+from wardgraph.sources.tables import new_path, scratch, shared_dir, written
 
-__all__ = ["free_names", "held_out", "new_path", "own_columns", "sample_by_hash", "shared_dir", "text_key", "with_string_text", "written"]
+__all__ = ["free_names", "held_out", "new_path", "own_columns", "sample_by_hash", "scratch", "shared_dir", "text_key", "with_string_text", "written"]
 
 
 def sample_by_hash(df: DataFrame, keys: list[str], k: int) -> DataFrame:

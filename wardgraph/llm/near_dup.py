@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgraph.llm.common import free_names, own_columns, text_key, with_string_text, written
+from wardgraph.llm.common import free_names, own_columns, scratch, text_key, with_string_text, written
 
 FEATURES = "n_shingles long, k1 long, k2 long, a array<long>, b array<long>"
 #: Bounds of a block: shingles and classes. A class of more shingles is a block of its own.
@@ -224,10 +224,15 @@ def classified(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100,
     small_keys: up to so many block keys of candidates are broadcast to pick their texts; beyond, texts and keys meet in
     a shuffle.
     """
+    with scratch(docs.sparkSession):
+        return _classified(docs, shingle, num, den, halves, rows, seed, small_keys)
+
+
+def _classified(docs: DataFrame, shingle: int, num: int, den: int, halves: int, rows: int, seed: int, small_keys: int) -> tuple[DataFrame, DataFrame]:
     docs = with_string_text(docs).select("doc_id", "text", text_key().alias("key"))
     row = F.struct(F.isnull("doc_id").alias("none"), "doc_id", F.col("key").alias("text"))
     keyed = docs.select(row.alias("row"), "text")
-    feats = written(keyed.mapInArrow(_features(shingle, halves, rows, seed), f"row {keyed.schema['row'].dataType.simpleString()}, {FEATURES}"), "features")
+    feats = written(keyed.mapInArrow(_features(shingle, halves, rows, seed), f"row {keyed.schema['row'].dataType.simpleString()}, {FEATURES}"), "features", keep=True)
     # one row a shingle set; its number is any that no other has, fixed by being written
     classes = feats.where("n_shingles > 0").groupBy("k1", "k2").agg(F.min("row").alias("top"), F.first("n_shingles").alias("n_shingles"), F.first("a").alias("a"), F.first("b").alias("b"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -236,7 +241,7 @@ def classified(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100,
     tops = written(linked.groupBy("comp").agg(F.min("top").alias("of")), "tops")
     linked = written(linked.select("k1", "k2", "comp"), "linked").join(tops, "comp").select("k1", "k2", "of")
     of = classes.select("k1", "k2", "top").join(linked, ["k1", "k2"], "left").select("k1", "k2", F.coalesce("of", "top").alias("top"))
-    return feats, written(of, "of")
+    return feats, written(of, "of", keep=True)
 
 
 def _components(docs: DataFrame, classes: DataFrame, shingle: int, num: int, den: int, small_keys: int) -> DataFrame:
