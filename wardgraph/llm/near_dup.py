@@ -209,12 +209,14 @@ def deduplicated(docs: DataFrame, **how) -> DataFrame:
     stay. Rows of the same doc_id and text are one document, of which one row stays."""
     docs = with_string_text(docs)
     feats, of = classified(docs, **how)
-    name, i, t = free_names(docs, "__text", "__i", "__t")
-    kept = of.select("top").distinct().select(F.col("top.doc_id").alias(i), F.col("top.text").alias(t))
-    kept = kept.union(feats.where("n_shingles = 0").select("row.doc_id", "row.text").distinct())
-    # rows of one document are put together before they are shuffled
-    rows = docs.withColumn(name, text_key()).dropDuplicates(["doc_id", name])
-    return rows.join(kept, F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(name) == F.col(t)), "left_semi").select(*own_columns(docs))
+    k, a, b = free_names(docs, "__text", "__a", "__b")
+    # 128 bits of a document: its id and text
+    key = lambda i, t: [F.xxhash64(F.lit(x), i, F.isnull(i), f"{t}.a", f"{t}.b").alias(name) for x, name in (("a", a), ("b", b))]
+    kept = of.select(*key("top.doc_id", "top.text")).distinct()
+    kept = kept.union(feats.where("n_shingles = 0").select(*key("row.doc_id", "row.text")).distinct())
+    # rows of one document are put together before they are shuffled; the join takes the same key, so texts move once
+    rows = docs.withColumn(k, text_key()).select(*own_columns(docs), *key("doc_id", k)).dropDuplicates([a, b])
+    return rows.join(kept, [a, b], "left_semi").select(*own_columns(docs))
 
 
 def classified(docs: DataFrame, shingle: int = 4, num: int = 80, den: int = 100, halves: int = 20, rows: int = 5, seed: int = 11, small_keys: int = 500_000) -> tuple[DataFrame, DataFrame]:
