@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardgraph.llm import ann, chat, decontam, lang_id, materialise, near_dup, packing, quality, secrets, url_rules
+from wardgraph.llm import ann, chat, decontam, lang_id, materialise, near_dup, packing, quality, secrets, spelling, url_rules
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,7 @@ QUERIES = {
         ann.op8_nearest,
         near_dup.op9_near_dedup,
         quality.op10_quality,
+        spelling.op13_spelling,
     )
 }
-ORACLES = {"op2_decontaminate": decontam.OP2_SQL, "op7_chat_format": chat.OP7_SQL, "op8_nearest": ann.OP8_SQL, "op9_near_dedup": near_dup.OP9_SQL}
+ORACLES = {"op2_decontaminate": decontam.OP2_SQL, "op7_chat_format": chat.OP7_SQL, "op8_nearest": ann.OP8_SQL, "op9_near_dedup": near_dup.OP9_SQL, "op13_spelling": spelling.OP13_SQL}
