@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardgraph.llm import ann, chat, decontam, lang_id, materialise, near_dup, packing, quality, secrets, spelling, url_rules
+from wardgraph.llm import ann, chat, decontam, lang_id, lexical, materialise, maxscore, near_dup, packing, quality, secrets, spelling, url_rules
 
 QUERIES = {
     f.__name__: f
@@ -17,7 +17,9 @@ QUERIES = {
         ann.op8_nearest,
         near_dup.op9_near_dedup,
         quality.op10_quality,
+        lexical.op11_lexical,
+        maxscore.op12_top_products,
         spelling.op13_spelling,
     )
 }
-ORACLES = {"op2_decontaminate": decontam.OP2_SQL, "op7_chat_format": chat.OP7_SQL, "op8_nearest": ann.OP8_SQL, "op9_near_dedup": near_dup.OP9_SQL, "op13_spelling": spelling.OP13_SQL}
+ORACLES = {"op2_decontaminate": decontam.OP2_SQL, "op7_chat_format": chat.OP7_SQL, "op8_nearest": ann.OP8_SQL, "op9_near_dedup": near_dup.OP9_SQL, "op11_lexical": lexical.OP11_SQL, "op12_top_products": maxscore.OP12_SQL, "op13_spelling": spelling.OP13_SQL}
