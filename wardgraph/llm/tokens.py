@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -76,6 +77,30 @@ class WordBpe:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
+#: A run of white space of this length is taken out of a text before the splitting pattern, which looks ahead of each and would
+#: run out of stack at some ten times that.
+LONG_RUN = 100_000
+#: The pattern for a part that is one piece.
+WHOLE = "(?s:.+)"
+_LONG = re.compile(r"[^\S\x1c-\x1f]{%d,}" % LONG_RUN)
+
+
+def stretches(text: str, ends: tuple[str, ...] = ()) -> Iterator[tuple[str, bool]]:
+    """The text in order as (part, whole): a long run of white space is whole, that is one piece of the pattern, but for its last
+    character where a text goes on: that begins the next piece. A text does not go on at one of the control strings `ends`."""
+    done = 0
+    if len(text) >= LONG_RUN:
+        for m in _LONG.finditer(text):
+            a, b = m.span()
+            b -= b < len(text) and not text.startswith(ends, b)
+            if done < a:
+                yield text[done:a], False
+            yield text[a:b], True
+            done = b
+    if done < len(text):
+        yield text[done:], False
+
+
 class ByteBpe:
     """Ids of a `tiktoken` vocabulary, as little-endian bytes of `kind`."""
 
@@ -84,11 +109,11 @@ class ByteBpe:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding, self.whole = (tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) for name, pattern in (("own", public_tokenizers.PATTERN), ("whole", WHOLE)))
         self.kind = np.dtype(kind)
 
     def encode(self, text: str | None) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), self.kind).tobytes() if text else b""
+        return b"".join(np.array((self.whole if run else self.encoding).encode_ordinary(part), self.kind).tobytes() for part, run in stretches(text or ""))
 
 
 _LOADED: dict = {}
