@@ -126,17 +126,24 @@ def planted(rnd, n):
 def test_limits_are_chosen_on_held_out_samples(spark):
     rows, keys = planted(random.Random(6), 600)
     docs = docs_of(spark, rows)
-    model = secrets.SecretModel.fit(docs, false_rate=1e-3)
-    assert model.recall >= 0.95 and model.least >= 20.0 and model.least_mean >= 1.0
+    least, least_mean, recall = secrets.SecretModel.limits(docs, false_rate=1e-3)
+    assert recall >= 0.95 and least >= 20.0 and least_mean >= 1.0
+    model = secrets.SecretModel.fit(docs, least, least_mean)
     texts = {i: t for i, t, *_ in rows}
     found = {r.doc_id: [(texts[r.doc_id][s.start : s.end], s.ratio) for s in r["__spans"] if s.kind == "markov"] for r in secrets.secret_spans(docs, model).collect()}
     hits = [(i, s) for i, v in found.items() for s, _ in v]
     right = sum(keys.get(i) == s for i, s in hits)
     assert right / len(keys) >= 0.95 and right / len(hits) >= 0.95  # recall and precision of keys that no pattern finds
     assert all(ratio >= model.least for v in found.values() for _, ratio in v)
-    # without enough samples the defaults hold
-    small = secrets.SecretModel.fit(docs.limit(20))
-    assert (small.least, small.least_mean, small.recall) == (20.0, 1.0, None)
+
+
+def test_limits_are_the_same_at_every_size(spark):
+    rows, keys = planted(random.Random(6), 600)
+    for n in (10, 600):
+        model = secrets.SecretModel.fit(docs_of(spark, rows[:n]))
+        assert (model.least, model.least_mean) == (secrets.LEAST, secrets.LEAST_MEAN)
+        found = [r for r in secrets.secret_spans(docs_of(spark, rows[:n]), model).collect() if any(s.kind == "markov" for s in r["__spans"])]
+        assert {r.doc_id for r in found} == {i for i in keys if i < n}
 
 
 def test_chosen_limits_are_the_best_of_all():
@@ -152,7 +159,10 @@ def test_chosen_limits_are_the_best_of_all():
             if hits(1, t, m / 4) <= 5:
                 assert hits(0, t, m / 4) < hits(0, total, mean) or (hits(0, t, m / 4) == hits(0, total, mean) and (t, m / 4) >= (total, mean))
     assert secrets.chosen_limits(n, 1e-3, 30, 1.0)[:2] == (30.0, 1.0)
-    assert secrets.chosen_limits(n * 0, 1e-3, 3, 0.25) is None and secrets.chosen_limits(n, 1e-9, 3, 0.25) is None
+    # the strictest where none is strict enough, the lowest where there is nothing to find
+    n[1, 399, 39] += 5000
+    assert secrets.chosen_limits(n, 1e-3, 3, 0.25) == (secrets._TOTALS - 1.0, 3.0, 0.0)
+    assert secrets.chosen_limits(n * 0, 1e-3, 3, 0.25) == (3.0, 0.25, 0.0)
 
 
 def test_redaction_is_linear_and_covers_every_span():

@@ -3,8 +3,8 @@
 The patterns' own hits are the labelled samples: what they capture trains the model of random strings, all other runs
 of visible ASCII train the model of ordinary text and identifiers, but those that look like keys. Both are first-order
 character models whose counts are taken over all documents. A run of key-like characters outside the pattern hits, of
-whatever length, is a secret when the log-likelihood ratio of the two models says so; from which ratio on is chosen on
-the samples of a fifth of the documents, scored by models of the other four.
+whatever length, is a secret when the log-likelihood ratio of the two models says so. From which ratio on is a parameter;
+`SecretModel.limits` measures what samples of held-out documents would ask for.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ _CODE = np.full(256, _END, np.uint8)
 _CODE[0x21:0x7F] = np.arange(94)
 _KEY = np.array([chr(c + 0x21).isalnum() or chr(c + 0x21) in "+/_=-" for c in range(94)] + [False])
 SPANS = ArrayType(StructType().add("kind", "string").add("start", "integer").add("end", "integer").add("ratio", "double"))
+#: Least ratio of a secret, in total and a character: on 0.1 GB of invented prose some two of a million runs have it, most of them random letters.
+LEAST, LEAST_MEAN = 20.0, 1.0
 #: Ratios of samples are counted in steps of 1 in total and of 1 / 4 a character, up to these.
 _TOTALS, _MEANS = 400, 40
 
@@ -59,24 +61,24 @@ def _codes(text: str) -> np.ndarray:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, held -> a row for each pair of characters that a task has met: held, label (0 in values, 1 outside), count."""
-    n = np.zeros((2, 2, _N * _N), np.int64)
+    """text -> a row for each pair of characters that a task has met: label (0 in values, 1 outside), pair, count."""
+    n = np.zeros((2, _N * _N), np.int64)
     for batch in batches:
-        for text, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for text in batch.column(0).to_pylist():
             if not text:
                 continue
-            code, own = _codes(text), n[int(held)]
+            code = _codes(text)
             for start, _, end, value in base_spans(text):
                 c = code[value:end].astype(np.int32)
-                own[0] += np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
+                n[0] += np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
                 code[start:end] = _END
             for start, end in _likely(text):  # these train neither model
                 code[start:end] = _END
             for at in range(0, len(code), 1 << 20):
                 c = code[at : at + (1 << 20) + 1].astype(np.int32)
-                own[1] += np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
-    held, label, pair = np.nonzero(n)
-    yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int32)) for c in (held, label, pair)), pa.array(n[held, label, pair])], names=["held", "label", "pair", "n"])
+                n[1] += np.bincount(c[:-1] * _N + c[1:], minlength=_N * _N)
+    label, pair = np.nonzero(n)
+    yield pa.RecordBatch.from_arrays([*(pa.array(c.astype(np.int32)) for c in (label, pair)), pa.array(n[label, pair])], names=["label", "pair", "n"])
 
 
 def _sample_ratios(model):
@@ -106,19 +108,15 @@ def _sample_ratios(model):
     return run
 
 
-def chosen_limits(n: np.ndarray, false_rate: float, least: int, least_mean: float) -> tuple[float, float, float] | None:
+def chosen_limits(n: np.ndarray, false_rate: float, least: int, least_mean: float) -> tuple[float, float, float]:
     """Samples by label, steps of total and of mean -> the limits, at least those given, that find most secrets among those
-    that hit at most false_rate of the ordinary runs, of equals the lowest; and the share of secrets that they find. None
-    if there are no secrets, or too few ordinary runs for one false hit."""
+    that hit at most false_rate of the ordinary runs, of equals the lowest; and the share of secrets that they find (0
+    without any). Where no limits are that strict, the strictest."""
     secrets, ordinary = (int(x.sum()) for x in n)
-    if not secrets or ordinary * false_rate < 1:
-        return None
     above = n[:, ::-1, ::-1].cumsum(axis=1).cumsum(axis=2)[:, ::-1, ::-1]  # samples of at least each total and mean
-    fit = [(-int(above[0, t, m]), t, m) for t in range(least, _TOTALS) for m in range(int(4 * least_mean), 13) if above[1, t, m] <= ordinary * false_rate]
-    if not fit:
-        return None
-    found, t, m = min(fit)
-    return float(t), m / 4, -found / secrets
+    steps = [(t, m) for t in range(least, _TOTALS) for m in range(int(4 * least_mean), 13)]
+    found, t, m = min(((-int(above[0, t, m]), t, m) for t, m in steps if above[1, t, m] <= ordinary * false_rate), default=(-int(above[0, steps[-1][0], steps[-1][1]]), *steps[-1]))
+    return float(t), m / 4, -found / max(secrets, 1)
 
 
 @dataclass
@@ -127,9 +125,8 @@ class SecretModel:
     `least_mean` a character."""
 
     ratio: np.ndarray
-    least: float = 20.0
-    least_mean: float = 1.0
-    recall: float | None = None  # share of the held-out secrets that the limits find, if they were chosen on samples
+    least: float = LEAST
+    least_mean: float = LEAST_MEAN
 
     def __post_init__(self):
         self.pairs = np.zeros((_N, _N))  # 0 for pairs that are not within a run
@@ -137,29 +134,30 @@ class SecretModel:
         self.pairs = self.pairs.ravel()
 
     @classmethod
-    def fit(cls, docs: DataFrame, false_rate: float = 1e-6) -> SecretModel:
-        """Counts over all texts; what comes to the driver has at most 4 * 95 * 95 rows, and as many as there are steps of
-        ratios. The limits are raised from the defaults as far as samples of held-out texts (by crc32 of the text) ask for,
-        so that at most false_rate of the ordinary runs are hit; where there are no secrets or under 1 / false_rate ordinary
-        runs among those, the defaults hold. Without a sample of either kind its model is uniform."""
+    def fit(cls, docs: DataFrame, least: float = LEAST, least_mean: float = LEAST_MEAN) -> SecretModel:
+        """Counts over all texts; what comes to the driver has at most 2 * 95 * 95 rows. The limits are parameters and the same for
+        a table of any size; `limits` says what held-out samples ask for. Without a sample of either kind its model is uniform."""
+        return cls(cls._ratio(cls._pairs(docs)), least, least_mean)
+
+    @classmethod
+    def limits(cls, docs: DataFrame, false_rate: float = 1e-6, least: float = LEAST, least_mean: float = LEAST_MEAN) -> tuple[float, float, float]:
+        """The limits, from those given on, that hit at most false_rate of the ordinary runs of a held-out fifth of the texts (by
+        crc32 of the text) and most of its secrets, by models of the other texts; and the share of the secrets they hit."""
         docs = with_string_text(docs)
         held = F.coalesce(F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(5)) == 0, F.lit(False))
-        rows = docs.select("text", held.alias("held")).mapInArrow(_counts, "held int, label int, pair int, n long").groupBy("held", "label", "pair").agg(F.sum("n").alias("n")).collect()
-        n = np.zeros((2, 2, _N * _N))
-        for r in rows:
-            n[r.held, r.label, r.pair] = r.n
-        model = cls(cls._ratio(n.sum(axis=0)))
-        runs = n[1, 1].reshape(_N, _N)[_END, :94][_KEY[:94]].sum()  # about: those after a space or mark that isn't visible
-        if n[1, 0].any() and runs * false_rate >= 0.25:
-            bc = docs.sparkSession.sparkContext.broadcast(cls(cls._ratio(n[0])))
-            steps = docs.where(held).select("text").mapInArrow(_sample_ratios(bc), "label int, total int, mean int, n long").groupBy("label", "total", "mean").agg(F.sum("n").alias("n")).collect()
-            seen = np.zeros((2, _TOTALS + 1, _MEANS + 1), np.int64)
-            for r in steps:
-                seen[r.label, r.total, r.mean] = r.n
-            limits = chosen_limits(seen, false_rate, int(cls.least), cls.least_mean)
-            if limits:
-                model.least, model.least_mean, model.recall = limits
-        return model
+        bc = docs.sparkSession.sparkContext.broadcast(cls(cls._ratio(cls._pairs(docs.where(~held)))))
+        steps = docs.where(held).select("text").mapInArrow(_sample_ratios(bc), "label int, total int, mean int, n long").groupBy("label", "total", "mean").agg(F.sum("n").alias("n")).collect()
+        seen = np.zeros((2, _TOTALS + 1, _MEANS + 1), np.int64)
+        for r in steps:
+            seen[r.label, r.total, r.mean] = r.n
+        return chosen_limits(seen, false_rate, int(least), least_mean)
+
+    @staticmethod
+    def _pairs(docs: DataFrame) -> np.ndarray:
+        n = np.zeros((2, _N * _N))
+        for r in with_string_text(docs).select("text").mapInArrow(_counts, "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n")).collect():
+            n[r.label, r.pair] = r.n
+        return n
 
     @staticmethod
     def _ratio(n: np.ndarray) -> np.ndarray:
