@@ -2,6 +2,7 @@
 
 import random
 import string
+import time
 import zlib
 from itertools import combinations
 
@@ -239,9 +240,11 @@ def test_rules_supports_and_confidences_are_brute_force(spark):
     support, confidence = 0.05, 0.6
     got = {(r[0], r[1]): r[2:] for r in url_rules.UrlRules.fit(spark.createDataFrame(urls, "host string, path string, label string"), support, confidence).rules}
     baskets = [(frozenset(url_rules.tokens(h, p)), label) for h, p, label in urls]
-    every = sorted({t for b, _ in baskets for t in b})
+    where = {t: tuple(t in b for b, _ in baskets) for t in sorted({t for b, _ in baskets for t in b}, reverse=True)}
+    every = sorted({at: t for t, at in where.items()}.values())  # of tokens in the same baskets the first
+    assert len(every) < len(where)
     rules = {}
-    for n in (1, 2, 3):
+    for n in range(1, len(every) + 1):
         for key in combinations(every, n):
             has = [label for b, label in baskets if b.issuperset(key)]
             for label in ("allow", "block"):
@@ -273,6 +276,47 @@ def test_labelled_pages_that_were_held_out(spark):
     assert other.count("block") / len(other) <= 0.2
 
 
+def planted_urls(rnd, sites=40):
+    """Pages of many sites, a tenth of them labelled, of which some offer bets: host, path, label, whether they do."""
+    rows = []
+    for i in range(4000):
+        bad = rnd.random() < 0.3
+        words = rnd.sample(["news", "blog", "en", "fr", "shop", "about", "tag"], 3) + ([rnd.choice(["casino", "bets"])] if bad else [])
+        rnd.shuffle(words)
+        label = ("block" if bad else "allow") if rnd.random() < 0.1 else None
+        rows.append((f"w{i % 3}.site{rnd.randrange(sites)}.org", "/" + "/".join(words) + f"/{i}", label, bad))
+    return rows
+
+
+def test_rules_of_the_second_kind_judge_unlabelled_pages(spark):
+    rows = planted_urls(random.Random(8))
+    fit = lambda rows: url_rules.UrlRules.fit(spark.createDataFrame([r[:3] for r in rows], "host string, path string, label string"))
+    model = fit(rows)
+    judged = [(bad, *model.judge(host, path)) for host, path, label, bad in rows if label is None]
+    blocked, passed = [b for b, v, *_ in judged if v == "block"], [b for b, v, *_ in judged if v == "allow"]
+    assert sum(blocked) / len(blocked) >= 0.99 and sum(passed) / len(passed) <= 0.01  # all that is bad, and nothing else
+    assert {r[0] for r in model.wider if r[1] == "block"} == {("path:casino",), ("path:bets",)} and not model.rules
+    assert all(t in ("path:casino", "path:bets") for _, v, t, _ in judged if v == "block")
+    # labels of one site alone say nothing of others, but of itself if it is labelled throughout
+    one = [(h, p, ("block" if "casino" in p else "allow") if h.endswith("site1.org") else None, bad) for h, p, _, bad in planted_urls(random.Random(9), 3)]
+    model = fit(one)
+    assert not model.wider and all("site1" in " ".join(r[0]) for r in model.rules) and model.rules
+    assert model.judge("w0.site2.org", "/casino/x")[0] == "allow" and model.judge("w0.site1.org", "/casino/x")[0] == "block"
+
+
+@pytest.mark.parametrize("shared", [1, 10, 20])
+def test_words_that_go_together_are_one_item(spark, shared):
+    path = "/".join(f"w{i}" for i in range(shared))
+    rows = [(f"a.s{i % 9}.org", f"/{path}/{'bets' if i % 3 else 'news'}/{i}", ("block" if i % 3 else "allow") if i % 2 else None) for i in range(900)]
+    began = time.time()
+    model = url_rules.UrlRules.fit(spark.createDataFrame(rows, "host string, path string, label string"))
+    assert time.time() - began < 60 and {(r[0], r[1]) for r in model.wider} >= {(("path:bets",), "block"), (("path:news",), "allow")}
+    # words that nearly always go together
+    rows = [(h, "/".join(w for w in p.split("/") if w in ("bets", "news") or zlib.crc32(f"{i} {w}".encode()) % 50), y) for i, (h, p, y) in enumerate(rows)]
+    model = url_rules.UrlRules.fit(spark.createDataFrame(rows, "host string, path string, label string"))
+    assert {(r[0], r[1]) for r in model.wider} >= {(("path:bets",), "block"), (("path:news",), "allow")}
+
+
 def test_judged_pages_keep_their_columns(spark):
     pages = spark.createDataFrame([("a.org", "/x/", "own"), (None, None, None), ("a.org", "/x/", "own")], "__host string, __path string, __verdict string")
     out = url_rules.judged(pages, url_rules.UrlRules([(("path:x",), "block", 1.0, 0.5)]))
