@@ -13,12 +13,20 @@ from wardgraph.llm.packing import packed_pieces
 from wardgraph.llm.secrets import SecretModel, redacted_documents, span_name
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+#: How far the score of a document's language must be from an even share of all languages (0) to certainty (1).
+SURE = 0.2
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, sure: float = SURE) -> DataFrame:
     """Documents whose language can be told go on, with the predicted one as lang. Those without a letter go, and those
-    whose best language is hardly likelier than the others. Columns of any name pass through."""
+    whose best language is hardly likelier than the others: with n languages, below 1 / n + sure (1 - 1 / n). The metrics
+    `rejected` and `unsure` of the observation `language_id` say how many. Columns of any name pass through."""
     lang, score = added_names(docs)
-    found = identify(docs, LanguageModel.fit(docs))
-    kept = found.where((F.col(lang) != UNDETERMINED) & (F.col(score) >= 0.4))
+    model = LanguageModel.fit(docs)
+    n = max(len(model.langs), 1)
+    told, likely = F.col(lang) != UNDETERMINED, F.col(score) >= 1 / n + sure * (1 - 1 / n) - 1e-9
+    found = identify(docs, model).observe("language_id", F.count_if(~(told & likely)).alias("rejected"), F.count_if(told & ~likely).alias("unsure"))
+    kept = found.where(told & likely)
     return kept.withColumn("lang", F.col(lang)).select(*own_columns(docs))
 
 
@@ -30,7 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
+    """Documents that hold a benchmark window go. Null and empty texts hold none and stay; repeated rows are judged alike."""
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -44,7 +52,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    """The pieces of all documents and their places in sequences of 2048 tokens. A null text is empty: one piece with the closing
+    id alone; each repeated row is packed for itself."""
     return packed_pieces(docs)
 
 
