@@ -82,8 +82,9 @@ def heat_hsl(value: Column, most: Column) -> tuple[Column, Column, Column]:
     return tuple(out)
 
 
-def gradient_colour(score: Column, colours: list[str], low: float, high: float) -> Column:
-    """#rrggbb of a score by linear interpolation over colours spread from low to high, clamped; null if unscored."""
+def gradient_colour(score: Column, colours: list[str], low: float, high: float, manual: Column | None = None) -> Column:
+    """#rrggbb of a score by linear interpolation over colours spread from low to high, clamped; null if unscored. A manual colour
+    that is not empty wins, scored or not."""
     n = len(colours) - 1
     at = F.greatest(F.least((score - low) / (high - low), F.lit(1.0)), F.lit(0.0)) * n
     rgb = [[int(c[1 + 2 * k : 3 + 2 * k], 16) for k in range(3)] for c in colours]
@@ -93,4 +94,5 @@ def gradient_colour(score: Column, colours: list[str], low: float, high: float)
         for i in reversed(range(n)):
             c = F.when(at < i + 1, rgb[i][k] + (rgb[i + 1][k] - rgb[i][k]) * (at - i)).otherwise(c)
         parts.append(F.lower(F.lpad(F.hex(js_round(c).cast("long")), 2, "0")))
-    return F.when(score.isNotNull(), F.concat(F.lit("#"), *parts))
+    found = F.when(score.isNotNull(), F.concat(F.lit("#"), *parts))
+    return found if manual is None else F.coalesce(F.nullif(manual, F.lit("")), found)

@@ -63,15 +63,15 @@ def weakness_categories(ids: DataFrame, facts: DataFrame, category_map: DataFram
 LISTS = ("cwe", "capec", "techniques", "defend", "owasp")
 
 
-#: Ids in the lists of all weaknesses up to which these are broadcast.
-BROADCAST_IDS = 2_000_000
+#: Bytes of the lists of all weaknesses up to which these are broadcast: 16 an id besides its text.
+BROADCAST_BYTES = 64 << 20
 
 
-def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """One row per vulnerability with five sorted distinct lists; vulnerabilities without weaknesses keep empty ones.
 
     The hops below a weakness are joined on the dimensions alone and end in one row of distinct lists per weakness.
-    Where these have at most `most` ids in all they are broadcast: facts are dealt by vulnerability first, as bare ids, and
+    Where these have at most `most` bytes in all they are broadcast: facts are dealt by vulnerability first, as bare ids, and
     meet the lists there, so no list is shuffled. Beyond that, Catalyst joins and groups as it sees fit.
     """
     key = F.concat(F.lit("T"), F.col("technique_id"))
@@ -79,7 +79,8 @@ def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: D
     below = hops.groupBy("cwe_id").agg(F.collect_set("capec_id").alias("capec"), F.collect_set("technique_id").alias("techniques"), F.collect_set("d3f_id").alias("defend"))
     named = category_map.groupBy("cwe_id").agg(F.collect_set("category_id").alias("owasp"))
     lists = written(below.join(named, "cwe_id", "full_outer"), "lists")
-    size = lists.agg(F.sum(reduce(lambda a, b: a + b, (F.coalesce(F.size(c), F.lit(0)) for c in LISTS[1:])))).first()[0] or 0
+    bytes_of = lambda c: F.coalesce(16 * F.size(c) + F.octet_length(F.array_join(c, "")), F.lit(0))
+    size = lists.agg(F.sum(reduce(lambda a, b: a + b, map(bytes_of, LISTS[1:])))).first()[0] or 0
     facts = written(facts.select("cve_id", "cwe_id"), "facts")
     up = facts.join(parents, "cwe_id").select("cve_id", F.col("parent_id").alias("cwe_id"), F.lit(False).alias("direct"))
     rows = facts.select("cve_id", "cwe_id", F.lit(True).alias("direct")).union(up).unionByName(ids.select("cve_id"), allowMissingColumns=True)

@@ -114,13 +114,16 @@ def score_expression(text: str, names: set[str]) -> Column:
 def combine(layers: dict[str, DataFrame], expression: str, missing: float | None = None, inherit: dict[str, str] | None = None, of: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """Layers by variable name (technique_id, tactic, score) -> one layer whose score is the expression's value; cells
     are those of any layer. missing: what an unscored or absent cell counts as. inherit: columns of annotations and the
-    layer that each is taken from, null in cells that this one lacks. of: domain and version of each layer, which must
+    layer that each is taken from, null in cells that this one lacks. Cells of all layers are grouped once, however many layers
+    there are; a cell that a layer repeats counts once, with its highest score. of: domain and version of each layer, which must
     be the same."""
     if of and len({of[n] for n in layers}) > 1:
         raise ValueError(f"layers of different domains or versions: {of}")
     inherit = inherit or {}
-    named = [df.select(*CELL, F.col("score").cast("double").alias(n), *(c for c, source in inherit.items() if source == n)) for n, df in layers.items()]
-    full = reduce(lambda a, b: a.join(b, CELL, "full_outer"), named)
+    named = [df.select(*CELL, F.lit(n).alias("__layer"), F.col("score").cast("double").alias("__score"), *(c for c, source in inherit.items() if source == n)) for n, df in layers.items()]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+    scores = [F.max(F.when(F.col("__layer") == n, F.col("__score"))).alias(n) for n in layers]
+    full = every.groupBy(*CELL).agg(*scores, *(F.first(c, ignorenulls=True).alias(c) for c in inherit))
     if missing is not None:
         full = full.fillna(missing, list(layers))
     return full.select(*CELL, score_expression(expression, set(layers)).alias("score"), *inherit)

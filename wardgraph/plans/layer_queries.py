@@ -8,6 +8,7 @@ from wardgraph.operators import layers
 from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.graph_queries import EDGES, all_edges, rolled
 from wardgraph.plans.registry import query
+from wardgraph.sources.tables import new_path
 
 SLICES = "with a as (select technique_id, tactic, cast(score as double) as score from x_layer where p_partkey % 3 <> 0), b as (select technique_id, tactic, cast(score * 2 as double) as score from x_layer where p_partkey % 3 <> 1)\n"
 BOTH = SLICES.rstrip() + ", f as (select coalesce(a.technique_id, b.technique_id) as technique_id, coalesce(a.tactic, b.tactic) as tactic, a.score as a, b.score as b from a full join b on a.technique_id = b.technique_id and a.tactic = b.tactic)\n"
@@ -23,6 +24,16 @@ def combine_layers(b: Bridge):
     return layers.combine(slices(b), "a + b * 0.5", missing=0.0)
 
 
+EIGHT = "select technique_id, tactic, cast(sum(case when score is not null and p_partkey % (k + 2) <> 0 then score * k else 0 end) as double) as score from x_layer cross join (select unnest(range(1, 9)) as k) group by technique_id, tactic, p_partkey having bool_or(p_partkey % (k + 2) <> 0)"
+
+
+@query(EIGHT)
+def combine_many_layers(b: Bridge):
+    """Eight layers, each of the cells whose number its own does not divide."""
+    each = {f"{chr(96 + k)}": b.layer.where(F.col("p_partkey") % (k + 2) != 0).withColumn("score", F.col("score") * k) for k in range(1, 9)}
+    return layers.combine(each, " + ".join(each), missing=0.0)
+
+
 @query(BOTH + "select technique_id, tactic, cast(case when (a > 20 and b >= 50) is null then null when a > 20 and b >= 50 then 25 when a is null then null when a >= 10 then (a + b) / 2 else -a end as double) as score from f")
 def score_expression(b: Bridge):
     return layers.combine(slices(b), "(a > 20 and b >= 50) ? 25 : (not (a < 10) ? (a + b) / 2 : -a)")
@@ -140,8 +151,15 @@ def domain_config(b: Bridge):
 @query("select technique_id, tactic, score from x_layer where enabled order by tactic, coalesce(score, 0) desc, technique_id")
 def sink_layer_table(b: Bridge):
     """The table export: hidden cells dropped, sorted as the layer, written as CSV and read back."""
-    from wardgraph.sources.tables import new_path
-
     path = new_path(b.spark, "layer-csv")
     layers.sort_rank(layers.hide_disabled(b.layer), 3).orderBy("tactic", "rank").select("technique_id", "tactic", "score").write.csv(path, header=True)
     return b.spark.read.schema("technique_id string, tactic string, score int").csv(path, header=True)
+
+
+@query("select technique_id, tactic, score from x_layer where enabled and (list_contains(string_split(name, ' '), 'red') or list_contains(string_split(name, ' '), 'ring')) order by tactic, coalesce(score, 0) desc, technique_id")
+def sink_layer_table_filtered(b: Bridge):
+    """The table export of the chosen platforms alone, here words of a cell's name."""
+    path = new_path(b.spark, "layer-csv")
+    chosen = layers.filter_platforms(layers.hide_disabled(b.layer.withColumn("platforms", F.split("name", " "))), ["red", "ring"])
+    layers.sort_rank(chosen, 3).orderBy("tactic", "rank").select("technique_id", "tactic", "score").write.csv(path, header=True)
+    return b.spark.read.schema("technique_id string, tactic string, score int").csv(path, header=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from wardgraph.functions import ids
@@ -10,7 +12,8 @@ from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.chain_queries import CORRELATE, correlated, joined_lists, techniques
 from wardgraph.plans.registry import query
 from wardgraph.operators import telemetry
-from wardgraph.sources import scans, sinks
+from wardgraph.sources import paged, scans, sinks
+from wardgraph.sources.store import VersionedStore
 from wardgraph.sources.tables import new_path
 
 
@@ -35,6 +38,28 @@ def scan_page_range(b: Bridge):
     return scans.page_range(b.table("orders"), ["o_orderdate", "o_orderkey"], 300, 2000).select("o_orderkey", "o_totalprice")
 
 
+def numbered_orders(b: Bridge):
+    return telemetry.numbered(b.table("orders"), [], ["o_orderdate", "o_orderkey"], "n").select((F.col("n") - 1).alias("index"), "o_orderkey", "o_totalprice")
+
+
+def land_records(rows, path: str, size: int) -> None:
+    """Rows with an index, as pages of up to `size` records, each in a folder start=<index of its first> as JSON lines in order."""
+    page = F.floor(F.col("index") / size)
+    first = rows.groupBy(page.alias("page")).agg(F.min("index").alias("start"))
+    lines = rows.select("index", page.alias("page"), F.to_json(F.struct(*(c for c in rows.columns if c != "index"))).alias("value")).join(first, "page")
+    lines.repartition("start").sortWithinPartitions("start", "index").select("start", "value").write.mode("append").partitionBy("start").text(path)
+
+
+@query("select cast(row_number() over (order by o_orderdate, o_orderkey) - 1 as bigint) as index, o_orderkey, o_totalprice from orders")
+def scan_paged_source(b: Bridge):
+    """Landed pages read by offset, a partition a page of another size than the landed ones."""
+    path, name = new_path(b.spark, "api"), f"pages_{uuid.uuid4().hex}"
+    land_records(numbered_orders(b), path, 1000)
+    b.spark.dataSource.register(paged.paged_source(name, paged.LandedPages(path)))
+    found = b.spark.read.format(name).option("page_size", 750).load()
+    return found.select("index", F.from_json("record", "o_orderkey long, o_totalprice double").alias("r")).select("index", "r.*")
+
+
 @query("select capec_id, name, techniques as taxonomy from b_capec where capec_id <> ''")
 def scan_attack_pattern_csv(b: Bridge):
     path = new_path(b.spark, "patterns")
@@ -195,6 +220,16 @@ def upsert_by_year(b: Bridge):
     return b.spark.read.parquet(path).select("cve_id", "year", "state")
 
 
+@query(UPSERT)
+def upsert_versions(b: Bridge):
+    """The same upsert into a store of versions, of which a reader sees the last."""
+    store = VersionedStore(b.spark, new_path(b.spark, "store"), buckets=4)
+    half = lambda n, s: b.vuln.where(f"o_orderkey % {n} = 0").select("cve_id", F.col("yr").alias("year"), F.lit(s).alias("state"))
+    store.upsert(half(2, "old"))
+    store.upsert(half(3, "new"))
+    return store.read()
+
+
 @query("select cwe_id, name from b_cwe")
 def sink_knowledge_table(b: Bridge):
     """The table as Parquet, and from it the keyed JSON export, which is read back."""

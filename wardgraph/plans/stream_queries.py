@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from wardgraph.functions import ids
@@ -9,10 +11,10 @@ from wardgraph.operators import chain, extension, telemetry
 from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.chain_queries import category_map, joined_lists, techniques
 from wardgraph.plans.registry import query
-from wardgraph.plans.source_queries import LISTS_SQL, land_pages
+from wardgraph.plans.source_queries import LISTS_SQL, land_pages, land_records, numbered_orders
 from wardgraph.plans.telemetry_queries import ALERTS
-from wardgraph.sources import scans
-from wardgraph.sources.tables import new_path
+from wardgraph.sources import paged, scans
+from wardgraph.sources.tables import new_path, written
 from wardgraph.streaming import streams
 
 
@@ -72,12 +74,73 @@ def session_counters(b: Bridge):
     return replayed(b, b.table("events"), lambda e: streams.sessions(e, "user_id"), "sessions")
 
 
+def delayed(b: Bridge, minutes: int, land):
+    """The events, in four landings by the time of their arrival: up to so many minutes after their own, in any order among
+    each other. After each, `land` goes on with the folder's stream; then a row two days later, null but for its time, lands."""
+    spark, path, rows = b.spark, new_path(b.spark, "delayed"), b.table("events")
+    delay = F.pmod(F.xxhash64("event_id"), F.lit(60 * minutes)) if minutes else F.lit(0)
+    rows = written(rows.withColumn("arrival", F.unix_seconds("ts") + delay), "arrivals")
+    cuts = rows.approxQuantile("arrival", [0.25, 0.5, 0.75], 0.001)
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        at = F.col("arrival")
+        some = rows.where((at.isNull() if low is None else F.lit(False)) | F.coalesce((at >= low if low is not None else F.lit(True)) & (at < high if high is not None else F.lit(True)), F.lit(False)))
+        some.drop("arrival").repartition(5).write.mode("append").parquet(path)
+        land(streams.events_stream(spark, path, b.table("events").schema))
+    last = rows.agg((F.max("ts") + F.expr("interval 2 days")).alias("ts")).where("ts is not null")
+    last.select(*(F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in b.table("events").schema.fields)).write.mode("append").parquet(path)
+    land(streams.events_stream(spark, path, b.table("events").schema))
+
+
 @query(ALERTS)
 def stateful_alerts(b: Bridge):
-    v = F.col("value")
+    """Rows that arrive up to nine minutes late and in no order, in several micro-batches: numbered in order of time all the same."""
+    spark, v = b.spark, F.col("value")
     severity = F.when(v >= 200, "critical").when(v >= 100, "high").when(v >= 30, "medium").otherwise("low")
-    build = lambda e: streams.alert_stream(e.where("event_id is not null").select("event_id", "ts", F.col("event_type").alias("category"), severity.alias("severity")))
-    return replayed(b, b.table("events"), build, "alerts")
+    checkpoint, out = new_path(spark, "alerts-checkpoint"), new_path(spark, "alerts-sink")
+
+    def land(e):
+        # the last row is of a key of its own, and dropped below
+        errors = e.select(F.coalesce("event_id", F.lit(-1)).alias("event_id"), "ts", F.col("event_type").alias("category"), severity.alias("severity"))
+        streams.run_to_end(streams.ordered_alerts(errors, 4 * 3600), checkpoint, path=out, rocksdb=True)
+
+    delayed(b, 9, land)
+    return spark.read.schema("event_id long, category string, severity string, nth long").parquet(out).where("event_id >= 0")
+
+
+@query(f"""with s as (select time_bucket(interval '1 hour', cast(ts as timestamp)) as start, event_type, value from events),
+k(le, b) as (values {', '.join(f"('{x}', {x})" for x in (10.0, 50.0, 100.0, 200.0))}, ('+Inf', 1e308))
+select start, event_type, n, total, le, count(*) filter (value <= b) as cumulative from s join (select start, event_type, count(*) as n, cast(sum(cast(value as decimal(24,4))) as double) as total from s group by 1, 2) g using (start, event_type) cross join k group by all""")
+def windowed_histogram(b: Bridge):
+    """Histograms by hour of a stream."""
+    buckets = (10.0, 50.0, 100.0, 200.0, float("inf"))
+    return replayed(b, b.table("events"), lambda e: streams.windowed_histogram(e, ["event_type"], buckets, "1 hour"), "histograms")
+
+
+@query("select event_id from events")
+def late_rows_kept(b: Bridge):
+    """Rows that arrive up to a day late: windows of those on time and a table of those that are not hold every event once."""
+    spark = b.spark
+    checkpoint, on_time, late, windows, sink = (new_path(spark, f"late-{x}") for x in ("checkpoint", "rows", "kept", "windows", "sink"))
+    delayed(b, 24 * 60, lambda e: streams.split_late(e, checkpoint, on_time, late))
+    rows = spark.readStream.schema(b.table("events").schema).parquet(f"{on_time}/*").withColumn("ts", F.col("ts").cast("timestamp"))
+    counted = rows.withWatermark("ts", streams.LATE).groupBy(F.window("ts", "1 hour").alias("w")).agg(F.collect_list("event_id").alias("ids")).select(F.explode("ids").alias("event_id"))
+    streams.run_to_end(counted, windows, path=sink)
+    own, kept = spark.read.schema("event_id long").parquet(sink), spark.read.schema(b.table("events").schema).parquet(f"{late}/*").select("event_id")
+    return own.union(kept).where("event_id is not null")
+
+
+@query("select cast(row_number() over (order by o_orderdate, o_orderkey) - 1 as bigint) as index, o_orderkey, o_totalprice from orders")
+def ingest_paged(b: Bridge):
+    """Landed pages of the paged source as a stream that is stopped after a part of them, which ends within a page."""
+    spark, path, out, checkpoint = b.spark, new_path(b.spark, "api"), new_path(b.spark, "paged-sink"), new_path(b.spark, "paged-checkpoint")
+    rows, name = numbered_orders(b), f"pages_{uuid.uuid4().hex}"
+    spark.dataSource.register(paged.paged_source(name, paged.LandedPages(path)))
+    n = rows.count() * 3 // 5
+    for some in (rows.where(F.col("index") < n), rows.where(F.col("index") >= n)):
+        land_records(some, path, 700)
+        streams.run_to_end(spark.readStream.format(name).option("page_size", 450).load(), checkpoint, path=out)
+    found = spark.read.schema(paged.SCHEMA).parquet(out)
+    return found.select("index", F.from_json("record", "o_orderkey long, o_totalprice double").alias("r")).select("index", "r.*")
 
 
 @query("select event_id, user_id, event_type from events")
@@ -124,6 +187,23 @@ def map_batches(b: Bridge):
     return extension.map_batches(b.table("events").select("event_id", "value"), lambda pdf: pdf.assign(doubled=pdf.value * 2)[["event_id", "doubled"]], "event_id long, doubled double")
 
 
+@query("select count(*) as rows, count(*) as accounted, true as some_raised, true as some_unfit from events")
+def failed_batches(b: Bridge):
+    """Batches of which some raise and some return what does not fit the schema: rows that came out and rows that the table of
+    failures counts are all rows."""
+
+    def double(pdf):
+        if (pdf.event_id % 97 == 0).any():
+            raise ValueError("a row that is not wanted")
+        return pdf.assign(doubled=["no number"] * len(pdf) if (pdf.event_id % 89 == 0).any() else pdf.value * 2)
+
+    events = b.table("events").select("event_id", "event_type", "value")
+    good, failed = extension.try_batches(events, double, "event_id long, doubled double", 50)
+    told = failed.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("lost"), F.bool_or(F.col("error").startswith("ValueError")).alias("some_raised"), F.bool_or(F.col("error").contains("Arrow")).alias("some_unfit"))
+    both = good.agg(F.count("*").alias("out")).join(F.broadcast(told)).join(F.broadcast(events.agg(F.count("*").alias("rows"))))  # one row each
+    return both.select("rows", (F.col("out") + F.col("lost")).alias("accounted"), "some_raised", "some_unfit")
+
+
 @query("select user_id, max(event_id) as event_id from events group by user_id")
 def dedupe_last(b: Bridge):
     """Repeats of a key with changes: the last wins, as the upsert of a micro-batch sees them."""

@@ -8,6 +8,7 @@ from wardgraph.functions import status
 from wardgraph.operators import telemetry as t
 from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.registry import query
+from wardgraph.sources.tables import new_path, written
 from wardgraph.streaming.streams import open_requests
 
 DEC = "cast(sum(cast({} as decimal(24,4))) as double)"
@@ -90,6 +91,17 @@ def summary_quantiles(b: Bridge):
     return t.quantiles(samples(b))
 
 
+@query("select event_type as label_key, count(*) as n, q, true as within from events cross join (select unnest([0.5, 0.9, 0.95, 0.99])::double as q) group by event_type, q")
+def summary_sketch(b: Bridge):
+    """Sketches stored by day, merged by type; each answer's exact rank against the stated error (twice it: one table is one case)."""
+    rows = b.table("events").select(F.col("event_type").alias("label_key"), F.to_date("ts").alias("day"), "value")
+    path = new_path(b.spark, "sketches")
+    t.sketches(rows, "label_key", "day").write.parquet(path)
+    found = written(t.sketched_quantiles(t.merged(b.spark.read.parquet(path), "label_key")), "sketched")
+    errors = t.rank_errors(rows, found, "label_key")
+    return errors.join(found.select("label_key", "n"), "label_key").select("label_key", "n", "q", (F.col("error") <= 2 * t.SKETCH_ERROR).alias("within"))
+
+
 @query(HIST.format(_buckets(OWN)))
 def custom_buckets(b: Bridge):
     return t.histogram(samples(b), OWN)
@@ -154,8 +166,6 @@ def run_summary(b: Bridge):
 @query(RUNS)
 def sink_run_summary(b: Bridge):
     """Summaries appended as JSON lines and read back."""
-    from wardgraph.sources.tables import new_path
-
     path, out = new_path(b.spark, "runs"), run_summaries(b)
     out.write.mode("append").json(path)
     return b.spark.read.schema(out.schema).json(path)
@@ -228,6 +238,16 @@ def time_to_free(b: Bridge):
     return rates(b).select("event_id", "wait_us")
 
 
+@query("""with recursive e as (select event_id, event_type, epoch_us(ts) as us, row_number() over (partition by event_type order by ts, event_id) as i from events),
+r(event_type, i, event_id, admitted, held) as (select event_type, i, event_id, true, [us] from e where i = 1
+union all select event_type, i, event_id, len(h) < 3, case when len(h) < 3 then list_append(h, us) else h end from (select e.event_type, e.i, e.event_id, e.us, list_filter(r.held, lambda x: x > e.us - 3600000000) as h from r join e on e.event_type = r.event_type and e.i = r.i + 1))
+select event_id, admitted from r""")
+def admitted_calls(b: Bridge):
+    """What a limiter of three calls an hour lets through of each event type."""
+    rows = b.table("events").select("event_id", "event_type", F.unix_micros("ts").alias("us"))
+    return t.admitted(rows, "event_type", "us", "event_id", 3600, 3).select("event_id", "admitted")
+
+
 @query("select event_id, cast(floor((row_number() over (order by ts, event_id) - 1) / 1000) as bigint) as batch from events")
 def batch_assign(b: Bridge):
     return t.batches(b.table("events").select("event_id", "ts"), ["ts", "event_id"], 1000).select("event_id", "batch")
