@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardgraph.functions import status
-from wardgraph.operators import extension, layers, telemetry
+from wardgraph.operators import chain, extension, graph, layers, telemetry
 from wardgraph.sources import paged
 from wardgraph.sources.store import Conflict, VersionedStore
 from wardgraph.streaming import streams
@@ -278,3 +278,39 @@ def test_a_manual_colour_wins(spark):
     rows = spark.createDataFrame([(50.0, None), (50.0, ""), (50.0, "#123456"), (None, "#abcdef"), (None, None)], "score double, colour string")
     got = [r[0] for r in rows.select(status.gradient_colour(F.col("score"), ["#000000", "#ffffff"], 0, 100, F.col("colour"))).collect()]
     assert got == ["#808080", "#808080", "#123456", "#abcdef", None]
+
+
+def test_deep_hierarchies_take_few_rounds(spark, monkeypatch):
+    n, rounds, real = 5000, [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name, **k: rounds.append(name) or real(df, name, **k))
+    tree = spark.range(1, n).select((F.col("id") - 1).alias("parent"), F.col("id").alias("node")).union(spark.createDataFrame([(7, 100_000), (100_000, 100_001), (100_000, 100_002)], "parent long, node long"))
+    got = {r.group: (r.total, r.hits) for r in graph.hit_groups(tree, spark.createDataFrame([(100_001, 3), (n - 1, 0), (5, 9)], "node long, score long")).collect()}
+    assert got == {i: (1, int(i < 7)) for i in range(n - 1)} | {7: (2, 1), 100_000: (2, 1)}
+    assert len([r for r in rounds if r == "marked"]) <= 15
+
+
+def test_hits_below_cycles_and_second_parents(spark):
+    tree = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "leaf"), ("x", "leaf"), ("x", "other"), ("y", "x"), (None, "y")], "parent string, node string")
+    got = {r.group: (r.total, r.hits) for r in graph.hit_groups(tree, spark.createDataFrame([("leaf", 1)], "node string, score int")).collect()}
+    assert got == {"a": (1, 1), "b": (1, 1), "c": (2, 2), "x": (2, 1), "y": (1, 1), None: (1, 1)}
+    assert graph.hit_groups(tree.limit(0), spark.createDataFrame([], "node string, score int")).count() == 0
+
+
+def test_closure_by_doubling_is_breadth_first(spark):
+    r = random.Random(3)
+    edges = {(str(r.randrange(40)), str(r.randrange(40))) for _ in range(55)} | {(str(100 + i), str(101 + i)) for i in range(30)}
+    want = {}
+    for start in {a for a, _ in edges}:
+        front, depth = {start}, 0
+        while front := {b for a, b in edges if a in front} - {y for x, y in want if x == start}:
+            depth += 1
+            want |= {(start, b): depth for b in front}
+    got = chain.ancestors(spark.createDataFrame(list(edges), "cwe_id string, parent_id string")).collect()
+    assert {(x.cwe_id, x.ancestor_id): x.depth for x in got} == want and len(got) == len(want)
+
+
+def test_a_hub_is_many_rows(spark):
+    e = spark.createDataFrame([("hub", f"t{i:04d}") for i in range(1003)] + [("a", "hub"), ("b", "hub")], "source string, target string")
+    rows = graph.neighbour_stretches(e, 100).where("node = 'hub'").collect()
+    assert {(r.side, r.stretch): len(r.nodes) for r in rows} == {("targets", i): 100 if i < 10 else 3 for i in range(11)} | {("sources", 0): 2}
+    assert [x for r in sorted((r for r in rows if r.side == "targets"), key=lambda r: r.stretch) for x in r.nodes] == [f"t{i:04d}" for i in range(1003)]

@@ -6,7 +6,6 @@ Facts are (cve_id, cwe_id) rows; the other tables are dimensions. Ids of weaknes
 from __future__ import annotations
 
 from functools import reduce
-from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,17 +26,18 @@ def expand_parents(facts: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def ancestors(parents: DataFrame) -> DataFrame:
-    """(cwe_id, parent_id) -> (cwe_id, ancestor_id, depth), each ancestor at its least depth. Cycles end by themselves.
-    A level is a job over the hierarchy, which is a dimension; facts join the closure once."""
-    pairs = parents.select("cwe_id", "parent_id").distinct()
-    found = front = written(pairs.select("cwe_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth")), "level")
-    for depth in count(2):
-        step = front.select("cwe_id", F.col("ancestor_id").alias("mid")).join(pairs.withColumnRenamed("cwe_id", "mid"), "mid")
-        step = step.select("cwe_id", F.col("parent_id").alias("ancestor_id"), F.lit(depth).alias("depth")).distinct()
-        front = written(step.join(found, ["cwe_id", "ancestor_id"], "left_anti").select("cwe_id", "ancestor_id", "depth"), "level")
-        if front.isEmpty():
+    """(cwe_id, parent_id) -> (cwe_id, ancestor_id, depth), each ancestor at its least depth. Cycles end by themselves. A round joins
+    the pairs found so far with each other, so paths double: a hierarchy of depth d takes some log2(d) rounds over pairs, of which
+    there are as many as the result has. What asks for less than the pairs themselves does without them: see graph.hit_groups."""
+    found = written(parents.where("cwe_id is not null and parent_id is not null").select("cwe_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth")).distinct(), "pairs")
+    n = found.count()
+    while True:
+        up = found.select(F.col("cwe_id").alias("ancestor_id"), F.col("ancestor_id").alias("far"), F.col("depth").alias("more"))
+        twice = found.join(up, "ancestor_id").select("cwe_id", F.col("far").alias("ancestor_id"), (F.col("depth") + F.col("more")).alias("depth"))
+        found = written(found.union(twice).groupBy("cwe_id", "ancestor_id").agg(F.min("depth").alias("depth")), "pairs")
+        before, n = n, found.count()
+        if n == before:
             return found
-        found = found.union(front)
 
 
 def weakness_patterns(facts: DataFrame, cwe_capec: DataFrame) -> DataFrame:

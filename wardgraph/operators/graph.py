@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardgraph.functions.ids import node_type
+from wardgraph.operators.telemetry import numbered
 from wardgraph.sources.tables import written
 
 
@@ -79,10 +80,32 @@ def neighbours(e: DataFrame) -> DataFrame:
     return into.join(out, "node", "full_outer").select("node", F.coalesce("sources", none).alias("sources"), F.coalesce("targets", none).alias("targets"))
 
 
-def group_hits(tree: DataFrame, closure: DataFrame, scores: DataFrame) -> DataFrame:
-    """(parent, node) and its closure (node, ancestor) -> per group: direct children, and those hit: a scored leaf, or a
-    subgroup with a scored leaf anywhere below."""
+def neighbour_stretches(e: DataFrame, size: int = 10_000) -> DataFrame:
+    """node, side (sources or targets), stretch (from 0), nodes: as neighbours(), with at most `size` of them a row. A hub is many rows,
+    numbered in ranges by many tasks."""
+    e = e.select("source", "target")
+    sides = e.select(F.col("target").alias("node"), F.lit("sources").alias("side"), F.col("source").alias("other")).union(e.select(F.col("source").alias("node"), F.lit("targets").alias("side"), F.col("target").alias("other")))
+    at = numbered(sides, ["node", "side"], ["other"], "__n").withColumn("stretch", F.floor((F.col("__n") - 1) / size))
+    return at.groupBy("node", "side", "stretch").agg(F.sort_array(F.collect_list("other")).alias("nodes"))
+
+
+def marked_above(tree: DataFrame, marked: DataFrame) -> DataFrame:
+    """(parent, node) and nodes -> those nodes and all above them. Jumps double in each round, and nodes meet their jump's end
+    alone, so a hierarchy of depth d takes log2(d) rounds of as many rows as it has nodes, and no pair of ancestors is made.
+    A cycle ends when jumps are longer than it can be."""
+    jumps = written(tree.where("parent is not null and node is not null").select("node", F.col("parent").alias("up")).distinct(), "jumps")
+    marked, steps, n = written(marked.select("node").distinct(), "marked"), 1, jumps.select("node").distinct().count()
+    while steps <= 2 * n and not jumps.isEmpty():
+        marked = written(marked.union(jumps.join(marked, "node", "left_semi").select(F.col("up").alias("node"))).distinct(), "marked")
+        far = jumps.select(F.col("node").alias("up"), F.col("up").alias("far"))
+        jumps, steps = written(jumps.join(far, "up").select("node", F.col("far").alias("up")).distinct(), "jumps"), 2 * steps
+    return marked
+
+
+def hit_groups(tree: DataFrame, scores: DataFrame) -> DataFrame:
+    """(parent, node) -> per group: direct children, and those hit: a scored leaf, or a subgroup with a scored leaf anywhere below."""
+    tree = written(tree.select("parent", "node"), "tree")
     leaf = tree.select("node").join(tree.select(F.col("parent").alias("node")), "node", "left_anti")
-    hit = leaf.join(scores.where("score > 0"), "node", "left_semi").select("node")
-    above = hit.join(closure, "node").select(F.col("ancestor").alias("node")).union(hit).distinct().withColumn("is_hit", F.lit(1))
+    hit = leaf.join(scores.where("score > 0"), "node", "left_semi")
+    above = marked_above(tree, hit).withColumn("is_hit", F.lit(1))
     return tree.join(above, "node", "left").groupBy(F.col("parent").alias("group")).agg(F.count("*").alias("total"), F.count("is_hit").alias("hits"))

@@ -128,6 +128,13 @@ def neighbours(b: Bridge):
     return graph.neighbours(all_edges(b)).select("node", ids.joined(F.col("sources")).alias("sources"), ids.joined(F.col("targets")).alias("targets"))
 
 
+@query(EDGES + """, s as (select target as node, 'sources' as side, source as other from edges union all select source, 'targets', target from edges),
+n as (select node, side, other, floor((row_number() over (partition by node, side order by other) - 1) / 50) as stretch from s)
+select node, side, cast(stretch as bigint) as stretch, string_agg(other, ',' order by other) as nodes from n group by all""")
+def neighbour_stretches(b: Bridge):
+    return graph.neighbour_stretches(all_edges(b), 50).select("node", "side", "stretch", ids.joined(F.col("nodes")).alias("nodes"))
+
+
 LEAVES = """with recursive up as (select cwe_id as node, parent_id as ancestor from b_cwe_parent union all select u.node, p.parent_id from up u join b_cwe_parent p on u.ancestor = p.cwe_id),
 leaf as (select cwe_id as node from b_cwe_parent anti join (select parent_id from b_cwe_parent) x on b_cwe_parent.cwe_id = x.parent_id),
 sc as (select cast(l_partkey as varchar) as node, count(*) as score from lineitem where l_quantity >= 49 group by l_partkey)
@@ -141,8 +148,7 @@ def leaf_scores(b: Bridge):
 @query(LEAVES + """, hit as (select l.node from leaf l semi join sc on l.node = sc.node), above as (select distinct u.ancestor as node from hit join up u on hit.node = u.node union select node from hit)
 select p.parent_id as "group", count(*) as total, count(a.node) as hits from b_cwe_parent p left join above a on p.cwe_id = a.node group by p.parent_id""")
 def group_hit_ratio(b: Bridge):
-    closure = chain.ancestors(b.cwe_parent).select(F.col("cwe_id").alias("node"), F.col("ancestor_id").alias("ancestor"))
-    return graph.group_hits(b.cwe_parent.select(F.col("parent_id").alias("parent"), F.col("cwe_id").alias("node")), closure, leaf_scores(b))
+    return graph.hit_groups(b.cwe_parent.select(F.col("parent_id").alias("parent"), F.col("cwe_id").alias("node")), leaf_scores(b))
 
 
 @query(LEAVES + "select l.node, coalesce(sc.score, 0) as score from leaf l left join sc on l.node = sc.node")
