@@ -45,7 +45,7 @@ class Cache(dict):
 class WordBpe:
     """Ids of a `tokenizers` file whose pre-tokenizer drops white space, as little-endian bytes of `kind`."""
 
-    def __init__(self, path: str, kind: str = "<u4", most_words: int = 500_000, most_pieces: int = 400_000):
+    def __init__(self, path: str, kind: str = "<u4", most_words: int = 200_000, most_pieces: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
