@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgraph.llm.tokens import BYTE_LEVEL, WHOLE, stretches
+from wardgraph.llm.tokens import BYTE_LEVEL, stretches, whole
 
 TOKENIZER = "byte_bpe_50k.json"
 START, SEP, STOP = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -92,17 +92,16 @@ class Encoder:
             raise ValueError(f"the ids of {name} don't follow its merges")
         back = {chr(c): b for b, c in BYTE_LEVEL.items()}
         ranks = {bytes(map(back.__getitem__, token)): vocab[token] for token in (*back, *merges)}
-        whole = tokenizer(name)
-        special = {s: whole.token_to_id(s) for s in (START, SEP, STOP)}
+        plain = tokenizer(name)
+        special = {s: plain.token_to_id(s) for s in (START, SEP, STOP)}
         self.encoding = tiktoken.Encoding("chat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.whole = tiktoken.Encoding("whole", pat_str=WHOLE, mergeable_ranks=ranks, special_tokens={})
         self.sizes = np.zeros(max(special.values()) + 1, np.int32)
         for token, i in (*ranks.items(), *((s.encode(), i) for s, i in special.items())):
             self.sizes[i] = len(token)
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and start and end of each in code points."""
-        parts = [self.whole.encode_ordinary(part) if run else self.encoding.encode(part, allowed_special="all") for part, run in stretches(text, (START, SEP, STOP))]
+        parts = [whole(self.encoding).encode_ordinary(part) if run else self.encoding.encode(part, allowed_special="all") for part, run in stretches(text, (START, SEP, STOP))]
         ids = np.array(parts[0] if len(parts) == 1 else [i for some in parts for i in some], np.int32)
         ends = np.cumsum(self.sizes[ids], dtype=np.int32)
         starts = ends - self.sizes[ids]

@@ -80,8 +80,6 @@ class WordBpe:
 #: A run of white space of this length is taken out of a text before the splitting pattern, which looks ahead of each and would
 #: run out of stack at some ten times that.
 LONG_RUN = 100_000
-#: The pattern for a part that is one piece.
-WHOLE = "(?s:.+)"
 _LONG = re.compile(r"[^\S\x1c-\x1f]{%d,}" % LONG_RUN)
 
 
@@ -101,6 +99,18 @@ def stretches(text: str, ends: tuple[str, ...] = ()) -> Iterator[tuple[str, bool
         yield text[done:], False
 
 
+_WHOLE: dict = {}
+
+
+def whole(encoding):
+    """The encoding without a splitting pattern, for parts that are one piece; made when first wanted."""
+    import tiktoken
+
+    if encoding.name not in _WHOLE:
+        _WHOLE[encoding.name] = tiktoken.Encoding(f"{encoding.name}-whole", pat_str="(?s:.+)", mergeable_ranks=encoding._mergeable_ranks, special_tokens={})
+    return _WHOLE[encoding.name]
+
+
 class ByteBpe:
     """Ids of a `tiktoken` vocabulary, as little-endian bytes of `kind`."""
 
@@ -109,11 +119,11 @@ class ByteBpe:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encoding, self.whole = (tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}) for name, pattern in (("own", public_tokenizers.PATTERN), ("whole", WHOLE)))
+        self.encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.kind = np.dtype(kind)
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(np.array((self.whole if run else self.encoding).encode_ordinary(part), self.kind).tobytes() for part, run in stretches(text or ""))
+        return b"".join(np.array((whole(self.encoding) if run else self.encoding).encode_ordinary(part), self.kind).tobytes() for part, run in stretches(text or ""))
 
 
 _LOADED: dict = {}
