@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wardgraph.llm.common import free_names, held_out, text_key, with_string_text
+from wardgraph.llm.tokens import forget
 
 LENGTHS, BUCKETS = (1, 2, 3), 1 << 16
 #: Buckets of a block when kernels are formed.
@@ -146,6 +147,7 @@ class LanguageModel:
 
 def _predict(model, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # what earlier stages left in this worker
         for batch in batches:
             langs, scores = model.value.predict(batch.column(batch.schema.get_field_index("text")).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, *names])

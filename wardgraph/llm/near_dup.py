@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardgraph.llm.common import free_names, own_columns, scratch, text_key, with_string_text, written
+from wardgraph.llm.tokens import forget
 
 FEATURES = "n_shingles long, k1 long, k2 long, a array<long>, b array<long>"
 #: Bounds of a block: shingles and classes. A class of more shingles is a block of its own.
@@ -64,6 +65,7 @@ def minhashes(shingles: np.ndarray, mult: np.ndarray, add: np.ndarray) -> np.nda
 
 def _features(k: int, halves: int, rows: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # what earlier stages left in this worker
         rng = np.random.default_rng(seed)
         n = 2 * halves * rows
         mult, add = (rng.integers(0, 2**32, n, dtype=np.uint64).astype(np.uint32) for _ in range(2))
@@ -93,6 +95,7 @@ def _features(k: int, halves: int, rows: int, seed: int):
 
 def _sets(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

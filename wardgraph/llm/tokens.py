@@ -45,7 +45,7 @@ class Cache(dict):
 class WordBpe:
     """Ids of a `tokenizers` file whose pre-tokenizer drops white space, as little-endian bytes of `kind`."""
 
-    def __init__(self, path: str, kind: str = "<u4", most_words: int = 200_000, most_pieces: int = 150_000):
+    def __init__(self, path: str, kind: str = "<u4", most_words: int = 300_000, most_pieces: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -129,6 +129,14 @@ class ByteBpe:
 _LOADED: dict = {}
 
 
+def forget() -> None:
+    """Empties the caches of this worker process, where other work follows."""
+    for one in _LOADED.values():
+        if isinstance(one, WordBpe):
+            one.words.clear()
+            one.pieces.clear()
+
+
 def loaded(kind, name: str):
     """One instance a worker process, whose caches later tasks use. name: a public tokenizer, or a path that every
     executor has."""
