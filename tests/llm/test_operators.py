@@ -101,6 +101,30 @@ def test_clean_documents_are_those_without_hits(spark, block):
     assert got.columns == docs.columns and sorted((r.doc_id for r in got.collect()), key=str) == sorted(want, key=str) and 0 < len(want) < docs.count()
 
 
+def test_more_items_than_an_index_holds_join_by_shuffle(spark, monkeypatch):
+    """Fingerprints joined by shuffle equal the broadcast index, with a filter that lets nearly all pass, rows that go on, and copies."""
+    docs, items = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet")
+    one = items.orderBy("item_id").first()
+    docs = docs.union(docs.limit(3)).union(spark.createDataFrame([(i, one.text) for i in (7, 7, None, 70_001)] + [(70_002, (one.text + " ") * 2000)], "doc_id long, text string"))
+    order = lambda df: sorted(map(repr, df.collect()))
+    want = order(decontam.contamination(docs, items))
+    for most in (decontam.FILTER_BYTES, 128):
+        got = decontam.contamination(docs, items, 4000, most)
+        assert order(got) == want, most
+        assert "BroadcastNestedLoopJoin" not in got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+
+
+def test_filter_never_says_no_wrongly():
+    rnd = np.random.default_rng(3)
+    h = rnd.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    table = np.zeros(1 << 8, np.uint64)
+    for at in np.concatenate([h, h >> np.uint64(32)]) & np.uint64((1 << 14) - 1):
+        table[int(at) >> 6] |= np.uint64(1) << (at & np.uint64(63))
+    assert decontam.likely(h, table).all()
+    assert decontam.likely(rnd.integers(0, 1 << 63, 5000, dtype=np.uint64), table).mean() < 0.05
+    assert [x.tolist() for x in decontam.merged_spans(np.array([30, 0, 5, 15, 0]), np.array([40, 10, 15, 20, 3]))] == [[0, 30], [20, 40]]
+
+
 def test_winnowing_guarantee():
     rnd = np.random.default_rng(1)
     shared = rnd.integers(0, 5, 10)

@@ -6,28 +6,34 @@ of k + w - 1 words around it that occur in an item word for word. Two texts that
 fingerprint inside that span, so no such window is missed. Items shorter than a window give no such guarantee: they
 are looked up whole, by the hashes of all document spans of their length.
 
-The items' index is broadcast in blocks whose size is checked (block_bytes of item text; a longer item is cut into parts
-that share k + w - 2 words). It is made of sorted hashes of windows in arrays, and what they find is compared word for
-word. With one block the documents are read once and nothing is shuffled; with more, once a block, one block being held
-at a time.
+Items of at most block_bytes of text in all are broadcast as an index: sorted hashes of windows in arrays, and what they
+find is compared word for word. The documents are read once then and nothing is shuffled. Beyond that, fingerprints are
+joined by shuffle, and the documents are read once as well: a filter of the items' fingerprints (bits, at most
+FILTER_BYTES, which may say yes wrongly and never no) lets windows around likely ones pass, and these join the items'
+windows by their words. A longer item is cut into parts that share k + w - 2 words.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardgraph.llm.common import with_string_text, written
+from wardgraph.llm.common import free_names, text_key, with_string_text, written
 
 K, W = 5, 6
-#: Item text of a block.
+SPAN = K + W - 1
+#: Item text whose index is broadcast.
 BLOCK_BYTES = 8 << 20
+#: The filter of fingerprints has two of at least 16 bits for each, up to this size; beyond it more passes, and nothing is lost.
+FILTER_BYTES = 64 << 20
+#: Windows of a document that leave a task in one row.
+ROW_WINDOWS = 1 << 14
 _KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 #: UTF-8 bytes: A-Z become a-z, and what is not of [^\x00-\x2F\x3A-\x60\x7B-\x7F] becomes a space.
 _BYTES = bytes(b if b in _KEPT else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -219,63 +225,181 @@ def _parts(most: int):
     return run
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> tuple[int, Iterator]:
-    """How many broadcasts of about block_bytes of text the items make, one at least; and these, made when asked for."""
+def _items(items: DataFrame, block_bytes: int) -> tuple[DataFrame, bool]:
+    """(item, text) of distinct items, in parts where they are long; and whether all fit into one index."""
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     items = items.mapInArrow(_parts(block_bytes), "item string, text string")
-    size = items.agg(F.sum(F.length(F.col("text").cast("binary")) + 16)).first()[0] or 0
-    n = max(1, math.ceil(size / block_bytes))
-
-    def block(i: int):
-        mine = items if n == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        rows = sorted((r.item, r.text) for r in mine.collect())
-        return items.sparkSession.sparkContext.broadcast({"id": hash((i, n, tuple(rows))), "items": rows})
+    return items, (items.agg(F.sum(F.length(F.col("text").cast("binary")) + 16)).first()[0] or 0) <= block_bytes
+
+
+def _block(items: DataFrame):
+    rows = sorted((r.item, r.text) for r in items.collect())
+    return items.sparkSession.sparkContext.broadcast({"id": hash(tuple(rows)), "items": rows})
+
+
+def word_ids(ws: list[bytes]) -> np.ndarray:
+    """Numbers of words that are the same in every task. Words that share one only let more candidates pass."""
+    return np.fromiter(map(crc32, ws), np.uint64, len(ws))
+
+
+def tagged(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of sequences of so many words, apart from those of other sizes; 0: fingerprints."""
+    return (hashes + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """item, text -> size, h: the fingerprints (size 0) of items, and the hash of each item shorter than a window."""
+    for batch in batches:
+        found: dict[int, list] = {}
+        for text in batch.column(1).to_pylist():
+            ids = word_ids(words(text))
+            if len(ids) >= SPAN:
+                h = gram_hashes(ids, K)
+                found.setdefault(0, []).append(h[winnow(h, W)])
+            elif len(ids):
+                found.setdefault(len(ids), []).append(gram_hashes(ids, len(ids)))
+        for size, parts in found.items():
+            h = np.unique(tagged(np.concatenate(parts), size)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), size, np.int32)), pa.array(h)], names=["size", "h"])
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """item, text -> gram, item: the words of each window, once an item's part."""
+    for batch in batches:
+        for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ws = words(text)
+            size = min(SPAN, len(ws))
+            for at in range(0, len(ws) - size + 1 if ws else 0, ROW_WINDOWS):
+                grams = sorted({b" ".join(ws[i : i + size]) for i in range(at, min(at + ROW_WINDOWS, len(ws) - size + 1))})
+                yield pa.RecordBatch.from_arrays([pa.array(grams, pa.binary()), pa.array([item] * len(grams), pa.string())], names=["gram", "item"])
+
+
+def _filter(items: DataFrame, filter_bytes: int):
+    """Broadcast bits of the items' fingerprints, and the sizes of items shorter than a window. The bits are put together in words
+    of 64 by Spark, so the driver gets filter_bytes of them at most, each word with its number."""
+    prints = written(items.mapInArrow(_item_prints, "size int, h long").distinct(), "prints")
+    n = prints.count()
+    bits = 1 << min(max(10, (16 * n - 1).bit_length()), (8 * filter_bytes).bit_length() - 1)
+    at = prints.select(F.explode(F.array(F.col("h").bitwiseAND(bits - 1), F.shiftrightunsigned("h", 32).bitwiseAND(bits - 1))).alias("at"))
+    some = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits")).toArrow()
+    table = np.zeros(bits >> 6, np.uint64)
+    table[some.column("word").to_numpy()] = some.column("bits").to_numpy().view(np.uint64)
+    sizes = sorted(r[0] for r in prints.where("size > 0").select("size").distinct().collect())
+    return items.sparkSession.sparkContext.broadcast({"bits": table, "sizes": sizes})
+
+
+def likely(h: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which hashes the filter lets pass."""
+    last = np.uint64(len(table) * 64 - 1)
+    ok = np.ones(len(h), bool)
+    for at in (h & last, (h >> np.uint64(32)) & last):
+        ok &= (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return ok
+
+
+def _candidates(wanted):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """doc_id, a, b, text -> one row a document with its number of words and the windows (gram, size, start) that may be an
+        item's. What has more than ROW_WINDOWS of them goes on in rows without a number."""
+        table, sizes = wanted.value["bits"], wanted.value["sizes"]
+        kind = pa.list_(pa.struct([("gram", pa.binary()), ("size", pa.int32()), ("start", pa.int32())]))
+        for batch in batches:
+            keys, held, rows = batch.select([0, 1, 2]), 0, []
+
+            def flush(keys=keys, rows=rows):
+                took = keys.take(pa.array([r[0] for r in rows], pa.int64()))
+                out = pa.RecordBatch.from_arrays([*took.columns, pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], kind)], names=["doc_id", "a", "b", "n_words", "windows"])
+                rows.clear()
+                return out
+
+            for i, text in enumerate(batch.column(3)):
+                ws = words(text.as_py())
+                ids, starts = word_ids(ws), []
+                if len(ws) >= SPAN:
+                    h = gram_hashes(ids, K)
+                    at = winnow(h, W)
+                    at = at[likely(tagged(h[at], 0), table)]
+                    starts += [(SPAN, s) for s in np.unique(np.clip(at[:, None] - np.arange(W), 0, len(ws) - SPAN)).tolist()]
+                for size in sizes:
+                    if len(ws) >= size:
+                        starts += [(size, s) for s in np.flatnonzero(likely(tagged(gram_hashes(ids, size), size), table)).tolist()]
+                for first in range(0, max(1, len(starts)), ROW_WINDOWS):
+                    some = starts[first : first + ROW_WINDOWS]
+                    rows.append((i, None if first else len(ws), [{"gram": b" ".join(ws[s : s + size]), "size": size, "start": s} for size, s in some]))
+                    held += len(some)
+                    if held >= ROW_WINDOWS:
+                        held = 0
+                        yield flush()
+            if rows:
+                yield flush()
 
-    return n, map(block, range(n))
+    return run
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs, with their columns, whose text holds no window of an item. Each row is judged by its own text; one
-    block of items after the other filters what is left, so nothing is shuffled. Null and empty texts stay."""
+def merged_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that meet or overlap become one."""
+    by = np.argsort(starts, kind="stable")
+    starts, ends = starts[by], np.maximum.accumulate(ends[by])
+    first = np.concatenate([[True], starts[1:] > ends[:-1]])
+    return starts[first], ends[np.concatenate([first[1:], [True]])]
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        spans = []
+        for found in batch.column(2):
+            starts, ends = (found.values.field(j).to_numpy(zero_copy_only=False) for j in (0, 1))
+            spans.append([{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in merged_spans(starts, ends)), strict=True)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind)], names=["a", "b", "spans"])
+
+
+def _joined(docs: DataFrame, items: DataFrame, filter_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """doc_id, text -> every row as (doc_id, a, b, n_words), a and b being the text's key; and by key: the windows that are an item's
+    (a, b, gram, size, start), and the items' windows (gram, item). Each text's windows are made distinct before they join, so copies
+    of one text join once."""
+    wanted = _filter(items, filter_bytes)
+    keyed = docs.select("doc_id", text_key().alias("k"), "text").select("doc_id", "k.a", "k.b", "text")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, a long, b long, n_words long, windows array<struct<gram:binary,size:int,start:int>>"
+    rows = written(keyed.mapInArrow(_candidates(wanted), schema), "windows")
+    wanted.destroy()
+    of_items = written(items.mapInArrow(_item_windows, "gram binary, item string").distinct(), "item-windows")
+    windows = written(rows.select("a", "b", F.explode("windows").alias("w")).select("a", "b", "w.*").distinct(), "distinct")
+    grams = written(of_items.select("gram").distinct(), "grams")
+    hits = written(windows.join(grams, "gram", "left_semi").select("a", "b", "gram", "size", "start"), "hits")
+    return rows.where("n_words is not null").select("doc_id", "a", "b", "n_words"), hits, of_items
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """The rows of docs, with their columns, whose text holds no window of an item. Each row is judged by its own text. With items of
+    at most block_bytes nothing is shuffled; with more, hits are joined by the text's key. Null and empty texts stay."""
     docs = with_string_text(docs)
-    n, blocks = _blocks(items, block_bytes)
-    for block in blocks:
-        docs = docs.mapInArrow(_clean(block), docs.schema)
-        if n > 1:
-            docs = written(docs, "clean")
-            block.destroy()
-    return docs
+    items, one = _items(items, block_bytes)
+    if one:
+        return docs.mapInArrow(_clean(_block(items)), docs.schema)
+    _, hits, _ = _joined(docs.select(F.lit(0).alias("doc_id"), "text"), items, filter_bytes)
+    key, own = free_names(docs, "key", "hit")
+    hit = written(hits.select(F.struct("a", "b").alias(own)).distinct(), "hit-texts")
+    return docs.withColumn(key, text_key()).join(hit, F.col(key) == F.col(own), "left_anti").drop(key)
 
 
-def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, block_bytes: int = BLOCK_BYTES, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """(doc_id, text), (item_id, text) -> doc_id, n_words, spans (of words, ends exclusive), items (sorted as strings).
 
     One row for each row of docs. Null and empty texts have no words; an item without words occurs nowhere; an item
     without id counts as ''; repeated items count once. Without items nothing is hit.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    n, blocks = _blocks(items, block_bytes)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    if n == 1:
-        return docs.mapInArrow(_match(next(blocks)), f"doc_id {id_type}, n_words long, spans {SPANS}, items array<string>")
-    # more blocks: hits meet by doc_id and text, so that equal rows stay apart from others and keep their number
-    keyed, parts = docs.withColumn("row", F.sha2(F.coalesce("text", F.lit("")), 256)).select("doc_id", "text", "row"), []
-    for i, block in enumerate(blocks):
-        found = keyed.mapInArrow(_match(block), f"doc_id {id_type}, row string, n_words long, spans {SPANS}, items array<string>")
-        parts.append(written(found.where("size(items) > 0" if i else "true"), f"hits{i}"))
-        block.destroy()
-    base, more = parts[0], parts[1]
-    for p in parts[2:]:
-        more = more.union(p)
-    more = more.distinct().groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(F.flatten(F.collect_list("spans")).alias("s"), F.flatten(F.collect_list("items")).alias("t"))
-    both = base.join(more, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")), "left")
-    order = F.array_sort(F.concat("spans", F.coalesce("s", F.array().cast(SPANS))))
-    merged = F.aggregate(
-        order,
-        F.array().cast(SPANS),
-        lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))),
-    )
-    return both.select("doc_id", "n_words", merged.alias("spans"), F.array_sort(F.array_distinct(F.concat("items", F.coalesce("t", F.array().cast("array<string>"))))).alias("items"))
+    items, one = _items(items, block_bytes)
+    if one:
+        return docs.mapInArrow(_match(_block(items)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words long, spans {SPANS}, items array<string>")
+    rows, hits, of_items = _joined(docs, items, filter_bytes)
+    span = F.struct("start", (F.col("start") + F.col("size")).alias("end"))
+    spans = hits.groupBy("a", "b").agg(F.collect_list(span).alias("spans")).mapInArrow(_merge, f"a long, b long, spans {SPANS}")
+    held = hits.join(of_items, "gram").select("a", "b", "item").distinct().groupBy("a", "b").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    found = written(spans.join(held, ["a", "b"]), "found")
+    none = lambda c, t: F.coalesce(c, F.array().cast(t)).alias(c)
+    return rows.join(found, ["a", "b"], "left").select("doc_id", "n_words", none("spans", SPANS), none("items", "array<string>"))
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
