@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from wardgraph.functions import status
 from wardgraph.operators import chain, extension, graph, layers, telemetry
 from wardgraph.sources import paged
+from wardgraph.sources.edge_store import EdgeStore
 from wardgraph.sources.store import Conflict, VersionedStore
+from wardgraph.sources.tables import written
 from wardgraph.streaming import streams
 
 
@@ -25,6 +27,10 @@ def many_ranges(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def hot_events(n, seed=1):
     """Half of all rows are of one component; some have no component or no time."""
     r = random.Random(seed)
@@ -314,3 +320,37 @@ def test_a_hub_is_many_rows(spark):
     rows = graph.neighbour_stretches(e, 100).where("node = 'hub'").collect()
     assert {(r.side, r.stretch): len(r.nodes) for r in rows} == {("targets", i): 100 if i < 10 else 3 for i in range(11)} | {("sources", 0): 2}
     assert [x for r in sorted((r for r in rows if r.side == "targets"), key=lambda r: r.stretch) for x in r.nodes] == [f"t{i:04d}" for i in range(1003)]
+
+
+def test_edge_store_moves_no_edge(spark, tmp_path):
+    """A hub of half of all edges is many bounded parts and many buckets; hops deal nodes alone; another session opens the store."""
+    rows = spark.range(40_000).select(F.concat(F.lit("CVE-"), F.col("id")).alias("source"), F.when(F.col("id") % 2 == 0, "CWE-hub").otherwise(F.concat(F.lit("CWE-"), F.col("id") % 997)).alias("target"), F.lit(1).alias("value"))
+    rows = rows.union(spark.createDataFrame([("CWE-hub", "T1", 5), ("CWE-3", "T1", 2), ("CWE-5", "T2", 1), (None, "T1", 1), ("CWE-9", None, 1)], "source string, target string, value int"))
+    store = EdgeStore.write(rows, f"file://{tmp_path}/edges", buckets=6, part_rows=1000)
+    parts = store.neighbour_parts().where("node = 'CWE-hub' and side = 'sources'").select(F.size("nodes").alias("n")).collect()
+    assert len(parts) == 20 and sum(r.n for r in parts) == 20_000 and max(r.n for r in parts) < 1200
+    assert "Exchange" not in plan_of(store.neighbour_parts())
+    nodes = written(spark.createDataFrame([("CWE-hub",), ("CWE-hub",), ("T1",), ("absent",), (None,)], "node string"), "nodes")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(store.edges_of(nodes))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    edges_side = plan.split("SortMergeJoin [target", 1)[1].split("FileScan")
+    assert "Exchange" not in edges_side[0] and "Bucketed: true" in edges_side[1]
+    for side in ("target", "source"):
+        got = store.edges_of(nodes, side).collect()
+        assert sorted(map(str, got)) == sorted(map(str, rows.where(F.col(side).isin("CWE-hub", "T1")).collect()))
+    chosen = spark.createDataFrame([("T1",)], "node string")
+    want = sorted(graph.trace_back(rows, chosen, ("CWE-",)).collect(), key=str)
+    assert sorted(graph.trace_back(store, chosen, ("CWE-",)).collect(), key=str) == want and len(want) == 3 + 20_000 + rows.where("target = 'CWE-3'").count()
+    for side in ("target", "source"):
+        spark.sql(f"drop table {store._name(store.path, side)}")
+    again = EdgeStore(spark, store.path)
+    assert again.edges_of(nodes).count() == 20_003 and again.buckets == 6
+
+
+def test_edge_store_of_no_edges(spark, tmp_path):
+    store = EdgeStore.write(spark.createDataFrame([], "source string, target string, value int"), f"file://{tmp_path}/none", buckets=2)
+    assert store.edges_of(spark.createDataFrame([("T1",)], "node string")).count() == 0 and store.neighbour_parts().count() == 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardgraph.functions.ids import node_type
 from wardgraph.operators.telemetry import numbered
+from wardgraph.sources.edge_store import EdgeStore
 from wardgraph.sources.tables import written
 
 
@@ -58,16 +59,17 @@ def node_set(e: DataFrame) -> DataFrame:
     return e.select(F.explode(F.array("source", "target")).alias("node")).distinct()
 
 
-def trace_back(e: DataFrame, selected: DataFrame, prefixes: tuple[str | None, ...]) -> DataFrame:
+def trace_back(e: DataFrame | EdgeStore, selected: DataFrame, prefixes: tuple[str | None, ...]) -> DataFrame:
     """Edges into the selected nodes, then into their sources that start with each prefix in turn (None: any). Each hop joins e
-    again, so e should be a table."""
-    front, found = written(selected.select(F.col("node").alias("target")).distinct(), "selected"), []
+    again, so e should be a table, or a store, of which no hop moves an edge."""
+    into = e.edges_of if isinstance(e, EdgeStore) else lambda nodes: e.join(nodes.select(F.col("node").alias("target")).distinct(), "target", "left_semi")
+    front, found = written(selected.select("node").distinct(), "selected"), []
     for prefix in prefixes:
-        step = written(e.join(front, "target", "left_semi").select("source", "target", "value"), "hop")
+        step = written(into(front).select("source", "target", "value"), "hop")
         found.append(step)
-        front = step.select(F.col("source").alias("target")).distinct()
-        front = front if prefix is None else front.where(F.col("target").startswith(prefix))
-    found.append(e.join(front, "target", "left_semi").select("source", "target", "value"))
+        front = step.select(F.col("source").alias("node")).distinct()
+        front = front if prefix is None else front.where(F.col("node").startswith(prefix))
+    found.append(into(front).select("source", "target", "value"))
     return reduce(DataFrame.union, found).distinct()
 
 

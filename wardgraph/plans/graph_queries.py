@@ -10,7 +10,8 @@ from wardgraph.plans.bridge import Bridge
 from wardgraph.plans.chain_queries import category_map, techniques
 from wardgraph.plans.registry import query
 from wardgraph.sources import scans
-from wardgraph.sources.tables import written
+from wardgraph.sources.edge_store import EdgeStore
+from wardgraph.sources.tables import new_path, written
 
 # every path step as a row, counted afterwards: the brute-force form of the weights
 EDGES = """with p1 as (select cve_id, cwe_id from x_cwe),
@@ -115,6 +116,23 @@ def trace_back_techniques(b: Bridge):
     return graph.trace_back(e, chosen, ("CAPEC-", "CWE-"))
 
 
+@query(TRACE.format(pick="regexp_matches(target, '^T10[0-9][05]$')", first="starts_with(source, 'CAPEC-')", second="starts_with(source, 'CWE-')", more="", tail=""))
+def trace_back_stored(b: Bridge):
+    """trace_back_techniques over edges stored by target: the hops move nodes, and no edges."""
+    store = EdgeStore.write(all_edges(b), new_path(b.spark, "edge-store"), part_rows=2000)
+    chosen = store.tables["target"].where(F.col("target").rlike("^T10[0-9][05]$")).select(F.col("target").alias("node"))
+    return graph.trace_back(store, chosen, ("CAPEC-", "CWE-"))
+
+
+@query(EDGES + """, s as (select target as node, 'sources' as side, source as other from edges union all select source, 'targets', target from edges)
+select node, side, count(*) as n, min(other) as first, max(other) as last from s group by node, side""")
+def neighbour_parts(b: Bridge):
+    """What the parts of each node's neighbours come to, from the store."""
+    parts = EdgeStore.write(all_edges(b), new_path(b.spark, "edge-store"), part_rows=2000).neighbour_parts()
+    first, last = F.min(F.element_at("nodes", 1)).alias("first"), F.max(F.element_at("nodes", -1)).alias("last")
+    return parts.groupBy("node", "side").agg(F.sum(F.size("nodes")).alias("n"), first, last)
+
+
 @query(TRACE.format(pick="target in ('D3F-HOUSEHOLD', 'D3F-MACHINERY')", first="true", second="starts_with(source, 'CAPEC-')", more=",\nh4 as (select e.source, e.target, e.value from edges e semi join (select distinct source from h3 where starts_with(source, 'CWE-')) f on e.target = f.source)", tail=" union select * from h4"))
 def trace_back_countermeasures(b: Bridge):
     e = written(all_edges(b), "edges")
