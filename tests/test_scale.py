@@ -354,3 +354,19 @@ def test_edge_store_moves_no_edge(spark, tmp_path):
 def test_edge_store_of_no_edges(spark, tmp_path):
     store = EdgeStore.write(spark.createDataFrame([], "source string, target string, value int"), f"file://{tmp_path}/none", buckets=2)
     assert store.edges_of(spark.createDataFrame([("T1",)], "node string")).count() == 0 and store.neighbour_parts().count() == 0
+
+
+def test_quantiles_of_a_hot_key_come_from_its_ranges(spark):
+    """Three in four rows are of one key, half of these have one value; a key of one row, one of nulls, and none."""
+    r = random.Random(4)
+    rows = [("hot", r.choice([7.0, r.randrange(1000) / 4])) for _ in range(3000)] + [(None, float(r.randrange(50))) for _ in range(900)] + [("one", 2.5), ("void", None), ("void", None)]
+    df = spark.createDataFrame(rows, "label_key string, value double").repartition(5)
+    want = set()
+    for k in {k for k, _ in rows}:
+        own = sorted((v for x, v in rows if x == k), key=lambda v: (v is not None, v))
+        n, known = len(own), [v for v in own if v is not None]
+        total = sum(known) if known else None
+        want.add((k, n, total, None if total is None else total / n, *(own[max(int(q * n - 1), 0)] for q in telemetry.QUANTILES)))
+    got = telemetry.quantiles(df)
+    assert set(map(tuple, got.collect())) == want and got.columns == ["label_key", "n", "total", "mean", "q5", "q9", "q95", "q99"]
+    assert telemetry.quantiles(df.limit(0)).count() == 0

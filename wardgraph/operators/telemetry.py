@@ -120,15 +120,22 @@ def histogram(samples: DataFrame, buckets: Sequence[float] = BUCKETS) -> DataFra
 
 
 def quantiles(samples: DataFrame, q: Sequence[float] = QUANTILES) -> DataFrame:
-    """Per key count, sum, mean and the order statistics at int(q n - 1), not below the first."""
+    """Per key count, sum, mean and the order statistics at int(q n - 1), not below the first. Values are dealt to ranges of key and
+    value; the counts of the ranges say where each rank lies, and those rows alone are picked."""
     # equal values in any order
-    ranked = numbered(samples.select("label_key", "value", F.monotonically_increasing_id().alias("tie")), ["label_key"], ["value", "tie"], "rn")
-    totals = ranked.groupBy("label_key").agg(F.count("*").alias("n"), exact_sum("value").alias("total"))
-    at = lambda x: F.greatest(F.expr(f"cast({x}D * n - 1 as long)"), F.lit(0)) + 1
-    picks = [F.max(F.when(F.col("rn") == at(x), F.col("value"))).alias(f"q{str(x)[2:]}") for x in q]
-    mine = totals.select(F.col("label_key").alias("key"), "n", "total")
-    out = ranked.join(mine, F.col("label_key").eqNullSafe(F.col("key"))).groupBy("label_key", "n", "total").agg(*picks)
-    return out.select("label_key", "n", "total", (F.col("total") / F.col("n")).alias("mean"), *(f"q{str(x)[2:]}" for x in q))
+    dealt = ranged(samples.select("label_key", "value", F.monotonically_increasing_id().alias("tie")), ["label_key"], ["value", "tie"], "range", "at")
+    heads = dealt.groupBy("label_key", "range").agg(F.min("at").alias("first"), F.count("*").alias("own"), F.sum(F.col("value").cast("decimal(24,4)")).alias("total"))
+    key = Window.partitionBy("label_key")
+    before = F.coalesce(F.sum("own").over(key.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    heads = heads.select("label_key", "first", "own", before.alias("before"), F.sum("own").over(key).alias("n"), F.sum("total").over(key).alias("total"))
+    rank = lambda x: F.greatest(F.expr(f"cast({x}D * n - 1 as long)"), F.lit(0))
+    named = {f"q{str(x)[2:]}": rank(x) for x in q}
+    ranks = heads.withColumn("w", F.explode(F.array(*(F.struct(F.lit(c).alias("q"), r.alias("rank")) for c, r in named.items()))))
+    here = F.col("w.rank") - F.col("before")
+    wanted = ranks.where((here >= 0) & (here < F.col("own"))).select("label_key", "n", "total", "w.q", (F.col("first") + here).alias("at"))
+    found = wanted.join(dealt.select("at", "value"), "at").groupBy("label_key", "n", "total").agg(*(F.max(F.when(F.col("q") == c, F.col("value"))).alias(c) for c in named))
+    total = F.col("total").cast("double")
+    return found.select("label_key", "n", total.alias("total"), (total / F.col("n")).alias("mean"), *named)
 
 
 #: Size parameter of the quantile sketches, and the error of a rank that it gives in 99 of 100 cases (as Apache DataSketches states for 200).
