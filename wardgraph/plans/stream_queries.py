@@ -182,6 +182,23 @@ def active_requests(b: Bridge):
     return replayed(b, b.table("events"), build, "requests")
 
 
+@query("select cast(event_id as varchar) as request_id from events where event_id % 5 >= 3")
+def requests_ended_late(b: Bridge):
+    """Each event starts a request. A fifth each ends at once, ten minutes later, just before the bound of an hour, just after it, and
+    never; ends land in order of time, so most come with a later batch than their start. The last two fifths are open."""
+    delay = F.element_at(F.array(*(F.expr(f"interval {m} minutes") for m in (0, 10, 59, 61))), (F.col("event_id") % 5 + 1).cast("int"))
+    started = b.table("events").select("event_id", "ts", F.lit(False).alias("is_end"))
+    both = started.union(started.where("event_id % 5 < 4").select("event_id", F.col("ts") + delay, F.lit(True)))
+
+    def build(e):
+        # the row that closes the streams is in both, a request of its own
+        rows = e.select(F.coalesce("event_id", F.lit(-1)).cast("string").alias("request_id"), "ts", "is_end")
+        starts, ends = (rows.where(F.col("is_end").isNull() | (F.col("is_end") == end)).select("request_id", "ts") for end in (False, True))
+        return streams.open_requests(starts, ends).select("request_id")
+
+    return replayed(b, both, build, "late-ends")
+
+
 @query("select event_id, value * 2 as doubled from events")
 def map_batches(b: Bridge):
     return extension.map_batches(b.table("events").select("event_id", "value"), lambda pdf: pdf.assign(doubled=pdf.value * 2)[["event_id", "doubled"]], "event_id long, doubled double")
