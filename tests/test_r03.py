@@ -20,3 +20,57 @@ def test_heat_of_nothing_is_transparent_in_sql_too(spark, tmp_path):
     want = sorted(con.execute(registry.ORACLES["heat_bucket"]).fetchall())
     got = sorted((r.event_id, r.hue, r.percent) for r in registry.QUERIES["heat_bucket"](spark, str(tmp_path)).collect())
     assert got == want and want[0][1] is None
+
+
+def small_chain(spark):
+    """The tables of a small chain with odd rows, and what a plain walk finds."""
+    r = random.Random(5)
+    facts = {(f"v{r.randrange(40)}", str(r.randrange(30))) for _ in range(120)} | {("v1", "none"), ("w", None)}
+    parents = {(str(i), str(i // 10)) for i in range(10, 30)} | {("7", "8"), ("none", "3"), ("29", "5")}
+    capec = {(str(r.randrange(25)), f"c{r.randrange(20)}") for _ in range(60)}
+    tech = {(f"c{r.randrange(18)}", str(1000 + r.randrange(70))) for _ in range(80)}
+    defend = {(f"T{1000 + r.randrange(70)}", f"d{r.randrange(80)}") for _ in range(120)}
+    cats = {(str(r.randrange(30)), f"A{r.randrange(4)}") for _ in range(40)}
+    sets = (facts, parents, capec, tech, defend, cats)
+    names = ("cve_id string, cwe_id string", "cwe_id string, parent_id string", "cwe_id string, capec_id string", "capec_id string, technique_id string", "technique_id string, d3f_id string", "cwe_id string, category_id string")
+    want = {}
+    for v in {v for v, _ in facts} | {"empty"}:
+        direct = {w for x, w in facts if x == v and w}
+        cwe = direct | {p for w, p in parents if w in direct}
+        c = {y for w, y in capec if w in cwe}
+        t = {y for x, y in tech if x in c}
+        want[v] = tuple(map(sorted, (cwe, c, t, {y for x, y in defend if x[1:] in t}, {y for w, y in cats if w in direct})))
+    return [spark.createDataFrame(sorted(s, key=str), n) for s, n in zip(sets, names, strict=True)], want
+
+
+@pytest.mark.parametrize(("most", "most_names"), [(1 << 30, 1024), (0, 1024), (0, 3), (1 << 30, 0)])
+def test_chain_by_words_or_lists_broadcast_or_not_is_a_plain_walk(spark, most, most_names):
+    (facts, parents, capec, tech, defend, cats), want = small_chain(spark)
+    known = chain.Knowledge(parents, capec, tech, defend, cats, most_names=most_names)
+    ids = facts.select("cve_id").union(spark.createDataFrame([("empty",)], "cve_id string"))
+    assert {r.cve_id: tuple(r[k] for k in chain.LISTS) for r in known.of(facts, ids, most).collect()} == want
+
+
+def test_chain_deals_bits_and_no_list_of_names(spark):
+    (facts, parents, capec, tech, defend, cats), want = small_chain(spark)
+    found = chain.Knowledge(parents, capec, tech, defend, cats, ("techniques",)).of(facts, None, 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "collect_" not in plan and "bit_or" in plan
+    assert {r.cve_id: r.techniques for r in found.collect()} == {v: w[2] for v, w in want.items() if v != "empty"}
+
+
+def test_jsonl_shuffles_no_record_of_an_id_that_comes_once(spark, tmp_path):
+    lines = [('{"a":{"CWE":["1"]},"b":{"CWE":["2"]}}', 0), ('{"c":{"OWASP":["x"]}}', 1)]
+    df = spark.createDataFrame(lines, "value string, seq int")
+    plan = scans.jsonl_map(df)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    twice = spark.createDataFrame([*lines, ('{"b":{"CWE":["3"]},"d":{}}', 2)], "value string, seq int")
+    for few in (0, 1, 100):
+        assert {r.cve_id: (r.cwe, r.owasp) for r in scans.jsonl_map(twice, few=few).collect()} == {"a": (["1"], []), "b": (["3"], []), "c": ([], ["x"]), "d": ([], [])}
+
+
+def test_jsonl_sink_can_be_compressed(spark, tmp_path):
+    rows = spark.createDataFrame([("a", ["1"], [], [], [], ["x"])], "cve_id string, cwe array<string>, capec array<string>, techniques array<string>, defend array<string>, owasp array<string>")
+    sinks.write_jsonl(rows, str(tmp_path / "out"), compression="gzip")
+    assert list((tmp_path / "out").glob("part-*.gz"))
+    assert [(r.cve_id, r.cwe, r.owasp) for r in scans.jsonl_map(spark.read.text(str(tmp_path / "out")).withColumn("seq", F.lit(0))).collect()] == [("a", ["1"], ["x"])]

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardgraph.functions.ids import is_technique_id, taxonomy_ids
@@ -65,32 +65,107 @@ LISTS = ("cwe", "capec", "techniques", "defend", "owasp")
 
 #: Bytes of the lists of all weaknesses up to which these are broadcast: 16 an id besides its text.
 BROADCAST_BYTES = 64 << 20
+#: Names of a kind up to which a set of them is words of bits, and rows of a partition of vulnerabilities, about.
+WORD_NAMES, PART_ROWS = 1024, 1_000_000
 
 
-def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per vulnerability with five sorted distinct lists; vulnerabilities without weaknesses keep empty ones.
+class Knowledge:
+    """What each weakness leads to by itself and by its parents, as a table with a row a weakness: the distinct ids of the chosen `kinds`.
 
-    The hops below a weakness are joined on the dimensions alone and end in one row of distinct lists per weakness.
-    Where these have at most `most` bytes in all they are broadcast: facts are dealt by vulnerability first, as bare ids, and
-    meet the lists there, so no list is shuffled. Beyond that, Catalyst joins and groups as it sees fit.
+    Techniques and countermeasures are few names that very many weaknesses share: up to `most_names` of them a set is words of bits,
+    a bit a name in order, which are put together by bit_or and read at the end. More names, and patterns, are lists of ids. What
+    patterns lead to is gathered a pattern before it meets the weaknesses, so no path is a row.
     """
-    key = F.concat(F.lit("T"), F.col("technique_id"))
-    hops = cwe_capec.join(techniques, "capec_id", "left").join(defend.withColumnRenamed("technique_id", "key"), key == F.col("key"), "left")
-    below = hops.groupBy("cwe_id").agg(F.collect_set("capec_id").alias("capec"), F.collect_set("technique_id").alias("techniques"), F.collect_set("d3f_id").alias("defend"))
-    named = category_map.groupBy("cwe_id").agg(F.collect_set("category_id").alias("owasp"))
-    lists = written(below.join(named, "cwe_id", "full_outer"), "lists")
-    bytes_of = lambda c: F.coalesce(16 * F.size(c) + F.octet_length(F.array_join(c, "")), F.lit(0))
-    size = lists.agg(F.sum(reduce(lambda a, b: a + b, map(bytes_of, LISTS[1:])))).first()[0] or 0
-    facts = written(facts.select("cve_id", "cwe_id"), "facts")
-    up = facts.join(parents, "cwe_id").select("cve_id", F.col("parent_id").alias("cwe_id"), F.lit(False).alias("direct"))
-    rows = facts.select("cve_id", "cwe_id", F.lit(True).alias("direct")).union(up).unionByName(ids.select("cve_id"), allowMissingColumns=True)
-    if size <= most:
-        rows, lists = rows.repartition("cve_id"), F.broadcast(lists)
-    # categories are those of direct weaknesses
-    full = rows.join(lists, "cwe_id", "left").withColumn("owasp", F.when(F.col("direct"), F.col("owasp")))
-    # a vulnerability has few weaknesses: its lists are put together in one group
-    flat = lambda c: F.sort_array(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    return full.groupBy("cve_id").agg(F.sort_array(F.collect_set("cwe_id")).alias("cwe"), *(flat(c) for c in LISTS[1:]))
+
+    def __init__(self, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, kinds: tuple[str, ...] = LISTS, most_names: int = WORD_NAMES):
+        self.kinds, self.names = kinds, {}
+        columns = {"techniques": "technique_id", "defend": "d3f_id"}
+        paths, own = techniques, []
+        if "defend" in kinds:
+            key = F.concat(F.lit("T"), F.col("technique_id"))
+            paths = techniques.join(defend.withColumnRenamed("technique_id", "key"), key == F.col("key"), "left").drop("key")
+        for kind, column in columns.items():
+            if kind in kinds:
+                found = [r[0] for r in paths.select(column).where(F.col(column).isNotNull()).distinct().limit(most_names + 1).collect()]
+                if len(found) <= most_names:
+                    self.names[kind] = sorted(found)
+                    paths = self._numbered(paths, kind, column)
+                    own += [F.bit_or(F.when(F.floor(F.col(f"__{kind}") / 64) == i, F.expr(f"shiftleft(1L, cast(__{kind} % 64 as int))"))).alias(w) for i, w in enumerate(self.words(kind))]
+                else:
+                    own.append(F.collect_set(column).alias(kind))
+        below = cwe_capec
+        if own:
+            below = below.join(paths.groupBy("capec_id").agg(*own), "capec_id", "left")
+        more = [x for kind in columns if kind in kinds for x in self.gathered(kind)]
+        below = written(below.groupBy("cwe_id").agg(F.collect_set("capec_id").alias("capec"), *more), "below")
+        if "capec" not in kinds:
+            below = below.drop("capec")
+        up = parents.join(below.withColumnRenamed("cwe_id", "parent_id"), "parent_id", "left")
+        rows = below.unionByName(up, allowMissingColumns=True)
+        sets = [F.collect_set("parent_id").alias("up")]
+        if "owasp" in kinds:  # those of direct weaknesses alone
+            rows = rows.unionByName(category_map.select("cwe_id", "category_id"), allowMissingColumns=True)
+            sets.append(F.collect_set("category_id").alias("owasp"))
+        kept = [x for kind in ("capec", *columns) if kind in kinds for x in self.gathered(kind)]
+        self.lists = written(rows.where("cwe_id is not null").groupBy("cwe_id").agg(*sets, *kept), "lists")
+
+    def _numbered(self, paths: DataFrame, kind: str, column: str) -> DataFrame:
+        order = paths.sparkSession.createDataFrame(list(enumerate(self.names[kind])), f"__{kind} int, __name string")
+        return paths.join(F.broadcast(order), F.col(column) == F.col("__name"), "left").drop("__name")  # at most WORD_NAMES rows
+
+    def words(self, kind: str) -> list[str]:
+        return [f"{kind}_{i}" for i in range(-(-len(self.names[kind]) // 64))]
+
+    def gathered(self, kind: str) -> list[Column]:
+        """Sets of rows put together."""
+        if kind in self.names:
+            return [F.bit_or(w).alias(w) for w in self.words(kind)]
+        return [F.array_distinct(F.flatten(F.collect_list(kind))).alias(kind)]
+
+    def read(self, kind: str) -> Column:
+        """A set as a sorted list."""
+        if kind not in self.names:
+            return F.sort_array(kind).alias(kind)
+        names, parts = self.names[kind], [F.array().cast("array<string>")]
+        for i, w in enumerate(self.words(kind)):
+            some = F.array(*map(F.lit, names[64 * i : 64 * i + 64]))
+            word = F.coalesce(w, F.lit(0).cast("long"))
+            parts.append(F.filter(some, lambda _, n: F.getbit(word, n) == 1))  # noqa: B023 (called at once)
+        return F.concat(*parts).alias(kind)
+
+    def bytes(self) -> int:
+        """Of all lists: 16 an id besides its text, 8 a word."""
+        size = lambda c, t: F.coalesce(16 * F.size(c) + F.octet_length(F.array_join(c, "")), F.lit(0)) if t.startswith("array") else F.lit(8)
+        return self.lists.agg(F.sum(reduce(lambda a, b: a + b, (size(c, t) for c, t in self.lists.dtypes)))).first()[0] or 0
+
+    def of(self, facts: DataFrame, ids: DataFrame | None = None, most: int = BROADCAST_BYTES) -> DataFrame:
+        """(cve_id, cwe_id) -> one row a vulnerability of facts, and of ids if given, with a sorted distinct list of each kind.
+
+        Where the lists of all weaknesses have at most `most` bytes they are broadcast to facts that are dealt by vulnerability, so no
+        list is shuffled. Beyond that facts meet them by weakness, and what is dealt by vulnerability is a row a fact, in partitions whose
+        number grows with the facts."""
+        facts, lists = written(facts.select("cve_id", "cwe_id"), "facts"), self.lists
+        ids = facts.select("cve_id").limit(0) if ids is None else ids.select("cve_id")
+        n = max(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-facts.count() // PART_ROWS))
+        if self.bytes() <= most:
+            rows = facts.unionByName(ids, allowMissingColumns=True).repartition(n, "cve_id").join(F.broadcast(lists), "cwe_id", "left")
+            rows = self._own(rows)
+        else:
+            rows = self._own(facts.join(lists, "cwe_id", "left")).unionByName(ids, allowMissingColumns=True).repartition(n, "cve_id")
+        grouped = rows.groupBy("cve_id").agg(*(x for kind in self.kinds for x in self.gathered(kind)))
+        return grouped.select("cve_id", *(self.read(kind) for kind in self.kinds))
+
+    def _own(self, rows: DataFrame) -> DataFrame:
+        """Facts with their lists, the weakness itself and its parents as one."""
+        none = F.array().cast("array<string>")
+        own = F.concat(F.when(F.col("cwe_id").isNotNull(), F.array("cwe_id")).otherwise(none), F.coalesce("up", none))
+        rows = rows.withColumn("cwe", own).drop("cwe_id", "up")
+        return rows if "cwe" in self.kinds else rows.drop("cwe")
+
+
+def correlate(ids: DataFrame, facts: DataFrame, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per vulnerability with five sorted distinct lists; vulnerabilities without weaknesses keep empty ones."""
+    return Knowledge(parents, cwe_capec, techniques, defend, category_map).of(facts, ids, most)
 
 
 def lookup_request(store: DataFrame, wanted: DataFrame) -> DataFrame:

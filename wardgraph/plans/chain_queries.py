@@ -22,8 +22,17 @@ def joined_lists(df):
     return df.select("cve_id", *(ids.joined(F.col(c)).alias(c) for c in chain.LISTS))
 
 
+def knowledge(b: Bridge, *kinds: str):
+    return chain.Knowledge(b.cwe_parent, b.cwe_capec, techniques(b), b.defend, category_map(b), kinds or chain.LISTS)
+
+
 def correlated(b: Bridge):
-    return chain.correlate(b.vuln, b.vuln_cwe, b.cwe_parent, b.cwe_capec, techniques(b), b.defend, category_map(b))
+    return knowledge(b).of(b.vuln_cwe, b.vuln)
+
+
+def reached(b: Bridge, kind: str, name: str):
+    """(cve_id, name), distinct: what a vulnerability reaches, by its weaknesses and their parents. A row is made of each at the end alone."""
+    return knowledge(b, kind).of(b.vuln_cwe).select("cve_id", F.explode(kind).alias(name))
 
 
 CORRELATE = """
@@ -68,19 +77,17 @@ def expand_ancestors(b: Bridge):
 
 @query("select distinct x.cve_id, c.capec_id from x_cwe x join b_cwe_capec c on x.cwe_id = c.cwe_id")
 def weakness_to_patterns(b: Bridge):
-    return chain.weakness_patterns(chain.expand_parents(b.vuln_cwe, b.cwe_parent), b.cwe_capec)
+    return reached(b, "capec", "capec_id")
 
 
 @query("select distinct x.cve_id, t.technique_id from x_cwe x join b_cwe_capec c on x.cwe_id = c.cwe_id join x_capec_tech t on c.capec_id = t.capec_id")
 def patterns_to_techniques(b: Bridge):
-    patterns = chain.weakness_patterns(chain.expand_parents(b.vuln_cwe, b.cwe_parent), b.cwe_capec)
-    return chain.pattern_techniques(patterns, techniques(b))
+    return reached(b, "techniques", "technique_id")
 
 
 @query("select distinct x.cve_id, d.d3f_id from x_cwe x join b_cwe_capec c on x.cwe_id = c.cwe_id join x_capec_tech t on c.capec_id = t.capec_id join b_defend d on d.technique_id = 'T' || t.technique_id")
 def techniques_to_countermeasures(b: Bridge):
-    patterns = chain.weakness_patterns(chain.expand_parents(b.vuln_cwe, b.cwe_parent), b.cwe_capec)
-    return chain.technique_countermeasures(chain.pattern_techniques(patterns, techniques(b)), b.defend)
+    return reached(b, "defend", "d3f_id")
 
 
 @query("select v.cve_id, coalesce(x.s, '') as categories from b_vuln v left join (select cve_id, string_agg(owasp_id, ',' order by owasp_id) as s from (select distinct v.cve_id, c.owasp_id from b_vuln_cwe v join b_cwe c on v.cwe_id = c.cwe_id) group by cve_id) x using (cve_id)")

@@ -89,13 +89,26 @@ def technique_sheets(spark: SparkSession, paths: dict[str, str], columns: int =
     return rows.groupBy("technique_id").agg(F.max_by(F.struct("framework", "name", "description"), "n").alias("r")).select("technique_id", "r.*")
 
 
-def jsonl_map(lines: DataFrame, value: str = "value", seq: str = "seq", mode: str = "FAILFAST") -> DataFrame:
+#: Repeated ids up to which they are broadcast.
+FEW_IDS = 500_000
+
+
+def jsonl_map(lines: DataFrame, value: str = "value", seq: str = "seq", mode: str = "FAILFAST", few: int = FEW_IDS) -> DataFrame:
     """Lines {cve_id: {...}} -> one row per id; of a repeated id the last line's stays. FAILFAST: a bad line is an
-    error; PERMISSIVE: bad and blank lines are skipped."""
+    error; PERMISSIVE: bad and blank lines are skipped. Lines are read twice, so they should be files: first for the ids alone,
+    which tell the repeated ones; then only records of these are shuffled, the others stay where they are. More than `few`
+    repeated ids are not told apart: all records are shuffled."""
     parsed = lines.where(F.trim(value) != "").select(F.from_json(value, VULN_MAP, {"mode": mode}).alias("m"), F.col(seq).alias("seq"))
+    ids = parsed.select(F.explode(F.map_keys("m")).alias("cve_id")).groupBy("cve_id").agg(F.count("*").alias("n"))
+    repeated = ids.where("n > 1").select("cve_id").limit(few + 1).collect()
     rows = parsed.select(F.explode("m").alias("cve_id", "r"), "seq")
+    if len(repeated) <= few:
+        known = F.broadcast(lines.sparkSession.createDataFrame(repeated, "cve_id string"))
+        once, rows = rows.join(known, "cve_id", "left_anti").select("cve_id", "r"), rows.join(known, "cve_id", "left_semi")
     none = F.array().cast(LIST)
     last = rows.groupBy("cve_id").agg(F.max_by("r", "seq").alias("r"))
+    if len(repeated) <= few:
+        last = once.union(last) if repeated else once
     return last.select("cve_id", *(F.coalesce(f"r.{c}", none).alias(n) for c, n in (("CWE", "cwe"), ("CAPEC", "capec"), ("TECHNIQUES", "techniques"), ("DEFEND", "defend"), ("OWASP", "owasp"))))
 
 

@@ -15,8 +15,9 @@ def jsonl_lines(vulns: DataFrame) -> DataFrame:
     return vulns.select(F.to_json(F.create_map("cve_id", F.struct(*(F.col(c).alias(n) for n, c in WIRE)))).alias("value"))
 
 
-def write_jsonl(vulns: DataFrame, path: str) -> None:
-    jsonl_lines(vulns).write.mode("overwrite").text(path)
+def write_jsonl(vulns: DataFrame, path: str, compression: str = "none") -> None:
+    """compression: of the text files, as Spark names it; its readers tell by a file's ending."""
+    jsonl_lines(vulns).write.mode("overwrite").text(path, compression=compression)
 
 
 def upsert_by_year(new: DataFrame, path: str, key: str = "cve_id", year: str = "year", rows_per_file: int = 1_000_000) -> None:

@@ -50,11 +50,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             fs.delete(at, True)
 
 
-def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False, compression: str | None = None) -> DataFrame:
     """df as a table in the shared folder: its lineage is cut, and a lost executor costs nothing. keep: beyond the scratch()
-    it is written in."""
+    it is written in. compression: another than the session's."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     inside = _OPEN[:-1] if keep else _OPEN
     if inside:
         inside[-1].append(path)
