@@ -14,7 +14,7 @@ from wardgraph.plans.registry import query
 from wardgraph.operators import telemetry
 from wardgraph.sources import paged, scans, sinks
 from wardgraph.sources.store import VersionedStore
-from wardgraph.sources.tables import new_path
+from wardgraph.sources.tables import new_path, written
 
 
 def land_pages(b: Bridge, path: str, order: str | None = None) -> None:
@@ -94,13 +94,14 @@ LISTS_SQL = CORRELATE + "select v.cve_id, coalesce(l1.s, '') as cwe, coalesce(l2
 
 @query(LISTS_SQL)
 def scan_jsonl_map(b: Bridge):
-    return joined_lists(scans.jsonl_map(sinks.jsonl_lines(correlated(b)).withColumn("seq", F.lit(0))))
+    lines = written(sinks.jsonl_lines(correlated(b)), "lines", compression="zstd")
+    return joined_lists(scans.jsonl_map(lines.withColumn("seq", F.lit(0))))
 
 
 @query(LISTS_SQL)
 def sink_jsonl(b: Bridge):
     path = new_path(b.spark, "jsonl")
-    sinks.write_jsonl(correlated(b), path)
+    sinks.write_jsonl(correlated(b), path, compression="gzip")
     return joined_lists(scans.jsonl_map(b.spark.read.text(path).withColumn("seq", F.lit(0))))
 
 

@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from wardgraph.functions import ids
-from wardgraph.operators import chain, extension, telemetry
+from wardgraph.operators import extension, telemetry
 from wardgraph.plans.bridge import Bridge
-from wardgraph.plans.chain_queries import category_map, joined_lists, techniques
+from wardgraph.plans.chain_queries import joined_lists, knowledge
 from wardgraph.plans.registry import query
 from wardgraph.plans.source_queries import LISTS_SQL, land_pages, land_records, numbered_orders
 from wardgraph.plans.telemetry_queries import ALERTS
@@ -157,12 +157,12 @@ def stream_enrich(b: Bridge):
     path, out = new_path(b.spark, "records"), new_path(b.spark, "enriched")
     facts = b.vuln.select("cve_id").join(b.vuln_cwe.groupBy("cve_id").agg(F.collect_list("cwe_id").alias("cwes")), "cve_id", "left")
     facts.repartition(3, "cve_id").write.parquet(path)
-    parents, patterns, tech, defend, cats = b.cwe_parent, b.cwe_capec, techniques(b), b.defend, category_map(b)
+    known = knowledge(b)
 
     def each(batch, n: int) -> None:
         own = batch.select("cve_id", F.explode("cwes").alias("cwe_id"))
         # a repeated batch replaces its own folder
-        joined_lists(chain.correlate(batch.select("cve_id"), own, parents, patterns, tech, defend, cats)).write.mode("overwrite").parquet(f"{out}/batch={n}")
+        joined_lists(known.of(own, batch)).write.mode("overwrite").parquet(f"{out}/batch={n}")
 
     stream = b.spark.readStream.schema(facts.schema).option("maxFilesPerTrigger", 2).parquet(path)
     streams.run_to_end(stream, new_path(b.spark, "enrich-checkpoint"), each=each)
