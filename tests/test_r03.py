@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from wardgraph.operators import chain, graph, telemetry
 from wardgraph.plans import registry
-from wardgraph.sources import paged, scans, sinks
+from wardgraph.plans.bridge import Bridge
+from wardgraph.sources import paged, scans, sinks, tables
 
 
 def test_heat_of_nothing_is_transparent_in_sql_too(spark, tmp_path):
@@ -74,3 +75,26 @@ def test_jsonl_sink_can_be_compressed(spark, tmp_path):
     sinks.write_jsonl(rows, str(tmp_path / "out"), compression="gzip")
     assert list((tmp_path / "out").glob("part-*.gz"))
     assert [(r.cve_id, r.cwe, r.owasp) for r in scans.jsonl_map(spark.read.text(str(tmp_path / "out")).withColumn("seq", F.lit(0))).collect()] == [("a", ["1"], ["x"])]
+
+
+def test_partitions_of_facts_grow_with_their_rows(spark, monkeypatch):
+    b = Bridge(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(tables, "PART_ROWS", 500)
+    n = -(-b.table("lineitem").count() // 500)
+    assert n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for df in (b.vuln_cwe, chain.expand_parents(b.vuln_cwe, b.cwe_parent, n)):
+        assert df.rdd.getNumPartitions() == n and df.count() == df.distinct().count()
+
+
+def test_trailing_rate_of_a_dense_key_is_a_plain_count(spark):
+    r = random.Random(3)
+    rows = [("a", r.randrange(40_000_000), i) for i in range(1500)] + [("a", 5_000_000, 2000), ("a", 5_000_000, 2001), ("a", 15_000_000, 2002), ("b", -3_000_000, 2003), ("b", 6_999_999, 2005), ("b", 7_000_000, 2004), ("a", None, 3000), ("a", None, 3001)]
+    found = telemetry.trailing_rate(spark.createDataFrame(rows, "k string, us long, id long"), "k", "us", 10, 3)
+    assert "RangeFrame, -" not in found._jdf.queryExecution().analyzed().toString()
+    got = {x.id: (x.calls, x.limited, x.wait_us) for x in found.collect()}
+    want = {}
+    for k, t, i in rows:
+        same = [u for j, u, _ in rows if j == k and (u is None if t is None else u is not None and t - 10_000_000 < u <= t)]
+        full = len(same) - 1 >= 3
+        want[i] = (len(same), full, None if t is None and full else min(same) + 10_000_000 - t if full else 0)
+    assert got == want

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardgraph.functions.ids import is_technique_id, taxonomy_ids
-from wardgraph.sources.tables import written
+from wardgraph.sources.tables import partitions, written
 
 
 def capec_techniques(capec: DataFrame, valid: bool = True) -> DataFrame:
@@ -19,10 +19,11 @@ def capec_techniques(capec: DataFrame, valid: bool = True) -> DataFrame:
     return capec.select("capec_id", F.explode(F.array_distinct(taxonomy_ids(F.col("taxonomy"), valid))).alias("technique_id"))
 
 
-def expand_parents(facts: DataFrame, parents: DataFrame) -> DataFrame:
-    """Direct weaknesses and their parents, one level up."""
+def expand_parents(facts: DataFrame, parents: DataFrame, parts: int | None = None) -> DataFrame:
+    """Direct weaknesses and their parents, one level up; if asked for, in so many partitions by vulnerability."""
     up = facts.join(parents, "cwe_id").select("cve_id", F.col("parent_id").alias("cwe_id"))
-    return facts.select("cve_id", "cwe_id").union(up).distinct()
+    both = facts.select("cve_id", "cwe_id").union(up)
+    return (both.repartition(parts, "cve_id") if parts else both).distinct()
 
 
 def ancestors(parents: DataFrame) -> DataFrame:
@@ -65,8 +66,8 @@ LISTS = ("cwe", "capec", "techniques", "defend", "owasp")
 
 #: Bytes of the lists of all weaknesses up to which these are broadcast: 16 an id besides its text.
 BROADCAST_BYTES = 64 << 20
-#: Names of a kind up to which a set of them is words of bits, and rows of a partition of vulnerabilities, about.
-WORD_NAMES, PART_ROWS = 1024, 1_000_000
+#: Names of a kind up to which a set of them is words of bits.
+WORD_NAMES = 1024
 
 
 class Knowledge:
@@ -146,7 +147,7 @@ class Knowledge:
         number grows with the facts."""
         facts, lists = written(facts.select("cve_id", "cwe_id"), "facts"), self.lists
         ids = facts.select("cve_id").limit(0) if ids is None else ids.select("cve_id")
-        n = max(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-facts.count() // PART_ROWS))
+        n = partitions(facts.sparkSession, facts.count())
         if self.bytes() <= most:
             rows = facts.unionByName(ids, allowMissingColumns=True).repartition(n, "cve_id").join(F.broadcast(lists), "cwe_id", "left")
             rows = self._own(rows)

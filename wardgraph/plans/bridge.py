@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardgraph.sources.tables import partitions
+
 VIEWS_SQL = """
 b_vuln as (select 'CVE-' || cast(year(o_orderdate) as string) || '-' || lpad(cast(o_orderkey as string), 7, '0') as cve_id,
   cast(year(o_orderdate) as int) as yr, o_orderdate as published, o_orderkey from orders),
@@ -59,8 +61,11 @@ class Bridge:
 
     @property
     def vuln_cwe(self) -> DataFrame:
+        """Dealt twice, by order and by vulnerability, in partitions whose number grows with the lines."""
         lines = self.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").cast("string").alias("cwe_id"))
-        return self.vuln.select("cve_id", "o_orderkey").join(lines, "o_orderkey").select("cve_id", "cwe_id").distinct()
+        n = partitions(self.spark, lines.count())
+        own = self.vuln.select("cve_id", "o_orderkey").repartition(n, "o_orderkey").join(lines.repartition(n, "o_orderkey"), "o_orderkey")
+        return own.select("cve_id", "cwe_id").repartition(n, "cve_id").distinct()
 
     @property
     def cwe(self) -> DataFrame:

@@ -59,3 +59,12 @@ def written(df: DataFrame, name: str, keep: bool = False, compression: str | Non
     if inside:
         inside[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a partition, about, where their number is told by that of the rows.
+PART_ROWS = 1_000_000
+
+
+def partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions for so many rows, not fewer than Spark's own number: what a task holds does not grow with the input."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PART_ROWS))
