@@ -211,8 +211,18 @@ def trailing_rate(rows: DataFrame, key: str, us: str, seconds: int, limit: int)
     at = F.floor(F.col(us) / F.lit(width)).cast("long")
     mine = lambda n, own: F.struct(n.alias("stretch"), F.lit(own).alias("own"))
     in_ = F.when(at.isNull(), F.array(mine(at, True))).otherwise(F.array(mine(at, True), mine(at + 1, False)))
-    w = Window.partitionBy(key, "__in.stretch").orderBy(us).rangeBetween(-(width - 1), 0)
-    out = rows.withColumn("__in", F.explode(in_)).withColumn("calls", F.count("*").over(w)).withColumn("oldest", F.min(us).over(w)).where("__in.own")
+    # a call of the stretch before stands where it leaves the window; of the rows behind a call there are then its own stretch's later calls
+    # and the earlier one's that are still in the window, so both frames only grow
+    place = F.when(F.col("__in.own"), F.col(us)).otherwise(F.col(us) + width)
+    every = Window.partitionBy(key, "__in.stretch")
+    behind = every.orderBy(F.col("__place").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    own, mine_at = F.col("__in.own"), F.when(F.col("__in.own"), F.col(us))
+    calls = F.when(F.col(us).isNull(), F.col("__all")).otherwise(F.col("__all") - F.col("__later") + F.col("__held"))
+    out = rows.withColumn("__in", F.explode(in_)).withColumn("__place", place)
+    out = out.withColumn("__all", F.count_if(own).over(every)).withColumn("__first", F.min(mine_at).over(every))
+    out = out.withColumn("__later", F.count_if(own).over(behind)).withColumn("__held", F.count_if(~own).over(behind))
+    out = out.withColumn("__before", F.min(F.when(~own, F.col(us))).over(behind)).where("__in.own")
+    out = out.withColumn("calls", calls).withColumn("oldest", F.coalesce("__before", "__first"))
     full = F.col("calls") - 1 >= limit
     wait = F.when(full, F.col("oldest") + width - F.col(us)).otherwise(0).cast("long")
     return out.select(*rows.columns, "calls", full.alias("limited"), wait.alias("wait_us"))
