@@ -98,3 +98,26 @@ def test_trailing_rate_of_a_dense_key_is_a_plain_count(spark):
         full = len(same) - 1 >= 3
         want[i] = (len(same), full, None if t is None and full else min(same) + 10_000_000 - t if full else 0)
     assert got == want
+
+
+def test_many_landed_pages_are_listed_once_and_read_several_a_task(spark, tmp_path, monkeypatch):
+    at, folders = 0, {}
+    for n in (7, 1, 12, 5, 30, 2):
+        folders[at] = n
+        (tmp_path / f"start={at}").mkdir()
+        (tmp_path / f"start={at}" / "part-0").write_text("".join(f'{{"n":{at + i}}}\n' for i in range(n)))
+        at += n
+    monkeypatch.setattr(paged, "MOST_PARTITIONS", 5)
+    source = paged.LandedPages(f"file://{tmp_path}")
+    parts = paged._Batch(source, 4, 0).partitions()
+    assert len(parts) == 5 and source.total() == at
+    monkeypatch.setattr(paged.LandedPages, "listed", None)
+    for size in (1, 3, 4, 11, 100):
+        for start in (0, 6, 7, 21):
+            found = []
+            for p in paged._Batch(source, size, start).partitions():
+                assert len(p.pages.listed) <= len(folders)
+                found += [(i, r) for batch in paged._read(p.pages, p, size) for i, r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            assert found == [(i, f'{{"n":{i}}}') for i in range(start, at)]
+    assert [x for x, _ in parts[0].pages.listed] == [0, 7, 8, 20][: len(parts[0].pages.listed)]
+    assert len(parts[0].pages.listed) < len(folders)

@@ -14,6 +14,7 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -23,6 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 SCHEMA = "index long, record string"
 PAGE_SIZE = 2000
+#: Partitions of a scan: more pages than that are read several a partition, one after another.
+MOST_PARTITIONS = 400
 
 
 class Pages(Protocol):
@@ -79,10 +82,15 @@ class LandedPages:
     scan ends."""
 
     folder: str
+    #: Folders by the index of their first record, as listed before for a range of records; None: list them.
+    listed: list[tuple[int, str]] | None = None
 
     def _starts(self):
         from pyarrow import fs
 
+        if self.listed is not None:
+            return fs.FileSystem.from_uri(self.folder)[0], self.listed
+
         system, path = fs.FileSystem.from_uri(self.folder)
         found = [f for f in system.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.base_name.startswith("start=")]
         return system, sorted((int(f.base_name[6:]), f.path) for f in found)
@@ -98,6 +106,13 @@ class LandedPages:
                     out += stream.read().decode().splitlines()
         return out
 
+    def within(self, ranges: list[tuple[int, int]]) -> list[LandedPages]:
+        """The same pages for each range of records alone, of one listing: their folders go with each, and no task lists the others."""
+        _, starts = self._starts()
+        at = [s for s, _ in starts]
+        # from the last folder that starts at a range's begin or before, to the first that starts at its end or after, which tells where a page ends
+        return [LandedPages(self.folder, starts[max(bisect_right(at, low) - 1, 0) : bisect_left(at, high) + 1]) for low, high in ranges]
+
     def total(self) -> int:
         system, starts = self._starts()
         end = 0
@@ -121,6 +136,7 @@ class LandedPages:
 class PageRange(InputPartition):
     start: int
     size: int | None  # None: page by page until a short one
+    pages: Pages | None = None  # if the source can tell what a range of it needs
 
 
 def _read(pages: Pages, part: PageRange, size: int) -> Iterator[pa.RecordBatch]:
@@ -136,8 +152,12 @@ def _read(pages: Pages, part: PageRange, size: int) -> Iterator[pa.RecordBatch]:
             return
 
 
-def _ranges(start: int, end: int, size: int) -> list[PageRange]:
-    return [PageRange(at, min(size, end - at)) for at in range(start, end, size)]
+def _ranges(pages: Pages, start: int, end: int, size: int) -> list[PageRange]:
+    """A page a partition, or beyond MOST_PARTITIONS as many pages each as that takes."""
+    step = size * max(1, -(-(end - start) // (size * MOST_PARTITIONS)))
+    ranges = [(at, min(at + step, end)) for at in range(start, end, step)]
+    own = pages.within(ranges) if hasattr(pages, "within") and ranges else [None] * len(ranges)
+    return [PageRange(low, high - low, p) for (low, high), p in zip(ranges, own, strict=True)]
 
 
 class _Batch(DataSourceReader):
@@ -146,10 +166,10 @@ class _Batch(DataSourceReader):
 
     def partitions(self):
         total = self.pages.total()
-        return [PageRange(self.start, None)] if total is None else _ranges(self.start, total, self.size) or [PageRange(self.start, 0)]
+        return [PageRange(self.start, None)] if total is None else _ranges(self.pages, self.start, total, self.size) or [PageRange(self.start, 0)]
 
     def read(self, partition):
-        return _read(self.pages, partition, self.size)
+        return _read(partition.pages or self.pages, partition, self.size)
 
 
 class _Stream(DataSourceStreamReader):
@@ -169,17 +189,17 @@ class _Stream(DataSourceStreamReader):
         return {"index": max(total, self.start)}
 
     def partitions(self, start: dict, end: dict):
-        return _ranges(start["index"], end["index"], self.size)
+        return _ranges(self.pages, start["index"], end["index"], self.size)
 
     def read(self, partition):
-        return _read(self.pages, partition, self.size)
+        return _read(partition.pages or self.pages, partition, self.size)
 
     def commit(self, end: dict) -> None:
         pass  # the checkpoint has it
 
 
 def paged_source(name: str, pages: Pages) -> type[DataSource]:
-    """A data source of this name for spark.dataSource.register. Options: page_size, start_index. Each page is a partition."""
+    """A data source of this name for spark.dataSource.register. Options: page_size, start_index. Each page is a partition, while there are at most MOST_PARTITIONS."""
 
     class Paged(DataSource):
         @classmethod
