@@ -121,3 +121,13 @@ def test_many_landed_pages_are_listed_once_and_read_several_a_task(spark, tmp_pa
             assert found == [(i, f'{{"n":{i}}}') for i in range(start, at)]
     assert [x for x, _ in parts[0].pages.listed] == [0, 7, 8, 20][: len(parts[0].pages.listed)]
     assert len(parts[0].pages.listed) < len(folders)
+
+
+@pytest.mark.parametrize("most_numbers", [1 << 20, 3])
+def test_what_meets_a_fact_is_numbers_of_patterns_and_no_name(spark, most_numbers):
+    (facts, parents, capec, tech, defend, cats), want = small_chain(spark)
+    known = chain.Knowledge(parents, capec.union(spark.createDataFrame([("3", None)], capec.schema)), tech, defend, cats, most_numbers=most_numbers)
+    if most_numbers > 3:
+        assert dict(known.lists.dtypes) == {"cwe_id": "string", "up": "array<string>", "owasp_0": "bigint", "capec": "binary"}
+    assert {r.cve_id: tuple(r[k] for k in chain.LISTS) for r in known.of(facts, None, 0).collect()} == {v: w for v, w in want.items() if v != "empty"}
+    assert chain.Knowledge(parents, capec.limit(0), tech, defend, cats).of(facts.limit(0)).count() == 0

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,47 +71,119 @@ LISTS = ("cwe", "capec", "techniques", "defend", "owasp")
 BROADCAST_BYTES = 64 << 20
 #: Names of a kind up to which a set of them is words of bits.
 WORD_NAMES = 1024
+#: Patterns up to which they are numbered: their names and words, some 100 bytes each, are given to the tasks.
+NUMBERED = 1 << 20
+
+
+def _listed(row: np.ndarray, rows: int, names: pa.Array, which: np.ndarray) -> pa.Array:
+    """Of each row the names that it has; row ascends."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)), pa.int32()), names.take(pa.array(which)))
+
+
+def _read_numbers(book):
+    """Numbers of patterns, three bytes each and in any order -> the patterns' names, and for each further kind of the book the names
+    that their words hold; all sorted and distinct."""
+
+    def run(packed: pa.Array) -> pa.Array:
+        patterns, words = book.value
+        rows = len(packed)
+        at = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + rows + 1] if rows else np.zeros(1, np.int32)
+        data = np.frombuffer(packed.buffers()[2] or b"", np.uint8)[at[0] : at[-1]].reshape(-1, 3)
+        key = np.unique(np.repeat(np.arange(rows), np.diff(at) // 3) << 24 | data.astype(np.int64) @ np.array([1 << 16, 1 << 8, 1]))
+        row, number = key >> 24, key & (1 << 24) - 1
+        out = {"capec": _listed(row, rows, patterns, number)}
+        some, first = np.unique(row, return_index=True)
+        for kind, (names, bits) in words.items():
+            own = np.zeros((rows, bits.shape[1]), np.uint64)
+            if len(some):
+                own[some] = np.bitwise_or.reduceat(bits[number], first, axis=0)
+            which = np.unpackbits(own.view(np.uint8), axis=1, bitorder="little").nonzero()
+            out[kind] = _listed(which[0], rows, names, which[1])
+        return pa.StructArray.from_arrays(list(out.values()), names=list(out))
+
+    return run
 
 
 class Knowledge:
     """What each weakness leads to by itself and by its parents, as a table with a row a weakness: the distinct ids of the chosen `kinds`.
 
     Techniques and countermeasures are few names that very many weaknesses share: up to `most_names` of them a set is words of bits,
-    a bit a name in order, which are put together by bit_or and read at the end. More names, and patterns, are lists of ids. What
+    a bit a name in order, which are put together by bit_or and read at the end; categories too. More names are lists of ids. What
     patterns lead to is gathered a pattern before it meets the weaknesses, so no path is a row.
+
+    Patterns, up to `most_numbers` of them, are numbered in order, and a weakness has the numbers of its own as three bytes each. What
+    these patterns lead to follows from them at the end, so nothing else of it is moved. More patterns are lists of ids.
     """
 
-    def __init__(self, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, kinds: tuple[str, ...] = LISTS, most_names: int = WORD_NAMES):
-        self.kinds, self.names = kinds, {}
+    def __init__(self, parents: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, category_map: DataFrame, kinds: tuple[str, ...] = LISTS, most_names: int = WORD_NAMES, most_numbers: int = NUMBERED):
+        self.kinds, self.names, self.book = kinds, {}, None
         columns = {"techniques": "technique_id", "defend": "d3f_id"}
+        below = [kind for kind in ("capec", *columns) if kind in kinds]
         paths, own = techniques, []
         if "defend" in kinds:
             key = F.concat(F.lit("T"), F.col("technique_id"))
             paths = techniques.join(defend.withColumnRenamed("technique_id", "key"), key == F.col("key"), "left").drop("key")
         for kind, column in columns.items():
             if kind in kinds:
-                found = [r[0] for r in paths.select(column).where(F.col(column).isNotNull()).distinct().limit(most_names + 1).collect()]
-                if len(found) <= most_names:
-                    self.names[kind] = sorted(found)
+                if self._few(kind, paths.select(column), most_names):
                     paths = self._numbered(paths, kind, column)
-                    own += [F.bit_or(F.when(F.floor(F.col(f"__{kind}") / 64) == i, F.expr(f"shiftleft(1L, cast(__{kind} % 64 as int))"))).alias(w) for i, w in enumerate(self.words(kind))]
+                    own += [F.bit_or(x).alias(w) for w, x in self._bits(kind)]
                 else:
                     own.append(F.collect_set(column).alias(kind))
-        below = cwe_capec
-        if own:
-            below = below.join(paths.groupBy("capec_id").agg(*own), "capec_id", "left")
-        more = [x for kind in columns if kind in kinds for x in self.gathered(kind)]
-        below = written(below.groupBy("cwe_id").agg(F.collect_set("capec_id").alias("capec"), *more), "below")
-        if "capec" not in kinds:
-            below = below.drop("capec")
-        up = parents.join(below.withColumnRenamed("cwe_id", "parent_id"), "parent_id", "left")
-        rows = below.unionByName(up, allowMissingColumns=True)
+        led = paths.groupBy("capec_id").agg(*own) if own else None
+        rows = parents.select("cwe_id", "parent_id")
+        if "capec" in kinds and all(kind in self.names for kind in below[1:]):
+            self.book = self._book(cwe_capec, led, below[1:], most_numbers)
+        if self.book:
+            packed = F.unhex(F.array_join(F.transform(F.collect_set("number"), lambda n: F.lpad(F.hex(n), 6, "0")), "")).alias("capec")
+            rows = self._with_parents(written(cwe_capec.join(self.order, "capec_id").groupBy("cwe_id").agg(packed), "below"), parents)
+            below = ["capec"]
+        elif below:
+            each = cwe_capec if led is None else cwe_capec.join(led, "capec_id", "left")
+            more = [x for kind in below if kind != "capec" for x in self.gathered(kind)]
+            each = written(each.groupBy("cwe_id").agg(F.collect_set("capec_id").alias("capec"), *more), "below")
+            rows = self._with_parents(each if "capec" in kinds else each.drop("capec"), parents)
+        self.kept = [kind for kind in kinds if kind in below or kind not in ("capec", *columns)]
         sets = [F.collect_set("parent_id").alias("up")]
         if "owasp" in kinds:  # those of direct weaknesses alone
-            rows = rows.unionByName(category_map.select("cwe_id", "category_id"), allowMissingColumns=True)
-            sets.append(F.collect_set("category_id").alias("owasp"))
-        kept = [x for kind in ("capec", *columns) if kind in kinds for x in self.gathered(kind)]
-        self.lists = written(rows.where("cwe_id is not null").groupBy("cwe_id").agg(*sets, *kept), "lists")
+            cats = category_map.select("cwe_id", "category_id")
+            if self._few("owasp", cats.select("category_id"), most_names):
+                cats = self._numbered(cats, "owasp", "category_id").select("cwe_id", *(x.alias(w) for w, x in self._bits("owasp")))
+                sets += self.gathered("owasp")
+            else:
+                sets.append(F.collect_set("category_id").alias("owasp"))
+            rows = rows.unionByName(cats, allowMissingColumns=True)
+        self.lists = written(rows.where("cwe_id is not null").groupBy("cwe_id").agg(*sets, *(x for kind in below for x in self.gathered(kind))), "lists")
+
+    @staticmethod
+    def _with_parents(below: DataFrame, parents: DataFrame) -> DataFrame:
+        """What weaknesses lead to, and a row for each of a weakness's parents with what that one leads to."""
+        return below.unionByName(parents.join(below.withColumnRenamed("cwe_id", "parent_id"), "parent_id", "left"), allowMissingColumns=True)
+
+    def _few(self, kind: str, column: DataFrame, most: int) -> bool:
+        found = [r[0] for r in column.where(F.col(column.columns[0]).isNotNull()).distinct().limit(most + 1).collect()]
+        if len(found) <= most:
+            self.names[kind] = sorted(found)
+        return len(found) <= most
+
+    def _bits(self, kind: str) -> list[tuple[str, Column]]:
+        """Each word of a name's number."""
+        return [(w, F.when(F.floor(F.col(f"__{kind}") / 64) == i, F.expr(f"shiftleft(1L, cast(__{kind} % 64 as int))"))) for i, w in enumerate(self.words(kind))]
+
+    def _book(self, cwe_capec: DataFrame, led: DataFrame | None, kinds: list[str], most: int):
+        """The patterns in order of their ids, as numbers in a table and, with their words, for tasks; None if there are more than `most`."""
+        ids, spark = cwe_capec.select("capec_id").where("capec_id is not null").distinct(), cwe_capec.sparkSession
+        found = written(ids if led is None else ids.join(led, "capec_id", "left"), "patterns")
+        if found.count() > most:
+            return None
+        rows = found.toArrow()
+        rows = rows.take(pc.sort_indices(rows, [("capec_id", "ascending")])).combine_chunks()
+        names = pa.array(rows["capec_id"].to_pylist(), pa.string())
+        bits = lambda w: rows[w].fill_null(0).to_numpy().astype(np.int64).view(np.uint64)
+        words = {kind: (pa.array(self.names[kind], pa.string()), np.stack([bits(w) for w in self.words(kind)] or [np.zeros(len(names), np.uint64)], axis=1)) for kind in kinds}
+        numbers = pa.table({"capec_id": names, "number": pa.array(np.arange(len(names)))})
+        self.order = written(spark.createDataFrame(numbers), "numbers")
+        return spark.sparkContext.broadcast((names, words))
 
     def _numbered(self, paths: DataFrame, kind: str, column: str) -> DataFrame:
         order = paths.sparkSession.createDataFrame(list(enumerate(self.names[kind])), f"__{kind} int, __name string")
@@ -119,6 +194,8 @@ class Knowledge:
 
     def gathered(self, kind: str) -> list[Column]:
         """Sets of rows put together."""
+        if kind == "capec" and self.book:
+            return [F.listagg(kind).alias(kind)]
         if kind in self.names:
             return [F.bit_or(w).alias(w) for w in self.words(kind)]
         return [F.array_distinct(F.flatten(F.collect_list(kind))).alias(kind)]
@@ -143,18 +220,24 @@ class Knowledge:
         """(cve_id, cwe_id) -> one row a vulnerability of facts, and of ids if given, with a sorted distinct list of each kind.
 
         Where the lists of all weaknesses have at most `most` bytes they are broadcast to facts that are dealt by vulnerability, so no
-        list is shuffled. Beyond that facts meet them by weakness, and what is dealt by vulnerability is a row a fact, in partitions whose
-        number grows with the facts."""
+        list is shuffled. Beyond that, or where patterns are numbers, facts meet them by weakness, and what is dealt by vulnerability is a row
+        a fact, in partitions whose number grows with the facts."""
         facts, lists = written(facts.select("cve_id", "cwe_id"), "facts"), self.lists
         ids = facts.select("cve_id").limit(0) if ids is None else ids.select("cve_id")
         n = partitions(facts.sparkSession, facts.count())
-        if self.bytes() <= most:
+        if not self.book and self.bytes() <= most:
             rows = facts.unionByName(ids, allowMissingColumns=True).repartition(n, "cve_id").join(F.broadcast(lists), "cwe_id", "left")
             rows = self._own(rows)
         else:
             rows = self._own(facts.join(lists, "cwe_id", "left")).unionByName(ids, allowMissingColumns=True).repartition(n, "cve_id")
-        grouped = rows.groupBy("cve_id").agg(*(x for kind in self.kinds for x in self.gathered(kind)))
-        return grouped.select("cve_id", *(self.read(kind) for kind in self.kinds))
+        found = rows.groupBy("cve_id").agg(*(x for kind in self.kept for x in self.gathered(kind)))
+        if self.book:
+            order = ["capec", *self.book.value[1]]
+            shape = f"struct<{', '.join(f'{kind}: array<string>' for kind in order)}>"
+            read = F.arrow_udf(_read_numbers(self.book), shape)
+            found = found.withColumn("__read", read(F.coalesce("capec", F.lit(b""))))
+            return found.select("cve_id", *(F.col(f"__read.{kind}").alias(kind) if kind in order else self.read(kind) for kind in self.kinds))
+        return found.select("cve_id", *(self.read(kind) for kind in self.kinds))
 
     def _own(self, rows: DataFrame) -> DataFrame:
         """Facts with their lists, the weakness itself and its parents as one."""
