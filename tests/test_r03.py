@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wardgraph.operators import chain, graph, telemetry
 from wardgraph.plans import registry
 from wardgraph.plans.bridge import Bridge
-from wardgraph.sources import paged, scans, sinks, tables
+from wardgraph.sources import edge_store, paged, scans, sinks, tables
 
 
 def test_heat_of_nothing_is_transparent_in_sql_too(spark, tmp_path):
@@ -131,3 +131,32 @@ def test_what_meets_a_fact_is_numbers_of_patterns_and_no_name(spark, most_number
         assert dict(known.lists.dtypes) == {"cwe_id": "string", "up": "array<string>", "owasp_0": "bigint", "capec": "binary"}
     assert {r.cve_id: tuple(r[k] for k in chain.LISTS) for r in known.of(facts, None, 0).collect()} == {v: w for v, w in want.items() if v != "empty"}
     assert chain.Knowledge(parents, capec.limit(0), tech, defend, cats).of(facts.limit(0)).count() == 0
+
+
+def odd_edges(spark):
+    r = random.Random(9)
+    rows = [(f"CVE-{r.randrange(60)}", f"CWE-{r.randrange(9)}") for _ in range(300)] + [("CVE-1", "OWASP-A")] * 2 + [(f"CVE-{i}", "OWASP-B") for i in range(50)] + [("CVE-1", None), (None, "CWE-1"), (None, None), ("CWE-1", "CAPEC-1")]
+    return rows, spark.createDataFrame(rows, "source string, target string")
+
+
+def test_neighbours_take_one_shuffle_and_no_join(spark):
+    rows, e = odd_edges(spark)
+    found = graph.neighbours(e)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    want = {}
+    for s, t in rows:
+        want.setdefault((t, t is None and "sources"), ([], []))[0].append(s)
+        want.setdefault((s, s is None and "targets"), ([], []))[1].append(t)
+    clean = lambda xs: tuple(sorted(x for x in xs if x is not None))
+    assert sorted(((r.node, tuple(r.sources), tuple(r.targets)) for r in found.collect()), key=str) == sorted(((n, clean(a), clean(b)) for (n, _), (a, b) in want.items()), key=str)
+
+
+def test_edges_of_lists_are_those_of_pairs(spark):
+    (facts, parents, capec, tech, defend, cats), _ = small_chain(spark)
+    cats = cats.union(spark.createDataFrame([("3", None), ("3", "A1"), ("3", "A1")], cats.schema))
+    stored = chain.expand_parents(facts, parents)
+    direct = facts.distinct().join(cats.distinct(), "cwe_id").select("cve_id", "category_id").distinct()
+    lists = tables.written(chain.weakness_lists(facts, parents, cats, 3), "lists")
+    as_list = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert as_list(graph.list_edges(lists, capec, tech, defend)) == as_list(graph.edges(stored, capec, tech, defend, direct))

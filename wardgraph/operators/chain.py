@@ -29,6 +29,16 @@ def expand_parents(facts: DataFrame, parents: DataFrame, parts: int | None = Non
     return (both.repartition(parts, "cve_id") if parts else both).distinct()
 
 
+def weakness_lists(facts: DataFrame, parents: DataFrame, category_map: DataFrame, parts: int) -> DataFrame:
+    """(cve_id, cwe_id) -> cve_id, cwe (its weaknesses and their parents, one level up) and owasp (the categories of its weaknesses), distinct and
+    in no order. Facts meet parents and categories at once and are dealt by vulnerability once, in so many partitions, a row a fact."""
+    each = lambda df, c, name: df.groupBy("cwe_id").agg(F.transform(F.collect_set(F.struct(c)), lambda s: s[c]).alias(name))  # noqa: E731 (nulls stay)
+    known = each(parents, "parent_id", "up").join(each(category_map, "category_id", "owasp"), "cwe_id", "full_outer")
+    none = F.array().cast("array<string>")
+    rows = facts.join(known, "cwe_id", "left").select("cve_id", F.concat(F.array("cwe_id"), F.coalesce("up", none)).alias("cwe"), F.coalesce("owasp", none).alias("owasp"))
+    return rows.repartition(parts, "cve_id").groupBy("cve_id").agg(*(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("cwe", "owasp")))
+
+
 def ancestors(parents: DataFrame) -> DataFrame:
     """(cwe_id, parent_id) -> (cwe_id, ancestor_id, depth), each ancestor at its least depth. Cycles end by themselves. A round joins
     the pairs found so far with each other, so paths double: a hierarchy of depth d takes some log2(d) rounds over pairs, of which

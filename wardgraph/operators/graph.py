@@ -20,15 +20,24 @@ def edges(stored: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend
     carried from hop to hop instead of repeated rows. The facts are grouped once, into a table, and so is each hop, which
     is as large as the knowledge tables: no kind of edge computes the one above it again.
     """
-    node = lambda p, c: F.concat(F.lit(p), F.col(c))
     one = written(stored.groupBy("cve_id", "cwe_id").agg(F.count("*").alias("value")), "facts")
+    return _edges(one, categories.groupBy("cve_id", "category_id").agg(F.count("*").alias("value")), cwe_capec, techniques, defend)
+
+
+def list_edges(lists: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame) -> DataFrame:
+    """edges() of cve_id, cwe and owasp, a table with a row a vulnerability as chain.weakness_lists makes it: no fact is dealt again."""
+    of = lambda c, name: lists.select("cve_id", F.explode(c).alias(name), F.lit(1).cast("long").alias("value"))
+    return _edges(of("cwe", "cwe_id"), of("owasp", "category_id"), cwe_capec, techniques, defend)
+
+
+def _edges(one: DataFrame, five: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame) -> DataFrame:
+    node = lambda p, c: F.concat(F.lit(p), F.col(c))
     cwe = one.groupBy("cwe_id").agg(F.sum("value").alias("w"))
     two = written(cwe.join(cwe_capec, "cwe_id").groupBy("cwe_id", "capec_id").agg(F.sum("w").alias("value")), "hop")
     capec = two.groupBy("capec_id").agg(F.sum("value").alias("w"))
     three = written(capec.join(techniques, "capec_id").groupBy("capec_id", "technique_id").agg(F.sum("w").alias("value")), "hop")
     tech = three.groupBy(node("T", "technique_id").alias("technique_id")).agg(F.sum("value").alias("w"))
     four = tech.join(defend, "technique_id").groupBy("technique_id", "d3f_id").agg(F.sum("w").alias("value"))
-    five = categories.groupBy("cve_id", "category_id").agg(F.count("*").alias("value"))
     parts = [
         one.select(F.col("cve_id").alias("source"), node("CWE-", "cwe_id").alias("target"), "value"),
         two.select(node("CWE-", "cwe_id").alias("source"), node("CAPEC-", "capec_id").alias("target"), "value"),
@@ -75,11 +84,16 @@ def trace_back(e: DataFrame | EdgeStore, selected: DataFrame, prefixes: tuple[st
 
 def neighbours(e: DataFrame) -> DataFrame:
     """Per node its sources and targets, sorted; a hub's list is as long as its degree, as asked."""
-    e = written(e, "edges")
-    into = e.groupBy(F.col("target").alias("node")).agg(F.sort_array(F.collect_list("source")).alias("sources"))
-    out = e.groupBy(F.col("source").alias("node")).agg(F.sort_array(F.collect_list("target")).alias("targets"))
-    none = F.array().cast("array<string>")
-    return into.join(out, "node", "full_outer").select("node", F.coalesce("sources", none).alias("sources"), F.coalesce("targets", none).alias("targets"))
+    both = _sides(e)
+    lists = (F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("other")))).alias(side) for side in ("sources", "targets"))
+    unnamed = F.when(F.col("node").isNull(), F.col("side")).alias("unnamed")  # what has no name is no one node
+    return both.groupBy("node", unnamed).agg(*lists).drop("unnamed")
+
+
+def _sides(e: DataFrame) -> DataFrame:
+    """Each edge as seen from its target and from its source: node, side, and the other one. One pass over e."""
+    seen = lambda node, side, other: F.struct(F.col(node).alias("node"), F.lit(side).alias("side"), F.col(other).alias("other"))
+    return e.select(F.inline(F.array(seen("target", "sources", "source"), seen("source", "targets", "target"))))
 
 
 def neighbour_stretches(e: DataFrame, size: int = 10_000) -> DataFrame:
