@@ -152,6 +152,16 @@ def test_neighbours_take_one_shuffle_and_no_join(spark):
     assert sorted(((r.node, tuple(r.sources), tuple(r.targets)) for r in found.collect()), key=str) == sorted(((n, clean(a), clean(b)) for (n, _), (a, b) in want.items()), key=str)
 
 
+def test_stretches_of_hubs_and_of_other_nodes_are_alike(spark, monkeypatch):
+    _, e = odd_edges(spark)
+    as_set = lambda df: {(r.node, r.side, r.stretch, tuple(r.nodes)) for r in df.collect()}
+    named, numbered, real = e.where("source is not null and target is not null"), [], graph.numbered
+    monkeypatch.setattr(graph, "numbered", lambda rows, *a: numbered.append(rows.select("node").distinct().count()) or real(rows, *a))
+    for some in (named, e):
+        assert as_set(graph.neighbour_stretches(some, 7, 10**6)) == as_set(graph.neighbour_stretches(some, 7, 30)) == as_set(graph.neighbour_stretches(some, 7, 0))
+    assert numbered[0] == 0 < numbered[1] < numbered[2]
+
+
 def test_edges_of_lists_are_those_of_pairs(spark):
     (facts, parents, capec, tech, defend, cats), _ = small_chain(spark)
     cats = cats.union(spark.createDataFrame([("3", None), ("3", "A1"), ("3", "A1")], cats.schema))

@@ -96,13 +96,22 @@ def _sides(e: DataFrame) -> DataFrame:
     return e.select(F.inline(F.array(seen("target", "sources", "source"), seen("source", "targets", "target"))))
 
 
-def neighbour_stretches(e: DataFrame, size: int = 10_000) -> DataFrame:
-    """node, side (sources or targets), stretch (from 0), nodes: as neighbours(), with at most `size` of them a row. A hub is many rows,
-    numbered in ranges by many tasks."""
-    e = e.select("source", "target")
-    sides = e.select(F.col("target").alias("node"), F.lit("sources").alias("side"), F.col("source").alias("other")).union(e.select(F.col("source").alias("node"), F.lit("targets").alias("side"), F.col("target").alias("other")))
-    at = numbered(sides, ["node", "side"], ["other"], "__n").withColumn("stretch", F.floor((F.col("__n") - 1) / size))
-    return at.groupBy("node", "side", "stretch").agg(F.sort_array(F.collect_list("other")).alias("nodes"))
+#: Neighbours of a node that one task puts in order.
+HUB_ROWS = 100_000
+
+
+def neighbour_stretches(e: DataFrame, size: int = 10_000, most: int = HUB_ROWS) -> DataFrame:
+    """node, side (sources or targets), stretch (from 0), nodes: as neighbours(), with at most `size` of them a row. Up to `most` neighbours
+    are put in order where the node is; a hub has more and is numbered in ranges by many tasks."""
+    sides = _sides(written(e.select("source", "target"), "edges"))
+    hubs = sides.groupBy("node", "side").agg(F.count("*").alias("n"), F.count_if(F.col("other").isNull()).alias("unnamed")).where((F.col("n") > most) | (F.col("unnamed") > 0))
+    hubs = written(hubs.select("node", "side"), "hubs")
+    few = sides.join(hubs, ["node", "side"], "left_anti").groupBy("node", "side").agg(F.sort_array(F.collect_list("other")).alias("all"))
+    last = F.greatest(F.ceil(F.size("all") / size) - 1, F.lit(0))
+    cut = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda i: F.slice("all", (i * size + 1).cast("int"), size))
+    few = few.select("node", "side", F.posexplode(cut).alias("stretch", "nodes")).withColumn("stretch", F.col("stretch").cast("long"))
+    at = numbered(sides.join(hubs, ["node", "side"], "left_semi"), ["node", "side"], ["other"], "__n").withColumn("stretch", F.floor((F.col("__n") - 1) / size))
+    return few.union(at.groupBy("node", "side", "stretch").agg(F.sort_array(F.collect_list("other")).alias("nodes")))
 
 
 def marked_above(tree: DataFrame, marked: DataFrame) -> DataFrame:
