@@ -170,3 +170,10 @@ def test_edges_of_lists_are_those_of_pairs(spark):
     lists = tables.written(chain.weakness_lists(facts, parents, cats, 3), "lists")
     as_list = lambda df: sorted(map(tuple, df.collect()), key=str)
     assert as_list(graph.list_edges(lists, capec, tech, defend)) == as_list(graph.edges(stored, capec, tech, defend, direct))
+
+
+def test_a_store_may_have_one_side(spark, tmp_path):
+    _, e = odd_edges(spark)
+    store = edge_store.EdgeStore.write(e, f"file://{tmp_path}/one", buckets=2, sides=("target",))
+    assert set(store.tables) == set(edge_store.EdgeStore(spark, store.path).tables) == {"target"}
+    assert {r.side for r in store.neighbour_parts().collect()} == {"sources"}
