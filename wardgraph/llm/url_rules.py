@@ -9,18 +9,22 @@ second kind decides where none of the first fits. Rules that pass the least supp
 says as surely, are kept in an inverted index under one of their tokens, the rarest among the rules; a URL looks up its own
 tokens only.
 
-Tokens that are in the same baskets are one item for mining, and a basket keeps its rarest frequent items, so FP-growth makes
-at most 2 ** most_items / support sets.
+Tokens that are in the same baskets are one item for mining, and no item of a basket is left out. Baskets that have so many
+items that FP-growth could make more than 2 ** most_items / support sets are split, by the first item of a set in an order
+from the rarest on, into the baskets that hold it, with their later items, and again until a part is small enough. A part is
+left out only where it has no rule that counts: none can reach the confidence, or that of a shorter rule. Each split is a
+Spark pass over all parts, and one FP-growth mines all small ones.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
@@ -34,6 +38,8 @@ ALLOW, BLOCK = "allow", "block"
 #: (host, path, verdict): the longest rule whose host is the URL's or above it, and whose path starts the URL's, wins.
 HOST_RULES = (("com", "/", ALLOW), ("example.com", "/en/", BLOCK), ("www.example.com", "/en/", ALLOW), ("net", "/es/", BLOCK), ("net", "/fr/", BLOCK))
 _LABEL = "\x00label="
+#: More than rounding may change of a product, so that no bound drops a rule.
+_ROUND = 1e-9
 #: Parts of the sites, of which a rule's evidence must come from two at least.
 PARTS = 64
 _SPLIT = re.compile(r"[^0-9A-Za-z\u0080-\U0010ffff]+")
@@ -82,20 +88,185 @@ def _baskets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([tokens(h, p) for h, p in zip(hosts, paths, strict=True)], pa.list_(pa.string())), batch.column(2), pa.array(part, pa.int32())], names=["items", "label", "part"])
 
 
-def _mined(frequent, most: int):
-    """tokens, label -> items to mine: the rarest frequent ones, and the label."""
+def _merged(frequent):
+    """tokens, label, part -> items to mine: the frequent tokens, one of those of the same baskets; label, part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = [sorted({frequent.value[t] for t in own if t in frequent.value}) for own in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.list_(pa.string())), batch.column(1), batch.column(2)], names=["items", "label", "part"])
+
+    return run
+
+
+@dataclass
+class _Part:
+    """The sets that hold `key` and later items of its baskets, for one label, which is a rule's if it is in `label` of them.
+    sure, wide: whether such a set can be a rule of either kind that no shorter one says as surely as known so far."""
+
+    label: str
+    key: tuple[str, ...] = ()
+    sure: bool = True
+    wide: bool = True
+    best_sure: float = 0.0
+    best_wide: float = 0.0
+
+
+def _met(labels, inside):
+    """node, items, label, part -> how many baskets of each node, part and label there are, how many of them hold all the
+    items of the node, and how many sets they hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, full, sets = Counter(), Counter(), Counter()
+        for batch in batches:
+            for node, items, label, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                kind = None if label is None else label == labels.value[node]
+                own = inside.value.get(node, {})
+                n = sum(i in own for i in items)
+                rows[node, part, kind] += 1
+                full[node, part, kind] += n == len(own)
+                sets[node, part, kind] += 2.0 ** min(n, 900)
+        keys = list(rows)
+        columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.bool_()))]
+        columns += [pa.array([c[k] for k in keys], t) for c, t in ((rows, pa.int64()), (full, pa.int64()), (sets, pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "part", "hit", "n", "full", "sets"])
+
+    return run
+
+
+def _split(orders):
+    """node, items, label, part -> the same of each item that the node is split by, with the later ones alone. orders: of a
+    node the items that it is split by, in order, each with the node it leads to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = {node: {t: (i, child) for i, (t, child) in enumerate(order)} for node, order in orders.value.items()}
+        for batch in batches:
+            out: list[list] = [[], [], [], []]
+            for node, items, label, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rank = ranks.get(node, {})
+                own = sorted((t for t in items if t in rank), key=rank.get)
+                for i, t in enumerate(own):
+                    for column, value in zip(out, (rank[t][1], own[i + 1 :], label, part), strict=True):
+                        column.append(value)
+                    if len(out[0]) >= 10_000:
+                        yield _rows(out)
+                        out = [[], [], [], []]
+            yield _rows(out)
+
+    return run
+
+
+_ROWS = "node int, items array<string>, label string, part int"
+
+
+def _rows(columns: list[list]) -> pa.RecordBatch:
+    types = pa.int32(), pa.list_(pa.string()), pa.string(), pa.int32()
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["node", "items", "label", "part"])
+
+
+def _tagged(small):
+    """node, items, label -> of the nodes that are small enough the items to mine, each with its node's number, and the label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for items, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                some = sorted({frequent.value[t] for t in items if t in frequent.value})[:most]
-                out.append([t for _, t in some] + ([] if label is None else [_LABEL + label]))
+            for node, items, label in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                own = [f"{node}\x00{t}" for t in items if t in small.value.get(node, ())]
+                if own:
+                    out.append(own + ([] if label is None else [_LABEL + label]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.string()))], names=["items"])
 
     return run
 
 
+def _likely(items: DataFrame, rows: int, least: int, confidence: float) -> list[tuple[str, ...]]:
+    """The sets of at least so many baskets of a label in which FP-growth counts enough of it for a rule. rows: those of
+    items. Only these come to the driver, others may still be no rules."""
+    is_label = lambda t: t.startswith(_LABEL)
+    found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / rows).fit(items).freqItemsets
+    found = found.select(F.array_sort(F.filter("items", lambda t: ~is_label(t))).alias("key"), F.exists("items", is_label).alias("hit"), "freq").where(F.size("key") > 0)
+    # a set with a label is in no more baskets than the set, which is thus frequent too
+    found = found.groupBy("key").agg(*(F.sum(F.when(c, F.col("freq"))).alias(n) for c, n in ((~F.col("hit"), "all"), (F.col("hit"), "given"))), F.max(F.when(F.col("hit"), F.col("freq"))).alias("hits"))
+    return [tuple(r.key) for r in found.where(F.col("hits") >= (1 - _ROUND) * confidence * F.least("all", "given")).select("key").collect()]
+
+
+def _mined(rows: DataFrame, names: list[str], share: dict[str, float], total: int, least: int, confidence: float, lift: float, most: int) -> set[tuple[str, ...]]:
+    """items, label, part -> the sets of items that may be rules: all that are, and that no shorter one says as surely. share:
+    of each label among labelled baskets."""
+    spark = rows.sparkSession
+    rows = written(rows, "items")
+    if rows.agg(F.sum(F.pow(F.lit(2.0), F.size("items")))).first()[0] <= 2.0**most * total:
+        items = rows.select(F.when(F.isnull("label"), F.col("items")).otherwise(F.array_append("items", F.concat(F.lit(_LABEL), "label"))).alias("items"))
+        return set(_likely(items, total, least, confidence))
+    keys: set[tuple[str, ...]] = set()
+    nodes = {i: _Part(x) for i, x in enumerate(names)}
+    at: dict[int, _Part] = {}
+    small: list[DataFrame] = []
+    rows = rows.select(F.explode(F.array(*(F.lit(i) for i in nodes))).alias("node"), "items", "label", "part")
+    made = len(nodes)
+    while nodes:
+        at |= nodes
+        labels = spark.sparkContext.broadcast({i: p.label for i, p in nodes.items()})
+        own = F.create_map(*(F.lit(x) for i, p in enumerate(names) for x in (p, i)))
+        of_node = spark.createDataFrame([(i, names.index(p.label)) for i, p in nodes.items()], "node int, of int")
+        each = rows.select("node", F.explode("items").alias("t"), own[F.col("label")].alias("given")).groupBy("node", "t", "given").agg(F.count("*").alias("n")).join(of_node, "node")
+        hit = F.col("given") == F.col("of")
+        each = each.groupBy("node", "t").agg(F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("hits"), F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("given").isNotNull(), F.col("n"))), F.lit(0)).alias("given"))
+        inside: dict[int, dict[str, tuple[int, int, int]]] = {}
+        for r in each.where(F.col("hits") >= least).collect():
+            inside.setdefault(r.node, {})[r.t] = r.hits, r.n - r.hits, r.given - r.hits
+        met = rows.mapInArrow(_met(labels, spark.sparkContext.broadcast(inside)), "node int, part int, hit boolean, n long, full long, sets double")
+        when = lambda c, n: F.coalesce(F.sum(F.when(c, F.col(n))), F.lit(0))
+        hit, other = F.col("hit"), ~F.col("hit")
+        met = met.groupBy("node", "part").agg(F.sum("n").alias("n"), F.sum("sets").alias("sets"), F.sum("full").alias("full"), *(when(c, n).alias(a) for c, n, a in ((hit, "n", "hits"), (other, "n", "others"), (hit, "full", "full_hits"), (other, "full", "full_others"))))
+        tops = [F.max(F.struct("hits", (F.col("hits") + F.col("others")).alias("given"))).alias("top"), F.max("full_hits").alias("full_top")]
+        met = met.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("n", "sets", "full", "hits", "others", "full_hits", "full_others")), *tops)
+        mine: dict[int, list[str]] = {}
+        orders: dict[int, list[tuple[str, int]]] = {}
+        nodes = {}
+        for r in met.collect():
+            p, items = at[r.node], inside.get(r.node, {})
+            given, wanted = r.hits + r.others, max(confidence, lift * share[p.label])
+            if p.key:
+                sure = r.hits >= confidence * r.n
+                wide = r.hits > r.top.hits and r.hits >= wanted * given and r.hits - r.top.hits >= wanted * (given - r.top.given)
+                if sure or wide:
+                    keys.add(p.key)
+                # of a set most of whose baskets have a label, that is the rule's
+                p.best_sure = max(p.best_sure, r.hits / r.n if sure and 2 * r.hits > r.n else 0)
+                p.best_wide = max(p.best_wide, r.hits / given if wide and 2 * r.hits > given else 0)
+            else:  # of which no set is left without an item, so that what follows can't tell
+                keys |= {(t,) for t in items}
+            # every longer set has at most these hits, and the baskets that hold all items
+            least_all, least_given = r.hits + r.full - r.full_hits, r.hits + r.full_others
+            p.sure = p.sure and r.hits >= (1 - _ROUND) * confidence * least_all and r.hits > p.best_sure * least_all
+            p.wide = p.wide and r.hits > r.top.hits and r.hits >= (1 - _ROUND) * wanted * least_given and r.hits > p.best_wide * least_given
+            # an item that all other baskets of the key hold makes no longer set surer. For the second kind the set without it
+            # must also hold on several sites, as it does if the baskets of all items show so
+            on_sites = (r.full_hits - r.full_top) * (1 - wanted) > (1 + _ROUND) * wanted * r.others
+            used = [t for t, (hits, rest, others) in items.items() if (p.sure and rest < r.n - r.hits) or (p.wide and (others < r.others or (hits < r.hits and not on_sites)))]
+            if not used:
+                continue
+            if min(r.sets, 2.0 ** min(len(used), 900) * r.n) <= 2.0**most * total:
+                mine[r.node] = used
+                continue
+            used.sort(key=lambda t: (items[t][0] + items[t][1], t))
+            orders[r.node] = [(t, made + i) for i, t in enumerate(used)]
+            nodes |= {made + i: _Part(p.label, (*p.key, t), p.sure, p.wide, p.best_sure, p.best_wide) for i, t in enumerate(used)}
+            made += len(used)
+        if mine:
+            of_mine = spark.sparkContext.broadcast({i: frozenset(x) for i, x in mine.items()})
+            small.append(written(rows.mapInArrow(_tagged(of_mine), "items array<string>"), "small"))
+        if nodes:
+            rows = written(rows.mapInArrow(_split(spark.sparkContext.broadcast(orders)), _ROWS), "split")
+    if small:
+        items = reduce(DataFrame.unionAll, small)
+        for key in _likely(items, items.count(), least, confidence):
+            node = int(key[0].partition("\x00")[0])
+            keys.add((*at[node].key, *(t.partition("\x00")[2] for t in key)))
+    return {tuple(sorted(k)) for k in keys}
+
+
 def _held(sets):
     """tokens, label, part -> of each set of tokens that a task has met: how many URLs of each part and label hold it."""
 
@@ -123,13 +294,14 @@ Rule = tuple[tuple[str, ...], str, float, float]
 
 def _shortest(rules: dict[tuple[str, ...], tuple[float, float, str]]) -> list[Rule]:
     """Without those that a shorter one says as surely."""
-    kept: dict[tuple[str, ...], Rule] = {}
+    kept: list[Rule] = []
+    index: dict[str, list[Rule]] = {}
     for key in sorted(rules, key=lambda k: (len(k), k)):
         conf, sup, label = rules[key]
-        shorter = (kept.get(k) for n in range(len(key)) for k in combinations(key, n))
-        if not any(r and r[1] == label and r[2] >= conf for r in shorter):
-            kept[key] = (key, label, conf, sup)
-    return list(kept.values())
+        if not any(r[1] == label and r[2] >= conf and set(r[0]) <= set(key) for t in key for r in index.get(t, ())):
+            kept.append((key, label, conf, sup))
+            index.setdefault(key[0], []).append(kept[-1])
+    return kept
 
 
 @dataclass
@@ -155,8 +327,9 @@ class UrlRules:
     def fit(cls, urls: DataFrame, support: float = 0.005, confidence: float = 0.8, most_items: int = 10, lift: float = 1.2) -> UrlRules:
         """urls: host, path, label (null if there is none). Support is a share of all urls. A rule of the second kind needs the
         confidence and `lift` times its label's share among the labelled urls, in all and without the part of the sites that
-        has most of its hits. Frequent tokens and sets, whose numbers the support bounds (a url's tokens, and
-        2 ** most_items, over it), come to the driver."""
+        has most of its hits. most_items bounds what FP-growth mines at once (see above), and drops nothing. Frequent tokens, whose
+        number the support bounds (a url's tokens over it), the sets that may be rules, and the parts that baskets are split
+        into come to the driver. Of tokens that go together in ever different ways the parts and rules may be exponential."""
         spark = urls.sparkSession
         baskets = written(urls.select("host", "path", F.col("label").cast("string").alias("label")).mapInArrow(_baskets, "items array<string>, label string, part int"), "baskets")
         labels = {r.label: r.n for r in baskets.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -169,15 +342,14 @@ class UrlRules:
         first: dict[tuple, str] = {}
         for r in sorted(often, key=lambda r: r.t):
             first.setdefault((r.n, r.h), r.t)
-        frequent = spark.sparkContext.broadcast({r.t: (r.n, first[r.n, r.h]) for r in often})
-        items = baskets.select("items", "label").mapInArrow(_mined(frequent, most_items), "items array<string>")
-        found = FPGrowth(itemsCol="items", minSupport=support).fit(written(items, "items")).freqItemsets
-        is_label = lambda t: t.startswith(_LABEL)
-        found = found.where(F.exists("items", is_label) & (F.size("items") > 1)).select(F.array_sort(F.filter("items", lambda t: ~is_label(t))).alias("key")).distinct()
-        keys = sorted(tuple(r.key) for r in found.collect())
+        frequent = spark.sparkContext.broadcast({r.t: first[r.n, r.h] for r in often})
+        names = sorted(x for x in labels if x is not None)
+        least = math.ceil(support * total)
+        least += (least < support * total) - (least - 1 >= support * total)
+        merged = baskets.mapInArrow(_merged(frequent), "items array<string>, label string, part int")
+        keys = sorted(_mined(merged, names, {x: labels[x] / labelled for x in names}, total, max(least, 1), confidence, lift, most_items))
         n = {r.t: r.n for r in often}
         sets = spark.sparkContext.broadcast([(min(key, key=lambda t: (n[t], t)), frozenset(key)) for key in keys])
-        names = sorted(x for x in labels if x is not None)
         held = baskets.mapInArrow(_held(sets), "rule int, part int, label string, n long").groupBy("rule", "part", "label").agg(F.sum("n").alias("n"))
         held = held.groupBy("rule", "part").agg(F.sum("n").alias("all"), *(F.coalesce(F.sum(F.when(F.col("label") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(names)))
         each = [F.sum(f"n{i}").alias(f"n{i}") for i in range(len(names))]
