@@ -113,23 +113,23 @@ class _Part:
 
 
 def _met(labels, inside):
-    """node, items, label, part -> how many baskets of each node, part and label there are, how many of them hold all the
-    items of the node, and how many sets they hold."""
+    """node, items, label, part -> how many baskets of each node, part and label there are, by the one item of the node that they
+    lack (none: empty; more: null), and how many sets they hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, full, sets = Counter(), Counter(), Counter()
+        rows, sets = Counter(), Counter()
         for batch in batches:
             for node, items, label, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                kind = None if label is None else label == labels.value[node]
-                own = inside.value.get(node, {})
-                n = sum(i in own for i in items)
-                rows[node, part, kind] += 1
-                full[node, part, kind] += n == len(own)
-                sets[node, part, kind] += 2.0 ** min(n, 900)
+                own = inside.value.get(node, frozenset())
+                here = own.intersection(items)
+                lacks = min(own - here, default="") if len(own) - len(here) < 2 else None
+                key = node, part, None if label is None else label == labels.value[node], lacks
+                rows[key] += 1
+                sets[key] += 2.0 ** min(len(here), 900)
         keys = list(rows)
-        columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.bool_()))]
-        columns += [pa.array([c[k] for k in keys], t) for c, t in ((rows, pa.int64()), (full, pa.int64()), (sets, pa.float64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["node", "part", "hit", "n", "full", "sets"])
+        columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.bool_(), pa.string()))]
+        columns += [pa.array([c[k] for k in keys], t) for c, t in ((rows, pa.int64()), (sets, pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "part", "hit", "lacks", "n", "sets"])
 
     return run
 
@@ -179,15 +179,20 @@ def _tagged(small):
     return run
 
 
-def _likely(items: DataFrame, rows: int, least: int, confidence: float) -> list[tuple[str, ...]]:
+def _likely(items: DataFrame, rows: int, least: int, confidence: float, bars: DataFrame | None = None) -> list[tuple[str, ...]]:
     """The sets of at least so many baskets of a label in which FP-growth counts enough of it for a rule. rows: those of
-    items. Only these come to the driver, others may still be no rules."""
+    items. bars: of the nodes that items are tagged with, what a set's share of all and of labelled baskets must exceed.
+    Only these sets come to the driver, some of which may still be no rules."""
     is_label = lambda t: t.startswith(_LABEL)
     found = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / rows).fit(items).freqItemsets
     found = found.select(F.array_sort(F.filter("items", lambda t: ~is_label(t))).alias("key"), F.exists("items", is_label).alias("hit"), "freq").where(F.size("key") > 0)
     # a set with a label is in no more baskets than the set, which is thus frequent too
     found = found.groupBy("key").agg(*(F.sum(F.when(c, F.col("freq"))).alias(n) for c, n in ((~F.col("hit"), "all"), (F.col("hit"), "given"))), F.max(F.when(F.col("hit"), F.col("freq"))).alias("hits"))
-    return [tuple(r.key) for r in found.where(F.col("hits") >= (1 - _ROUND) * confidence * F.least("all", "given")).select("key").collect()]
+    found = found.where(F.col("hits") >= (1 - _ROUND) * confidence * F.least("all", "given"))
+    if bars is not None:
+        found = found.join(F.broadcast(bars), F.substring_index(F.col("key")[0], "\x00", 1).cast("int") == F.col("node"))
+        found = found.where((F.col("hits") > F.col("of_all") * F.col("all")) | (F.col("hits") > F.col("of_given") * F.col("given")))
+    return [tuple(r.key) for r in found.select("key").collect()]
 
 
 def _mined(rows: DataFrame, names: list[str], share: dict[str, float], total: int, least: int, confidence: float, lift: float, most: int) -> set[tuple[str, ...]]:
@@ -202,6 +207,7 @@ def _mined(rows: DataFrame, names: list[str], share: dict[str, float], total: in
     nodes = {i: _Part(x) for i, x in enumerate(names)}
     at: dict[int, _Part] = {}
     small: list[DataFrame] = []
+    bars: list[tuple[int, float, float]] = []
     rows = rows.select(F.explode(F.array(*(F.lit(i) for i in nodes))).alias("node"), "items", "label", "part")
     made = len(nodes)
     while nodes:
@@ -215,10 +221,15 @@ def _mined(rows: DataFrame, names: list[str], share: dict[str, float], total: in
         inside: dict[int, dict[str, tuple[int, int, int]]] = {}
         for r in each.where(F.col("hits") >= least).collect():
             inside.setdefault(r.node, {})[r.t] = r.hits, r.n - r.hits, r.given - r.hits
-        met = rows.mapInArrow(_met(labels, spark.sparkContext.broadcast(inside)), "node int, part int, hit boolean, n long, full long, sets double")
-        when = lambda c, n: F.coalesce(F.sum(F.when(c, F.col(n))), F.lit(0))
-        hit, other = F.col("hit"), ~F.col("hit")
-        met = met.groupBy("node", "part").agg(F.sum("n").alias("n"), F.sum("sets").alias("sets"), F.sum("full").alias("full"), *(when(c, n).alias(a) for c, n, a in ((hit, "n", "hits"), (other, "n", "others"), (hit, "full", "full_hits"), (other, "full", "full_others"))))
+        of_all = spark.sparkContext.broadcast({i: frozenset(x) for i, x in inside.items()})
+        met = written(rows.mapInArrow(_met(labels, of_all), "node int, part int, hit boolean, lacks string, n long, sets double"), "met")
+        when = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+        hit, other, full = F.col("hit"), ~F.col("hit"), F.col("lacks") == ""
+        counts = F.sum("n").alias("n"), when(hit).alias("hits"), when(other).alias("others")
+        lacking: dict[int, dict[str, tuple[int, int, int]]] = {}
+        for r in met.where("lacks != ''").groupBy("node", "lacks").agg(*counts).collect():
+            lacking.setdefault(r.node, {})[r.lacks] = r.hits, r.n - r.hits, r.others
+        met = met.groupBy("node", "part").agg(*counts, F.sum("sets").alias("sets"), when(full).alias("full"), when(full & hit).alias("full_hits"), when(full & other).alias("full_others"))
         tops = [F.max(F.struct("hits", (F.col("hits") + F.col("others")).alias("given"))).alias("top"), F.max("full_hits").alias("full_top")]
         met = met.groupBy("node").agg(*(F.sum(c).alias(c) for c in ("n", "sets", "full", "hits", "others", "full_hits", "full_others")), *tops)
         mine: dict[int, list[str]] = {}
@@ -241,14 +252,22 @@ def _mined(rows: DataFrame, names: list[str], share: dict[str, float], total: in
             least_all, least_given = r.hits + r.full - r.full_hits, r.hits + r.full_others
             p.sure = p.sure and r.hits >= (1 - _ROUND) * confidence * least_all and r.hits > p.best_sure * least_all
             p.wide = p.wide and r.hits > r.top.hits and r.hits >= (1 - _ROUND) * wanted * least_given and r.hits > p.best_wide * least_given
-            # an item that all other baskets of the key hold makes no longer set surer. For the second kind the set without it
-            # must also hold on several sites, as it does if the baskets of all items show so
+            # an item makes no longer set surer if those that it takes from the other baskets are too few for the hits that it
+            # takes at least: those that lack it alone. For the second kind the set without it must also hold on several
+            # sites, as it does if the baskets of all items show so
             on_sites = (r.full_hits - r.full_top) * (1 - wanted) > (1 + _ROUND) * wanted * r.others
-            used = [t for t, (hits, rest, others) in items.items() if (p.sure and rest < r.n - r.hits) or (p.wide and (others < r.others or (hits < r.hits and not on_sites)))]
+            used = []
+            for t, (hits, rest, others) in items.items():
+                lost = lacking.get(r.node, {}).get(t, (0, 0, 0)) if confidence > 0.5 else (0, 0, 0)
+                sure = (r.n - r.hits - rest) * r.hits > lost[0] * (r.full - r.full_hits + lost[1])
+                wide = (r.others - others) * r.hits > lost[0] * (r.full_others + lost[2]) if on_sites else others < r.others or hits < r.hits
+                if (p.sure and sure) or (p.wide and wide):
+                    used.append(t)
             if not used:
                 continue
             if min(r.sets, 2.0 ** min(len(used), 900) * r.n) <= 2.0**most * total:
                 mine[r.node] = used
+                bars.append((r.node, p.best_sure if p.sure else 1.0, p.best_wide if p.wide else 1.0))
                 continue
             used.sort(key=lambda t: (items[t][0] + items[t][1], t))
             orders[r.node] = [(t, made + i) for i, t in enumerate(used)]
@@ -261,7 +280,7 @@ def _mined(rows: DataFrame, names: list[str], share: dict[str, float], total: in
             rows = written(rows.mapInArrow(_split(spark.sparkContext.broadcast(orders)), _ROWS), "split")
     if small:
         items = reduce(DataFrame.unionAll, small)
-        for key in _likely(items, items.count(), least, confidence):
+        for key in _likely(items, items.count(), least, confidence, spark.createDataFrame(bars, "node int, of_all double, of_given double")):
             node = int(key[0].partition("\x00")[0])
             keys.add((*at[node].key, *(t.partition("\x00")[2] for t in key)))
     return {tuple(sorted(k)) for k in keys}
