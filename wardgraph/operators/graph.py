@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardgraph.functions.ids import node_type
 from wardgraph.operators.telemetry import numbered
 from wardgraph.sources.edge_store import EdgeStore
-from wardgraph.sources.tables import written
+from wardgraph.sources.tables import partitions, written
 
 
 def edges(stored: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame, categories: DataFrame) -> DataFrame:
@@ -21,31 +23,54 @@ def edges(stored: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend
     is as large as the knowledge tables: no kind of edge computes the one above it again.
     """
     one = written(stored.groupBy("cve_id", "cwe_id").agg(F.count("*").alias("value")), "facts")
-    return _edges(one, categories.groupBy("cve_id", "category_id").agg(F.count("*").alias("value")), cwe_capec, techniques, defend)
+    five = categories.groupBy("cve_id", "category_id").agg(F.count("*").alias("value"))
+    return reduce(DataFrame.unionByName, [*_first(one, five), *_below(one, cwe_capec, techniques, defend)])
 
 
 def list_edges(lists: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame) -> DataFrame:
     """edges() of cve_id, cwe and owasp, a table with a row a vulnerability as chain.weakness_lists makes it: no fact is dealt again."""
-    of = lambda c, name: lists.select("cve_id", F.explode(c).alias(name), F.lit(1).cast("long").alias("value"))
-    return _edges(of("cwe", "cwe_id"), of("owasp", "category_id"), cwe_capec, techniques, defend)
+    one, five = _listed(lists, "cwe", "cwe_id"), _listed(lists, "owasp", "category_id")
+    return reduce(DataFrame.unionByName, [*_first(one, five), *_below(one, cwe_capec, techniques, defend)])
 
 
-def _edges(one: DataFrame, five: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame) -> DataFrame:
-    node = lambda p, c: F.concat(F.lit(p), F.col(c))
+def list_neighbours(lists: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame) -> DataFrame:
+    """neighbour_texts() of list_edges(): a vulnerability's targets are together in its row, and no edge leads to it. lists are read once."""
+    named = lambda p, c: F.transform(c, lambda x: F.concat(F.lit(p), x))
+    whole = written(lists.select(F.col("cve_id").alias("source"), F.concat(named("CWE-", "cwe"), named("OWASP-", "owasp")).alias("targets")), "whole")
+    one = whole.select(F.explode("targets").alias("target")).where(F.col("target").startswith("CWE-"))
+    one = one.select(F.substring("target", 5, 1 << 30).alias("cwe_id"), F.lit(1).cast("long").alias("value"))
+    return neighbour_texts(reduce(DataFrame.unionByName, _below(one, cwe_capec, techniques, defend)), whole)
+
+
+def _listed(lists: DataFrame, column: str, name: str) -> DataFrame:
+    return lists.select("cve_id", F.explode(column).alias(name), F.lit(1).cast("long").alias("value"))
+
+
+def _node(prefix: str, column: str) -> Column:
+    return F.concat(F.lit(prefix), F.col(column))
+
+
+def _first(one: DataFrame, five: DataFrame) -> list[DataFrame]:
+    """The edges of vulnerabilities, to weaknesses and to categories."""
+    return [
+        one.select(F.col("cve_id").alias("source"), _node("CWE-", "cwe_id").alias("target"), "value"),
+        five.select(F.col("cve_id").alias("source"), _node("OWASP-", "category_id").alias("target"), "value"),
+    ]
+
+
+def _below(one: DataFrame, cwe_capec: DataFrame, techniques: DataFrame, defend: DataFrame) -> list[DataFrame]:
+    """The edges from weaknesses on, hop by hop."""
     cwe = one.groupBy("cwe_id").agg(F.sum("value").alias("w"))
     two = written(cwe.join(cwe_capec, "cwe_id").groupBy("cwe_id", "capec_id").agg(F.sum("w").alias("value")), "hop")
     capec = two.groupBy("capec_id").agg(F.sum("value").alias("w"))
     three = written(capec.join(techniques, "capec_id").groupBy("capec_id", "technique_id").agg(F.sum("w").alias("value")), "hop")
-    tech = three.groupBy(node("T", "technique_id").alias("technique_id")).agg(F.sum("value").alias("w"))
+    tech = three.groupBy(_node("T", "technique_id").alias("technique_id")).agg(F.sum("value").alias("w"))
     four = tech.join(defend, "technique_id").groupBy("technique_id", "d3f_id").agg(F.sum("w").alias("value"))
-    parts = [
-        one.select(F.col("cve_id").alias("source"), node("CWE-", "cwe_id").alias("target"), "value"),
-        two.select(node("CWE-", "cwe_id").alias("source"), node("CAPEC-", "capec_id").alias("target"), "value"),
-        three.select(node("CAPEC-", "capec_id").alias("source"), node("T", "technique_id").alias("target"), "value"),
-        four.select(F.col("technique_id").alias("source"), node("D3F-", "d3f_id").alias("target"), "value"),
-        five.select(F.col("cve_id").alias("source"), node("OWASP-", "category_id").alias("target"), "value"),
+    return [
+        two.select(_node("CWE-", "cwe_id").alias("source"), _node("CAPEC-", "capec_id").alias("target"), "value"),
+        three.select(_node("CAPEC-", "capec_id").alias("source"), _node("T", "technique_id").alias("target"), "value"),
+        four.select(F.col("technique_id").alias("source"), _node("D3F-", "d3f_id").alias("target"), "value"),
     ]
-    return reduce(DataFrame.unionByName, parts)
 
 
 def target_scores(e: DataFrame) -> DataFrame:
@@ -83,11 +108,15 @@ def trace_back(e: DataFrame | EdgeStore, selected: DataFrame, prefixes: tuple[st
 
 
 def neighbours(e: DataFrame) -> DataFrame:
-    """Per node its sources and targets, sorted; a hub's list is as long as its degree, as asked."""
-    both = _sides(e)
+    """Per node its sources and targets, sorted; a hub's list is as long as its degree, as asked, and is gathered in one task. Where
+    hubs may be too large for that there are neighbour_texts() and neighbour_stretches()."""
+    return _gathered(_sides(e))
+
+
+def _gathered(sides: DataFrame) -> DataFrame:
     lists = (F.sort_array(F.collect_list(F.when(F.col("side") == side, F.col("other")))).alias(side) for side in ("sources", "targets"))
     unnamed = F.when(F.col("node").isNull(), F.col("side")).alias("unnamed")  # what has no name is no one node
-    return both.groupBy("node", unnamed).agg(*lists).drop("unnamed")
+    return sides.groupBy("node", unnamed).agg(*lists).drop("unnamed")
 
 
 def _sides(e: DataFrame) -> DataFrame:
@@ -100,6 +129,79 @@ def _sides(e: DataFrame) -> DataFrame:
 HUB_ROWS = 100_000
 
 
+#: Edges of a bucket of nodes, about; names of a piece of a hub's text, as a power of two; names that one task puts together.
+BUCKET_EDGES, PIECE_BITS, TEXT_NAMES = 10_000, 13, 100_000_000
+
+
+def neighbour_texts(e: DataFrame, whole: DataFrame | None = None, separator: str = ",", most: int = HUB_ROWS, task_names: int = TEXT_NAMES) -> DataFrame:
+    """node, sources, targets: as neighbours(), the names of a list joined to a text. whole: more edges, as source and targets, a row a
+    source; such a source is no target and has no edge in e, so its row is put in order where it is. Both are read up to four
+    times, so they should be tables.
+
+    Nodes are counted in buckets by hash. Those in buckets of up to `most` edges are gathered where the node is. The others, and so
+    all hubs, are put in order in ranges by many tasks and joined in pieces. A hub's text alone is as long as its degree: pieces are
+    sorted, and a task for each `task_names` names puts one node after the other together."""
+    e, n = e.select("source", "target"), e.count()
+    sides, own = _sides(e), None
+    if whole is not None:
+        n += whole.agg(F.coalesce(F.sum(F.size("targets")), F.lit(0))).first()[0]
+        named = whole.where("source is not null and size(targets) > 0")
+        sides = _sides(e.union(whole.where("source is null").select("source", F.explode("targets"))))
+        sides = sides.union(named.select(F.explode("targets").alias("node"), F.lit("sources").alias("side"), F.col("source").alias("other")))
+        own = named.select(F.col("source").alias("node"), F.lit("").alias("sources"), F.array_join(F.sort_array("targets"), separator).alias("targets"))
+    bucket = F.pmod(F.xxhash64("node"), F.lit(max(1, n // BUCKET_EDGES)))
+    heavy = written(sides.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(F.col("n") > most), "heavy")
+    hubs = heavy.agg(F.sum("n")).first()[0] or 0
+    few = sides.join(F.broadcast(heavy), bucket == F.col("bucket"), "left_anti") if hubs else sides  # at most a bucket for `most` edges
+    few = _gathered(few.repartition(partitions(e.sparkSession, n), "node"))
+    found = few.select("node", *(F.array_join(side, separator).alias(side) for side in ("sources", "targets")))
+    if hubs:
+        order = ["node", "side", "other"]
+        rows = written(sides.join(F.broadcast(heavy), bucket == F.col("bucket"), "left_semi"), "hubs")  # ranges read them up to three times
+        dealt = rows.repartitionByRange(partitions(e.sparkSession, hubs), *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+        text = F.when(F.count("other") > 0, F.array_join(F.sort_array(F.collect_list("other")), separator))
+        pieces = dealt.groupBy("node", "side", F.shiftright("at", PIECE_BITS)).agg(F.min("at").alias("at"), text.alias("text"))
+        pieces = pieces.repartition(-(-hubs // task_names), "node").sortWithinPartitions("node", "side", "at").select("node", "side", "text")
+        found = found.union(pieces.mapInArrow(_put_together(separator), "node string, sources string, targets string"))
+    return found if own is None else found.union(own)
+
+
+def _put_together(separator: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of node, side and text in order -> a row a node. Of texts, one node's are held, or some 1 MB of short ones."""
+
+    def nodes(batches):
+        last = parts = None
+        for batch in batches:
+            for node, side, text in zip(batch["node"].to_pylist(), batch["side"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
+                key = (node, side if node is None else None)
+                if key != last:
+                    if last:
+                        yield last[0], parts
+                    last, parts = key, {"sources": [], "targets": []}
+                if text is not None:
+                    parts[side].append(text)
+        if last:
+            yield last[0], parts
+
+    def taken(rows: list[tuple]) -> pa.RecordBatch:
+        arrays = [pa.array(c, pa.binary()).cast(pa.string()) for c in zip(*rows, strict=True)]
+        rows.clear()
+        return pa.RecordBatch.from_arrays(arrays, ["node", "sources", "targets"])
+
+    def run(batches):
+        rows, size, joint = [], 0, separator.encode()
+        for node, parts in nodes(batches):
+            rows.append((node if node is None else node.encode(), *(joint.join(parts.pop(side)) for side in ("sources", "targets"))))
+            size += sum(map(len, rows[-1][1:]))
+            if size > 1 << 20:
+                size = 0
+                yield taken(rows)
+        if rows:
+            yield taken(rows)
+
+    return run
+
+
 def neighbour_stretches(e: DataFrame, size: int = 10_000, most: int = HUB_ROWS) -> DataFrame:
     """node, side (sources or targets), stretch (from 0), nodes: as neighbours(), with at most `size` of them a row. Up to `most` neighbours
     are put in order where the node is; a hub has more and is numbered in ranges by many tasks."""
