@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,8 +130,8 @@ def _sides(e: DataFrame) -> DataFrame:
 HUB_ROWS = 100_000
 
 
-#: Edges of a bucket of nodes, about; names of a piece of a hub's text, as a power of two; names that one task puts together.
-BUCKET_EDGES, PIECE_BITS, TEXT_NAMES = 10_000, 13, 100_000_000
+#: Edges of a bucket of nodes, about, and buckets of a group; names of a piece of a hub's text, as a power of two; names that one task puts together.
+BUCKET_EDGES, GROUP_BUCKETS, PIECE_BITS, TEXT_NAMES = 50_000, 32, 13, 250_000_000
 
 
 def neighbour_texts(e: DataFrame, whole: DataFrame | None = None, separator: str = ",", most: int = HUB_ROWS, task_names: int = TEXT_NAMES) -> DataFrame:
@@ -138,9 +139,11 @@ def neighbour_texts(e: DataFrame, whole: DataFrame | None = None, separator: str
     source; such a source is no target and has no edge in e, so its row is put in order where it is. Both are read up to four
     times, so they should be tables.
 
-    Nodes are counted in buckets by hash. Those in buckets of up to `most` edges are gathered where the node is. The others, and so
-    all hubs, are put in order in ranges by many tasks and joined in pieces. A hub's text alone is as long as its degree: pieces are
-    sorted, and a task for each `task_names` names puts one node after the other together."""
+    Nodes are counted in buckets by hash, which lie in groups. Nodes of groups whose buckets have up to `most` edges are gathered where
+    they are. The others, and so all hubs, are put in order in ranges by many tasks and joined in pieces. A hub's text alone is as long
+    as its degree: pieces are sorted by group, and a task for each `task_names` names puts one node after the other together. So many
+    other nodes of its group come between a hub and the next that a writer which looks at its size now and then (Parquet's does after
+    10,000 rows at most) does not hold both, where a group has as many."""
     e, n = e.select("source", "target"), e.count()
     sides, own = _sides(e), None
     if whole is not None:
@@ -149,55 +152,67 @@ def neighbour_texts(e: DataFrame, whole: DataFrame | None = None, separator: str
         sides = _sides(e.union(whole.where("source is null").select("source", F.explode("targets"))))
         sides = sides.union(named.select(F.explode("targets").alias("node"), F.lit("sources").alias("side"), F.col("source").alias("other")))
         own = named.select(F.col("source").alias("node"), F.lit("").alias("sources"), F.array_join(F.sort_array("targets"), separator).alias("targets"))
-    bucket = F.pmod(F.xxhash64("node"), F.lit(max(1, n // BUCKET_EDGES)))
-    heavy = written(sides.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(F.col("n") > most), "heavy")
-    hubs = heavy.agg(F.sum("n")).first()[0] or 0
-    few = sides.join(F.broadcast(heavy), bucket == F.col("bucket"), "left_anti") if hubs else sides  # at most a bucket for `most` edges
+    groups = max(1, n // (BUCKET_EDGES * GROUP_BUCKETS))
+    hashed = lambda m: F.pmod(F.xxhash64("node"), F.lit(m))
+    buckets = sides.groupBy(hashed(groups * GROUP_BUCKETS).alias("bucket")).agg(F.count("*").alias("n"))
+    buckets = buckets.groupBy(F.pmod("bucket", F.lit(groups)).alias("group")).agg(F.max("n").alias("most"), F.sum("n").alias("n"))
+    heavy = written(buckets.where(F.col("most") > most), "heavy")  # at most one for `most` edges
+    hubs, parts = heavy.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    dealt = lambda how: sides.join(F.broadcast(heavy.select("group")), hashed(groups) == F.col("group"), how)
+    few = dealt("left_anti") if hubs else sides
     few = _gathered(few.repartition(partitions(e.sparkSession, n), "node"))
     found = few.select("node", *(F.array_join(side, separator).alias(side) for side in ("sources", "targets")))
     if hubs:
         order = ["node", "side", "other"]
-        rows = written(sides.join(F.broadcast(heavy), bucket == F.col("bucket"), "left_semi"), "hubs")  # ranges read them up to three times
-        dealt = rows.repartitionByRange(partitions(e.sparkSession, hubs), *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+        rows = written(dealt("left_semi"), "hubs").repartitionByRange(partitions(e.sparkSession, hubs), *order)  # which reads up to three times
+        rows = rows.sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
         text = F.when(F.count("other") > 0, F.array_join(F.sort_array(F.collect_list("other")), separator))
-        pieces = dealt.groupBy("node", "side", F.shiftright("at", PIECE_BITS)).agg(F.min("at").alias("at"), text.alias("text"))
-        pieces = pieces.repartition(-(-hubs // task_names), "node").sortWithinPartitions("node", "side", "at").select("node", "side", "text")
+        pieces = rows.groupBy("node", "side", F.shiftright("at", PIECE_BITS)).agg(F.min("at").alias("at"), text.alias("text"))
+        pieces = pieces.withColumn("group", hashed(groups)).repartition(parts, "group").sortWithinPartitions("group", "node", "side", "at")
+        pieces = pieces.select("node", "side", "text").coalesce(-(-hubs // task_names))  # a task sorts one part after the other
         found = found.union(pieces.mapInArrow(_put_together(separator), "node string, sources string, targets string"))
     return found if own is None else found.union(own)
 
 
 def _put_together(separator: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of node, side and text in order -> a row a node. Of texts, one node's are held, or some 1 MB of short ones."""
+    """Rows of node, side and text in order -> a row a node. Of texts, one node's are held, once, or some 1 MB of short ones."""
+    joint, names = separator.encode(), ["node", "sources", "targets"]
 
     def nodes(batches):
-        last = parts = None
+        last, parts = None, {}
         for batch in batches:
             for node, side, text in zip(batch["node"].to_pylist(), batch["side"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist(), strict=True):
                 key = (node, side if node is None else None)
                 if key != last:
                     if last:
-                        yield last[0], parts
-                    last, parts = key, {"sources": [], "targets": []}
+                        yield last[0], parts.pop("sources", b""), parts.pop("targets", b"")
+                    last = key
                 if text is not None:
-                    parts[side].append(text)
+                    if side in parts:
+                        parts[side] += joint
+                    parts.setdefault(side, bytearray()).extend(text)
         if last:
-            yield last[0], parts
+            yield last[0], parts.pop("sources", b""), parts.pop("targets", b"")
 
-    def taken(rows: list[tuple]) -> pa.RecordBatch:
-        arrays = [pa.array(c, pa.binary()).cast(pa.string()) for c in zip(*rows, strict=True)]
-        rows.clear()
-        return pa.RecordBatch.from_arrays(arrays, ["node", "sources", "targets"])
+    def column(texts) -> pa.Array:
+        ends = pa.array(np.cumsum([0, *map(len, texts)])).cast(pa.int32())
+        return pa.StringArray.from_buffers(len(texts), ends.buffers()[1], pa.py_buffer(texts[0] if len(texts) == 1 else b"".join(texts)))
 
     def run(batches):
-        rows, size, joint = [], 0, separator.encode()
-        for node, parts in nodes(batches):
-            rows.append((node if node is None else node.encode(), *(joint.join(parts.pop(side)) for side in ("sources", "targets"))))
-            size += sum(map(len, rows[-1][1:]))
+        rows, size = [], 0
+        for row in nodes(batches):
+            rows.append(row)
+            size += len(row[1]) + len(row[2])
+            del row
             if size > 1 << 20:
-                size = 0
-                yield taken(rows)
+                node, sources, targets = zip(*rows, strict=True)
+                rows, size = [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.string()), column(sources), column(targets)], names)
+                del sources, targets
+                yield pa.RecordBatch.from_arrays([pa.array([], pa.string())] * 3, names)  # so that nobody keeps a long row while the next one is made
         if rows:
-            yield taken(rows)
+            node, sources, targets = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.string()), column(sources), column(targets)], names)
 
     return run
 
